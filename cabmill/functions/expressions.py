@@ -1,16 +1,15 @@
-"""Row expressions over trip columns. Everything is a built-in Column expression."""
+"""Row expressions over trip columns, as SQL text for `selectExpr`, `where` and `expr`.
 
-from datetime import date, timedelta
-from functools import reduce
-from operator import or_
+Arguments are column names or SQL expressions. Everything is built in, so it runs inside
+generated code.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from datetime import date, timedelta
 
 from cabmill import schemas as S
 
 
-def time_window(ts: Column, start: date, end: date, mode: str = "half_open") -> Column:
+def time_window(ts: str, start: date, end: date, mode: str = "half_open") -> str:
     """Rows of the days `start`..`end`, both included.
 
     `half_open` takes the whole last day. `literal` compares the timestamp with the bare
@@ -18,94 +17,96 @@ def time_window(ts: Column, start: date, end: date, mode: str = "half_open") ->
     constants, so they reach the parquet scan as pushed filters.
     """
     if mode == "half_open":
-        return (ts >= _midnight(start)) & (ts < _midnight(end + timedelta(days=1)))
+        return f"{ts} >= {_midnight(start)} AND {ts} < {_midnight(end + timedelta(days=1))}"
     if mode == "literal":
-        return ts.between(_midnight(start), _midnight(end))
+        return f"{ts} BETWEEN {_midnight(start)} AND {_midnight(end)}"
     raise ValueError(f"unknown time window mode: {mode}")
 
 
-def _midnight(day: date) -> Column:
-    return F.lit(day.isoformat()).cast("timestamp_ntz")
+def _midnight(day: date) -> str:
+    return f"TIMESTAMP_NTZ '{day.isoformat()} 00:00:00'"
 
 
-def is_valid_trip() -> Column:
+def is_valid_trip() -> str:
     """Data-quality rules; a NULL in any tested column makes the row invalid."""
 
-    def inside(name, limits):
+    def inside(column, limits):
         low, high = limits
-        return (F.col(name) > low) & (F.col(name) < high)
-
-    return (
-        F.col("tpep_dropoff_datetime").isNotNull()
-        & (F.col("tpep_pickup_datetime") < F.col("tpep_dropoff_datetime"))
-        & inside("trip_distance", S.DISTANCE_LIMITS)
-        & inside("fare_amount", S.FARE_LIMITS)
-        & inside("total_amount", S.TOTAL_LIMITS)
-        & (F.col("passenger_count") > 0)
-        & (F.col("passenger_count") <= S.MAX_PASSENGERS)
-        & F.col("pickup_latitude").between(*S.LATITUDE_BOX)
-        & F.col("pickup_longitude").between(*S.LONGITUDE_BOX)
-    )
+        return f"{column} > {low} AND {column} < {high}"
+
+    def within(column, box):
+        low, high = box
+        return f"{column} BETWEEN {low}D AND {high}D"
 
+    rules = [
+        "tpep_dropoff_datetime IS NOT NULL",
+        "tpep_pickup_datetime < tpep_dropoff_datetime",
+        inside("trip_distance", S.DISTANCE_LIMITS),
+        inside("fare_amount", S.FARE_LIMITS),
+        inside("total_amount", S.TOTAL_LIMITS),
+        f"passenger_count > 0 AND passenger_count <= {S.MAX_PASSENGERS}",
+        within("pickup_latitude", S.LATITUDE_BOX),
+        within("pickup_longitude", S.LONGITUDE_BOX),
+    ]
+    return " AND ".join(rules)
 
-def seconds_between(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(1e6)
 
+def seconds_between(start: str, end: str) -> str:
+    return f"timestampdiff(MICROSECOND, {start}, {end}) / 1e6D"
 
-def guarded_ratio(numerator: Column, denominator: Column) -> Column:
+
+def guarded_ratio(numerator: str, denominator: str) -> str:
     """numerator / denominator, and 0.0 unless the denominator is positive."""
-    return F.when(denominator > 0, numerator / denominator).otherwise(F.lit(0.0))
+    return f"CASE WHEN {denominator} > 0 THEN {numerator} / ({denominator}) ELSE 0D END"
 
 
-def banded(value: Column, bands) -> Column:
+def banded(value: str, bands) -> str:
     """Label of the first band whose upper bound holds the value."""
-    first, *rest = bands
-    label = F.when(value <= first[0], first[1])
-    for bound, name in rest:
-        label = label.when(value <= bound, name)
-    return label.otherwise(S.TOP_BAND)
+    whens = " ".join(f"WHEN {value} <= {bound} THEN '{label}'" for bound, label in bands)
+    return f"CASE {whens} ELSE '{S.TOP_BAND}' END"
 
 
-def day_part(hour: Column) -> Column:
-    parts = [F.when(hour.between(low, high), label) for low, high, label in S.DAY_PARTS]
-    return F.coalesce(*parts, F.lit(S.NIGHT))
+def day_part(hour: str) -> str:
+    whens = " ".join(
+        f"WHEN {hour} BETWEEN {low} AND {high} THEN '{label}'" for low, high, label in S.DAY_PARTS
+    )
+    return f"CASE {whens} ELSE '{S.NIGHT}' END"
 
 
-def is_rush_hour(hour: Column) -> Column:
-    return F.coalesce(reduce(or_, (hour.between(*r) for r in S.RUSH_HOURS)), F.lit(False))
+def is_rush_hour(hour: str) -> str:
+    tests = " OR ".join(f"{hour} BETWEEN {low} AND {high}" for low, high in S.RUSH_HOURS)
+    return f"coalesce({tests}, false)"
 
 
-def day_of_week(day: Column) -> Column:
+def day_of_week(day: str) -> str:
     """0 = Sunday .. 6 = Saturday (Spark itself counts from 1)."""
-    return F.dayofweek(day) - 1
+    return f"dayofweek({day}) - 1"
 
 
-def is_weekend(day: Column) -> Column:
-    return F.coalesce(day_of_week(day).isin(0, 6), F.lit(False))
+def is_weekend(day: str) -> str:
+    return f"coalesce({day_of_week(day)} IN (0, 6), false)"
 
 
-def is_airport_rate(rate_code: Column) -> Column:
-    return F.coalesce(rate_code.isin(S.JFK_RATE, S.NEWARK_RATE), F.lit(False))
+def is_airport_rate(rate_code: str) -> str:
+    return f"coalesce({rate_code} IN ({S.JFK_RATE}, {S.NEWARK_RATE}), false)"
 
 
-def is_high_tip(payment_type: Column, tip: Column, fare: Column) -> Column:
-    paid_by_card = payment_type == S.CREDIT_CARD
-    return F.coalesce(
-        paid_by_card & (guarded_ratio(tip, fare) > S.HIGH_TIP_RATIO), F.lit(False)
-    )
+def is_high_tip(payment_type: str, tip: str, fare: str) -> str:
+    ratio = guarded_ratio(tip, fare)
+    return f"coalesce({payment_type} = {S.CREDIT_CARD} AND {ratio} > {S.HIGH_TIP_RATIO}D, false)"
 
 
-def label_of(code: Column, names: dict[int, str]) -> Column:
-    known = [F.when(code == value, name) for value, name in names.items()]
-    return F.coalesce(*known, F.lit(S.UNKNOWN_LABEL))
+def label_of(code: str, names: dict[int, str]) -> str:
+    whens = " ".join(f"WHEN {value} THEN '{name}'" for value, name in names.items())
+    return f"CASE {code} {whens} ELSE '{S.UNKNOWN_LABEL}' END"
 
 
-def trip_key(pickup: Column, vendor: Column, latitude: Column, longitude: Column) -> Column:
+def trip_key(pickup: str, vendor: str, latitude: str, longitude: str) -> str:
     """MD5 over the concatenated texts; NULL parts count as empty. Not unique by design."""
-    parts = (c.cast("string") for c in (pickup, vendor, latitude, longitude))
-    return F.md5(F.concat_ws("", *parts))
+    parts = ", ".join(f"CAST({c} AS STRING)" for c in (pickup, vendor, latitude, longitude))
+    return f"md5(concat_ws('', {parts}))"
 
 
-def padded_name(day: Column, pattern: str) -> Column:
+def padded_name(day: str, pattern: str) -> str:
     """Full month or weekday name, blank-padded to nine characters."""
-    return F.rpad(F.date_format(day, pattern), 9, " ")
+    return f"rpad(date_format({day}, '{pattern}'), 9, ' ')"

@@ -27,10 +27,11 @@ class Measure:
     column: str
     units: int | None = None  # fixed-point units per 1.0; None: summed as it is
 
-    def value(self) -> Column:
+    @property
+    def value(self) -> str:
         if self.units is None:
-            return F.col(self.column)
-        return F.rint(F.col(self.column) * self.units).cast("bigint")
+            return self.column
+        return f"CAST(rint({self.column} * {self.units}) AS BIGINT)"
 
 
 def _amount(column: str) -> Measure:
@@ -51,58 +52,43 @@ MEASURES = {
     "tip_ratio": Measure("tip_percentage"),
     "per_minute": Measure("revenue_per_minute"),
 }
-
-
-def _conditions() -> dict[str, Column]:
-    payment, rate, band = (
-        F.col("payment_type_key"),
-        F.col("rate_code_key"),
-        F.col("distance_category"),
-    )
-    return {
-        "tipped": F.col("tip_amount") > 0,
-        "high_tip": F.col("is_high_tip"),
-        "card": payment == S.CREDIT_CARD,
-        "cash": payment == S.CASH,
-        "standard_rate": rate == S.STANDARD_RATE,
-        "jfk": rate == S.JFK_RATE,
-        "airport": F.col("is_airport_trip"),
-        "rush_hour": F.col("is_rush_hour"),
-        "weekend": F.col("is_weekend"),
-        "short": band == "Short",
-        "medium": band == "Medium",
-        "long": band == "Long",
-    }
-
-
-CONDITIONS = (
-    "tipped", "high_tip", "card", "cash", "standard_rate", "jfk", "airport",
-    "rush_hour", "weekend", "short", "medium", "long",
-)
+CONDITIONS = {
+    "tipped": "tip_amount > 0",
+    "high_tip": "is_high_tip",
+    "card": f"payment_type_key = {S.CREDIT_CARD}",
+    "cash": f"payment_type_key = {S.CASH}",
+    "standard_rate": f"rate_code_key = {S.STANDARD_RATE}",
+    "jfk": f"rate_code_key = {S.JFK_RATE}",
+    "airport": "is_airport_trip",
+    "rush_hour": "is_rush_hour",
+    "weekend": "is_weekend",
+    "short": "distance_category = 'Short'",
+    "medium": "distance_category = 'Medium'",
+    "long": "distance_category = 'Long'",
+}
 
 
 def partials(
     fact: DataFrame,
     keys: Iterable[str],
     measures: Iterable[str] = tuple(MEASURES),
-    conditions: Iterable[str] = CONDITIONS,
+    conditions: Iterable[str] = tuple(CONDITIONS),
 ) -> DataFrame:
     """One pass over the trips down to one partial row per combination of keys.
 
     The sums combine map-side: what is shuffled is at most one row per task and combination,
     however many trips one key holds.
     """
-    tests = _conditions()
-    columns = [F.count(F.lit(1)).alias("trips")]
+    columns = ["count(1) AS trips"]
     for name in measures:
         measure = MEASURES[name]
-        columns.append(F.sum(measure.value()).alias(f"sum_{name}"))
-        columns.append(F.count(measure.column).alias(f"n_{name}"))
+        columns.append(f"sum({measure.value}) AS sum_{name}")
+        columns.append(f"count({measure.column}) AS n_{name}")
         if name == "distance":
-            columns.append(F.min(measure.column).alias("min_distance"))
-            columns.append(F.max(measure.column).alias("max_distance"))
-    columns += [F.count_if(tests[name]).alias(f"if_{name}") for name in conditions]
-    return fact.groupBy(*keys).agg(*columns)
+            columns.append(f"min({measure.column}) AS min_distance")
+            columns.append(f"max({measure.column}) AS max_distance")
+    columns += [f"count_if({CONDITIONS[name]}) AS if_{name}" for name in conditions]
+    return fact.groupBy(*keys).agg(*map(F.expr, columns))
 
 
 def roll_up(parts: DataFrame, keys: Iterable[str], *extra: Column) -> DataFrame:
@@ -118,26 +104,20 @@ def roll_up(parts: DataFrame, keys: Iterable[str], *extra: Column) -> DataFrame:
     return parts.groupBy(*keys).agg(*merged, *extra)
 
 
-def total(name: str) -> Column:
+def total(name: str, alias: str) -> str:
     units = MEASURES[name].units
-    summed = F.col(f"sum_{name}")
-    return summed if units is None else summed / float(units)
+    return f"sum_{name}" + ("" if units is None else f" / {units}D") + f" AS {alias}"
 
 
-def mean(name: str) -> Column:
+def mean(name: str, alias: str) -> str:
     """Mean over the rows that have the value; NULL when none has."""
-    measure, count = MEASURES[name], F.col(f"n_{name}")
-    summed = F.col(f"sum_{name}").cast("double")
+    summed = f"CAST(sum_{name} AS DOUBLE)"
     if name == "duration":  # whole milliseconds, to seconds, to minutes
-        summed = summed / 1000.0 / 60.0
-    elif measure.units is not None:
-        summed = summed / float(measure.units)
-    return F.when(count > 0, summed / count)
-
-
-def count_where(name: str) -> Column:
-    return F.col(f"if_{name}")
+        summed += " / 1000D / 60D"
+    elif MEASURES[name].units is not None:
+        summed += f" / {MEASURES[name].units}D"
+    return f"{summed} / nullif(n_{name}, 0) AS {alias}"
 
 
-def percent(part: Column, whole: Column) -> Column:
-    return part.cast("double") * 100 / whole.cast("double")
+def percent(part: str, whole: str, alias: str) -> str:
+    return f"CAST({part} AS DOUBLE) * 100 / CAST({whole} AS DOUBLE) AS {alias}"

@@ -5,47 +5,46 @@ column and shuffles only distinct values.
 """
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cabmill import schemas as S
 from cabmill.functions import expressions as X
 
 
 def _seen(trips: DataFrame, column: str, name: str) -> DataFrame:
-    return trips.select(F.col(column).alias(name)).distinct()
+    return trips.selectExpr(f"{column} AS {name}").distinct()
 
 
 def dim_date(enriched: DataFrame) -> DataFrame:
-    day = F.col("date_key")
-    return _seen(enriched, "pickup_date", "date_key").select(
+    day = "date_key"
+    return _seen(enriched, "pickup_date", day).selectExpr(
         day,
-        F.year(day).alias("year"),
-        F.quarter(day).alias("quarter"),
-        F.month(day).alias("month"),
-        F.dayofmonth(day).alias("day"),
-        X.day_of_week(day).alias("day_of_week"),
-        F.dayofyear(day).alias("day_of_year"),
-        F.weekofyear(day).alias("week_of_year"),
-        X.padded_name(day, "MMMM").alias("month_name"),
-        X.padded_name(day, "EEEE").alias("day_name"),
-        X.is_weekend(day).alias("is_weekend"),
+        f"year({day}) AS year",
+        f"quarter({day}) AS quarter",
+        f"month({day}) AS month",
+        f"day({day}) AS day",
+        f"{X.day_of_week(day)} AS day_of_week",
+        f"dayofyear({day}) AS day_of_year",
+        f"weekofyear({day}) AS week_of_year",
+        f"{X.padded_name(day, 'MMMM')} AS month_name",
+        f"{X.padded_name(day, 'EEEE')} AS day_name",
+        f"{X.is_weekend(day)} AS is_weekend",
     )
 
 
 def dim_time(enriched: DataFrame) -> DataFrame:
-    hour = F.col("time_key")
-    return _seen(enriched, "pickup_hour", "time_key").select(
+    hour = "time_key"
+    return _seen(enriched, "pickup_hour", hour).selectExpr(
         hour,
-        X.day_part(hour).alias("time_of_day"),
-        X.is_rush_hour(hour).alias("is_rush_hour"),
+        f"{X.day_part(hour)} AS time_of_day",
+        f"{X.is_rush_hour(hour)} AS is_rush_hour",
     )
 
 
 def _code_dimension(enriched, code, key, label, names):
     return (
         _seen(enriched, code, key)
-        .where(F.col(key).isNotNull())
-        .select(key, X.label_of(F.col(key), names).alias(label))
+        .where(f"{key} IS NOT NULL")
+        .selectExpr(key, f"{X.label_of(key, names)} AS {label}")
     )
 
 

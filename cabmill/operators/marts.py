@@ -12,10 +12,10 @@ Every mart is `grain -> partials -> join -> select`:
 `partials` may have any finer grain than the mart: one table at CELL_GRAIN serves all five.
 """
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabmill.functions.measures import count_where, mean, partials, percent, roll_up, total
+from cabmill.functions.measures import mean, partials, percent, roll_up, total
 
 DAY, HOUR, VENDOR = "date_key", "time_key", "vendor_key"
 PAYMENT, BAND = "payment_type_key", "distance_category"
@@ -78,161 +78,160 @@ def partials_for(mart: str, fact: DataFrame) -> DataFrame:
     return partials(fact, GRAINS[mart], MEASURES_READ[mart], CONDITIONS_READ[mart])
 
 
-def _share_of_day() -> Column:
-    whole = F.sum("trips").over(Window.partitionBy(DAY))
-    return percent(F.col("trips"), whole)
+def _share_of_day(alias: str) -> str:
+    return percent("trips", f"sum(trips) OVER (PARTITION BY {DAY})", alias)
 
 
 def daily_summary(parts: DataFrame, dim_date: DataFrame) -> DataFrame:
     vendors = F.count_distinct(F.col(VENDOR)).alias("active_vendors")
     days = roll_up(parts, [DAY], vendors)
-    return days.join(dim_date.select(DAY, "day_name", "is_weekend"), DAY).select(
-        F.col(DAY).alias("trip_date"),
+    return days.join(dim_date.select(DAY, "day_name", "is_weekend"), DAY).selectExpr(
+        f"{DAY} AS trip_date",
         "day_name",
         "is_weekend",
-        F.col("trips").alias("total_trips"),
+        "trips AS total_trips",
         "active_vendors",
-        total("passengers").alias("total_passengers"),
-        mean("passengers").alias("avg_passengers_per_trip"),
-        total("distance").alias("total_distance_miles"),
-        mean("distance").alias("avg_distance_miles"),
-        mean("duration").alias("avg_duration_minutes"),
-        mean("speed").alias("avg_speed_mph"),
-        total("fare").alias("total_fare_amount"),
-        total("tip").alias("total_tip_amount"),
-        total("total").alias("total_revenue"),
-        mean("fare").alias("avg_fare_amount"),
-        mean("tip").alias("avg_tip_amount"),
-        mean("total").alias("avg_total_amount"),
-        mean("per_minute").alias("avg_revenue_per_minute"),
-        mean("tip_ratio").alias("avg_tip_percentage"),
-        count_where("tipped").alias("trips_with_tips"),
-        count_where("high_tip").alias("high_tip_trips"),
-        count_where("card").alias("credit_card_trips"),
-        count_where("cash").alias("cash_trips"),
-        count_where("standard_rate").alias("standard_rate_trips"),
-        count_where("jfk").alias("jfk_trips"),
-        count_where("airport").alias("airport_trips"),
-        count_where("short").alias("short_distance_trips"),
-        count_where("medium").alias("medium_distance_trips"),
-        count_where("long").alias("long_distance_trips"),
+        total("passengers", "total_passengers"),
+        mean("passengers", "avg_passengers_per_trip"),
+        total("distance", "total_distance_miles"),
+        mean("distance", "avg_distance_miles"),
+        mean("duration", "avg_duration_minutes"),
+        mean("speed", "avg_speed_mph"),
+        total("fare", "total_fare_amount"),
+        total("tip", "total_tip_amount"),
+        total("total", "total_revenue"),
+        mean("fare", "avg_fare_amount"),
+        mean("tip", "avg_tip_amount"),
+        mean("total", "avg_total_amount"),
+        mean("per_minute", "avg_revenue_per_minute"),
+        mean("tip_ratio", "avg_tip_percentage"),
+        "if_tipped AS trips_with_tips",
+        "if_high_tip AS high_tip_trips",
+        "if_card AS credit_card_trips",
+        "if_cash AS cash_trips",
+        "if_standard_rate AS standard_rate_trips",
+        "if_jfk AS jfk_trips",
+        "if_airport AS airport_trips",
+        "if_short AS short_distance_trips",
+        "if_medium AS medium_distance_trips",
+        "if_long AS long_distance_trips",
     )
 
 
 def hourly_pattern(parts: DataFrame, dim_time: DataFrame, dim_date: DataFrame) -> DataFrame:
     hours = roll_up(parts, [DAY, HOUR])
     starred = hours.join(dim_time, HOUR).join(dim_date.select(DAY, "is_weekend"), DAY)
-    return starred.select(
-        F.col(DAY).alias("trip_date"),
-        F.col(HOUR).alias("trip_hour"),
+    return starred.selectExpr(
+        f"{DAY} AS trip_date",
+        f"{HOUR} AS trip_hour",
         "time_of_day",
         "is_rush_hour",
         "is_weekend",
-        F.col("trips").alias("total_trips"),
-        mean("passengers").alias("avg_passengers_per_trip"),
-        mean("distance").alias("avg_distance_miles"),
-        mean("duration").alias("avg_duration_minutes"),
-        mean("speed").alias("avg_speed_mph"),
-        total("total").alias("total_revenue"),
-        mean("fare").alias("avg_fare_amount"),
-        mean("tip").alias("avg_tip_amount"),
-        mean("tip_ratio").alias("avg_tip_percentage"),
-        mean("per_minute").alias("avg_revenue_per_minute"),
-        mean("fare_per_mile").alias("avg_fare_per_mile"),
-        count_where("short").alias("short_distance_trips"),
-        count_where("medium").alias("medium_distance_trips"),
-        count_where("airport").alias("airport_trips"),
+        "trips AS total_trips",
+        mean("passengers", "avg_passengers_per_trip"),
+        mean("distance", "avg_distance_miles"),
+        mean("duration", "avg_duration_minutes"),
+        mean("speed", "avg_speed_mph"),
+        total("total", "total_revenue"),
+        mean("fare", "avg_fare_amount"),
+        mean("tip", "avg_tip_amount"),
+        mean("tip_ratio", "avg_tip_percentage"),
+        mean("per_minute", "avg_revenue_per_minute"),
+        mean("fare_per_mile", "avg_fare_per_mile"),
+        "if_short AS short_distance_trips",
+        "if_medium AS medium_distance_trips",
+        "if_airport AS airport_trips",
     )
 
 
 def vendor_performance(parts: DataFrame, dim_vendor: DataFrame) -> DataFrame:
     vendors = roll_up(parts, [DAY, VENDOR]).join(dim_vendor, VENDOR)
-    return vendors.select(
-        F.col(DAY).alias("trip_date"),
+    return vendors.selectExpr(
+        f"{DAY} AS trip_date",
         VENDOR,
         "vendor_name",
-        F.col("trips").alias("total_trips"),
-        _share_of_day().alias("market_share_pct"),
-        total("passengers").alias("total_passengers"),
-        mean("passengers").alias("avg_passengers_per_trip"),
-        total("distance").alias("total_distance_miles"),
-        mean("distance").alias("avg_distance_miles"),
-        mean("duration").alias("avg_duration_minutes"),
-        mean("speed").alias("avg_speed_mph"),
-        total("total").alias("total_revenue"),
-        mean("fare").alias("avg_fare_amount"),
-        mean("total").alias("avg_total_amount"),
-        mean("fare_per_mile").alias("avg_fare_per_mile"),
-        mean("per_minute").alias("avg_revenue_per_minute"),
-        total("tip").alias("total_tips"),
-        mean("tip").alias("avg_tip_amount"),
-        mean("tip_ratio").alias("avg_tip_percentage"),
-        count_where("high_tip").alias("high_tip_trips"),
-        percent(count_where("card"), F.col("trips")).alias("credit_card_pct"),
-        percent(count_where("cash"), F.col("trips")).alias("cash_pct"),
-        count_where("airport").alias("airport_trips"),
-        count_where("short").alias("short_distance_trips"),
-        count_where("medium").alias("medium_distance_trips"),
-        count_where("long").alias("long_distance_trips"),
+        "trips AS total_trips",
+        _share_of_day("market_share_pct"),
+        total("passengers", "total_passengers"),
+        mean("passengers", "avg_passengers_per_trip"),
+        total("distance", "total_distance_miles"),
+        mean("distance", "avg_distance_miles"),
+        mean("duration", "avg_duration_minutes"),
+        mean("speed", "avg_speed_mph"),
+        total("total", "total_revenue"),
+        mean("fare", "avg_fare_amount"),
+        mean("total", "avg_total_amount"),
+        mean("fare_per_mile", "avg_fare_per_mile"),
+        mean("per_minute", "avg_revenue_per_minute"),
+        total("tip", "total_tips"),
+        mean("tip", "avg_tip_amount"),
+        mean("tip_ratio", "avg_tip_percentage"),
+        "if_high_tip AS high_tip_trips",
+        percent("if_card", "trips", "credit_card_pct"),
+        percent("if_cash", "trips", "cash_pct"),
+        "if_airport AS airport_trips",
+        "if_short AS short_distance_trips",
+        "if_medium AS medium_distance_trips",
+        "if_long AS long_distance_trips",
     )
 
 
 def payment_method(parts: DataFrame, dim_payment_type: DataFrame) -> DataFrame:
     payments = roll_up(parts, [DAY, PAYMENT]).join(dim_payment_type, PAYMENT)
-    return payments.select(
-        F.col(DAY).alias("trip_date"),
+    return payments.selectExpr(
+        f"{DAY} AS trip_date",
         PAYMENT,
         "payment_type_name",
-        F.col("trips").alias("total_trips"),
-        _share_of_day().alias("payment_method_share_pct"),
-        mean("passengers").alias("avg_passengers_per_trip"),
-        mean("distance").alias("avg_distance_miles"),
-        mean("duration").alias("avg_duration_minutes"),
-        total("total").alias("total_revenue"),
-        mean("fare").alias("avg_fare_amount"),
-        mean("total").alias("avg_total_amount"),
-        mean("per_minute").alias("avg_revenue_per_minute"),
-        total("tip").alias("total_tips"),
-        mean("tip").alias("avg_tip_amount"),
-        mean("tip_ratio").alias("avg_tip_percentage"),
-        count_where("tipped").alias("trips_with_tips"),
-        percent(count_where("tipped"), F.col("trips")).alias("tip_rate_pct"),
-        count_where("high_tip").alias("high_tip_trips"),
-        mean("extra").alias("avg_extra_charges"),
-        mean("tolls").alias("avg_tolls"),
-        count_where("short").alias("short_distance_trips"),
-        count_where("medium").alias("medium_distance_trips"),
-        count_where("long").alias("long_distance_trips"),
-        count_where("airport").alias("airport_trips"),
+        "trips AS total_trips",
+        _share_of_day("payment_method_share_pct"),
+        mean("passengers", "avg_passengers_per_trip"),
+        mean("distance", "avg_distance_miles"),
+        mean("duration", "avg_duration_minutes"),
+        total("total", "total_revenue"),
+        mean("fare", "avg_fare_amount"),
+        mean("total", "avg_total_amount"),
+        mean("per_minute", "avg_revenue_per_minute"),
+        total("tip", "total_tips"),
+        mean("tip", "avg_tip_amount"),
+        mean("tip_ratio", "avg_tip_percentage"),
+        "if_tipped AS trips_with_tips",
+        percent("if_tipped", "trips", "tip_rate_pct"),
+        "if_high_tip AS high_tip_trips",
+        mean("extra", "avg_extra_charges"),
+        mean("tolls", "avg_tolls"),
+        "if_short AS short_distance_trips",
+        "if_medium AS medium_distance_trips",
+        "if_long AS long_distance_trips",
+        "if_airport AS airport_trips",
     )
 
 
 def distance_cohort(parts: DataFrame) -> DataFrame:
     cohorts = roll_up(parts, [DAY, BAND])
-    return cohorts.select(
-        F.col(DAY).alias("trip_date"),
+    return cohorts.selectExpr(
+        f"{DAY} AS trip_date",
         BAND,
-        F.col("trips").alias("total_trips"),
-        _share_of_day().alias("trip_share_pct"),
-        total("passengers").alias("total_passengers"),
-        mean("passengers").alias("avg_passengers_per_trip"),
-        total("distance").alias("total_distance_miles"),
-        mean("distance").alias("avg_distance_miles"),
-        F.col("min_distance").alias("min_distance_miles"),
-        F.col("max_distance").alias("max_distance_miles"),
-        mean("duration").alias("avg_duration_minutes"),
-        mean("speed").alias("avg_speed_mph"),
-        total("total").alias("total_revenue"),
-        mean("fare").alias("avg_fare_amount"),
-        mean("total").alias("avg_total_amount"),
-        mean("fare_per_mile").alias("avg_fare_per_mile"),
-        mean("per_minute").alias("avg_revenue_per_minute"),
-        mean("tip").alias("avg_tip_amount"),
-        mean("tip_ratio").alias("avg_tip_percentage"),
-        count_where("high_tip").alias("high_tip_trips"),
-        count_where("rush_hour").alias("rush_hour_trips"),
-        count_where("weekend").alias("weekend_trips"),
-        count_where("card").alias("credit_card_trips"),
-        count_where("cash").alias("cash_trips"),
-        count_where("airport").alias("airport_trips"),
+        "trips AS total_trips",
+        _share_of_day("trip_share_pct"),
+        total("passengers", "total_passengers"),
+        mean("passengers", "avg_passengers_per_trip"),
+        total("distance", "total_distance_miles"),
+        mean("distance", "avg_distance_miles"),
+        "min_distance AS min_distance_miles",
+        "max_distance AS max_distance_miles",
+        mean("duration", "avg_duration_minutes"),
+        mean("speed", "avg_speed_mph"),
+        total("total", "total_revenue"),
+        mean("fare", "avg_fare_amount"),
+        mean("total", "avg_total_amount"),
+        mean("fare_per_mile", "avg_fare_per_mile"),
+        mean("per_minute", "avg_revenue_per_minute"),
+        mean("tip", "avg_tip_amount"),
+        mean("tip_ratio", "avg_tip_percentage"),
+        "if_high_tip AS high_tip_trips",
+        "if_rush_hour AS rush_hour_trips",
+        "if_weekend AS weekend_trips",
+        "if_card AS credit_card_trips",
+        "if_cash AS cash_trips",
+        "if_airport AS airport_trips",
     )

@@ -7,7 +7,6 @@ from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cabmill import schemas as S
 from cabmill.functions import expressions as X
@@ -19,7 +18,7 @@ DROPOFF = "tpep_dropoff_datetime"
 def base_trip(*raw: DataFrame, start: date, end: date, mode: str = "half_open") -> DataFrame:
     """All raw tables as one, restricted to the interval; duplicates are kept."""
     trips = reduce(DataFrame.unionByName, (r.select(*S.RAW_COLUMNS) for r in raw))
-    return trips.where(X.time_window(F.col(PICKUP), start, end, mode))
+    return trips.where(X.time_window(PICKUP, start, end, mode))
 
 
 def cleaned_trip(base: DataFrame) -> DataFrame:
@@ -27,33 +26,29 @@ def cleaned_trip(base: DataFrame) -> DataFrame:
 
 
 def enriched_trip(cleaned: DataFrame) -> DataFrame:
-    pickup, dropoff = F.col(PICKUP), F.col(DROPOFF)
-    distance, fare = F.col("trip_distance"), F.col("fare_amount")
-    seconds, hour = F.col("_seconds"), F.col("pickup_hour")
-    minutes = seconds / 60
     # The duration and the hour are computed once and referred to by name after that.
-    timed = cleaned.select(
+    timed = cleaned.selectExpr(
         *S.RAW_COLUMNS,
-        F.to_date(pickup).alias("pickup_date"),
-        F.hour(pickup).alias("pickup_hour"),
-        X.seconds_between(pickup, dropoff).alias("_seconds"),
+        f"CAST({PICKUP} AS DATE) AS pickup_date",
+        f"hour({PICKUP}) AS pickup_hour",
+        f"{X.seconds_between(PICKUP, DROPOFF)} AS _seconds",
     )
-    return timed.select(
+    return timed.selectExpr(
         *S.RAW_COLUMNS,
         "pickup_date",
         "pickup_hour",
-        minutes.alias("trip_duration_minutes"),
-        X.guarded_ratio(distance, seconds / 3600).alias("avg_speed_mph"),
-        X.guarded_ratio(fare, distance).alias("fare_per_mile"),
-        X.guarded_ratio(F.col("tip_amount"), fare).alias("tip_percentage"),
-        X.guarded_ratio(F.col("total_amount"), minutes).alias("revenue_per_minute"),
-        X.banded(distance, S.DISTANCE_BANDS).alias("distance_category"),
-        X.banded(minutes, S.DURATION_BANDS).alias("duration_category"),
-        X.day_part(hour).alias("time_of_day"),
-        X.is_rush_hour(hour).alias("is_rush_hour"),
-        X.is_weekend(pickup).alias("is_weekend"),
-        X.is_airport_rate(F.col("ratecodeid")).alias("is_airport_trip"),
-        X.is_high_tip(F.col("payment_type"), F.col("tip_amount"), fare).alias("is_high_tip"),
+        "_seconds / 60 AS trip_duration_minutes",
+        f"{X.guarded_ratio('trip_distance', '_seconds / 3600')} AS avg_speed_mph",
+        f"{X.guarded_ratio('fare_amount', 'trip_distance')} AS fare_per_mile",
+        f"{X.guarded_ratio('tip_amount', 'fare_amount')} AS tip_percentage",
+        f"{X.guarded_ratio('total_amount', '_seconds / 60')} AS revenue_per_minute",
+        f"{X.banded('trip_distance', S.DISTANCE_BANDS)} AS distance_category",
+        f"{X.banded('_seconds / 60', S.DURATION_BANDS)} AS duration_category",
+        f"{X.day_part('pickup_hour')} AS time_of_day",
+        f"{X.is_rush_hour('pickup_hour')} AS is_rush_hour",
+        f"{X.is_weekend('pickup_date')} AS is_weekend",
+        f"{X.is_airport_rate('ratecodeid')} AS is_airport_trip",
+        f"{X.is_high_tip('payment_type', 'tip_amount', 'fare_amount')} AS is_high_tip",
     )
 
 
@@ -73,10 +68,8 @@ def fact_trip(enriched: DataFrame) -> DataFrame:
 
     The day part belongs to the hour dimension, so it leaves; a surrogate key joins.
     """
-    key = X.trip_key(
-        F.col(PICKUP), F.col("vendorid"), F.col("pickup_latitude"), F.col("pickup_longitude")
-    )
+    key = X.trip_key(PICKUP, "vendorid", "pickup_latitude", "pickup_longitude")
     kept = [c for c in enriched.columns if c != "time_of_day"]
-    return enriched.select(
-        key.alias("trip_key"), *(F.col(c).alias(_KEY_NAMES.get(c, c)) for c in kept)
+    return enriched.selectExpr(
+        f"{key} AS trip_key", *(f"{c} AS {_KEY_NAMES.get(c, c)}" for c in kept)
     )

@@ -6,69 +6,59 @@ integer arithmetic; every amount is a whole number of hundredths divided by 100.
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The second raw table takes over at this pickup date.
 SECOND_TABLE_FROM = datetime(1998, 6, 1)
 
 
-def _pick(condition: Column, yes, no) -> Column:
-    return F.when(condition, yes).otherwise(no)
-
-
-def _hundredths(value) -> Column:
-    return value / F.lit(100)
+# Integer components of a trip, named for substitution into the columns below.
+_TRIP = {
+    "sod": "(l_orderkey * 7919 + l_partkey * 104729 + l_suppkey * 31) % 86400",
+    "dur": "((l_partkey * 37 + l_orderkey) % 5400 - 120)",
+    "dist": "(l_partkey * 53 + l_orderkey * 17) % 2500 + if(l_suppkey % 41 = 0, 10000, 0)",
+    "lon": "(l_partkey % 120 - 7460)",
+    "lat": "(l_orderkey % 60 + 4045)",
+    "pay": "if(l_orderkey % 53 = 0, NULL, CAST(l_linenumber AS BIGINT))",
+    "fare": "((l_partkey * 131 + l_orderkey * 29 + l_suppkey * 7) % 6000 - 100"
+    " + if(l_suppkey % 43 = 0, 50000, 0))",
+    "extra": "(l_linenumber % 3 * 50)",
+    "tip": "if({pay} = 1, l_orderkey * 13 % 1500, 0)",
+    "tolls": "if(l_partkey % 11 = 0, 554, 0)",
+}
 
 
 def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
-    order, part, supplier = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
-    line = F.col("l_linenumber").cast("bigint")
-    null = F.lit(None)
-
-    payment_type = _pick(order % 53 == 0, null, line)
-    second_of_day = (order * 7919 + part * 104729 + supplier * 31) % 86400
-    duration = (part * 37 + order) % 5400 - 120
-    distance = (part * 53 + order * 17) % 2500 + _pick(supplier % 41 == 0, 10000, 0)
-    longitude = part % 120 - 7460
-    latitude = order % 60 + 4045
-    fare = (part * 131 + order * 29 + supplier * 7) % 6000 - 100
-    fare = fare + _pick(supplier % 43 == 0, 50000, 0)
-    extra = line % 3 * 50
-    tip = _pick(payment_type == 1, order * 13 % 1500, F.lit(0).cast("bigint"))
-    tolls = _pick(part % 11 == 0, 554, 0)
-
-    parts = lineitem.select(
-        _pick(supplier % 50 == 0, null, supplier % 3 + 1).alias("vendorid"),
-        _after("l_shipdate", second_of_day).alias("tpep_pickup_datetime"),
-        _pick(part % 97 == 0, null, _after("l_shipdate", second_of_day + duration)).alias(
-            "tpep_dropoff_datetime"
-        ),
-        ((order + line) % 8).alias("passenger_count"),
-        _hundredths(distance).alias("trip_distance"),
-        _hundredths(longitude).alias("pickup_longitude"),
-        _hundredths(latitude).alias("pickup_latitude"),
-        F.when(supplier % 20 == 7, 99)
-        .when(order % 61 == 0, null)
-        .otherwise(part % 6 + 1)
-        .alias("ratecodeid"),
-        _pick(F.col("l_returnflag") == "R", "Y", "N").alias("store_and_fwd_flag"),
-        _hundredths(longitude + 3).alias("dropoff_longitude"),
-        _hundredths(latitude + 2).alias("dropoff_latitude"),
-        payment_type.alias("payment_type"),
-        _hundredths(fare).alias("fare_amount"),
-        _hundredths(extra).alias("extra"),
-        F.lit(0.5).alias("mta_tax"),
-        _hundredths(tip).alias("tip_amount"),
-        _hundredths(tolls).alias("tolls_amount"),
-        _pick(order % 1009 == 0, null, 0.3).alias("improvement_surcharge"),
-        _hundredths(fare + extra + 50 + tip + tolls + 30).alias("total_amount"),
-    )
-    return parts
-
-
-def _after(start: str, seconds: Column) -> Column:
-    return F.timestamp_add("SECOND", seconds.cast("int"), F.col(start))
+    part = _TRIP | {"tip": _TRIP["tip"].format(**_TRIP)}
+    columns = {
+        "vendorid": "if(l_suppkey % 50 = 0, NULL, l_suppkey % 3 + 1)",
+        "tpep_pickup_datetime": "timestampadd(SECOND, {sod}, l_shipdate)",
+        "tpep_dropoff_datetime": "if(l_partkey % 97 = 0, NULL,"
+        " timestampadd(SECOND, {sod} + {dur}, l_shipdate))",
+        "passenger_count": "(l_orderkey + l_linenumber) % 8",
+        "trip_distance": "({dist}) / 100",
+        "pickup_longitude": "{lon} / 100",
+        "pickup_latitude": "{lat} / 100",
+        "ratecodeid": "CASE WHEN l_suppkey % 20 = 7 THEN 99 WHEN l_orderkey % 61 = 0 THEN NULL"
+        " ELSE l_partkey % 6 + 1 END",
+        # The flag is read twice on purpose: Spark compiles the filter and the projection as
+        # two methods only if the projection reads every column more than once, and as one
+        # method they are too long for the JIT compiler (five times slower).
+        "store_and_fwd_flag": "CASE WHEN l_returnflag = 'R' THEN 'Y'"
+        " WHEN l_returnflag IS NULL THEN 'N' ELSE 'N' END",
+        "dropoff_longitude": "({lon} + 3) / 100",
+        "dropoff_latitude": "({lat} + 2) / 100",
+        "payment_type": "{pay}",
+        "fare_amount": "{fare} / 100",
+        "extra": "{extra} / 100",
+        "mta_tax": "50 / 100",
+        "tip_amount": "{tip} / 100",
+        "tolls_amount": "{tolls} / 100",
+        "improvement_surcharge": "if(l_orderkey % 1009 = 0, NULL, 30 / 100)",
+        "total_amount": "({fare} + {extra} + 50 + {tip} + {tolls} + 30) / 100",
+    }
+    return lineitem.selectExpr(*(f"{e.format(**part)} AS {c}" for c, e in columns.items()))
 
 
 def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
