@@ -52,7 +52,12 @@ def is_valid_trip() -> str:
 
 
 def seconds_between(start: str, end: str) -> str:
-    return f"timestampdiff(MICROSECOND, {start}, {end}) / 1e6D"
+    """Elapsed seconds of two zone-free timestamps, to the microsecond.
+
+    The difference of the two is an interval. It does not pass through the session time zone,
+    as `timestampdiff` does, so a daylight-saving gap cannot bend it.
+    """
+    return f"CAST(CAST(CAST({end} - {start} AS INTERVAL SECOND) AS DECIMAL(18, 6)) AS DOUBLE)"
 
 
 def guarded_ratio(numerator: str, denominator: str) -> str:

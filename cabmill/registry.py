@@ -1,13 +1,19 @@
 """Registered queries: name -> (spark, sf_dir) -> DataFrame, over the whole given tables."""
 
+import uuid
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabmill.operators import dimensions, marts, trips
+from cabmill.operators import dimensions, explore, marts, quality, trips
+from cabmill.plans import daily_run
+from cabmill.schemas import RAW_COLUMNS, RAW_TRIP
+from cabmill.sinks.store import Store
+from cabmill.sources import csv_ingest, tables
 from cabmill.sources.derived_trips import raw_trip_tables, raw_trips
-from cabmill.sources.shared import written
+from cabmill.sources.shared import shared_dir, written
 
 # A backfill interval that covers every trip of the given tables.
 HISTORY = (date(1992, 1, 1), date(2005, 12, 31))
@@ -101,6 +107,234 @@ def distance_cohort(spark, sf_dir):
     return _rounded(marts.distance_cohort(parts))
 
 
+# -- sinks -------------------------------------------------------------------------------------
+
+
+def _store(spark: SparkSession) -> Store:
+    """A new store of its own, with tables below the shared folder."""
+    tail = uuid.uuid4().hex[:12]
+    return Store(
+        spark, shared_dir(spark, "store"), env=f"q{tail}", namespace=f"cabmill_{tail}"
+    ).create()
+
+
+# The re-run interval starts and ends inside a month.
+RERUN = (date(1998, 3, 10), date(1999, 2, 20))
+EARLY_END = date(1997, 12, 31)
+
+
+def time_range_replace(spark, sf_dir):
+    """Load the history, then re-run an interval with fewer trips; some days become empty."""
+    store, base = _store(spark), _base(spark, sf_dir)
+    store.replace_interval(daily_run.BASE, base, trips.PICKUP, *HISTORY, grain="month")
+    again = trips.cleaned_trip(base).where("payment_type = 1")
+    store.replace_interval(daily_run.BASE, again, trips.PICKUP, *RERUN, grain="month")
+    return store.read(daily_run.BASE)
+
+
+def full_refresh(spark, sf_dir):
+    """Build the date dimension from the early trips, then rebuild it from all trips."""
+    store, enriched = _store(spark), _enriched(spark, sf_dir)
+    early = enriched.where(F.col("pickup_date") <= EARLY_END)
+    store.refresh("mart.dim_date", dimensions.dim_date(early))
+    store.refresh("mart.dim_date", dimensions.dim_date(enriched))
+    return store.read("mart.dim_date")
+
+
+def upsert_by_key(spark, sf_dir):
+    """Late events first, early events as the second batch: the later batch wins per key."""
+    store = _store(spark)
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
+        "user_id AS id", "event_type AS name", "ts AS created_at"
+    )
+    late = F.col("created_at") >= F.lit("2024-01-16").cast("timestamp_ntz")
+    for batch in (events.where(late), events.where(~late)):
+        store.upsert("staging.hello", batch, key=["id"], order_by=["created_at"])
+    return store.read("staging.hello")
+
+
+def publish_env(spark, sf_dir):
+    """Two environments over one store: each keeps the version that was published to it."""
+    first, enriched = _store(spark), _enriched(spark, sf_dir)
+    second = Store(spark, first.location, f"{first.env}_b", first.namespace)
+    early = enriched.where(F.col("pickup_date") <= EARLY_END)
+    first.refresh("mart.dim_date", dimensions.dim_date(early))
+    second.refresh("mart.dim_date", dimensions.dim_date(enriched))
+    seen = [
+        store.read("mart.dim_date").select(F.lit(label).alias("environment"), "date_key")
+        for label, store in (("first", first), ("second", second))
+    ]
+    return seen[0].unionByName(seen[1])
+
+
+def daily_run_counts(spark, sf_dir):
+    """The whole flow in two intervals; rows of every published model."""
+    store = _store(spark)
+    raw = raw_trip_tables(spark, sf_dir)
+    middle = date(1998, 5, 20)
+    daily_run.run(store, raw, HISTORY[0], middle, trip_grain="month")
+    daily_run.run(store, raw, date(1998, 5, 21), HISTORY[1], trip_grain="month")
+    return reduce(
+        DataFrame.unionByName,
+        (
+            explore.count_rows(store.read(m)).select(F.lit(m).alias("model"), "row_count")
+            for m in daily_run.MODELS
+        ),
+    )
+
+
+# -- contracts ---------------------------------------------------------------------------------
+
+
+def schema_contract(spark, sf_dir):
+    """The raw trips with a lost, a changed and an undeclared column."""
+    drifted = (
+        raw_trips(spark, sf_dir)
+        .drop("mta_tax")
+        .withColumn("passenger_count", F.col("passenger_count").cast("int"))
+        .withColumn("congestion_surcharge", F.col("improvement_surcharge"))
+    )
+    return quality.contract_report(drifted, RAW_TRIP)
+
+
+def fk_audit(spark, sf_dir):
+    """All trips against dimensions that were last built at EARLY_END."""
+    keys = written(
+        _enriched(spark, sf_dir).select(
+            "pickup_date", "pickup_hour", "vendorid", "payment_type", "ratecodeid"
+        ),
+        "star-keys",
+    )
+    early = keys.where(F.col("pickup_date") <= EARLY_END)
+    dims = {name.split(".")[1]: build(early) for name, build in daily_run.DIMENSIONS.items()}
+    fact = keys.selectExpr(
+        "pickup_date AS date_key",
+        "pickup_hour AS time_key",
+        "vendorid AS vendor_key",
+        "payment_type AS payment_type_key",
+        "ratecodeid AS rate_code_key",
+    )
+    return quality.star_key_audit(fact, dims)
+
+
+def trip_key_duplicates(spark, sf_dir):
+    return quality.trip_key_duplicates(_fact(spark, sf_dir))
+
+
+# -- exploration -------------------------------------------------------------------------------
+
+
+def count_trips(spark, sf_dir):
+    return explore.count_rows(base_trip(spark, sf_dir))
+
+
+def avg_passengers(spark, sf_dir):
+    return explore.average_of(base_trip(spark, sf_dir), "passenger_count", "avg_passenger_count")
+
+
+def trips_per_day(spark, sf_dir):
+    return explore.rows_per_day(_base(spark, sf_dir), trips.PICKUP)
+
+
+def head_trips(spark, sf_dir):
+    order = [trips.PICKUP, *(c for c in RAW_COLUMNS if c != trips.PICKUP)]
+    return explore.head(_base(spark, sf_dir), order, 10)
+
+
+def table_profile(spark, sf_dir):
+    profiled = explore.profile(raw_trips(spark, sf_dir))
+    return profiled.withColumns({"mean": F.round("mean", 8), "std": F.round("std", 6)})
+
+
+def group_size_window(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "event_type")
+    return explore.with_group_size(events, ["event_type"], "name_count")
+
+
+def global_row_number(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "event_type", "ts")
+    return explore.with_row_number(events, ["ts", "event_id"], "row_num")
+
+
+def schema_rows(spark, sf_dir):
+    return tables.schema_rows(raw_trips(spark, sf_dir))
+
+
+_GIVEN_TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
+
+
+def catalog_tables(spark, sf_dir):
+    """Register the given files as tables of a namespace, list them and count their rows."""
+    namespace = f"cabmill_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {namespace} LOCATION '{shared_dir(spark, 'catalog')}'")
+    for name in _GIVEN_TABLES:
+        path = f"{sf_dir}/{name}.parquet"
+        spark.sql(f"CREATE TABLE {namespace}.{name} USING parquet OPTIONS (path '{path}')")
+    counts = (
+        explore.count_rows(spark.table(f"{namespace}.{name}")).select(
+            F.lit(name).alias("table_name"), "row_count"
+        )
+        for name in _GIVEN_TABLES
+    )
+    listed = tables.tables_in(spark, namespace).select("table_name")
+    return listed.join(reduce(DataFrame.unionByName, counts), "table_name")
+
+
+# -- ingest and backends -----------------------------------------------------------------------
+
+
+def csv_ingest_report(spark, sf_dir):
+    """Write both raw tables as CSV, some lines unreadable, ingest them and compare."""
+    reports = []
+    for name, raw in zip(("trips_1", "trips_2"), raw_trip_tables(spark, sf_dir), strict=True):
+        source, target = shared_dir(spark, f"{name}-csv"), shared_dir(spark, name)
+        bad = F.col("improvement_surcharge").isNull()
+        dropoff = F.col(trips.DROPOFF).cast("string")
+        texts = [
+            F.when(bad, "unreadable").otherwise(dropoff).alias(c)
+            if c == trips.DROPOFF
+            else F.col(c).cast("string").alias(c)
+            for c in RAW_COLUMNS
+        ]
+        raw.select(*texts).write.option("header", True).csv(source)
+        report = csv_ingest.ingest_csv(spark, source, target)
+        accepted = csv_ingest.accepted_rows(spark, target)
+        differing = quality.table_difference(accepted, raw.where(~bad))
+        reports.append(
+            report.agg(
+                F.sum("row_count").alias("row_count"), F.sum("corrupt_rows").alias("corrupt_rows")
+            )
+            .join(explore.count_rows(accepted).withColumnRenamed("row_count", "accepted_rows"))
+            .join(explore.count_rows(differing).withColumnRenamed("row_count", "differing_rows"))
+            .select(F.lit(name).alias("table_name"), "*")
+        )
+    return reports[0].unionByName(reports[1])
+
+
+def source_parity(spark, sf_dir):
+    """The base trips from two storage formats give the same answers and the same rows."""
+    base = base_trip(spark, sf_dir)
+    backends = {}
+    for file_format in ("parquet", "orc"):
+        path = shared_dir(spark, f"parity-{file_format}")
+        base.write.format(file_format).save(path)
+        backends[file_format] = tables.scan(spark, path, file_format)
+    differing = explore.count_rows(quality.table_difference(*backends.values()))
+    answers = (
+        rows.agg(
+            F.count(F.lit(1)).alias("row_count"),
+            F.avg("passenger_count").alias("avg_passenger_count"),
+        ).select(F.lit(name).alias("backend"), "*")
+        for name, rows in backends.items()
+    )
+    return reduce(DataFrame.unionByName, answers).join(
+        differing.withColumnRenamed("row_count", "differing_rows")
+    )
+
+
 QUERIES = {
     "base_trip": base_trip,
     "base_trip_interval": base_trip_interval,
@@ -118,4 +352,23 @@ QUERIES = {
     "vendor_performance": vendor_performance,
     "payment_method": payment_method,
     "distance_cohort": distance_cohort,
+    "time_range_replace": time_range_replace,
+    "full_refresh": full_refresh,
+    "upsert_by_key": upsert_by_key,
+    "publish_env": publish_env,
+    "daily_run": daily_run_counts,
+    "schema_contract": schema_contract,
+    "fk_audit": fk_audit,
+    "trip_key_duplicates": trip_key_duplicates,
+    "count_trips": count_trips,
+    "avg_passengers": avg_passengers,
+    "trips_per_day": trips_per_day,
+    "head_trips": head_trips,
+    "table_profile": table_profile,
+    "group_size_window": group_size_window,
+    "global_row_number": global_row_number,
+    "schema_rows": schema_rows,
+    "catalog_tables": catalog_tables,
+    "csv_ingest_report": csv_ingest_report,
+    "source_parity": source_parity,
 }

@@ -16,6 +16,122 @@ _LITERAL = """ base AS (
   SELECT * FROM raw
   WHERE tpep_pickup_datetime BETWEEN DATE '1997-01-01' AND DATE '1999-12-31')"""
 
+_RERUN = "CAST(tpep_pickup_datetime AS DATE) BETWEEN DATE '1998-03-10' AND DATE '1999-02-20'"
+_EARLY = "<= DATE '1997-12-31'"
+
+# Raw columns in contract order: name -> type.
+_COLUMNS = {
+    "vendorid": "bigint", "tpep_pickup_datetime": "timestamp_ntz",
+    "tpep_dropoff_datetime": "timestamp_ntz", "passenger_count": "bigint",
+    "trip_distance": "double", "pickup_longitude": "double", "pickup_latitude": "double",
+    "ratecodeid": "bigint", "store_and_fwd_flag": "string", "dropoff_longitude": "double",
+    "dropoff_latitude": "double", "payment_type": "bigint", "fare_amount": "double",
+    "extra": "double", "mta_tax": "double", "tip_amount": "double", "tolls_amount": "double",
+    "improvement_surcharge": "double", "total_amount": "double",
+}
+
+
+def _union(selects):
+    return "\nUNION ALL ".join(selects)
+
+
+def _contract_line(name, expected, actual, status, counted):
+    values = f"count({counted})" if counted else "0::BIGINT"
+    return (
+        f"SELECT '{name}' AS column_name, '{expected}' AS expected_type,"
+        f" '{actual}' AS actual_type, '{status}' AS status, {values} AS value_count,"
+        f" count(*) - {values} AS null_count FROM raw"
+    )
+
+
+def _contract():
+    lines = []
+    for name, kind in _COLUMNS.items():
+        if name == "mta_tax":
+            lines.append(_contract_line(name, kind, "", "missing", None))
+        elif name == "passenger_count":
+            lines.append(_contract_line(name, kind, "int", "type_mismatch", name))
+        else:
+            lines.append(_contract_line(name, kind, kind, "ok", name))
+    surcharge = "improvement_surcharge"
+    lines.append(_contract_line("congestion_surcharge", "", "double", "extra", surcharge))
+    return _union(lines)
+
+
+def _schema_rows():
+    return _union(
+        f"SELECT {i}::INTEGER AS position, '{name}' AS column_name, '{kind}' AS data_type,"
+        f" count({name}) AS value_count FROM raw"
+        for i, (name, kind) in enumerate(_COLUMNS.items(), 1)
+    )
+
+
+def _audit():
+    names = {
+        "date_key": "pickup_date", "time_key": "pickup_hour", "vendor_key": "vendorid",
+        "payment_type_key": "payment_type", "rate_code_key": "ratecodeid",
+    }
+    return _union(
+        f"SELECT '{key}' AS key, count(*) AS trips, count(*) - count({c}) AS null_keys,"
+        f" count(*) FILTER (WHERE {c} NOT IN (SELECT {c} FROM enriched"
+        f" WHERE pickup_date {_EARLY} AND {c} IS NOT NULL)) AS orphan_keys FROM enriched"
+        for key, c in names.items()
+    )
+
+
+def _profile():
+    points = {"min": None, "q25": 0.25, "q50": 0.5, "q75": 0.75, "max": None}
+
+    def point(name, column):
+        share = points[name]
+        return f"quantile_disc({column}, {share})" if share else f"{name}({column})"
+
+    lines = []
+    for name, kind in _COLUMNS.items():
+        number = kind in ("bigint", "double")
+        time = kind == "timestamp_ntz"
+        text = kind == "string"
+        items = [
+            f"'{name}' AS column_name",
+            f"count({name}) AS count",
+            f"count(*) - count({name}) AS null_count",
+            (f"round(avg({name}), 8)" if number else "NULL::DOUBLE") + " AS mean",
+            (f"round(stddev_samp({name}), 6)" if number else "NULL::DOUBLE") + " AS std",
+        ]
+        for p in points:
+            value = f"CAST({point(p, name)} AS DOUBLE)" if number else "NULL::DOUBLE"
+            items.append(f"{value} AS {p}")
+        mean = f"make_timestamp(CAST(sum(epoch_us({name})) // count({name}) AS BIGINT))"
+        items.append((mean if time else "NULL::TIMESTAMP") + " AS mean_ts")
+        for p in points:
+            items.append((point(p, name) if time else "NULL::TIMESTAMP") + f" AS {p}_ts")
+        for p in ("min", "max"):
+            items.append((point(p, name) if text else "NULL::VARCHAR") + f" AS {p}_text")
+        lines.append(f"SELECT {', '.join(items)} FROM raw")
+    return _union(lines)
+
+
+_MODEL_COUNTS = {
+    "intermediate.base_yellow_trip": "SELECT * FROM base",
+    "intermediate.cleaned_yellow_trip": "SELECT * FROM cleaned",
+    "intermediate.enriched_yellow_trip": "SELECT * FROM enriched",
+    "mart.fact_trip": "SELECT * FROM enriched",
+    **{f"mart.{name}": f"SELECT * FROM {name}" for name in DIMENSIONS},
+    "mart.analytics_daily_summary": "SELECT DISTINCT pickup_date FROM enriched",
+    "mart.analytics_hourly_pattern": "SELECT DISTINCT pickup_date, pickup_hour FROM enriched",
+    "mart.analytics_vendor_performance": "SELECT DISTINCT pickup_date, vendorid FROM enriched"
+    " WHERE vendorid IS NOT NULL",
+    "mart.analytics_payment_method": "SELECT DISTINCT pickup_date, payment_type FROM enriched"
+    " WHERE payment_type IS NOT NULL",
+    "mart.analytics_distance_cohort": "SELECT DISTINCT pickup_date, distance_category"
+    " FROM enriched",
+}
+
+_TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
+
 ORACLE = {
     "base_trip": chain(RAW, base(), select="SELECT * FROM base"),
     "base_trip_interval": chain(
@@ -30,4 +146,76 @@ ORACLE = {
         for name, cte in DIMENSIONS.items()
     },
     **{name: mart_sql(name) for name in MARTS},
+    "time_range_replace": chain(
+        RAW,
+        base(),
+        CLEANED,
+        select=f"SELECT * FROM base WHERE NOT ({_RERUN})"
+        f" UNION ALL SELECT * FROM cleaned WHERE {_RERUN} AND payment_type = 1",
+    ),
+    "full_refresh": through_enriched(DIMENSIONS["dim_date"], select="SELECT * FROM dim_date"),
+    "upsert_by_key": """
+SELECT user_id AS id, arg_max(event_type, (early, ts, event_type)) AS name,
+ max_by(ts, (early, ts)) AS created_at
+FROM (SELECT *, ts < TIMESTAMP '2024-01-16 00:00:00' AS early FROM events) e GROUP BY user_id""",
+    "publish_env": through_enriched(
+        select="SELECT DISTINCT 'first' AS environment, pickup_date AS date_key FROM enriched"
+        f" WHERE pickup_date {_EARLY}"
+        " UNION ALL SELECT DISTINCT 'second', pickup_date FROM enriched"
+    ),
+    "daily_run": through_enriched(
+        *DIMENSIONS.values(),
+        select=_union(
+            f"SELECT '{model}' AS model, count(*) AS row_count FROM ({rows}) t"
+            for model, rows in _MODEL_COUNTS.items()
+        ),
+    ),
+    "schema_contract": chain(RAW, select=_contract()),
+    "fk_audit": through_enriched(select=_audit()),
+    "trip_key_duplicates": through_enriched(
+        FACT,
+        select="SELECT count(*) AS trips, count(DISTINCT trip_key) AS distinct_keys,"
+        " count(*) - count(DISTINCT trip_key) AS duplicate_trips FROM fact",
+    ),
+    "count_trips": chain(RAW, base(), select="SELECT count(*) AS row_count FROM base"),
+    "avg_passengers": chain(
+        RAW, base(), select="SELECT avg(passenger_count) AS avg_passenger_count FROM base"
+    ),
+    "trips_per_day": chain(
+        RAW,
+        base(),
+        select="SELECT CAST(date_trunc('day', tpep_pickup_datetime) AS TIMESTAMP) AS day,"
+        " count(*) AS row_count FROM base GROUP BY 1",
+    ),
+    "head_trips": chain(
+        RAW,
+        base(),
+        select="SELECT * FROM base ORDER BY tpep_pickup_datetime NULLS FIRST, "
+        + ", ".join(f"{c} NULLS FIRST" for c in _COLUMNS if c != "tpep_pickup_datetime")
+        + " LIMIT 10",
+    ),
+    "table_profile": chain(RAW, select=_profile()),
+    "group_size_window": "SELECT event_id, event_type,"
+    " count(*) OVER (PARTITION BY event_type) AS name_count FROM events",
+    "global_row_number": "SELECT event_id, event_type, ts,"
+    " row_number() OVER (ORDER BY ts, event_id) AS row_num FROM events",
+    "schema_rows": chain(RAW, select=_schema_rows()),
+    "catalog_tables": _union(
+        f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _TABLES
+    ),
+    "csv_ingest_report": chain(
+        RAW,
+        select="SELECT if(tpep_pickup_datetime < DATE '1998-06-01', 'trips_1', 'trips_2')"
+        " AS table_name, count(*) AS row_count,"
+        " count(*) FILTER (WHERE improvement_surcharge IS NULL) AS corrupt_rows,"
+        " count(improvement_surcharge) AS accepted_rows, 0::BIGINT AS differing_rows"
+        " FROM raw GROUP BY 1",
+    ),
+    "source_parity": chain(
+        RAW,
+        base(),
+        select="SELECT unnest(['parquet', 'orc']) AS backend, row_count, avg_passenger_count,"
+        " 0::BIGINT AS differing_rows FROM (SELECT count(*) AS row_count,"
+        " avg(passenger_count) AS avg_passenger_count FROM base) t",
+    ),
 }
