@@ -74,7 +74,7 @@ def test_profile(spark):
         values, row = columns[name], got[name]
         assert abs(row.mean - statistics.fmean(values)) <= 1e-9 * max(map(abs, values))
         assert abs(row.std / statistics.stdev(values) - 1) < 1e-9
-        assert (row.min, row.max) == (min(values), max(values))
+        assert (row.min, row.max) == (float(min(values)), float(max(values)))
         for quartile, share in explore.QUARTILES.items():
             assert row[quartile] == float(_discrete(values, share)), (name, quartile)
     times, row = columns["t"], got["t"]
