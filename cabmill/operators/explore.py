@@ -89,6 +89,7 @@ def _exclusive_sums(
 # -- table profile -----------------------------------------------------------------------------
 
 QUARTILES = {"q25": 0.25, "q50": 0.50, "q75": 0.75}
+_POINTS = ["min", *QUARTILES, "max"]
 _EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 
 
@@ -98,15 +99,31 @@ def profile(table: DataFrame, exact: bool = True) -> DataFrame:
     Numbers fill `mean` .. `max`, zone-free timestamps the `*_ts` columns (no deviation), text
     fills `min_text` and `max_text`. Quartiles are discrete: the smallest value that at least
     the given share of the values does not exceed. `exact=False` takes them from
-    `percentile_approx` within the one pass that computes the rest.
+    `percentile_approx`, in one pass without a shuffle of values.
     """
-    families = {f.name: _family(f.dataType) for f in table.schema}
-    columns = [name for name, family in families.items() if family]
-    moments = _moments(table, columns, families, approximate=not exact)
-    quartiles = _exact_quartiles(table, columns, families) if exact else None
-    if quartiles is not None:
-        moments = moments.drop(*QUARTILES).join(quartiles, "column_name", "left")
-    return _presented(moments)
+    families = [(i, f.name, _family(f.dataType)) for i, f in enumerate(table.schema)]
+    numeric = [f for f in families if f[2] in ("whole", "real", "time")]
+    numbers = _exact_numbers(table, numeric) if exact else _approximate_numbers(table, numeric)
+
+    texts = [name for _, name, family in families if family == "text"]
+    counted = table.agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *(F.count(c).alias(f"_n_{c}") for c in texts),
+        *(F.min(c).alias(f"_min_{c}") for c in texts),
+        *(F.max(c).alias(f"_max_{c}") for c in texts),
+    )
+    none = "CAST(NULL AS BIGINT), CAST(NULL AS STRING), CAST(NULL AS STRING)"
+    lines = ", ".join(
+        f"{i}, '{name}', '{family}', _rows, "
+        + (f"_n_{name}, _min_{name}, _max_{name}" if family == "text" else none)
+        for i, name, family in families
+        if family
+    )
+    columns = counted.selectExpr(
+        f"stack({sum(bool(f[2]) for f in families)}, {lines})"
+        " AS (position, column_name, family, _rows, _texts, min_text, max_text)"
+    )
+    return _presented(columns.join(numbers, "position", "left"))
 
 
 def _family(data_type) -> str | None:
@@ -119,8 +136,11 @@ def _family(data_type) -> str | None:
     return "text" if isinstance(data_type, StringType) else None
 
 
-def _whole(column: str, family: str) -> str:
-    """The value as an integer: timestamps as microseconds, without a time zone."""
+# A profiled value keeps its type: whole numbers and times (as microseconds, without a time
+# zone) in `big`, real numbers in `dbl`.
+
+
+def _big(column: str, family: str) -> str:
     if family == "time":
         since = f"CAST({column} AS TIMESTAMP_NTZ) - {_EPOCH}"
         seconds = f"CAST(CAST({since} AS INTERVAL SECOND) AS DECIMAL(18, 6))"
@@ -128,134 +148,125 @@ def _whole(column: str, family: str) -> str:
     return f"CAST({column} AS BIGINT)" if family == "whole" else "CAST(NULL AS BIGINT)"
 
 
-def _real(column: str, family: str) -> str:
+def _dbl(column: str, family: str) -> str:
     return f"CAST({column} AS DOUBLE)" if family == "real" else "CAST(NULL AS DOUBLE)"
 
 
-def _text(column: str, family: str) -> str:
-    return column if family == "text" else "CAST(NULL AS STRING)"
-
-
-# A profiled value keeps its type: whole numbers and times in `big`, others in `dbl` or `txt`.
-_VALUE = "named_struct('big', {0}, 'dbl', {1}, 'txt', {2})"
-
-
-def _value(column: str, family: str) -> str:
-    return _VALUE.format(_whole(column, family), _real(column, family), _text(column, family))
-
-
-def _moments(table, columns, families, approximate) -> DataFrame:
-    """All statistics but the exact quartiles, in one pass with a one-row result."""
-    aggregates, lines = [], []
-    for i, name in enumerate(columns):
-        family = families[name]
-        number = _whole(name, family) if family in ("whole", "time") else _real(name, family)
-        mean, deviation = f"avg({number})", f"stddev_samp({number})"
-        if family == "time":  # microseconds of many rows overflow a BIGINT sum
-            mean = f"CAST(sum(CAST({number} AS DECIMAL(20, 0))) div count({name}) AS DOUBLE)"
-            deviation = "CAST(NULL AS DOUBLE)"
-        statistics = {
-            "n": f"count({name})",
-            "mean": mean,
-            "std": deviation,
-            "min": f"min({name})",
-            "max": f"max({name})",
-        }
-        for quartile, share in QUARTILES.items():
-            if approximate and family != "text":
-                statistics[quartile] = f"percentile_approx({number}, {share}, 10000)"
-        aggregates += [F.expr(f"{e} AS s{i}_{s}") for s, e in statistics.items()]
-        extremes = [_value(f"s{i}_{s}", family) for s in ("min", "max")]
-        between = [
-            _quartile_value(f"s{i}_{q}", family) if approximate else _no_value()
-            for q in QUARTILES
-        ]
-        lines.append(
-            f"'{name}', '{family}', s{i}_n, _rows - s{i}_n, s{i}_mean, s{i}_std, "
-            + ", ".join([*extremes, *between])
-        )
-    counted = table.agg(F.expr("count(1) AS _rows"), *aggregates)
-    names = ["column_name", "family", "count", "null_count", "mean", "std", "min", "max"]
-    return counted.selectExpr(
-        f"stack({len(lines)}, {', '.join(lines)}) AS ({', '.join([*names, *QUARTILES])})"
-    )
-
-
-def _no_value() -> str:
-    return _value("NULL", "none")
+def _exact_numbers(table: DataFrame, fields) -> DataFrame:
+    """Statistics from counted values, with no column's values gathered in one place.
 
-
-def _quartile_value(column: str, family: str) -> str:
-    """`percentile_approx` of a time is in microseconds already."""
-    if family == "text":
-        return _no_value()
-    return _value(column, "whole" if family == "time" else family)
-
-
-def _exact_quartiles(table, columns, families) -> DataFrame:
-    """Quartiles by rank, with no column's values gathered in one place.
-
-    The values of all columns are counted by (column, value), map-side first, and the counts
-    are range-sorted over all tasks and written. Running totals of whole partitions tell in
-    which partition a wanted rank lies; only those few partitions are read row by row.
+    One pass counts the values of all columns by (column, value), map-side first; the counts
+    are range-sorted over all tasks and written, and everything else is read from them. For
+    the quartiles, running totals of whole partitions tell which partition holds a wanted
+    rank, and only those few partitions are read value by value.
     """
-    numeric = [c for c in columns if families[c] != "text"]
-    triples = ", ".join(
-        f"'{c}', {_whole(c, families[c])}, {_real(c, families[c])}" for c in numeric
-    )
-    values = table.selectExpr(f"stack({len(numeric)}, {triples}) AS (column_name, big, dbl)")
-    histogram = (
+    triples = ", ".join(f"{i}, {_big(c, f)}, {_dbl(c, f)}" for i, c, f in fields)
+    values = table.selectExpr(f"stack({len(fields)}, {triples}) AS (position, big, dbl)")
+    counts = (
         values.where("big IS NOT NULL OR dbl IS NOT NULL")
-        .groupBy("column_name", "big", "dbl")
+        .groupBy("position", "big", "dbl")
         .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy("column_name", "big", "dbl")
+        .orderBy("position", "big", "dbl")
         .withColumn("_id", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_id", _LOCAL_BITS))
     )
-    histogram = written(histogram, "profile")
+    counts = written(counts, "profile")
+    moments = _weighted_moments(counts)
+    return moments.join(_ranked_quartiles(counts), "position")
+
+
+def _weighted_moments(counts: DataFrame) -> DataFrame:
+    sums = counts.groupBy("position").agg(
+        F.sum("n").alias("count"),
+        F.expr("sum(CAST(big AS DECIMAL(20, 0)) * n) AS _whole"),
+        F.expr("sum(dbl * n) AS _real"),
+        *(F.expr(f"{p}({v}) AS {p}_{v}") for p in ("min", "max") for v in ("big", "dbl")),
+    )
+    means = sums.selectExpr(
+        "*",
+        "coalesce(_real, CAST(_whole AS DOUBLE)) / count AS mean",
+        "_whole div count AS mean_big",
+    ).drop("_whole", "_real")
+    # Two passes over the counts: squares are summed around the mean, not around zero.
+    squares = (
+        counts.join(means.select("position", "mean"), "position")
+        .groupBy("position")
+        .agg(F.expr("sum(n * pow(coalesce(dbl, CAST(big AS DOUBLE)) - mean, 2)) AS _squares"))
+    )
+    deviation = "sqrt(_squares / nullif(count - 1, 0)) AS std"
+    return means.join(squares, "position").selectExpr("*", deviation).drop("_squares")
 
-    sizes = histogram.groupBy("column_name", "_part").agg(F.sum("n").alias("_size"))
-    offsets = _exclusive_sums(sizes, "_size", ["_part"], ["column_name"])
-    totals = sizes.groupBy("column_name").agg(F.sum("_size").alias("_total"))
+
+def _ranked_quartiles(counts: DataFrame) -> DataFrame:
+    sizes = counts.groupBy("position", "_part").agg(F.sum("n").alias("_size"))
+    offsets = _exclusive_sums(sizes, "_size", ["_part"], ["position"])
+    totals = sizes.groupBy("position").agg(F.sum("_size").alias("_total"))
     shares = ", ".join(f"'{q}', {share}D" for q, share in QUARTILES.items())
-    targets = totals.selectExpr(
-        "column_name", "_total", f"stack({len(QUARTILES)}, {shares}) AS (quartile, share)"
-    ).selectExpr("column_name", "quartile", "CAST(ceil(share * _total) AS BIGINT) AS _rank")
-    holding = targets.join(offsets, "column_name").where(
+    wanted = totals.selectExpr(
+        "position", "_total", f"stack({len(QUARTILES)}, {shares}) AS (quartile, share)"
+    ).selectExpr("position", "quartile", "CAST(ceil(share * _total) AS BIGINT) AS _rank")
+    holding = wanted.join(offsets, "position").where(
         "_rank > _offset AND _rank <= _offset + _size"
     )
-
-    running = Window.partitionBy("column_name", "quartile").orderBy("_id")
+    running = Window.partitionBy("position", "quartile").orderBy("_id")
     found = (
-        histogram.join(holding, ["column_name", "_part"])
+        counts.join(holding, ["position", "_part"])
         .withColumn("_upto", F.col("_offset") + F.sum("n").over(running))
         .where("_rank <= _upto AND _rank > _upto - n")
-        .selectExpr("column_name", "quartile", f"{_VALUE.format('big', 'dbl', 'NULL')} AS value")
     )
-    return found.groupBy("column_name").agg(
-        *(F.expr(f"any_value(value) FILTER (WHERE quartile = '{q}') AS {q}") for q in QUARTILES)
+    return found.groupBy("position").agg(
+        *(
+            F.expr(f"any_value({v}) FILTER (WHERE quartile = '{q}') AS {q}_{v}")
+            for q in QUARTILES
+            for v in ("big", "dbl")
+        )
     )
 
 
+def _approximate_numbers(table: DataFrame, fields) -> DataFrame:
+    """The same statistics in one pass with a one-row result."""
+    aggregates, lines = [], []
+    for i, name, family in fields:
+        value = _dbl(name, family) if family == "real" else _big(name, family)
+        points = {p: f"{p}({value})" for p in ("min", "max")}
+        points |= {q: f"percentile_approx({value}, {s}, 10000)" for q, s in QUARTILES.items()}
+        aggregates += [F.expr(f"{e} AS c{i}_{p}") for p, e in points.items()]
+        whole = "CAST(NULL AS DECIMAL(38, 0))"
+        if family != "real":
+            whole = f"sum(CAST({value} AS DECIMAL(20, 0)))"
+        aggregates += [
+            F.expr(f"count({name}) AS c{i}_count"),
+            F.expr(f"avg({value}) AS c{i}_mean"),
+            F.expr(f"stddev_samp({value}) AS c{i}_std"),
+            F.expr(f"{whole} div count({name}) AS c{i}_mean_big"),
+        ]
+        kind = "real" if family == "real" else "whole"
+        pairs = [f"{v(f'c{i}_{p}', kind)}" for p in _POINTS for v in (_big, _dbl)]
+        lines.append(f"{i}, c{i}_count, c{i}_mean, c{i}_mean_big, c{i}_std, {', '.join(pairs)}")
+    names = ["position", "count", "mean", "mean_big", "std"]
+    names += [f"{p}_{v}" for p in _POINTS for v in ("big", "dbl")]
+    stacked = f"stack({len(lines)}, {', '.join(lines)}) AS ({', '.join(names)})"
+    return table.agg(*aggregates).selectExpr(stacked)
+
+
 def _presented(statistics: DataFrame) -> DataFrame:
-    points = ["min", *QUARTILES, "max"]
+    count = "coalesce(_texts, count, 0)"
 
     def number(point):
-        big = f"if(family = 'whole', CAST({point}.big AS DOUBLE), NULL)"
-        return f"coalesce({point}.dbl, {big}) AS {point}"
+        whole = f"if(family = 'whole', CAST({point}_big AS DOUBLE), NULL)"
+        return f"coalesce({point}_dbl, {whole}) AS {point}"
 
-    def time(micros):
-        return f"if(family = 'time', timestampadd(MICROSECOND, {micros}, {_EPOCH}), NULL)"
+    def time(point):
+        return f"if(family = 'time', timestampadd(MICROSECOND, {point}_big, {_EPOCH}), NULL) AS {point}_ts"
 
     return statistics.selectExpr(
         "column_name",
-        "count",
-        "null_count",
+        f"{count} AS count",
+        f"_rows - {count} AS null_count",
         "if(family = 'time', NULL, mean) AS mean",
-        "std",
-        *(number(p) for p in points),
-        f"{time('CAST(mean AS BIGINT)')} AS mean_ts",
-        *(f"{time(f'{p}.big')} AS {p}_ts" for p in points),
-        "min.txt AS min_text",
-        "max.txt AS max_text",
+        "if(family = 'time', NULL, std) AS std",
+        *map(number, _POINTS),
+        *map(time, ["mean", *_POINTS]),
+        "min_text",
+        "max_text",
     )

@@ -68,7 +68,7 @@ def run(
     cells = written(marts.trip_cells(fact), "cells")
     for model, (build, dims) in MARTS.items():
         mart = build(cells, *(store.read(d) for d in dims))
-        store.replace_interval(model, mart, "trip_date", start, end, grain="month")
+        store.replace_interval(model, mart, "trip_date", start, end, grain="year")
 
 
 def main() -> None:

@@ -242,7 +242,7 @@ def head_trips(spark, sf_dir):
 
 
 def table_profile(spark, sf_dir):
-    profiled = explore.profile(raw_trips(spark, sf_dir))
+    profiled = explore.profile(tables.spread(raw_trips(spark, sf_dir)))
     return profiled.withColumns({"mean": F.round("mean", 8), "std": F.round("std", 6)})
 
 

@@ -20,12 +20,12 @@ from pyspark.sql import functions as F
 from cabmill.operators.quality import check_output_shape
 
 PRODUCTION = "prod"
-GRAIN_COLUMN = {"day": "part_day", "month": "part_month"}
-_GRAIN_OF = {"day": "CAST({0} AS DATE)", "month": "CAST(trunc({0}, 'MM') AS DATE)"}
-
-
-def _month_of(day: date) -> date:
-    return day.replace(day=1)
+GRAIN_COLUMN = {"day": "part_day", "month": "part_month", "year": "part_year"}
+_FIRST_DAY = {
+    "day": lambda day: day,
+    "month": lambda day: day.replace(day=1),
+    "year": lambda day: day.replace(month=1, day=1),
+}
 
 
 @contextmanager
@@ -95,22 +95,24 @@ class Store:
     ) -> None:
         """Make the table hold exactly `batch` for the days start..end; leave other days.
 
-        `grain` is the partition width: days for large tables, months for small ones, where a
-        partition per day would be a tiny file. A month that the interval covers in part is
-        rewritten together with its untouched days. `clustered` says that the batch already
-        comes in files of few partitions (a narrow step over such a table), which spares the
-        shuffle that otherwise gathers each partition into few files. That shuffle is a
-        rebalance: a partition that holds a large part of all rows is split over tasks.
+        `grain` is the partition width: days for large tables, months or years for small ones,
+        where a partition per day would be a tiny file. A partition that the interval covers
+        in part is rewritten together with its other days. `clustered` says that the batch
+        already comes in files of few partitions (a narrow step over such a table), which
+        spares the shuffle that otherwise gathers each partition into few files. That shuffle
+        is a rebalance: a partition that holds a large part of all rows is split over tasks.
         """
         check_output_shape(batch.columns)
-        part, part_of = GRAIN_COLUMN[grain], _GRAIN_OF[grain].format(time_column)
+        part = GRAIN_COLUMN[grain]
+        part_of = f"CAST({time_column} AS DATE)"
+        if grain != "day":
+            part_of = f"trunc({part_of}, '{grain}')"
         within = f"CAST({time_column} AS DATE) BETWEEN DATE '{start}' AND DATE '{end}'"
         rows = batch.where(within).selectExpr("*", f"{part_of} AS {part}")
         table = self._interval_table(model, rows, part)
-        first, last = start, end
-        if grain == "month":
-            first, last = _month_of(start), _month_of(end)
-            # Only the first and the last month can hold days outside the interval.
+        first, last = _FIRST_DAY[grain](start), _FIRST_DAY[grain](end)
+        if grain != "day":
+            # Only the first and the last partition can hold days outside the interval.
             edges = f"{part} IN (DATE '{first}', DATE '{last}') AND NOT ({within})"
             rows = rows.unionByName(self.spark.table(table).where(edges))
         if not clustered:
@@ -131,7 +133,7 @@ class Store:
     def interval(self, model: str, start: date, end: date, grain: str = "day") -> DataFrame:
         """Rows of the partitions that touch start..end, read with partition pruning."""
         part = GRAIN_COLUMN[grain]
-        low = start if grain == "day" else _month_of(start)
+        low = _FIRST_DAY[grain](start)
         table = self.spark.table(self._table(model))
         return table.where(f"{part} BETWEEN DATE '{low}' AND DATE '{end}'").drop(part)
 

@@ -21,6 +21,16 @@ def scan_table(spark: SparkSession, name: str) -> DataFrame:
     return table.select(*RAW_COLUMNS)
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """Deal the rows of a small file over all cores, for work that multiplies every row.
+
+    Only a scan with fewer splits than cores is dealt out; a large table has more splits than
+    that and stays as it is.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
 def namespaces(spark: SparkSession) -> DataFrame:
     return spark.sql("SHOW NAMESPACES")
 

@@ -17,7 +17,7 @@ def held(store):
     return sorted((str(r.d), r.n) for r in store.read(MODEL).collect())
 
 
-@pytest.mark.parametrize("grain", ["day", "month"])
+@pytest.mark.parametrize("grain", ["day", "month", "year"])
 def test_replace_interval(spark, grain):
     store = _store(spark)
 
