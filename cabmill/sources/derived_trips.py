@@ -29,13 +29,25 @@ _TRIP = {
 }
 
 
+def _after_midnight(lineitem: DataFrame) -> str:
+    """A zone-free timestamp some seconds after the ship date, `{}` being the seconds.
+
+    In a UTC session an instant and a zone-free timestamp coincide, and the cast between them
+    is several times cheaper than `timestampadd`, which is right in every zone.
+    """
+    if lineitem.sparkSession.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC"):
+        midnight = "unix_date(CAST(l_shipdate AS DATE)) * 86400L"
+        return f"CAST(timestamp_seconds({midnight} + {{}}) AS TIMESTAMP_NTZ)"
+    return "timestampadd(SECOND, {}, l_shipdate)"
+
+
 def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
     part = _TRIP | {"tip": _TRIP["tip"].format(**_TRIP)}
+    after = _after_midnight(lineitem)
     columns = {
         "vendorid": "if(l_suppkey % 50 = 0, NULL, l_suppkey % 3 + 1)",
-        "tpep_pickup_datetime": "timestampadd(SECOND, {sod}, l_shipdate)",
-        "tpep_dropoff_datetime": "if(l_partkey % 97 = 0, NULL,"
-        " timestampadd(SECOND, {sod} + {dur}, l_shipdate))",
+        "tpep_pickup_datetime": after.format("{sod}"),
+        "tpep_dropoff_datetime": f"if(l_partkey % 97 = 0, NULL, {after.format('{sod} + {dur}')})",
         "passenger_count": "(l_orderkey + l_linenumber) % 8",
         "trip_distance": "({dist}) / 100",
         "pickup_longitude": "{lon} / 100",
