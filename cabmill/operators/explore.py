@@ -38,13 +38,14 @@ def head(table: DataFrame, order_by: Sequence[str], rows: int) -> DataFrame:
 def with_group_size(table: DataFrame, keys: Sequence[str], alias: str) -> DataFrame:
     """count(*) OVER (PARTITION BY keys), without gathering a group into one task.
 
-    The counts are aggregated map-side and joined back. There is one row per key, so Spark
-    broadcasts them if they are small; if not, it shuffles, and its skew handling splits a key
-    with many rows, because only the counts would have to be repeated.
+    The counts are aggregated map-side, written, and joined back. Their size is then known:
+    Spark broadcasts them below its threshold and leaves the rows where they are; above it,
+    it shuffles, and its skew handling splits a key with many rows.
     """
     counted = table.groupBy(*(F.col(k).alias(f"_group_{k}") for k in keys)).agg(
         F.count(F.lit(1)).alias(alias)
     )
+    counted = written(counted, "group-size")
     same = [F.col(k).eqNullSafe(F.col(f"_group_{k}")) for k in keys]
     return table.join(counted, same).select(*table.columns, alias)
 
@@ -65,7 +66,8 @@ def with_row_number(table: DataFrame, order_by: Sequence[str], alias: str) -> Da
     ordered = written(ordered, "row-number")
     part = F.shiftright("_id", _LOCAL_BITS)
     sizes = ordered.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
-    offsets = _exclusive_sums(sizes, "_size", ["_part"])
+    # One row per partition; written, so that its small size is known and no row is shuffled.
+    offsets = written(_exclusive_sums(sizes, "_size", ["_part"]), "offsets")
     local = F.col("_id").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
     return (
         ordered.withColumn("_part", part)
@@ -187,7 +189,9 @@ def _weighted_moments(counts: DataFrame) -> DataFrame:
         "coalesce(_real, CAST(_whole AS DOUBLE)) / count AS mean",
         "_whole div count AS mean_big",
     ).drop("_whole", "_real")
-    # Two passes over the counts: squares are summed around the mean, not around zero.
+    # Two passes over the counts: squares are summed around the mean, not around zero. The
+    # means are one row per column; written, they are known to be small and are broadcast.
+    means = written(means, "means")
     squares = (
         counts.join(means.select("position", "mean"), "position")
         .groupBy("position")
@@ -208,6 +212,7 @@ def _ranked_quartiles(counts: DataFrame) -> DataFrame:
     holding = wanted.join(offsets, "position").where(
         "_rank > _offset AND _rank <= _offset + _size"
     )
+    holding = written(holding, "ranks")  # three rows per column
     running = Window.partitionBy("position", "quartile").orderBy("_id")
     found = (
         counts.join(holding, ["position", "_part"])

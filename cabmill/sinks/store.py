@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cabmill.operators.quality import check_output_shape
+from cabmill.sources.shared import written
 
 PRODUCTION = "prod"
 GRAIN_COLUMN = {"day": "part_day", "month": "part_month", "year": "part_year"}
@@ -173,7 +174,8 @@ class Store:
 
         If the batch repeats a key, its largest row by `order_by` (then by all columns) wins.
         """
-        latest = last_per_key(batch, key, order_by)
+        # Computed once, though the merge reads it twice; if small, it is broadcast.
+        latest = written(last_per_key(batch, key, order_by), "batch")
         versions = self.versions(model)
         if not versions:
             return self.refresh(model, latest)
