@@ -286,32 +286,36 @@ def catalog_tables(spark, sf_dir):
 # -- ingest and backends -----------------------------------------------------------------------
 
 
+def _labelled(column: str, frames: dict[str, DataFrame]) -> DataFrame:
+    """The frames on top of each other, each marked with its name."""
+    marked = (frame.withColumn(column, F.lit(name)) for name, frame in frames.items())
+    return reduce(DataFrame.unionByName, marked)
+
+
 def csv_ingest_report(spark, sf_dir):
     """Write both raw tables as CSV, some lines unreadable, ingest them and compare."""
-    reports = []
+    loads, accepted, differing = {}, {}, {}
+    bad = F.col("improvement_surcharge").isNull()
     for name, raw in zip(("trips_1", "trips_2"), raw_trip_tables(spark, sf_dir), strict=True):
         source, target = shared_dir(spark, f"{name}-csv"), shared_dir(spark, name)
-        bad = F.col("improvement_surcharge").isNull()
-        dropoff = F.col(trips.DROPOFF).cast("string")
-        texts = [
-            F.when(bad, "unreadable").otherwise(dropoff).alias(c)
-            if c == trips.DROPOFF
-            else F.col(c).cast("string").alias(c)
-            for c in RAW_COLUMNS
-        ]
-        raw.select(*texts).write.option("header", True).csv(source)
-        report = csv_ingest.ingest_csv(spark, source, target)
-        accepted = csv_ingest.accepted_rows(spark, target)
-        differing = quality.table_difference(accepted, raw.where(~bad))
-        reports.append(
-            report.agg(
-                F.sum("row_count").alias("row_count"), F.sum("corrupt_rows").alias("corrupt_rows")
-            )
-            .join(explore.count_rows(accepted).withColumnRenamed("row_count", "accepted_rows"))
-            .join(explore.count_rows(differing).withColumnRenamed("row_count", "differing_rows"))
-            .select(F.lit(name).alias("table_name"), "*")
+        texts = raw.select(*(F.col(c).cast("string").alias(c) for c in RAW_COLUMNS)).withColumn(
+            trips.DROPOFF, F.when(bad, "unreadable").otherwise(F.col(trips.DROPOFF))
+        )
+        texts.write.option("header", True).csv(source)
+        loads[name] = csv_ingest.ingest_csv(spark, source, target).agg(
+            F.sum("row_count").alias("row_count"), F.sum("corrupt_rows").alias("corrupt_rows")
+        )
+        good = csv_ingest.accepted_rows(spark, target)
+        accepted[name] = good.agg(F.count(F.lit(1)).alias("accepted_rows"))
+        differing[name] = quality.table_difference(good, raw.where(~bad)).agg(
+            F.count(F.lit(1)).alias("differing_rows")
         )
-    return reports[0].unionByName(reports[1])
+    key = "table_name"
+    return (
+        _labelled(key, loads)
+        .join(_labelled(key, accepted), key)
+        .join(_labelled(key, differing), key)
+    )
 
 
 def source_parity(spark, sf_dir):
@@ -322,17 +326,20 @@ def source_parity(spark, sf_dir):
         path = shared_dir(spark, f"parity-{file_format}")
         base.write.format(file_format).save(path)
         backends[file_format] = tables.scan(spark, path, file_format)
-    differing = explore.count_rows(quality.table_difference(*backends.values()))
-    answers = (
-        rows.agg(
+    answers = {
+        name: rows.agg(
             F.count(F.lit(1)).alias("row_count"),
             F.avg("passenger_count").alias("avg_passenger_count"),
-        ).select(F.lit(name).alias("backend"), "*")
+        )
         for name, rows in backends.items()
-    )
-    return reduce(DataFrame.unionByName, answers).join(
-        differing.withColumnRenamed("row_count", "differing_rows")
-    )
+    }
+    # Surplus rows of the first backend count for it, missing ones for the second.
+    difference = quality.table_difference(*backends.values())
+    differing = {
+        name: difference.agg(F.count_if(F.col("surplus") * sign > 0).alias("differing_rows"))
+        for name, sign in zip(backends, (1, -1), strict=True)
+    }
+    return _labelled("backend", answers).join(_labelled("backend", differing), "backend")
 
 
 QUERIES = {
