@@ -9,7 +9,7 @@ fact table is read once for all five marts.
 """
 
 import argparse
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +23,7 @@ BASE = "intermediate.base_yellow_trip"
 CLEANED = "intermediate.cleaned_yellow_trip"
 ENRICHED = "intermediate.enriched_yellow_trip"
 FACT = "mart.fact_trip"
+ROW_MODELS = (BASE, CLEANED, ENRICHED, FACT)
 DIMENSIONS = {
     "mart.dim_date": dimensions.dim_date,
     "mart.dim_time": dimensions.dim_time,
@@ -37,7 +38,7 @@ MARTS = {
     "mart.analytics_payment_method": (marts.payment_method, ["mart.dim_payment_type"]),
     "mart.analytics_distance_cohort": (marts.distance_cohort, []),
 }
-MODELS = [BASE, CLEANED, ENRICHED, FACT, *DIMENSIONS, *MARTS]
+MODELS = [*ROW_MODELS, *DIMENSIONS, *MARTS]
 
 
 def run(
@@ -47,17 +48,30 @@ def run(
     end: date,
     trip_grain: str = "day",
     mode: str = "half_open",
+    stored: Collection[str] = ROW_MODELS,
 ) -> None:
-    """Recompute the days start..end of every model; dimensions are rebuilt in full."""
-
-    def step(model, frame, time_column, clustered=True):
+    """Recompute the days start..end of every model; dimensions are rebuilt in full.
+
+    `stored` names the row-level models to keep as tables. By default that is all four; each
+    is a full copy of the interval's trips. Leaving out the base and cleaned trips halves the
+    bytes written: they are then computed on the way to the enriched trips, in the same stage.
+    """
+    if not {ENRICHED, FACT} <= set(stored):
+        raise ValueError("dimensions and marts need the enriched trips and the fact table")
+    clustered = False  # until the first stored table has gathered the days
+
+    def step(model, frame, time_column):
+        nonlocal clustered
+        if model not in stored:
+            return frame
         store.replace_interval(model, frame, time_column, start, end, trip_grain, clustered)
+        clustered = True
         return store.interval(model, start, end, trip_grain).where(
             f"CAST({time_column} AS DATE) BETWEEN DATE '{start}' AND DATE '{end}'"
         )
 
     base = trips.base_trip(*raw, start=start, end=end, mode=mode)
-    base = step(BASE, base, trips.PICKUP, clustered=False)
+    base = step(BASE, base, trips.PICKUP)
     cleaned = step(CLEANED, trips.cleaned_trip(base), trips.PICKUP)
     enriched = step(ENRICHED, trips.enriched_trip(cleaned), trips.PICKUP)
     fact = step(FACT, trips.fact_trip(enriched), "pickup_datetime")
@@ -79,10 +93,14 @@ def main() -> None:
     parser.add_argument("--start", type=date.fromisoformat, required=True)
     parser.add_argument("--end", type=date.fromisoformat, required=True)
     parser.add_argument("--env", default=PRODUCTION)
+    parser.add_argument(
+        "--store", nargs="+", default=ROW_MODELS, choices=ROW_MODELS, help="row-level tables to keep"
+    )
     args = parser.parse_args()
     spark = SparkSession.builder.appName("cabmill").enableHiveSupport().getOrCreate()
     raw = [scan(spark, path, args.format) for path in args.raw]
-    run(Store(spark, args.location, args.env).create(), raw, args.start, args.end)
+    store = Store(spark, args.location, args.env).create()
+    run(store, raw, args.start, args.end, stored=args.store)
 
 
 if __name__ == "__main__":
