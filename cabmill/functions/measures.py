@@ -92,18 +92,25 @@ def partials(
 
 
 def roll_up(parts: DataFrame, keys: Iterable[str], *extra: Column) -> DataFrame:
-    """Partial rows at a coarser grain; `extra` aggregates are added as they are."""
-    merged = []
-    for column in parts.columns:
-        if column.startswith("min_"):
-            merged.append(F.min(column).alias(column))
-        elif column.startswith("max_"):
-            merged.append(F.max(column).alias(column))
-        elif column == "trips" or column.startswith(("sum_", "n_", "if_")):
-            merged.append(F.sum(column).alias(column))
+    """Partial rows at a coarser grain; `extra` aggregates are added as they are.
+
+    Partial rows are unique by their own keys, so at that grain there is nothing to add up.
+    """
+    merges = {c: _merge(c) for c in parts.columns if _merge(c)}
+    if not extra and set(parts.columns) - set(merges) == set(keys):
+        return parts
+    merged = (F.expr(f"{merge}({column}) AS {column}") for column, merge in merges.items())
     return parts.groupBy(*keys).agg(*merged, *extra)
 
 
+def _merge(column: str) -> str | None:
+    """The aggregate that merges a partial column; None for a key."""
+    if column.startswith(("min_", "max_")):
+        return column[:3]
+    summed = column == "trips" or column.startswith(("sum_", "n_", "if_"))
+    return "sum" if summed else None
+
+
 def total(name: str, alias: str) -> str:
     units = MEASURES[name].units
     return f"sum_{name}" + ("" if units is None else f" / {units}D") + f" AS {alias}"
