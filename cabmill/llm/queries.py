@@ -1,9 +1,15 @@
 """Registered queries of this package and the DuckDB SQL that restates them where SQL can."""
 
+from cabmill.llm.chat_format import op5_chat_format
 from cabmill.llm.jaccard_join import op8_jaccard_join
+from cabmill.llm.packing import op2_packing
+from cabmill.llm.secret_scan import op9_secret_scan
 
 QUERIES = {
+    "op2_packing": op2_packing,
+    "op5_chat_format": op5_chat_format,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_secret_scan": op9_secret_scan,
 }
 
 ORACLE: dict[str, str] = {}
