@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import cabmill
+
 from cabmill.sources.shared import shared_dir
 
 
@@ -47,7 +53,24 @@ def remove(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let the executors' Python workers import this library, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        _SHIPPED.add(sc.applicationId)
+        package = Path(cabmill.__file__).parent
+        archive = Path(tempfile.mkdtemp(prefix="cabmill-")) / "cabmill-code.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        sc.addPyFile(str(archive))  # Spark sends it to every executor
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -69,34 +92,30 @@ def components(work: Work, links: DataFrame) -> DataFrame:
     on its smallest one, then the smaller ones (large star, small star), until nothing changes.
     A node's neighbours never meet in one task: both steps are minima and joins.
     """
+    pair = lambda a, b: (F.col(a).alias("a"), F.col(b).alias("b"))
     edges = work.write(
         links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct()
     )
+    told = None
     while True:
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = edges.union(edges.select(*pair("b", "a")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        star = (
-            both.where("b > a").join(low, "a").where("b <> m")
-            .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        star = work.write(
+            both.where("b > a").join(low, "a").select(*pair("b", "m")).distinct()
         )
-        star = work.write(star)
         least = star.groupBy("a").agg(F.min("b").alias("m"))
-        small = (
-            star.join(least, "a").where("b <> m")
-            .select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .union(least.select("a", F.col("m").alias("b")))
-            .distinct()
+        small = work.write(
+            star.join(least, "a").where("b <> m").select(*pair("b", "m"))
+            .union(least.select(*pair("a", "m"))).distinct()
         )
-        small = work.write(small)
-        settled = small.count() == edges.count() and small.join(
-            edges, ["a", "b"], "left_anti"
-        ).isEmpty()
         work.drop(star)
         work.drop(edges)
-        edges = small
-        if settled:
-            roots = edges.select("b").distinct().select(
-                F.col("b").alias("node"), F.col("b").alias("comp")
-            )
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(roots)
+        edges, before = small, told
+        # Equal sums over two rounds: no edge has changed.
+        told = edges.agg(
+            F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("b", "a"))
+        ).first()
+        if told == before or not told[0]:
+            roots = edges.select("b").distinct().select(*pair("b", "b"))
+            return edges.union(roots).toDF("node", "comp")

@@ -230,7 +230,7 @@ def _most_frequent(spark: SparkSession, profiles: DataFrame) -> tuple[np.ndarray
 
 
 def jaccard_components(
-    documents: DataFrame, percent: int = 80, size: int = 5, star_rounds: int = 2
+    documents: DataFrame, percent: int = 80, size: int = 5, star_rounds: int = 1
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 

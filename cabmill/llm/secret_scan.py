@@ -94,18 +94,16 @@ def _scan(blobs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     )
 
 
-def scan_versions(
+def blob_findings(
     work: Work, versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES
 ) -> DataFrame:
-    """The columns of ``versions`` but its text, plus blob and spans (rule, start, end) by start,
-    then by the order of ``rules``.
+    """(blob, spans) of the ledger after it has seen the texts of ``versions``; spans (rule, start,
+    end) by start, then by the order of ``rules``.
 
-    ``versions`` has a column text and any columns that name a path and a version. ``ledger`` is a
-    folder, empty or missing at first; a run that fails before its findings are committed leaves
-    it as it was and may be repeated.
+    ``ledger`` is a folder, empty or missing at first; a run that fails before its findings are
+    committed leaves it as it was and may be repeated.
     """
     spark = versions.sparkSession
-    names = [c for c in versions.columns if c != "text"]
     keys = F.array(*(F.lit(r.key) for r in rules))
     addressed = versions.withColumn("blob", blob_of(F.col("text")))
     known = _ledger(spark, ledger)
@@ -137,13 +135,23 @@ def scan_versions(
             spans, lambda s: F.struct(s["start"].alias("start"), place(s["rule"]).alias("k"), s["rule"].alias("rule"), s["end"].alias("end"))
         )
     )
-    findings = work.write(
+    return work.write(
         _ledger(spark, ledger).groupBy("blob").agg(
             F.transform(ranked, lambda s: F.struct(s["rule"].alias("rule"), s["start"].alias("start"), s["end"].alias("end"))).alias("spans")
         ),
         keep=True,
     )
-    return addressed.select(*names, "blob").join(findings, "blob", "left").select(
+
+
+def scan_versions(
+    work: Work, versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES
+) -> DataFrame:
+    """The columns of ``versions`` (any that name a path and a version) but its text, plus blob
+    and spans: the findings of a blob, for every path and version that holds it."""
+    names = [c for c in versions.columns if c != "text"]
+    findings = blob_findings(work, versions, ledger, rules)
+    addressed = versions.select(*names, blob_of(F.col("text")).alias("blob"))
+    return addressed.join(findings, "blob", "left").select(
         *names, "blob", F.coalesce("spans", F.array().cast(_SPANS)).alias("spans")
     )
 

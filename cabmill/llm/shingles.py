@@ -13,6 +13,8 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BYTE = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTE[ord("A") : ord("Z") + 1] = _BYTE[ord("a") : ord("z") + 1]
 _BYTE[_SPACE] = 0
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[ord("A") : ord("Z") + 1] += 32
 _BASE, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
 
 
@@ -90,5 +92,36 @@ def shingle_sets(texts: list[bytes | None], size: int = 5) -> Iterator[np.ndarra
         at = end
 
 
+def word_hashes(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each text the hashes of its words in order (at least 0), and a number for the last two
+    bytes of each, A-Z lower-cased."""
+    at = 0
+    while at < len(texts):
+        end, total = at, 0
+        while end < len(texts) and (end == at or total < _PIECE):
+            total += len(texts[end])
+            end += 1
+        if end == at + 1 and total > _PIECE:
+            parts = [_ended_words(p + b" ") for p in _cut(texts[at])]
+            yield np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts])
+        else:
+            starts, words, endings = _ended_words(b" ".join(texts[at:end]) + b" ")
+            ends = np.cumsum([len(t) + 1 for t in texts[at:end]])
+            cuts = [0, *np.searchsorted(starts, ends)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                yield words[a:b], endings[a:b]
+        at = end
+
+
+def _ended_words(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    data = np.frombuffer(text, np.uint8)
+    starts, words = _words(data)
+    space = _SPACE[data]
+    stop = np.flatnonzero(space[1:] & ~space[:-1])  # last bytes of words
+    folded = _FOLD[data]
+    before = np.where(stop > starts, folded[np.maximum(stop - 1, 0)], 0).astype(np.int64)
+    return starts, (words >> np.uint64(1)).view(np.int64), before * 31 + folded[stop]
+
+
 def fingerprint(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
