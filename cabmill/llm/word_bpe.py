@@ -8,12 +8,13 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
-import numpy as np
-
-#: Distinct words a worker remembers; beyond, it starts anew. Results do not depend on it.
-KEPT_WORDS = 500_000
-_PLAIN = re.compile(rb"([a-z]+)([.,;:!?\-]*)\Z")
+#: Distinct words, and distinct letter runs, that a worker remembers; beyond, it starts anew.
+#: Results do not depend on either.
+KEPT_WORDS, KEPT_RUNS = 400_000, 1_000_000
+# Letters, then marks: the tokenizer itself encodes the two apart.
+_PLAIN = re.compile(r"([^\W\d_]+)([.,;:!?\-]*)\Z")
 
 
 class WordIds:
@@ -25,11 +26,12 @@ class WordIds:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._ids: dict[bytes, bytes] = {}
+        self._runs: dict[str, bytes] = {"": b""}
 
-    def _encode(self, words: list[bytes]) -> None:
-        found = self._tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        for w, e in zip(words, found, strict=True):
-            self._ids[w] = np.asarray(e.ids, "<u4").tobytes()
+    def _encode(self, runs: list[str]) -> None:
+        found = self._tokenizer.encode_batch_fast(runs, add_special_tokens=False)
+        for r, e in zip(runs, found, strict=True):
+            self._runs[r] = array("I", e.ids).tobytes()
 
     def learn(self, texts: list[bytes]) -> None:
         """Encode the words of some texts that are not known yet."""
@@ -38,14 +40,20 @@ class WordIds:
             words.update(t.split())
         if len(self._ids) + len(words) > KEPT_WORDS:
             self._ids.clear()
-        new = [w for w in words if w not in self._ids]
-        # Letters and the marks behind them are encoded apart by the tokenizer itself.
-        parts = {w: m.groups() for w in new if (m := _PLAIN.match(w.lower()))}
-        atoms = {p for both in parts.values() for p in both if p}
-        atoms.update(w for w in new if w not in parts)
-        self._encode([a for a in atoms if a not in self._ids])
+        parts = {}
+        for w in words.difference(self._ids):
+            # Only A-Z are lower-cased here; the tokenizer does the rest.
+            text = w.lower().decode()
+            m = _PLAIN.match(text)
+            parts[w] = m.groups() if m else (w.decode(), "")
+        runs = {p for both in parts.values() for p in both}
+        new = [r for r in runs if r not in self._runs]
+        if len(self._runs) + len(new) > KEPT_RUNS:
+            self._runs, new = {"": b""}, [r for r in runs if r]
+        self._encode(new)
+        known = self._runs
         for w, (letters, marks) in parts.items():
-            self._ids[w] = self._ids[letters] + (self._ids[marks] if marks else b"")
+            self._ids[w] = known[letters] + known[marks]
 
     def ids(self, text: bytes) -> bytes:
         return b"".join(map(self._ids.__getitem__, text.split()))
