@@ -11,30 +11,18 @@ from pyspark.sql import functions as F
 
 import cabmill
 
-from cabmill.sources.shared import shared_dir
+from cabmill.sources.shared import Scratch, remove
 
 
-class Work:
-    """Scratch tables of one run of an operator, below the folder that all executors share.
-
-    A written table is computed once and does not depend on executors that may be lost later.
-    Leaving the ``with`` block removes every table but those marked ``keep``: these the result
-    reads, so they belong to whoever holds the result.
-    """
+class Work(Scratch):
+    """Scratch tables of one run of an operator; any of them may go before the block ends."""
 
     def __init__(self, spark: SparkSession, label: str):
-        self.spark, self.label = spark, label
+        super().__init__(spark, label)
         self._tables: list[tuple[DataFrame, str]] = []
 
-    def __enter__(self) -> Work:
-        return self
-
-    def __exit__(self, *_: object) -> None:
-        for _table, path in self._tables:
-            remove(self.spark, path)
-
     def write(self, frame: DataFrame, keep: bool = False) -> DataFrame:
-        path = shared_dir(self.spark, self.label)
+        path = self.path(keep)
         frame.write.parquet(path)
         table = self.spark.read.schema(frame.schema).parquet(path)
         if not keep:
@@ -42,15 +30,11 @@ class Work:
         return table
 
     def drop(self, table: DataFrame) -> None:
-        """Remove a table before the block ends, to free its disk."""
+        """Remove a table now, to free its disk."""
         for known in [x for x in self._tables if x[0] is table]:
             remove(self.spark, known[1])
             self._tables.remove(known)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            self._paths.remove(known[1])
 
 
 _SHIPPED: set[str] = set()

@@ -194,7 +194,7 @@ def _padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit_labeller(
-    pages: list[tuple[np.ndarray, np.ndarray]], epochs: int = 6, batch: int = 32, rate: float = 0.01
+    pages: list[tuple[np.ndarray, np.ndarray]], epochs: int = 8, batch: int = 32, rate: float = 0.01
 ) -> Labeller:
     """Adam on the mean logistic loss of the blocks; pages of like length share a batch."""
     model, rng = Labeller.new(), np.random.default_rng(6)
@@ -307,6 +307,11 @@ class Maker:
         if self._chance(0.9):
             title = Block((*p, self._one(("h1", "h1", "h1 title", "h2"))), self._sentence(), 0)
             out.append((title, 1.0))
+        if self._chance(0.04):  # many short paragraphs, alike
+            text = self._sentence()
+            for _ in range(int(self.rng.integers(20, 140))):
+                text = self._sentence() if self._chance(0.1) else text
+                out.append((Block((*p, "p"), text, 0), 1.0))
         for _ in range(int(self.rng.integers(1, 12))):
             if self._chance(0.06):
                 out += [(b, 0.0) for b in self._part(p, self._one((self.SHORT, self.ASIDE)))]

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cabmill.llm.common import Work, chosen, read
-from cabmill.sources.shared import shared_dir
 
 
 @dataclass(frozen=True)
@@ -203,7 +202,7 @@ def secret_report(documents: DataFrame, ledger: str | None = None) -> DataFrame:
     spark = documents.sparkSession
     docs = chosen(documents, doc_id="long", text="string")
     with Work(spark, "secrets") as work:
-        found = scan_versions(work, docs, ledger or shared_dir(spark, "ledger"))
+        found = scan_versions(work, docs, ledger or work.path(keep=True))
     count = lambda r: F.size(F.filter("spans", lambda s: s["rule"] == r.name)).cast("long")
     return found.select(
         "doc_id", count(ASSIGN).alias("n_assign"), count(ACCESS).alias("n_access"), count(HEX).alias("n_hex"),

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from cabmill.llm import jaccard_join, packing, secret_scan, toxicity
 from cabmill.llm.common import Work, read
-from cabmill.sources.shared import shared_dir
 
 #: Ids that may be broadcast (8 bytes each); beyond, Spark picks the join.
 BROADCAST_ROWS = 1_000_000
@@ -51,7 +50,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def blank_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with a mark in place of every secret, and n_chars of the new text."""
     with Work(spark, "blank") as work:
-        found = secret_scan.blob_findings(work, docs.select("text"), shared_dir(spark, "ledger"))
+        found = secret_scan.blob_findings(work, docs.select("text"), work.path(keep=True))
     spans = found.where(F.size("spans") > 0).select(
         F.col("blob").alias("_cabmill_blob"), F.col("spans").alias("_cabmill_spans")
     )
