@@ -1,10 +1,12 @@
 """Additive partial measures of trips, and the totals and means read from them.
 
-A partial row holds, for one combination of keys, sums and counts that add up exactly under
-further grouping. Amounts, distances and durations are summed as fixed-point integers, so a
-total does not depend on the order in which partitions are merged; a re-run of an interval
-gives the same bits. True ratios (speed, per-mile, ...) have no fixed scale and are summed as
-doubles.
+A partial row holds, for one combination of keys, sums and counts that add up under further
+grouping. An amount, distance or duration is added in two parts: its whole number of fixed-point
+units as an integer, and what is left of it as a double. The first is exact and does not depend
+on the order in which partitions are merged; for data of the declared scale the second is zero,
+so a re-run of an interval gives the same bits. Values of a finer scale, NaN and amounts beyond
+the range of the units are in the second part: nothing is cut, nothing overflows, and `rest_*`
+counts them. True ratios (speed, per-mile, ...) have no fixed scale and are summed as doubles.
 """
 
 from collections.abc import Iterable
@@ -15,23 +17,41 @@ from pyspark.sql import functions as F
 
 from cabmill import schemas as S
 
-# Decimal places kept of a summed amount or distance. The sources carry hundredths; four
-# places leave room for finer data and about 9e14 units per group before the sum would
-# overflow, which ANSI mode reports as an error.
+# Declared scale of amounts and distances; the sources carry hundredths.
 AMOUNT_SCALE = 4
-_MILLISECONDS_PER_MINUTE = 60_000
+# Timestamps are exact to the microsecond, and durations are minutes.
+_MICROSECONDS_PER_MINUTE = 60_000_000
+# Units of one value that are added as an integer: a group may hold nine million such values.
+_MOST_UNITS = 10**12
 
 
 @dataclass(frozen=True)
 class Measure:
     column: str
     units: int | None = None  # fixed-point units per 1.0; None: summed as it is
+    exact: bool = False  # always a whole number of units
+
+    @property
+    def _fits(self) -> str:
+        return f"abs({self.column}) < {_MOST_UNITS / self.units!r}D"
 
     @property
     def value(self) -> str:
+        """What is added exactly; NULL with the column."""
         if self.units is None:
             return self.column
-        return f"CAST(rint({self.column} * {self.units}) AS BIGINT)"
+        units = f"CAST(rint({self.column} * {self.units}) AS BIGINT)"
+        if self.exact:
+            return units
+        return f"if({self.column} IS NULL OR {self._fits}, {units}, 0)"
+
+    @property
+    def rest(self) -> str | None:
+        """What is left of the value; NULL where that is nothing."""
+        if self.units is None or self.exact:
+            return None
+        left = f"{self.column} - rint({self.column} * {self.units}) / {self.units}D"
+        return f"if({self._fits}, nullif({left}, 0D), {self.column})"
 
 
 def _amount(column: str) -> Measure:
@@ -46,7 +66,7 @@ MEASURES = {
     "total": _amount("total_amount"),
     "extra": _amount("extra"),
     "tolls": _amount("tolls_amount"),
-    "duration": Measure("trip_duration_minutes", _MILLISECONDS_PER_MINUTE),
+    "duration": Measure("trip_duration_minutes", _MICROSECONDS_PER_MINUTE, exact=True),
     "speed": Measure("avg_speed_mph"),
     "fare_per_mile": Measure("fare_per_mile"),
     "tip_ratio": Measure("tip_percentage"),
@@ -84,6 +104,9 @@ def partials(
         measure = MEASURES[name]
         columns.append(f"sum({measure.value}) AS sum_{name}")
         columns.append(f"count({measure.column}) AS n_{name}")
+        if measure.rest:
+            columns.append(f"sum({measure.rest}) AS left_{name}")
+            columns.append(f"count({measure.rest}) AS rest_{name}")
         if name == "distance":
             columns.append(f"min({measure.column}) AS min_distance")
             columns.append(f"max({measure.column}) AS max_distance")
@@ -107,23 +130,27 @@ def _merge(column: str) -> str | None:
     """The aggregate that merges a partial column; None for a key."""
     if column.startswith(("min_", "max_")):
         return column[:3]
-    summed = column == "trips" or column.startswith(("sum_", "n_", "if_"))
+    summed = column == "trips" or column.startswith(("sum_", "left_", "rest_", "n_", "if_"))
     return "sum" if summed else None
 
 
+def _sum(name: str) -> str:
+    """The total as a double, in the measure's own unit."""
+    measure = MEASURES[name]
+    if measure.units is None:
+        return f"sum_{name}"
+    if measure.exact:  # whole microseconds, to seconds, to minutes
+        return f"CAST(sum_{name} AS DOUBLE) / 1000000D / 60D"
+    return f"(sum_{name} / {measure.units}D + coalesce(left_{name}, 0D))"
+
+
 def total(name: str, alias: str) -> str:
-    units = MEASURES[name].units
-    return f"sum_{name}" + ("" if units is None else f" / {units}D") + f" AS {alias}"
+    return f"{_sum(name)} AS {alias}"
 
 
 def mean(name: str, alias: str) -> str:
     """Mean over the rows that have the value; NULL when none has."""
-    summed = f"CAST(sum_{name} AS DOUBLE)"
-    if name == "duration":  # whole milliseconds, to seconds, to minutes
-        summed += " / 1000D / 60D"
-    elif MEASURES[name].units is not None:
-        summed += f" / {MEASURES[name].units}D"
-    return f"{summed} / nullif(n_{name}, 0) AS {alias}"
+    return f"CAST({_sum(name)} AS DOUBLE) / nullif(n_{name}, 0) AS {alias}"
 
 
 def percent(part: str, whole: str, alias: str) -> str:

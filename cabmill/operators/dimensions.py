@@ -10,6 +10,10 @@ from cabmill import schemas as S
 from cabmill.functions import expressions as X
 
 
+#: Columns of the enriched trips that hold the keys of the dimensions.
+KEY_COLUMNS = ("pickup_date", "pickup_hour", "vendorid", "payment_type", "ratecodeid")
+
+
 def _seen(trips: DataFrame, column: str, name: str) -> DataFrame:
     return trips.selectExpr(f"{column} AS {name}").distinct()
 

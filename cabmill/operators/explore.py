@@ -1,16 +1,22 @@
 """Ad-hoc queries: counts, previews, table profile, window functions over whole tables."""
 
+import math
 from collections.abc import Sequence
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    BinaryType,
+    BooleanType,
     DateType,
+    DecimalType,
     DoubleType,
     FloatType,
     IntegralType,
     StringType,
     TimestampNTZType,
+    TimestampType,
 )
 
 from cabmill.sources.shared import written
@@ -93,185 +99,201 @@ def _exclusive_sums(
 QUARTILES = {"q25": 0.25, "q50": 0.50, "q75": 0.75}
 _POINTS = ["min", *QUARTILES, "max"]
 _EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+# A quartile's bracket is narrowed until it holds so few rows; the share it is narrowed to on
+# either side is twice the error that `percentile_approx` may make.
+_FEW, _ACCURACY, _MARGIN = 100_000, 1000, 0.002
+_PROFILE = (
+    "column_name string, count long, null_count long, mean double, std double, "
+    + "".join(f"{p} double, " for p in _POINTS)
+    + "".join(f"{p}_ts timestamp_ntz, " for p in ["mean", *_POINTS])
+    + "min_text string, max_text string"
+)
 
 
 def profile(table: DataFrame, exact: bool = True) -> DataFrame:
     """One row per column: count, nulls, mean, deviation, extremes and quartiles.
 
-    Numbers fill `mean` .. `max`, zone-free timestamps the `*_ts` columns (no deviation), text
-    fills `min_text` and `max_text`. Quartiles are discrete: the smallest value that at least
-    the given share of the values does not exceed. `exact=False` takes them from
-    `percentile_approx`, in one pass without a shuffle of values.
-    """
-    families = [(i, f.name, _family(f.dataType)) for i, f in enumerate(table.schema)]
-    numeric = [f for f in families if f[2] in ("whole", "real", "time")]
-    numbers = _exact_numbers(table, numeric) if exact else _approximate_numbers(table, numeric)
-
-    texts = [name for _, name, family in families if family == "text"]
-    counted = table.agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *(F.count(c).alias(f"_n_{c}") for c in texts),
-        *(F.min(c).alias(f"_min_{c}") for c in texts),
-        *(F.max(c).alias(f"_max_{c}") for c in texts),
-    )
-    none = "CAST(NULL AS BIGINT), CAST(NULL AS STRING), CAST(NULL AS STRING)"
-    lines = ", ".join(
-        f"{i}, '{name}', '{family}', _rows, "
-        + (f"_n_{name}, _min_{name}, _max_{name}" if family == "text" else none)
-        for i, name, family in families
-        if family
-    )
-    columns = counted.selectExpr(
-        f"stack({sum(bool(f[2]) for f in families)}, {lines})"
-        " AS (position, column_name, family, _rows, _texts, min_text, max_text)"
-    )
-    return _presented(columns.join(numbers, "position", "left"))
+    Numbers fill `mean` .. `max`; dates and timestamps the `*_ts` columns (no deviation; an
+    instant as its UTC time); text, flags and binaries (in hexadecimal) `min_text` and `max_text`,
+    and `mean` of a flag is the share of true. Any other type is counted. Quartiles are discrete:
+    the smallest value that at least the given share of the values does not exceed.
 
-
-def _family(data_type) -> str | None:
-    if isinstance(data_type, (DoubleType, FloatType)):
+    Values are never shuffled: one pass gives the simple statistics and brackets of the
+    quartiles, and each further pass counts what lies below a bracket and narrows it, until
+    the few distinct values left in it can be ranked. `exact=False` takes the quartiles from
+    `percentile_approx`, in one pass in all.
+    """
+    columns = [_Profiled(i, f.name, _family(f.dataType)) for i, f in enumerate(table.schema)]
+    aggregates = [F.count(F.lit(1)).alias("rows")]
+    for c in columns:
+        aggregates += [F.expr(f"{e} AS c{c.position}_{n}") for n, e in c.simple(exact).items()]
+    first = table.agg(*aggregates).first()
+    for c in columns:
+        c.take(first, exact)
+    if exact:
+        _narrow(table, [q for c in columns for q in c.brackets])
+    rows = [c.row(first["rows"]) for c in columns]
+    return table.sparkSession.createDataFrame(rows, _PROFILE)
+
+
+def _family(data_type) -> str:
+    if isinstance(data_type, (DoubleType, FloatType, DecimalType)):
         return "real"
     if isinstance(data_type, IntegralType):
         return "whole"
     if isinstance(data_type, (TimestampNTZType, DateType)):
         return "time"
-    return "text" if isinstance(data_type, StringType) else None
+    if isinstance(data_type, TimestampType):
+        return "instant"
+    if isinstance(data_type, (StringType, BooleanType, BinaryType)):
+        return {"string": "text", "boolean": "flag"}.get(data_type.typeName(), "bytes")
+    return "other"
 
 
-# A profiled value keeps its type: whole numbers and times (as microseconds, without a time
-# zone) in `big`, real numbers in `dbl`.
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def _big(column: str, family: str) -> str:
-    if family == "time":
-        since = f"CAST({column} AS TIMESTAMP_NTZ) - {_EPOCH}"
-        seconds = f"CAST(CAST({since} AS INTERVAL SECOND) AS DECIMAL(18, 6))"
-        return f"CAST({seconds} * 1000000 AS BIGINT)"
-    return f"CAST({column} AS BIGINT)" if family == "whole" else "CAST(NULL AS BIGINT)"
+def _literal(value) -> str:
+    return f"{value}L" if isinstance(value, int) else f"double('{value!r}')"
 
 
-def _dbl(column: str, family: str) -> str:
-    return f"CAST({column} AS DOUBLE)" if family == "real" else "CAST(NULL AS DOUBLE)"
+class _Bracket:
+    """Where one quartile of one column lies: between low and high, with the counts of values
+    below low and inside."""
 
+    def __init__(self, value: str, name: str, rank: int, count: int):
+        self.value, self.name, self.rank = value, name, rank
+        self.low = self.high = None
+        self.below, self.inside = 0, count
 
-def _exact_numbers(table: DataFrame, fields) -> DataFrame:
-    """Statistics from counted values, with no column's values gathered in one place.
-
-    One pass counts the values of all columns by (column, value), map-side first; the counts
-    are range-sorted over all tasks and written, and everything else is read from them. For
-    the quartiles, running totals of whole partitions tell which partition holds a wanted
-    rank, and only those few partitions are read value by value.
-    """
-    triples = ", ".join(f"{i}, {_big(c, f)}, {_dbl(c, f)}" for i, c, f in fields)
-    values = table.selectExpr(f"stack({len(fields)}, {triples}) AS (position, big, dbl)")
-    counts = (
-        values.where("big IS NOT NULL OR dbl IS NOT NULL")
-        .groupBy("position", "big", "dbl")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy("position", "big", "dbl")
-        .withColumn("_id", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_id", _LOCAL_BITS))
-    )
-    counts = written(counts, "profile")
-    moments = _weighted_moments(counts)
-    return moments.join(_ranked_quartiles(counts), "position")
+    @property
+    def within(self) -> str:
+        if self.low is None:
+            return "true"
+        return f"{self.value} BETWEEN {_literal(self.low)} AND {_literal(self.high)}"
 
+    @property
+    def found(self) -> bool:
+        return self.low is not None and self.low == self.high
 
-def _weighted_moments(counts: DataFrame) -> DataFrame:
-    sums = counts.groupBy("position").agg(
-        F.sum("n").alias("count"),
-        F.expr("sum(CAST(big AS DECIMAL(20, 0)) * n) AS _whole"),
-        F.expr("sum(dbl * n) AS _real"),
-        *(F.expr(f"{p}({v}) AS {p}_{v}") for p in ("min", "max") for v in ("big", "dbl")),
-    )
-    means = sums.selectExpr(
-        "*",
-        "coalesce(_real, CAST(_whole AS DOUBLE)) / count AS mean",
-        "_whole div count AS mean_big",
-    ).drop("_whole", "_real")
-    # Two passes over the counts: squares are summed around the mean, not around zero. The
-    # means are one row per column; written, they are known to be small and are broadcast.
-    means = written(means, "means")
-    squares = (
-        counts.join(means.select("position", "mean"), "position")
-        .groupBy("position")
-        .agg(F.expr("sum(n * pow(coalesce(dbl, CAST(big AS DOUBLE)) - mean, 2)) AS _squares"))
-    )
-    deviation = "sqrt(_squares / nullif(count - 1, 0)) AS std"
-    return means.join(squares, "position").selectExpr("*", deviation).drop("_squares")
-
-
-def _ranked_quartiles(counts: DataFrame) -> DataFrame:
-    sizes = counts.groupBy("position", "_part").agg(F.sum("n").alias("_size"))
-    offsets = _exclusive_sums(sizes, "_size", ["_part"], ["position"])
-    totals = sizes.groupBy("position").agg(F.sum("_size").alias("_total"))
-    shares = ", ".join(f"'{q}', {share}D" for q, share in QUARTILES.items())
-    wanted = totals.selectExpr(
-        "position", "_total", f"stack({len(QUARTILES)}, {shares}) AS (quartile, share)"
-    ).selectExpr("position", "quartile", "CAST(ceil(share * _total) AS BIGINT) AS _rank")
-    holding = wanted.join(offsets, "position").where(
-        "_rank > _offset AND _rank <= _offset + _size"
-    )
-    holding = written(holding, "ranks")  # three rows per column
-    running = Window.partitionBy("position", "quartile").orderBy("_id")
-    found = (
-        counts.join(holding, ["position", "_part"])
-        .withColumn("_upto", F.col("_offset") + F.sum("n").over(running))
-        .where("_rank <= _upto AND _rank > _upto - n")
-    )
-    return found.groupBy("position").agg(
-        *(
-            F.expr(f"any_value({v}) FILTER (WHERE quartile = '{q}') AS {q}_{v}")
-            for q in QUARTILES
-            for v in ("big", "dbl")
+    def points(self) -> str:
+        share = (self.rank - self.below) / max(1, self.inside)
+        low, high = max(0.0, share - _MARGIN), min(1.0, share + _MARGIN)
+        return (
+            f"percentile_approx(if({self.within}, {self.value}, NULL),"
+            f" array({low!r}D, {high!r}D), {_ACCURACY})"
         )
-    )
 
 
-def _approximate_numbers(table: DataFrame, fields) -> DataFrame:
-    """The same statistics in one pass with a one-row result."""
-    aggregates, lines = [], []
-    for i, name, family in fields:
-        value = _dbl(name, family) if family == "real" else _big(name, family)
-        points = {p: f"{p}({value})" for p in ("min", "max")}
-        points |= {q: f"percentile_approx({value}, {s}, 10000)" for q, s in QUARTILES.items()}
-        aggregates += [F.expr(f"{e} AS c{i}_{p}") for p, e in points.items()]
-        whole = "CAST(NULL AS DECIMAL(38, 0))"
-        if family != "real":
-            whole = f"sum(CAST({value} AS DECIMAL(20, 0)))"
-        aggregates += [
-            F.expr(f"count({name}) AS c{i}_count"),
-            F.expr(f"avg({value}) AS c{i}_mean"),
-            F.expr(f"stddev_samp({value}) AS c{i}_std"),
-            F.expr(f"{whole} div count({name}) AS c{i}_mean_big"),
-        ]
-        kind = "real" if family == "real" else "whole"
-        pairs = [f"{v(f'c{i}_{p}', kind)}" for p in _POINTS for v in (_big, _dbl)]
-        lines.append(f"{i}, c{i}_count, c{i}_mean, c{i}_mean_big, c{i}_std, {', '.join(pairs)}")
-    names = ["position", "count", "mean", "mean_big", "std"]
-    names += [f"{p}_{v}" for p in _POINTS for v in ("big", "dbl")]
-    stacked = f"stack({len(lines)}, {', '.join(lines)}) AS ({', '.join(names)})"
-    return table.agg(*aggregates).selectExpr(stacked)
-
-
-def _presented(statistics: DataFrame) -> DataFrame:
-    count = "coalesce(_texts, count, 0)"
-
-    def number(point):
-        whole = f"if(family = 'whole', CAST({point}_big AS DOUBLE), NULL)"
-        return f"coalesce({point}_dbl, {whole}) AS {point}"
-
-    def time(point):
-        return f"if(family = 'time', timestampadd(MICROSECOND, {point}_big, {_EPOCH}), NULL) AS {point}_ts"
-
-    return statistics.selectExpr(
-        "column_name",
-        f"{count} AS count",
-        f"_rows - {count} AS null_count",
-        "if(family = 'time', NULL, mean) AS mean",
-        "if(family = 'time', NULL, std) AS std",
-        *map(number, _POINTS),
-        *map(time, ["mean", *_POINTS]),
-        "min_text",
-        "max_text",
-    )
+class _Profiled:
+    """One column: its aggregates, and what they gave."""
+
+    def __init__(self, position: int, name: str, family: str):
+        self.position, self.name, self.family = position, name, family
+        self.brackets: list[_Bracket] = []
+
+    @property
+    def value(self) -> str | None:
+        """Numbers and times (as microseconds) as BIGINT or DOUBLE."""
+        column = _quoted(self.name)
+        if self.family == "time":
+            since = f"CAST({column} AS TIMESTAMP_NTZ) - {_EPOCH}"
+            seconds = f"CAST(CAST({since} AS INTERVAL SECOND) AS DECIMAL(18, 6))"
+            return f"CAST({seconds} * 1000000 AS BIGINT)"
+        return {
+            "whole": f"CAST({column} AS BIGINT)",
+            "real": f"CAST({column} AS DOUBLE)",
+            "instant": f"unix_micros({column})",
+        }.get(self.family)
+
+    @property
+    def text(self) -> str | None:
+        column = _quoted(self.name)
+        return {"text": column, "flag": f"CAST({column} AS STRING)", "bytes": f"hex({column})"}.get(
+            self.family
+        )
+
+    def simple(self, exact: bool) -> dict[str, str]:
+        out = {"count": f"count({_quoted(self.name)})"}
+        if self.text:
+            out |= {"min": f"min({self.text})", "max": f"max({self.text})"}
+        if self.family == "flag":
+            out["mean"] = f"avg(CAST({_quoted(self.name)} AS INT))"
+        if v := self.value:
+            out |= {"mean": f"avg({v})", "std": f"stddev_samp({v})", "min": f"min({v})", "max": f"max({v})"}
+            if self.family != "real":
+                out["whole"] = f"CAST(sum(CAST({v} AS DECIMAL(20, 0))) div {out['count']} AS BIGINT)"
+            for name, share in QUARTILES.items():
+                low, high = (max(0.0, share - _MARGIN), min(1.0, share + _MARGIN)) if exact else (share, share)
+                accuracy = _ACCURACY if exact else 10_000
+                out[name] = f"percentile_approx({v}, array({low!r}D, {high!r}D), {accuracy})"
+        return out
+
+    def take(self, row, exact: bool) -> None:
+        self.got = {n: row[f"c{self.position}_{n}"] for n in self.simple(exact)}
+        if self.value and self.got["count"] and exact:
+            for name, share in QUARTILES.items():
+                count = self.got["count"]
+                bracket = _Bracket(self.value, name, math.ceil(share * count), count)
+                bracket.low, bracket.high = self.got[name]
+                self.brackets.append(bracket)
+
+    def row(self, rows: int) -> tuple:
+        got, points = self.got, dict.fromkeys(_POINTS)
+        if self.value:
+            points |= {"min": got["min"], "max": got["max"]}
+            points |= {q: got[q] and got[q][0] for q in QUARTILES}
+            points |= {b.name: b.low for b in self.brackets}
+        moment = self.family in ("time", "instant")
+        at = lambda micros: None if micros is None else _SINCE + timedelta(microseconds=micros)
+        number = lambda x: None if moment or x is None else float(x)
+        return (
+            self.name, got["count"], rows - got["count"], number(got.get("mean")), number(got.get("std")),
+            *(number(points[p]) for p in _POINTS),
+            at(got["whole"]) if moment else None,
+            *(at(points[p]) if moment else None for p in _POINTS),
+            got.get("min") if self.text else None, got.get("max") if self.text else None,
+        )
+
+
+_SINCE = datetime(1970, 1, 1)
+
+
+def _narrow(table: DataFrame, brackets: list[_Bracket]) -> None:
+    """Bring every bracket down to the one value that holds its rank."""
+    open_ = [b for b in brackets if not b.found]
+    while open_:
+        counts = table.agg(*(
+            F.expr(f"count_if({e}) AS c{i}_{n}")
+            for i, b in enumerate(open_)
+            for n, e in (("below", f"{b.value} < {_literal(b.low)}"), ("inside", b.within))
+        )).first()
+        for i, b in enumerate(open_):
+            b.below, b.inside = counts[f"c{i}_below"], counts[f"c{i}_inside"]
+            if not b.below < b.rank <= b.below + b.inside:
+                raise RuntimeError(f"percentile_approx missed its error bound for {b.value}")
+        wide = [b for b in open_ if b.inside > _FEW]
+        _rank(table, [b for b in open_ if b.inside <= _FEW])
+        if wide:
+            points = table.agg(*(F.expr(f"{b.points()} AS c{i}") for i, b in enumerate(wide))).first()
+            for i, b in enumerate(wide):
+                b.low, b.high = points[f"c{i}"]
+        open_ = [b for b in wide if not b.found]
+
+
+def _rank(table: DataFrame, brackets: list[_Bracket]) -> None:
+    """Find the values of narrow brackets among their few rows."""
+    for kind, type_ in (("whole", int), ("real", float)):
+        some = [b for b in brackets if isinstance(b.low, type_)]
+        if not some:
+            continue
+        cases = ", ".join(f"if({b.within}, struct({i} AS i, {b.value} AS v), NULL)" for i, b in enumerate(some))
+        inside = table.selectExpr(f"explode(filter(array({cases}), x -> x IS NOT NULL)) AS x")
+        below = F.create_map(*(F.lit(x) for i, b in enumerate(some) for x in (i, b.below)))
+        rank = F.create_map(*(F.lit(x) for i, b in enumerate(some) for x in (i, b.rank)))
+        upto = F.sum("n").over(Window.partitionBy("i").orderBy("v")) + below[F.col("i")]
+        values = inside.groupBy("x.i", "x.v").agg(F.count(F.lit(1)).alias("n")).withColumn("upto", upto)
+        at = values.where((F.col("upto") >= rank[F.col("i")])).groupBy("i").agg(F.min("v").alias("v"))
+        for r in at.collect():
+            some[r.i].low = some[r.i].high = r.v

@@ -73,19 +73,21 @@ def check_output_shape(columns: Sequence[str]) -> None:
         raise ValueError(f"unnamed or unexpanded output columns: {unnamed}")
 
 
-def key_values(fact: DataFrame) -> DataFrame:
-    """Every foreign-key value of the fact table with its row count: (key, value, trips).
-
-    All five keys in one pass; the counts combine map-side, so what is shuffled is one row per
-    task and distinct value.
-    """
+def key_values(combinations: DataFrame) -> DataFrame:
+    """Every foreign-key value with its row count, (key, value, trips), from the key
+    combinations of the fact table and their trips."""
     pairs = ", ".join(f"'{k}', CAST({k} AS STRING)" for k in STAR_KEYS)
-    unpivoted = fact.selectExpr(f"stack({len(STAR_KEYS)}, {pairs}) AS (key, value)")
-    return unpivoted.groupBy("key", "value").agg(F.count(F.lit(1)).alias("trips"))
+    unpivoted = combinations.selectExpr(
+        f"stack({len(STAR_KEYS)}, {pairs}) AS (key, value)", "trips"
+    )
+    return unpivoted.groupBy("key", "value").agg(F.sum("trips").alias("trips"))
 
 
-def star_key_audit(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
-    """Per foreign key: trips whose key is NULL, and trips whose key its dimension lacks."""
+def star_key_audit(combinations: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """Per foreign key: trips whose key is NULL, and trips whose key its dimension lacks.
+
+    `combinations` holds the five keys of the fact table and, in `trips`, how often they occur.
+    """
     known = reduce(
         DataFrame.unionByName,
         (
@@ -96,7 +98,7 @@ def star_key_audit(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
         ),
     ).withColumn("known", F.lit(True))
     return (
-        key_values(fact)
+        key_values(combinations)
         .join(known, ["key", "value"], "left")
         .groupBy("key")
         .agg(

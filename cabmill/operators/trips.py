@@ -15,9 +15,14 @@ PICKUP = "tpep_pickup_datetime"
 DROPOFF = "tpep_dropoff_datetime"
 
 
-def base_trip(*raw: DataFrame, start: date, end: date, mode: str = "half_open") -> DataFrame:
-    """All raw tables as one, restricted to the interval; duplicates are kept."""
+def base_trip(
+    *raw: DataFrame, start: date | None = None, end: date | None = None, mode: str = "half_open"
+) -> DataFrame:
+    """All raw tables as one; duplicates are kept. With an interval, its days only; without,
+    the whole history."""
     trips = reduce(DataFrame.unionByName, (r.select(*S.RAW_COLUMNS) for r in raw))
+    if start is None and end is None:
+        return trips
     return trips.where(X.time_window(PICKUP, start, end, mode))
 
 

@@ -1,11 +1,17 @@
 """The whole flow for one interval: raw tables -> trips -> star schema -> marts.
 
-    spark-submit -m cabmill.plans.daily_run --raw 2015.parquet 2016.parquet \\
-        --location /shared/lake --start 2015-01-01 --end 2015-01-31 --env dev
+    spark-submit --conf spark.checkpoint.dir=/shared/scratch cabmill/plans/daily_run.py \\
+        --raw 2015.parquet 2016.parquet --location /shared/lake \\
+        --start 2015-01-01 --end 2015-01-31 [--env prod]
+
+(with the project on PYTHONPATH or in --py-files, and a persistent catalog). Without --env the
+run goes to the environment of its user.
 
 Row-level models are partitioned by day. Only the first one shuffles, to gather each day into
 few files; the next three are narrow steps from one day-partitioned table to the next. The
-fact table is read once for all five marts.
+fact table is read once for all five marts. The dimensions are the same as if built from all
+trips, but come from a small table of the key combinations of each day, of which only the
+interval is replaced. All views switch at the end of the run.
 """
 
 import argparse
@@ -15,10 +21,12 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from cabmill.operators import dimensions, marts, trips
-from cabmill.sinks.store import PRODUCTION, Store
-from cabmill.sources.shared import written
+from cabmill.sinks.store import Store, default_environment
+from cabmill.sources.shared import Scratch
 from cabmill.sources.tables import scan
 
+# The published model names.
+
 BASE = "intermediate.base_yellow_trip"
 CLEANED = "intermediate.cleaned_yellow_trip"
 ENRICHED = "intermediate.enriched_yellow_trip"
@@ -39,6 +47,8 @@ MARTS = {
     "mart.analytics_distance_cohort": (marts.distance_cohort, []),
 }
 MODELS = [*ROW_MODELS, *DIMENSIONS, *MARTS]
+# The distinct key combinations of every day, from which the dimensions are built.
+STAR_KEYS = "intermediate.star_keys"
 
 
 def run(
@@ -46,11 +56,10 @@ def run(
     raw: Sequence[DataFrame],
     start: date,
     end: date,
-    trip_grain: str = "day",
     mode: str = "half_open",
     stored: Collection[str] = ROW_MODELS,
 ) -> None:
-    """Recompute the days start..end of every model; dimensions are rebuilt in full.
+    """Recompute the days start..end of every model and publish them together.
 
     `stored` names the row-level models to keep as tables. By default that is all four; each
     is a full copy of the interval's trips. Leaving out the base and cleaned trips halves the
@@ -64,25 +73,28 @@ def run(
         nonlocal clustered
         if model not in stored:
             return frame
-        store.replace_interval(model, frame, time_column, start, end, trip_grain, clustered)
+        store.replace_interval(model, frame, time_column, start, end, clustered)
         clustered = True
-        return store.interval(model, start, end, trip_grain).where(
-            f"CAST({time_column} AS DATE) BETWEEN DATE '{start}' AND DATE '{end}'"
-        )
+        return store.interval(model, time_column, start, end)
 
-    base = trips.base_trip(*raw, start=start, end=end, mode=mode)
-    base = step(BASE, base, trips.PICKUP)
-    cleaned = step(CLEANED, trips.cleaned_trip(base), trips.PICKUP)
-    enriched = step(ENRICHED, trips.enriched_trip(cleaned), trips.PICKUP)
-    fact = step(FACT, trips.fact_trip(enriched), "pickup_datetime")
+    with Scratch(store.spark, "daily-run") as scratch, store.one_switch():
+        base = trips.base_trip(*raw, start=start, end=end, mode=mode)
+        base = step(BASE, base, trips.PICKUP)
+        cleaned = step(CLEANED, trips.cleaned_trip(base), trips.PICKUP)
+        enriched = step(ENRICHED, trips.enriched_trip(cleaned), "pickup_date")
+        fact = step(FACT, trips.fact_trip(enriched), "date_key")
 
-    for model, build in DIMENSIONS.items():
-        store.refresh(model, build(store.read(ENRICHED)))
+        keys = enriched.select(*dimensions.KEY_COLUMNS).distinct()
+        store.replace_days(STAR_KEYS, keys, "pickup_date", start, end)
+        for model, build in DIMENSIONS.items():
+            store.refresh(model, build(store.read(STAR_KEYS)))
 
-    cells = written(marts.trip_cells(fact), "cells")
-    for model, (build, dims) in MARTS.items():
-        mart = build(cells, *(store.read(d) for d in dims))
-        store.replace_interval(model, mart, "trip_date", start, end, grain="year")
+        cells = scratch.written(marts.trip_cells(fact))
+        for model, (build, dims) in MARTS.items():
+            mart = build(cells, *(store.read(d) for d in dims))
+            store.replace_days(model, mart, "trip_date", start, end)
+    for model in [STAR_KEYS, *DIMENSIONS, *MARTS]:
+        store.drop_old_versions(model)
 
 
 def main() -> None:
@@ -92,7 +104,7 @@ def main() -> None:
     parser.add_argument("--location", required=True, help="shared folder of the tables")
     parser.add_argument("--start", type=date.fromisoformat, required=True)
     parser.add_argument("--end", type=date.fromisoformat, required=True)
-    parser.add_argument("--env", default=PRODUCTION)
+    parser.add_argument("--env", default=default_environment())
     parser.add_argument(
         "--store", nargs="+", default=ROW_MODELS, choices=ROW_MODELS, help="row-level tables to keep"
     )

@@ -13,10 +13,8 @@ from cabmill.schemas import RAW_COLUMNS, RAW_TRIP
 from cabmill.sinks.store import Store
 from cabmill.sources import csv_ingest, tables
 from cabmill.sources.derived_trips import raw_trip_tables, raw_trips
-from cabmill.sources.shared import shared_dir, written
+from cabmill.sources.shared import Scratch, on_release, written
 
-# A backfill interval that covers every trip of the given tables.
-HISTORY = (date(1992, 1, 1), date(2005, 12, 31))
 # Interval of the queries that show how an interval cuts the data.
 THREE_YEARS = (date(1997, 1, 1), date(1999, 12, 31))
 
@@ -25,8 +23,7 @@ _RATIOS = {"avg_speed_mph", "avg_fare_per_mile", "avg_revenue_per_minute", "avg_
 
 
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    start, end = HISTORY
-    return trips.base_trip(raw_trips(spark, sf_dir), start=start, end=end)
+    return trips.base_trip(raw_trips(spark, sf_dir))
 
 
 def _enriched(spark, sf_dir):
@@ -44,8 +41,7 @@ def _rounded(mart: DataFrame) -> DataFrame:
 
 
 def base_trip(spark, sf_dir):
-    start, end = HISTORY
-    return trips.base_trip(*raw_trip_tables(spark, sf_dir), start=start, end=end)
+    return trips.base_trip(*raw_trip_tables(spark, sf_dir))
 
 
 def base_trip_interval(spark, sf_dir):
@@ -113,9 +109,20 @@ def distance_cohort(spark, sf_dir):
 def _store(spark: SparkSession) -> Store:
     """A new store of its own, with tables below the shared folder."""
     tail = uuid.uuid4().hex[:12]
-    return Store(
-        spark, shared_dir(spark, "store"), env=f"q{tail}", namespace=f"cabmill_{tail}"
-    ).create()
+    location = Scratch(spark, "store").path(keep=True)
+    store = Store(spark, location, env=f"q{tail}", namespace=f"cabmill_{tail}").create()
+    on_release(spark, store.drop)
+    return store
+
+
+def _beside(store: Store, name: str) -> Store:
+    """Another environment over the same store."""
+    return Store(store.spark, store.location, f"{store.env}_{name}", store.namespace)
+
+
+def _first_and_last_day(rows: DataFrame, time_column: str) -> tuple[date, date]:
+    day = F.col(time_column).cast("date")
+    return tuple(rows.agg(F.min(day), F.max(day)).first())
 
 
 # The re-run interval starts and ends inside a month.
@@ -124,14 +131,61 @@ EARLY_END = date(1997, 12, 31)
 
 
 def time_range_replace(spark, sf_dir):
-    """Load the history, then re-run an interval with fewer trips; some days become empty."""
+    """Load the history, then re-run an interval with fewer trips; some days become empty.
+    Each write is a new version of a small table."""
+    store, base = _store(spark), _base(spark, sf_dir)
+    history = _first_and_last_day(base, trips.PICKUP)
+    store.replace_days(daily_run.BASE, base, trips.PICKUP, *history)
+    again = trips.cleaned_trip(base).where("payment_type = 1")
+    store.replace_days(daily_run.BASE, again, trips.PICKUP, *RERUN)
+    return store.read(daily_run.BASE)
+
+
+def time_range_replace_day(spark, sf_dir):
+    """The same with day partitions, as large tables are replaced."""
     store, base = _store(spark), _base(spark, sf_dir)
-    store.replace_interval(daily_run.BASE, base, trips.PICKUP, *HISTORY, grain="month")
+    history = _first_and_last_day(base, trips.PICKUP)
+    store.replace_interval(daily_run.BASE, base, trips.PICKUP, *history)
     again = trips.cleaned_trip(base).where("payment_type = 1")
-    store.replace_interval(daily_run.BASE, again, trips.PICKUP, *RERUN, grain="month")
+    store.replace_interval(daily_run.BASE, again, trips.PICKUP, *RERUN)
     return store.read(daily_run.BASE)
 
 
+def env_isolation(spark, sf_dir):
+    """Two environments write the same models, by interval and by key; rows of both.
+
+    The second starts from the first one's rows, then replaces an interval and upserts; the
+    first goes on without seeing any of it.
+    """
+    first = _store(spark)
+    second = _beside(first, "b")
+    enriched = _enriched(spark, sf_dir).selectExpr("pickup_date", "pickup_hour", "payment_type", "vendorid")
+    per_day = enriched.groupBy("pickup_date", "vendorid").agg(F.count("*").alias("trips"))
+    days, rerun = "mart.vendor_days", enriched.where("payment_type = 1")
+    rerun = rerun.groupBy("pickup_date", "vendorid").agg(F.count("*").alias("trips"))
+    keyed = "mart.vendor_last"
+    last = lambda rows: rows.groupBy("vendorid").agg(F.max("pickup_date").alias("last_day"))
+    early = enriched.where(F.col("pickup_date") <= EARLY_END)
+
+    first.replace_interval(days, per_day, "pickup_date", *_first_and_last_day(per_day, "pickup_date"))
+    first.upsert(keyed, last(enriched), ["vendorid"])
+    second.fork(first, [days, keyed])
+    second.replace_interval(days, rerun.select("trips", "vendorid", "pickup_date"), "pickup_date", *RERUN)
+    second.upsert(keyed, last(early.where("vendorid = 1")), ["vendorid"])
+    first.upsert(keyed, last(early.where("vendorid = 2")), ["vendorid"])
+    rows = []
+    for label, store in (("first", first), ("second", second)):
+        mark = F.lit(label).alias("environment")
+        rows.append(store.read(days).select(mark, F.lit("days").alias("model"), "vendorid", F.col("pickup_date").alias("day"), "trips"))
+        rows.append(
+            store.read(keyed).select(
+                mark, F.lit("last").alias("model"), "vendorid", F.col("last_day").alias("day"),
+                F.lit(None).cast("long").alias("trips"),
+            )
+        )
+    return reduce(DataFrame.unionByName, rows)
+
+
 def full_refresh(spark, sf_dir):
     """Build the date dimension from the early trips, then rebuild it from all trips."""
     store, enriched = _store(spark), _enriched(spark, sf_dir)
@@ -156,7 +210,7 @@ def upsert_by_key(spark, sf_dir):
 def publish_env(spark, sf_dir):
     """Two environments over one store: each keeps the version that was published to it."""
     first, enriched = _store(spark), _enriched(spark, sf_dir)
-    second = Store(spark, first.location, f"{first.env}_b", first.namespace)
+    second = _beside(first, "b")
     early = enriched.where(F.col("pickup_date") <= EARLY_END)
     first.refresh("mart.dim_date", dimensions.dim_date(early))
     second.refresh("mart.dim_date", dimensions.dim_date(enriched))
@@ -167,13 +221,31 @@ def publish_env(spark, sf_dir):
     return seen[0].unionByName(seen[1])
 
 
-def daily_run_counts(spark, sf_dir):
-    """The whole flow in two intervals; rows of every published model."""
-    store = _store(spark)
-    raw = raw_trip_tables(spark, sf_dir)
+_RUNS: dict[tuple[str, str], Store] = {}
+
+
+def _two_runs(spark, sf_dir) -> Store:
+    """A store after the whole flow in two intervals, over all given trips. Queries of one
+    application share it until their results are released."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _RUNS:
+        _RUNS[key] = _run_twice(spark, sf_dir)
+        on_release(spark, lambda: _RUNS.pop(key, None))
+    return _RUNS[key]
+
+
+def _run_twice(spark, sf_dir) -> Store:
+    store, raw = _store(spark), raw_trip_tables(spark, sf_dir)
+    start, end = _first_and_last_day(raw_trips(spark, sf_dir), trips.PICKUP)
     middle = date(1998, 5, 20)
-    daily_run.run(store, raw, HISTORY[0], middle, trip_grain="month")
-    daily_run.run(store, raw, date(1998, 5, 21), HISTORY[1], trip_grain="month")
+    daily_run.run(store, raw, start, middle)
+    daily_run.run(store, raw, date(1998, 5, 21), end)
+    return store
+
+
+def daily_run_counts(spark, sf_dir):
+    """Rows of every published model after two runs."""
+    store = _two_runs(spark, sf_dir)
     return reduce(
         DataFrame.unionByName,
         (
@@ -183,6 +255,28 @@ def daily_run_counts(spark, sf_dir):
     )
 
 
+def _stored_mart(model: str):
+    """A mart as its readers see it after two runs."""
+    return lambda spark, sf_dir: _rounded(_two_runs(spark, sf_dir).read(model))
+
+
+def published_base(spark, sf_dir):
+    """Counts and averages over the published base trips of an environment."""
+    store, base = _store(spark), base_trip(spark, sf_dir)
+    store.refresh(daily_run.BASE, base)
+    return store.read(daily_run.BASE).agg(
+        F.count(F.lit(1)).alias("row_count"), F.avg("passenger_count").alias("avg_passenger_count")
+    )
+
+
+def two_windows(spark, sf_dir):
+    """Rows of an interval by timestamp and, in the same statement, by date."""
+    start, end = THREE_YEARS
+    base = trips.base_trip(*raw_trip_tables(spark, sf_dir), start=start, end=end)
+    within = F.expr(f"CAST({trips.PICKUP} AS DATE) BETWEEN DATE '{RERUN[0]}' AND DATE '{RERUN[1]}'")
+    return base.where(within)
+
+
 # -- contracts ---------------------------------------------------------------------------------
 
 
@@ -198,22 +292,17 @@ def schema_contract(spark, sf_dir):
 
 
 def fk_audit(spark, sf_dir):
-    """All trips against dimensions that were last built at EARLY_END."""
+    """All trips against dimensions that were last built at EARLY_END.
+
+    One pass over the trips: what is left are the key combinations with their trips.
+    """
+    names = dimensions.KEY_COLUMNS
     keys = written(
-        _enriched(spark, sf_dir).select(
-            "pickup_date", "pickup_hour", "vendorid", "payment_type", "ratecodeid"
-        ),
-        "star-keys",
+        _enriched(spark, sf_dir).groupBy(*names).agg(F.count(F.lit(1)).alias("trips")), "star-keys"
     )
     early = keys.where(F.col("pickup_date") <= EARLY_END)
     dims = {name.split(".")[1]: build(early) for name, build in daily_run.DIMENSIONS.items()}
-    fact = keys.selectExpr(
-        "pickup_date AS date_key",
-        "pickup_hour AS time_key",
-        "vendorid AS vendor_key",
-        "payment_type AS payment_type_key",
-        "ratecodeid AS rate_code_key",
-    )
+    fact = keys.withColumnsRenamed(dict(zip(names, quality.STAR_KEYS, strict=True)))
     return quality.star_key_audit(fact, dims)
 
 
@@ -242,10 +331,16 @@ def head_trips(spark, sf_dir):
 
 
 def table_profile(spark, sf_dir):
-    profiled = explore.profile(tables.spread(raw_trips(spark, sf_dir)))
+    profiled = explore.profile(raw_trips(spark, sf_dir))
     return profiled.withColumns({"mean": F.round("mean", 8), "std": F.round("std", 6)})
 
 
+def fact_profile(spark, sf_dir):
+    """The fact table's profile: whole numbers, amounts, times, texts and its flags."""
+    profiled = explore.profile(_fact(spark, sf_dir))
+    return profiled.withColumns({"mean": F.round("mean", 6), "std": F.round("std", 4)})
+
+
 def group_size_window(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "event_type")
     return explore.with_group_size(events, ["event_type"], "name_count")
@@ -269,7 +364,9 @@ _GIVEN_TABLES = (
 def catalog_tables(spark, sf_dir):
     """Register the given files as tables of a namespace, list them and count their rows."""
     namespace = f"cabmill_{uuid.uuid4().hex[:12]}"
-    spark.sql(f"CREATE DATABASE {namespace} LOCATION '{shared_dir(spark, 'catalog')}'")
+    folder = Scratch(spark, "catalog").path(keep=True)
+    spark.sql(f"CREATE DATABASE {namespace} LOCATION '{folder}'")
+    on_release(spark, lambda: spark.sql(f"DROP DATABASE IF EXISTS {namespace} CASCADE"))
     for name in _GIVEN_TABLES:
         path = f"{sf_dir}/{name}.parquet"
         spark.sql(f"CREATE TABLE {namespace}.{name} USING parquet OPTIONS (path '{path}')")
@@ -279,8 +376,12 @@ def catalog_tables(spark, sf_dir):
         )
         for name in _GIVEN_TABLES
     )
-    listed = tables.tables_in(spark, namespace).select("table_name")
-    return listed.join(reduce(DataFrame.unionByName, counts), "table_name")
+    listed = tables.namespaces(spark).where(F.col("namespace") == namespace).join(
+        tables.tables_in(spark, namespace), "namespace"
+    )
+    return listed.join(reduce(DataFrame.unionByName, counts), "table_name").select(
+        F.lit("given").alias("namespace"), "table_name", "row_count"
+    )
 
 
 # -- ingest and backends -----------------------------------------------------------------------
@@ -293,17 +394,22 @@ def _labelled(column: str, frames: dict[str, DataFrame]) -> DataFrame:
 
 
 def csv_ingest_report(spark, sf_dir):
-    """Write both raw tables as CSV, some lines unreadable, ingest them and compare."""
+    """Write both raw tables as CSV, some lines unreadable, and beside them a file with a wrong
+    header; ingest all into one raw table and compare."""
     loads, accepted, differing = {}, {}, {}
     bad = F.col("improvement_surcharge").isNull()
     for name, raw in zip(("trips_1", "trips_2"), raw_trip_tables(spark, sf_dir), strict=True):
-        source, target = shared_dir(spark, f"{name}-csv"), shared_dir(spark, name)
+        scratch = Scratch(spark, f"{name}-csv")
+        source, target = scratch.path(keep=True), scratch.path(keep=True)
         texts = raw.select(*(F.col(c).cast("string").alias(c) for c in RAW_COLUMNS)).withColumn(
             trips.DROPOFF, F.when(bad, "unreadable").otherwise(F.col(trips.DROPOFF))
         )
         texts.write.option("header", True).csv(source)
-        loads[name] = csv_ingest.ingest_csv(spark, source, target).agg(
-            F.sum("row_count").alias("row_count"), F.sum("corrupt_rows").alias("corrupt_rows")
+        spark.range(1).write.option("header", True).mode("append").csv(source)
+        report = csv_ingest.ingest_csv(spark, source, target)
+        loads[name] = report.agg(
+            F.sum("row_count").alias("row_count"), F.sum("corrupt_rows").alias("corrupt_rows"),
+            (F.count_if(F.col("status") == csv_ingest.WRONG_HEADER) > 0).cast("long").alias("wrong_headers"),
         )
         good = csv_ingest.accepted_rows(spark, target)
         accepted[name] = good.agg(F.count(F.lit(1)).alias("accepted_rows"))
@@ -323,7 +429,7 @@ def source_parity(spark, sf_dir):
     base = base_trip(spark, sf_dir)
     backends = {}
     for file_format in ("parquet", "orc"):
-        path = shared_dir(spark, f"parity-{file_format}")
+        path = Scratch(spark, f"parity-{file_format}").path(keep=True)
         base.write.format(file_format).save(path)
         backends[file_format] = tables.scan(spark, path, file_format)
     answers = {
@@ -360,10 +466,18 @@ QUERIES = {
     "payment_method": payment_method,
     "distance_cohort": distance_cohort,
     "time_range_replace": time_range_replace,
+    "time_range_replace_day": time_range_replace_day,
+    "env_isolation": env_isolation,
     "full_refresh": full_refresh,
     "upsert_by_key": upsert_by_key,
     "publish_env": publish_env,
     "daily_run": daily_run_counts,
+    **{
+        f"daily_run_{model.removeprefix('mart.analytics_')}": _stored_mart(model)
+        for model in daily_run.MARTS
+    },
+    "published_base": published_base,
+    "two_windows": two_windows,
     "schema_contract": schema_contract,
     "fk_audit": fk_audit,
     "trip_key_duplicates": trip_key_duplicates,
@@ -372,6 +486,7 @@ QUERIES = {
     "trips_per_day": trips_per_day,
     "head_trips": head_trips,
     "table_profile": table_profile,
+    "fact_profile": fact_profile,
     "group_size_window": group_size_window,
     "global_row_number": global_row_number,
     "schema_rows": schema_rows,

@@ -1,52 +1,65 @@
 """Materialised models: physical tables, published per environment as views.
 
-A physical table lives in `<namespace>_physical`; readers use the view `<schema>__<env>.<model>`
-(`<schema>.<model>` in production). Three kinds of write:
-
-* `replace_interval`  recompute the days [start, end] and replace exactly those days;
-* `refresh`           rebuild the whole table as a new version, then switch the view;
-* `upsert`            merge a batch by key into a new version, then switch the view.
+A physical table lives in `<namespace>_physical` and belongs to one environment; readers use the
+view `<schema>__<env>.<model>` (`<schema>.<model>` in production). Four kinds of write:
+
+* `replace_interval`  recompute the days [start, end] of a large table, partitioned by day;
+* `replace_days`      the same for a small table, as a new version of the whole;
+* `refresh`           rebuild the whole table as a new version;
+* `upsert`            merge a batch by key into a new version.
+
+A new version never touches the files of the one before, and the view switches to it when it is
+complete, so a write that fails half-way leaves the published rows as they were. An interval
+replace overwrites day partitions one by one; it never rewrites a day outside the interval, and
+a failed one is repaired by running it again.
 """
 
+import getpass
+import re
+import threading
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from cabmill.operators.quality import check_output_shape
-from cabmill.sources.shared import written
+from cabmill.sources.shared import Scratch
 
 PRODUCTION = "prod"
-GRAIN_COLUMN = {"day": "part_day", "month": "part_month", "year": "part_year"}
-_FIRST_DAY = {
-    "day": lambda day: day,
-    "month": lambda day: day.replace(day=1),
-    "year": lambda day: day.replace(month=1, day=1),
-}
+_HIDDEN_DAY = "part_day"
+_SOURCE = "cabmill.table"  # property of a view: the physical table it reads
+_SETTINGS = threading.Lock()
+
+
+def default_environment() -> str:
+    """`dev_<user>`: production is written only by those who name it."""
+    return "dev_" + re.sub(r"\W", "_", getpass.getuser())
 
 
 @contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """Overwrite only the partitions a write holds. `insertInto` reads the session setting."""
-    name = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
-@dataclass(frozen=True)
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting that a write reads; writes of one process take turns."""
+    with _SETTINGS:
+        before = spark.conf.get(name)
+        spark.conf.set(name, value)
+        try:
+            yield
+        finally:
+            spark.conf.set(name, before)
+
+
+@dataclass
 class Store:
     spark: SparkSession
     location: str  # shared folder that holds the physical tables
-    env: str = PRODUCTION
+    env: str = field(default_factory=default_environment)
     namespace: str = "cabmill"
+    _pending: dict[str, tuple[str, list[str]]] | None = field(default=None, init=False)
 
     @property
     def physical(self) -> str:
@@ -58,7 +71,13 @@ class Store:
         )
         return self
 
-    # -- names -----------------------------------------------------------------------------
+    def drop(self) -> None:
+        """Remove the views of this environment, and every physical table of the store."""
+        for schema in self._schemas():
+            self.spark.sql(f"DROP DATABASE IF EXISTS {schema} CASCADE")
+        self.spark.sql(f"DROP DATABASE IF EXISTS {self.physical} CASCADE")
+
+    # -- names and views -------------------------------------------------------------------
 
     def view(self, model: str) -> str:
         schema, name = model.split(".")
@@ -66,12 +85,30 @@ class Store:
         return f"{schema}{suffix}.{name}"
 
     def _table(self, model: str) -> str:
-        return f"{self.physical}.{model.replace('.', '__')}"
+        return f"{self.physical}.{self.env}__{model.replace('.', '__')}"
+
+    def _schemas(self) -> list[str]:
+        """Databases that hold views of this store, of any environment."""
+        found = []
+        for row in self.spark.sql("SHOW DATABASES").collect():
+            where = self.spark.sql(f"DESCRIBE DATABASE {row.namespace}").where(
+                "info_name = 'Location'"
+            ).first()
+            if where and f"{self.location}/views/" in where.info_value + "/":
+                found.append(row.namespace)
+        return found
 
     def read(self, model: str) -> DataFrame:
+        if self._pending and model in self._pending:
+            table, columns = self._pending[model]
+            return self.spark.table(table).select(*columns)
         return self.spark.table(self.view(model))
 
     def publish(self, model: str, table: str, columns: Sequence[str]) -> None:
+        """Let this environment's view of the model read a physical table."""
+        if self._pending is not None:
+            self._pending[model] = table, list(columns)
+            return
         view = self.view(model)
         # A schema of views only; it lies beside the physical tables, so every driver sees it.
         schema = view.split(".")[0]
@@ -79,51 +116,69 @@ class Store:
             f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{self.location}/views/{schema}'"
         )
         self.spark.sql(
-            f"CREATE OR REPLACE VIEW {view} AS SELECT {', '.join(columns)} FROM {table}"
+            f"CREATE OR REPLACE VIEW {view} TBLPROPERTIES ('{_SOURCE}' = '{table}')"
+            f" AS SELECT {', '.join(columns)} FROM {table}"
         )
 
+    @contextmanager
+    def one_switch(self) -> Iterator[None]:
+        """Writes inside the block are published together at its end, and not at all if it
+        fails; inside, `read` sees them."""
+        self._pending = {}
+        try:
+            yield
+            pending = self._pending
+        finally:
+            self._pending = None
+        for model, (table, columns) in pending.items():
+            self.publish(model, table, columns)
+
+    def published(self, model: str) -> str | None:
+        """The physical table that this environment's readers see."""
+        if self._pending and model in self._pending:
+            return self._pending[model][0]
+        if not self.spark.catalog.tableExists(self.view(model)):
+            return None
+        return self._source(self.view(model))
+
+    def _source(self, view: str) -> str | None:
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {view}").where(f"key = '{_SOURCE}'").collect()
+        return rows[0].value if rows else None
+
+    def fork(self, source: "Store", models: Sequence[str]) -> None:
+        """Start from another environment's rows: views only, copied when first written to."""
+        for model in models:
+            self.publish(model, source.published(model), source.read(model).columns)
+
     # -- replace an interval ---------------------------------------------------------------
 
     def replace_interval(
-        self,
-        model: str,
-        batch: DataFrame,
-        time_column: str,
-        start: date,
-        end: date,
-        grain: str = "day",
+        self, model: str, batch: DataFrame, time_column: str, start: date, end: date,
         clustered: bool = False,
-    ) -> None:
+    ) -> None:
         """Make the table hold exactly `batch` for the days start..end; leave other days.
 
-        `grain` is the partition width: days for large tables, months or years for small ones,
-        where a partition per day would be a tiny file. A partition that the interval covers
-        in part is rewritten together with its other days. `clustered` says that the batch
-        already comes in files of few partitions (a narrow step over such a table), which
-        spares the shuffle that otherwise gathers each partition into few files. That shuffle
-        is a rebalance: a partition that holds a large part of all rows is split over tasks.
+        The table is partitioned by `time_column` if that is a date, so that a filter on it
+        prunes the published view; else by a hidden day (`interval` prunes by it). `clustered`
+        says that the batch already comes in files of few partitions (a narrow step over such a
+        table), which spares the shuffle that otherwise gathers each partition into few files.
+        That shuffle is a rebalance: a partition that holds a large part of all rows is split
+        over tasks.
         """
         check_output_shape(batch.columns)
-        part = GRAIN_COLUMN[grain]
-        part_of = f"CAST({time_column} AS DATE)"
-        if grain != "day":
-            part_of = f"trunc({part_of}, '{grain}')"
-        within = f"CAST({time_column} AS DATE) BETWEEN DATE '{start}' AND DATE '{end}'"
-        rows = batch.where(within).selectExpr("*", f"{part_of} AS {part}")
-        table = self._interval_table(model, rows, part)
-        first, last = _FIRST_DAY[grain](start), _FIRST_DAY[grain](end)
-        if grain != "day":
-            # Only the first and the last partition can hold days outside the interval.
-            edges = f"{part} IN (DATE '{first}', DATE '{last}') AND NOT ({within})"
-            rows = rows.unionByName(self.spark.table(table).where(edges))
+        rows, part = self._with_day(batch, time_column)
+        rows = rows.where(f"{part} BETWEEN DATE '{start}' AND DATE '{end}'")
+        table = self._table(model)
+        if not self.spark.catalog.tableExists(table):
+            self._create(table, rows, part)
+            if self.published(model):  # another environment's rows, until now
+                copy, _ = self._with_day(self.read(model), time_column)
+                self._insert(table, copy.hint("rebalance", part))
+        held = self._partitions(table, part, start, end)
         if not clustered:
             rows = rows.hint("rebalance", part)
-
-        held = self._partitions(table, part, first, last)
         seen = Observation()
-        rows = rows.observe(seen, F.collect_set(part).alias("parts"))
-        with _dynamic_overwrite(self.spark):
-            rows.write.mode("overwrite").insertInto(table)
+        self._insert(table, rows.observe(seen, F.collect_set(part).alias("parts")))
         # Dynamic overwrite leaves partitions that got no rows; those hold stale days now.
         stale = held - {str(p) for p in seen.get["parts"]}
         if stale:
@@ -131,21 +186,41 @@ class Store:
             self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {drops}")
         self.publish(model, table, batch.columns)
 
-    def interval(self, model: str, start: date, end: date, grain: str = "day") -> DataFrame:
-        """Rows of the partitions that touch start..end, read with partition pruning."""
-        part = GRAIN_COLUMN[grain]
-        low = _FIRST_DAY[grain](start)
-        table = self.spark.table(self._table(model))
-        return table.where(f"{part} BETWEEN DATE '{low}' AND DATE '{end}'").drop(part)
+    def interval(self, model: str, time_column: str, start: date, end: date) -> DataFrame:
+        """Rows of the days start..end, read with partition pruning."""
+        rows = self.spark.table(self._table(model))
+        part = time_column if isinstance(rows.schema[time_column].dataType, DateType) else _HIDDEN_DAY
+        rows = rows.where(f"{part} BETWEEN DATE '{start}' AND DATE '{end}'")
+        return rows.drop(_HIDDEN_DAY)
 
-    def _interval_table(self, model: str, rows: DataFrame, part: str) -> str:
-        table = self._table(model)
-        if not self.spark.catalog.tableExists(table):
-            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
-            self.spark.sql(
-                f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({part})"
-            )
-        return table
+    def replace_days(
+        self, model: str, batch: DataFrame, time_column: str, start: date, end: date
+    ) -> None:
+        """The same for a small table, as a new version: the days outside the interval are read
+        from the version now published, which stays as it is."""
+        within = F.expr(f"CAST({time_column} AS DATE) BETWEEN DATE '{start}' AND DATE '{end}'")
+        rows = batch.where(within)
+        if self.published(model):
+            kept = self.read(model)
+            check_same_columns(kept, batch)
+            rows = rows.unionByName(kept.where(~F.coalesce(within, F.lit(False))))
+        self.refresh(model, rows.select(*batch.columns))
+
+    @staticmethod
+    def _with_day(batch: DataFrame, time_column: str) -> tuple[DataFrame, str]:
+        if isinstance(batch.schema[time_column].dataType, DateType):
+            return batch, time_column
+        return batch.withColumn(_HIDDEN_DAY, F.col(time_column).cast("date")), _HIDDEN_DAY
+
+    def _create(self, table: str, rows: DataFrame, part: str) -> None:
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+        self.spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({part})")
+
+    def _insert(self, table: str, rows: DataFrame) -> None:
+        held = self.spark.table(table)
+        check_same_columns(held, rows)
+        with _setting(self.spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            rows.select(*held.columns).write.mode("overwrite").insertInto(table)
 
     def _partitions(self, table: str, part: str, first: date, last: date) -> set[str]:
         """Partition values in first..last; at most one per day of the interval."""
@@ -161,7 +236,7 @@ class Store:
         check_output_shape(frame.columns)
         versions = self.versions(model)
         number = int(versions[-1].rsplit("__v", 1)[1].split("_")[0]) + 1 if versions else 1
-        # The random tail keeps a retry clear of files that a failed write left behind.
+        # The random tail keeps a retry, or a write at the same time, clear of other files.
         table = f"{self._table(model)}__v{number:06d}_{uuid.uuid4().hex[:8]}"
         frame.write.format("parquet").saveAsTable(table)
         self.publish(model, table, frame.columns)
@@ -173,25 +248,43 @@ class Store:
         """Insert the batch, replacing rows with the same key; NULL keys match each other.
 
         If the batch repeats a key, its largest row by `order_by` (then by all columns) wins.
+        The merge starts from the version this environment has published.
         """
-        # Computed once, though the merge reads it twice; if small, it is broadcast.
-        latest = written(last_per_key(batch, key, order_by), "batch")
-        versions = self.versions(model)
-        if not versions:
-            return self.refresh(model, latest)
-        # Readers of the current version are not disturbed: the merge is a new version.
-        current = self.spark.table(versions[-1])
-        return self.refresh(model, merge_by_key(current, latest, key))
+        with Scratch(self.spark, "upsert") as scratch:
+            # Computed once, though the merge reads it twice; if small, it is broadcast.
+            latest = scratch.written(last_per_key(batch, key, order_by))
+            if not self.published(model):
+                return self.refresh(model, latest)
+            current = self.read(model)
+            check_same_columns(current, latest)
+            return self.refresh(model, merge_by_key(current, latest, key))
 
     def versions(self, model: str) -> list[str]:
-        """Written versions, oldest first."""
+        """This environment's written versions, oldest first."""
         prefix = self._table(model).split(".")[1] + "__v"
         tables = self.spark.sql(f"SHOW TABLES IN {self.physical} LIKE '{prefix}*'").collect()
         return sorted(f"{self.physical}.{t.tableName}" for t in tables)
 
     def drop_old_versions(self, model: str, keep: int = 2) -> None:
+        """Drop all but the newest versions and those that a view of any environment reads."""
+        read = {
+            self._source(f"{schema}.{v.viewName}")
+            for schema in self._schemas()
+            for v in self.spark.sql(f"SHOW VIEWS IN {schema}").collect()
+            if not v.isTemporary
+        }
         for table in self.versions(model)[:-keep]:
-            self.spark.sql(f"DROP TABLE {table}")
+            if table not in read:
+                self.spark.sql(f"DROP TABLE {table}")
+
+
+def check_same_columns(held: DataFrame, batch: DataFrame) -> None:
+    """Refuse a batch with missing, extra or retyped columns; their order is free."""
+    want = {f.name: f.dataType.simpleString() for f in held.schema}
+    have = {f.name: f.dataType.simpleString() for f in batch.schema}
+    if want != have:
+        wrong = sorted(n for n in {*want, *have} if want.get(n) != have.get(n))
+        raise ValueError(f"columns differ from the stored table's: {wrong}")
 
 
 def last_per_key(batch: DataFrame, key: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:

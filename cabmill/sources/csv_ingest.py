@@ -1,13 +1,30 @@
-"""Batch ingest of raw trip CSV files against the declared schema."""
+"""Batch ingest of raw trip CSV files against the declared schema.
+
+    spark-submit cabmill/sources/csv_ingest.py --source /in --target /lake/raw [--prefix 2015]
+
+prints a line per file and the totals, and exits with 1 if a file failed.
+"""
+
+import argparse
+import sys
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from cabmill.schemas import RAW_COLUMNS, RAW_TRIP
 
 _CORRUPT = "_corrupt_record"
-_ACCEPTED, _REJECTED = "accepted=true", "accepted=false"
+SUCCESS, BAD_LINES, WRONG_HEADER = "success", "bad lines", "wrong header"
+# The raw table: a partition per source file, bad lines beside the good rows.
+_STORED = StructType(
+    [
+        *RAW_TRIP,
+        StructField(_CORRUPT, StringType()),
+        StructField("accepted", BooleanType()),
+        StructField("source_file", StringType()),
+    ]
+)
 
 
 def list_csv(spark: SparkSession, directory: str, prefix: str = "") -> DataFrame:
@@ -25,81 +42,113 @@ def _file_name(path):
     return F.url_decode(F.element_at(F.split(path, "/"), -1))
 
 
+def files_with_header(spark: SparkSession, directory: str, prefix: str = "") -> DataFrame:
+    """(source_file) of the files that hold the declared header line, by name, ignoring case,
+    quotes and blanks. Lines are compared as text, nothing is parsed."""
+    lines = spark.read.option("pathGlobFilter", f"{prefix}*.csv").text(directory)
+    plain = F.regexp_replace(F.lower("value"), r'["\s\x{FEFF}]', "")
+    return (
+        lines.where(plain == ",".join(RAW_COLUMNS))
+        .select(_file_name(F.col("_metadata.file_path")).alias("source_file"))
+        .distinct()
+    )
+
+
 def read_csv(spark: SparkSession, directory: str, prefix: str = "") -> DataFrame:
-    """Typed rows of all files, in one distributed read.
+    """Typed rows of all files that hold the declared header, in one distributed read.
 
-    A line that does not fit the schema keeps its text in `_corrupt_record`. The header of
-    every file is compared with the schema by name, ignoring case.
+    A line that does not fit the schema keeps its text in `_corrupt_record`.
     """
     with_corrupt = StructType([*RAW_TRIP, StructField(_CORRUPT, StringType())])
     rows = (
         spark.read.schema(with_corrupt)
         .option("header", True)
-        .option("enforceSchema", False)
+        .option("enforceSchema", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _CORRUPT)
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
         .option("pathGlobFilter", f"{prefix}*.csv")
         .csv(directory)
+        .withColumn("source_file", _file_name(F.col("_metadata.file_path")))
     )
-    return rows.withColumn("source_file", _file_name(F.col("_metadata.file_path")))
+    return rows.join(files_with_header(spark, directory, prefix), "source_file", "left_semi")
 
 
 def ingest_csv(spark: SparkSession, directory: str, target: str, prefix: str = "") -> DataFrame:
     """Load all CSV files of a directory into a raw table and report per file.
 
-    The files are parsed once. Good rows go to the raw table, bad lines beside it, so that no
-    line is lost; the report is read from what was written. `status` is `failed` for a file
-    with a bad line; `total`, `success` and `failed` are counts of such rows.
+    The table gets a partition per file: loading a file again replaces its rows, and files of
+    earlier loads stay. A file without the declared header loads nothing; of a file with bad
+    lines the good rows load, and the bad lines are kept beside them. Either counts as failed.
     """
-    rows = read_csv(spark, directory, prefix)
-    marked = rows.withColumn("accepted", F.col(_CORRUPT).isNull())
-    marked.write.partitionBy("accepted").mode("overwrite").parquet(target)
+    rows = read_csv(spark, directory, prefix).withColumn("accepted", F.col(_CORRUPT).isNull())
+    (
+        rows.select(*_STORED.names).write.partitionBy("source_file").mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").parquet(target)
+    )
     return load_report(spark, directory, target, prefix)
 
 
 def load_report(spark: SparkSession, directory: str, target: str, prefix: str = "") -> DataFrame:
-    loaded = (
-        spark.read.parquet(target)
-        if _has_rows(spark, target)
-        else spark.createDataFrame([], "source_file STRING, accepted BOOLEAN")
-    )
-    counts = loaded.groupBy("source_file").agg(
-        F.count(F.lit(1)).alias("_rows"), F.count_if(~F.col("accepted")).alias("_bad")
+    """(source_file, bytes, row_count, corrupt_rows, status) of the files of the directory."""
+    counts = (
+        spark.read.schema(_STORED).parquet(target).groupBy("source_file")
+        .agg(F.count("*").alias("_rows"), F.count_if(~F.col("accepted")).alias("_bad"))
+    )
+    headed = files_with_header(spark, directory, prefix).withColumn("_headed", F.lit(True))
+    status = (
+        F.when(F.col("_headed").isNull() & (F.col("bytes") > 0), WRONG_HEADER)
+        .when(F.col("_bad") > 0, BAD_LINES)
+        .otherwise(SUCCESS)
     )
     return (
         list_csv(spark, directory, prefix)
+        .join(headed, "source_file", "left")
         .join(counts, "source_file", "left")
         .select(
             "source_file",
             "bytes",
             F.coalesce("_rows", F.lit(0)).alias("row_count"),
             F.coalesce("_bad", F.lit(0)).alias("corrupt_rows"),
-            F.when(F.col("_bad") > 0, "failed").otherwise("success").alias("status"),
+            status.alias("status"),
         )
         .orderBy("source_file")
     )
 
 
-def _has_rows(spark: SparkSession, target: str) -> bool:
-    """A load of no rows at all leaves a directory without any partition to read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    return not files.option("pathGlobFilter", "*.parquet").load(target).select("path").isEmpty()
-
-
 def load_totals(report: DataFrame) -> DataFrame:
-    """One row: files seen, loaded without a bad line, and with one."""
+    """One row: files seen, loaded without a bad line, and failed."""
+    good = F.count_if(F.col("status") == SUCCESS)
     return report.agg(
         F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("status") == "success").alias("success"),
-        F.count_if(F.col("status") == "failed").alias("failed"),
+        good.alias("success"),
+        (F.count(F.lit(1)) - good).alias("failed"),
     )
 
 
 def accepted_rows(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.schema(RAW_TRIP).parquet(f"{target}/{_ACCEPTED}").select(*RAW_COLUMNS)
+    return spark.read.schema(_STORED).parquet(target).where("accepted").select(*RAW_COLUMNS)
 
 
 def rejected_lines(spark: SparkSession, target: str) -> DataFrame:
-    rows = spark.read.parquet(f"{target}/{_REJECTED}")
+    rows = spark.read.schema(_STORED).parquet(target).where("NOT accepted")
     return rows.select("source_file", F.col(_CORRUPT).alias("line"))
+
+
+def main(argv: list[str] | None = None) -> int:
+    parser = argparse.ArgumentParser(description="Load the CSV files of a directory")
+    parser.add_argument("--source", required=True)
+    parser.add_argument("--target", required=True)
+    parser.add_argument("--prefix", default="")
+    args = parser.parse_args(argv)
+    spark = SparkSession.builder.appName("cabmill-ingest").getOrCreate()
+    report = ingest_csv(spark, args.source, args.target, args.prefix)
+    for r in report.toLocalIterator():
+        print(f"{r.source_file}: {r.row_count} rows, {r.corrupt_rows} unreadable, {r.status}")
+    totals = load_totals(report).first()
+    print(f"total {totals.total}, success {totals.success}, failed {totals.failed}")
+    return int(totals.failed > 0)
+
+
+if __name__ == "__main__":
+    sys.exit(main())

@@ -29,21 +29,13 @@ _TRIP = {
 }
 
 
-def _after_midnight(lineitem: DataFrame) -> str:
-    """A zone-free timestamp some seconds after the ship date, `{}` being the seconds.
-
-    In a UTC session an instant and a zone-free timestamp coincide, and the cast between them
-    is several times cheaper than `timestampadd`, which is right in every zone.
-    """
-    if lineitem.sparkSession.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC"):
-        midnight = "unix_date(CAST(l_shipdate AS DATE)) * 86400L"
-        return f"CAST(timestamp_seconds({midnight} + {{}}) AS TIMESTAMP_NTZ)"
-    return "timestampadd(SECOND, {}, l_shipdate)"
+# A zone-free timestamp some seconds after the ship date, `{}` being the seconds.
+_AFTER = "(l_shipdate + INTERVAL '1' SECOND * ({}))"
 
 
 def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
     part = _TRIP | {"tip": _TRIP["tip"].format(**_TRIP)}
-    after = _after_midnight(lineitem)
+    after = _AFTER
     columns = {
         "vendorid": "if(l_suppkey % 50 = 0, NULL, l_suppkey % 3 + 1)",
         "tpep_pickup_datetime": after.format("{sod}"),
@@ -54,11 +46,7 @@ def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
         "pickup_latitude": "{lat} / 100",
         "ratecodeid": "CASE WHEN l_suppkey % 20 = 7 THEN 99 WHEN l_orderkey % 61 = 0 THEN NULL"
         " ELSE l_partkey % 6 + 1 END",
-        # The flag is read twice on purpose: Spark compiles the filter and the projection as
-        # two methods only if the projection reads every column more than once, and as one
-        # method they are too long for the JIT compiler (five times slower).
-        "store_and_fwd_flag": "CASE WHEN l_returnflag = 'R' THEN 'Y'"
-        " WHEN l_returnflag IS NULL THEN 'N' ELSE 'N' END",
+        "store_and_fwd_flag": "if(l_returnflag = 'R', 'Y', 'N')",
         "dropoff_longitude": "({lon} + 3) / 100",
         "dropoff_latitude": "({lat} + 2) / 100",
         "payment_type": "{pay}",

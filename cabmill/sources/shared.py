@@ -1,7 +1,7 @@
 """Written intermediate tables in the folder that all executors share."""
 
-import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -9,23 +9,70 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder named by the session.
-
-    Only a local session without the setting falls back to a folder of this machine.
-    """
+    """A new, unused path below the shared folder named by the session."""
     base = spark.conf.get(_SETTING, None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError(f"{_SETTING} must name a folder that all executors share")
-        base = tempfile.gettempdir()
+        raise ValueError(f"{_SETTING} must name a folder that all executors share")
     return f"{base.rstrip('/')}/cabmill-{label}-{uuid.uuid4().hex}"
 
 
-def written(frame: DataFrame, label: str) -> DataFrame:
-    """The frame as a written table: computed once, independent of lost executors.
+def remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+# What results that are still lazy read, by application: their tables must outlive the call
+# that made them, and go when the caller says so.
+_RESULTS: dict[str, list[Callable[[], None]]] = {}
+
+
+def on_release(spark: SparkSession, action: Callable[[], None]) -> None:
+    _RESULTS.setdefault(spark.sparkContext.applicationId, []).append(action)
+
+
+def release_results(spark: SparkSession) -> int:
+    """Remove the tables that results of earlier calls read; call it once those are consumed."""
+    actions = _RESULTS.pop(spark.sparkContext.applicationId, [])
+    for action in reversed(actions):
+        action()
+    return len(actions)
+
 
-    Reading it back also gives the planner its true size, which decides joins below.
+class Scratch:
+    """Owner of the written tables of one computation.
+
+    A written table is computed once and does not depend on executors that may be lost later;
+    reading it back also gives the planner its true size, which decides joins below. Leaving the
+    `with` block removes the tables, except those written with `keep`: the result reads these,
+    and `release_results` removes them.
     """
-    path = shared_dir(frame.sparkSession, label)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.label = spark, label
+        self._paths: list[str] = []
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        for path in self._paths:
+            remove(self.spark, path)
+        self._paths.clear()
+
+    def path(self, keep: bool = False) -> str:
+        path = shared_dir(self.spark, self.label)
+        if keep:
+            on_release(self.spark, lambda: remove(self.spark, path))
+        else:
+            self._paths.append(path)
+        return path
+
+    def written(self, frame: DataFrame, keep: bool = False) -> DataFrame:
+        path = self.path(keep)
+        frame.write.parquet(path)
+        return self.spark.read.schema(frame.schema).parquet(path)
+
+
+def written(frame: DataFrame, label: str) -> DataFrame:
+    """The frame as a written table that a lazy result reads."""
+    return Scratch(frame.sparkSession, label).written(frame, keep=True)

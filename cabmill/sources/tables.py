@@ -21,16 +21,6 @@ def scan_table(spark: SparkSession, name: str) -> DataFrame:
     return table.select(*RAW_COLUMNS)
 
 
-def spread(table: DataFrame) -> DataFrame:
-    """Deal the rows of a small file over all cores, for work that multiplies every row.
-
-    Only a scan with fewer splits than cores is dealt out; a large table has more splits than
-    that and stays as it is.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
-
-
 def namespaces(spark: SparkSession) -> DataFrame:
     return spark.sql("SHOW NAMESPACES")
 
@@ -42,12 +32,12 @@ def tables_in(spark: SparkSession, namespace: str) -> DataFrame:
 
 
 def schema_rows(frame: DataFrame) -> DataFrame:
-    """The columns of a frame, (position, column_name, data_type, value_count)."""
-    counts = frame.agg(*(F.count(f.name).alias(f"_n{i}") for i, f in enumerate(frame.schema)))
+    """The columns of a frame, (position, column_name, data_type, row_count): names and types
+    from the metadata, and one count of the rows."""
     lines = ", ".join(
-        f"{i}, '{f.name}', '{f.dataType.simpleString()}', _n{i - 1}"
+        f"{i}, '{f.name}', '{f.dataType.simpleString()}', _rows"
         for i, f in enumerate(frame.schema, 1)
     )
-    return counts.selectExpr(
-        f"stack({len(frame.schema)}, {lines}) AS (position, column_name, data_type, value_count)"
+    return frame.agg(F.count(F.lit(1)).alias("_rows")).selectExpr(
+        f"stack({len(frame.schema)}, {lines}) AS (position, column_name, data_type, row_count)"
     )

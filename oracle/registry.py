@@ -61,7 +61,7 @@ def _contract():
 def _schema_rows():
     return _union(
         f"SELECT {i}::INTEGER AS position, '{name}' AS column_name, '{kind}' AS data_type,"
-        f" count({name}) AS value_count FROM raw"
+        f" count(*) AS row_count FROM raw"
         for i, (name, kind) in enumerate(_COLUMNS.items(), 1)
     )
 
@@ -79,7 +79,7 @@ def _audit():
     )
 
 
-def _profile():
+def _profile(columns, source, mean_places, std_places):
     points = {"min": None, "q25": 0.25, "q50": 0.5, "q75": 0.75, "max": None}
 
     def point(name, column):
@@ -87,30 +87,49 @@ def _profile():
         return f"quantile_disc({column}, {share})" if share else f"{name}({column})"
 
     lines = []
-    for name, kind in _COLUMNS.items():
-        number = kind in ("bigint", "double")
-        time = kind == "timestamp_ntz"
-        text = kind == "string"
+    for name, kind in columns.items():
+        number = kind in ("bigint", "int", "double")
+        time = kind in ("timestamp_ntz", "date")
+        text = kind in ("string", "boolean")
+        mean = f"round(avg({name}), {mean_places})"
+        if kind == "boolean":
+            mean = f"round(avg({name}::INT), {mean_places})"
         items = [
             f"'{name}' AS column_name",
             f"count({name}) AS count",
             f"count(*) - count({name}) AS null_count",
-            (f"round(avg({name}), 8)" if number else "NULL::DOUBLE") + " AS mean",
-            (f"round(stddev_samp({name}), 6)" if number else "NULL::DOUBLE") + " AS std",
+            (mean if number or kind == "boolean" else "NULL::DOUBLE") + " AS mean",
+            (f"round(stddev_samp({name}), {std_places})" if number else "NULL::DOUBLE") + " AS std",
         ]
         for p in points:
             value = f"CAST({point(p, name)} AS DOUBLE)" if number else "NULL::DOUBLE"
             items.append(f"{value} AS {p}")
-        mean = f"make_timestamp(CAST(sum(epoch_us({name})) // count({name}) AS BIGINT))"
+        stamp = f"{name}::TIMESTAMP"
+        mean = f"make_timestamp(CAST(sum(epoch_us({stamp})) // count({name}) AS BIGINT))"
         items.append((mean if time else "NULL::TIMESTAMP") + " AS mean_ts")
         for p in points:
-            items.append((point(p, name) if time else "NULL::TIMESTAMP") + f" AS {p}_ts")
+            items.append((point(p, stamp) if time else "NULL::TIMESTAMP") + f" AS {p}_ts")
         for p in ("min", "max"):
-            items.append((point(p, name) if text else "NULL::VARCHAR") + f" AS {p}_text")
-        lines.append(f"SELECT {', '.join(items)} FROM raw")
+            value = point(p, f"{name}::VARCHAR") if text else "NULL::VARCHAR"
+            items.append(f"{value} AS {p}_text")
+        lines.append(f"SELECT {', '.join(items)} FROM {source}")
     return _union(lines)
 
 
+_RENAMED = {
+    "vendorid": "vendor_key", "payment_type": "payment_type_key", "ratecodeid": "rate_code_key",
+    "tpep_pickup_datetime": "pickup_datetime", "tpep_dropoff_datetime": "dropoff_datetime",
+}
+_FACT_COLUMNS = {
+    "trip_key": "string",
+    **{_RENAMED.get(name, name): kind for name, kind in _COLUMNS.items()},
+    "date_key": "date", "time_key": "int", "trip_duration_minutes": "double",
+    "avg_speed_mph": "double", "fare_per_mile": "double", "tip_percentage": "double",
+    "revenue_per_minute": "double", "distance_category": "string", "duration_category": "string",
+    "is_rush_hour": "boolean", "is_weekend": "boolean", "is_airport_trip": "boolean",
+    "is_high_tip": "boolean",
+}
+
 _MODEL_COUNTS = {
     "intermediate.base_yellow_trip": "SELECT * FROM base",
     "intermediate.cleaned_yellow_trip": "SELECT * FROM cleaned",
@@ -132,6 +151,26 @@ _TABLES = (
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
+_REPLACED = chain(
+    RAW,
+    base(),
+    CLEANED,
+    select=f"SELECT * FROM base WHERE NOT ({_RERUN})"
+    f" UNION ALL SELECT * FROM cleaned WHERE {_RERUN} AND payment_type = 1",
+)
+
+_ISOLATION = """
+SELECT 'first' AS environment, 'days' AS model, vendorid, pickup_date AS day, count(*) AS trips
+FROM enriched GROUP BY ALL
+UNION ALL SELECT 'second', 'days', vendorid, pickup_date, count(*) FROM enriched
+WHERE pickup_date NOT BETWEEN DATE '1998-03-10' AND DATE '1999-02-20' OR payment_type = 1 GROUP BY ALL
+UNION ALL SELECT 'first', 'last', vendorid,
+ if(vendorid = 2, max(pickup_date) FILTER (WHERE pickup_date <= DATE '1997-12-31'), max(pickup_date)), NULL
+FROM enriched GROUP BY vendorid
+UNION ALL SELECT 'second', 'last', vendorid,
+ if(vendorid = 1, max(pickup_date) FILTER (WHERE pickup_date <= DATE '1997-12-31'), max(pickup_date)), NULL
+FROM enriched GROUP BY vendorid"""
+
 ORACLE = {
     "base_trip": chain(RAW, base(), select="SELECT * FROM base"),
     "base_trip_interval": chain(
@@ -146,13 +185,9 @@ ORACLE = {
         for name, cte in DIMENSIONS.items()
     },
     **{name: mart_sql(name) for name in MARTS},
-    "time_range_replace": chain(
-        RAW,
-        base(),
-        CLEANED,
-        select=f"SELECT * FROM base WHERE NOT ({_RERUN})"
-        f" UNION ALL SELECT * FROM cleaned WHERE {_RERUN} AND payment_type = 1",
-    ),
+    "time_range_replace": _REPLACED,
+    "time_range_replace_day": _REPLACED,
+    "env_isolation": through_enriched(select=_ISOLATION),
     "full_refresh": through_enriched(DIMENSIONS["dim_date"], select="SELECT * FROM dim_date"),
     "upsert_by_key": """
 SELECT user_id AS id, arg_max(event_type, (early, ts, event_type)) AS name,
@@ -170,6 +205,15 @@ FROM (SELECT *, ts < TIMESTAMP '2024-01-16 00:00:00' AS early FROM events) e GRO
             for model, rows in _MODEL_COUNTS.items()
         ),
     ),
+    **{f"daily_run_{name}": mart_sql(name) for name in MARTS},
+    "published_base": chain(
+        RAW,
+        base(),
+        select="SELECT count(*) AS row_count, avg(passenger_count) AS avg_passenger_count FROM base",
+    ),
+    "two_windows": chain(
+        RAW, base("1997-01-01", "1999-12-31"), select=f"SELECT * FROM base WHERE {_RERUN}"
+    ),
     "schema_contract": chain(RAW, select=_contract()),
     "fk_audit": through_enriched(select=_audit()),
     "trip_key_duplicates": through_enriched(
@@ -194,20 +238,23 @@ FROM (SELECT *, ts < TIMESTAMP '2024-01-16 00:00:00' AS early FROM events) e GRO
         + ", ".join(f"{c} NULLS FIRST" for c in _COLUMNS if c != "tpep_pickup_datetime")
         + " LIMIT 10",
     ),
-    "table_profile": chain(RAW, select=_profile()),
+    "table_profile": chain(RAW, select=_profile(_COLUMNS, "raw", 8, 6)),
+    "fact_profile": through_enriched(FACT, select=_profile(_FACT_COLUMNS, "fact", 6, 4)),
     "group_size_window": "SELECT event_id, event_type,"
     " count(*) OVER (PARTITION BY event_type) AS name_count FROM events",
     "global_row_number": "SELECT event_id, event_type, ts,"
     " row_number() OVER (ORDER BY ts, event_id) AS row_num FROM events",
     "schema_rows": chain(RAW, select=_schema_rows()),
     "catalog_tables": _union(
-        f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _TABLES
+        f"SELECT 'given' AS namespace, '{t}' AS table_name, count(*) AS row_count FROM {t}"
+        for t in _TABLES
     ),
     "csv_ingest_report": chain(
         RAW,
         select="SELECT if(tpep_pickup_datetime < DATE '1998-06-01', 'trips_1', 'trips_2')"
         " AS table_name, count(*) AS row_count,"
         " count(*) FILTER (WHERE improvement_surcharge IS NULL) AS corrupt_rows,"
+        " 1::BIGINT AS wrong_headers,"
         " count(improvement_surcharge) AS accepted_rows, 0::BIGINT AS differing_rows"
         " FROM raw GROUP BY 1",
     ),

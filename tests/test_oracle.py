@@ -2,19 +2,20 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from cabmill.registry import QUERIES
+from oracle.registry import ORACLE as SQL
 from tests.oracle_check import difference
 
-SQL = oracle_sql()
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(SQL)
+    assert set(QUERIES) == set(SQL)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sf_dir, duck, name):
-    assert difference(queries()[name](spark, sf_dir), duck, SQL[name]) is None
+    assert difference(QUERIES[name](spark, sf_dir), duck, SQL[name]) is None
 
 
 def test_entry(spark):

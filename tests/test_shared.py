@@ -1,6 +1,9 @@
+from pathlib import Path
+
 import pytest
 
-from cabmill.sources.shared import shared_dir, written
+from cabmill.registry import QUERIES
+from cabmill.sources.shared import Scratch, release_results, shared_dir, written
 
 
 class Conf(dict):
@@ -18,12 +21,40 @@ def test_the_folder_named_by_the_session_is_used():
     assert path.startswith("hdfs://x/shared/cabmill-t-")
 
 
-def test_only_a_local_session_falls_back_to_this_machine():
-    assert "cabmill-t-" in shared_dir(Session(spark_master="local[2]"), "t")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_dir(Session(spark_master="spark://host:7077"), "t")
+def test_the_folder_must_be_named():
+    for master in ("local[2]", "local-cluster[1,1,1024]", "spark://host:7077"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(Session(spark_master=master), "t")
+
+
+def files_in(spark):
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    return {p.name for p in folder.glob("cabmill-*")}
 
 
-def test_written_tables_are_read_from_files(spark, sf_dir):
+def test_written_tables_are_read_from_files(spark):
     frame = written(spark.range(10).selectExpr("id * 2 AS twice"), "test")
     assert frame.inputFiles() and frame.agg({"twice": "sum"}).first()[0] == 90
+
+
+def test_scratch_tables_have_an_owner(spark):
+    release_results(spark)
+    before = files_in(spark)
+    with pytest.raises(ZeroDivisionError), Scratch(spark, "test") as scratch:
+        scratch.written(spark.range(3))
+        assert len(files_in(spark) - before) == 1
+        1 / 0
+    assert files_in(spark) == before
+    with Scratch(spark, "test") as scratch:
+        kept = scratch.written(spark.range(3), keep=True)
+    assert kept.count() == 3 and len(files_in(spark) - before) == 1
+    assert release_results(spark) == 1 and files_in(spark) == before
+
+
+@pytest.mark.parametrize("name", ["fk_audit", "table_profile", "upsert_by_key", "global_row_number"])
+def test_nothing_is_left_after_a_query(spark, sf_dir, name):
+    release_results(spark)
+    before = files_in(spark)
+    QUERIES[name](spark, sf_dir).collect()
+    release_results(spark)
+    assert files_in(spark) == before

@@ -3,7 +3,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from cabmill.registry import _store
+from cabmill.registry import _beside, _store
 from cabmill.sinks.store import Store, last_per_key
 
 MODEL = "mart.days"
@@ -17,22 +17,21 @@ def held(store):
     return sorted((str(r.d), r.n) for r in store.read(MODEL).collect())
 
 
-@pytest.mark.parametrize("grain", ["day", "month", "year"])
-def test_replace_interval(spark, grain):
+@pytest.mark.parametrize("write", ["replace_interval", "replace_days"])
+def test_replace_interval(spark, write):
     store = _store(spark)
 
     def replace(start, end, *rows):
-        store.replace_interval(
-            MODEL, days(spark, *rows), "d", date.fromisoformat(start), date.fromisoformat(end),
-            grain,
-        )
+        getattr(store, write)(
+            MODEL, days(spark, *rows), "d", date.fromisoformat(start), date.fromisoformat(end)
+        )
 
     replace("2015-01-01", "2015-03-31", ("2015-01-05", 1), ("2015-02-05", 2), ("2015-03-05", 3))
     full = held(store)
     replace("2015-01-01", "2015-03-31", ("2015-01-05", 1), ("2015-02-05", 2), ("2015-03-05", 3))
     assert held(store) == full  # a re-run changes nothing
 
-    # Neighbours inside the first and last month stay; days without new rows go.
+    # Neighbours of the interval stay; days without new rows go.
     replace("2015-01-10", "2015-03-04", ("2015-01-20", 4))
     assert held(store) == [("2015-01-05", 1), ("2015-01-20", 4), ("2015-03-05", 3)]
 
@@ -45,6 +44,91 @@ def test_replace_interval(spark, grain):
     assert held(store) == [("2015-01-05", 1), ("2015-03-06", 5)]
     assert store.read(MODEL).columns == ["d", "n"]
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+    store.drop()
+
+
+def failing(spark, day):
+    return spark.sql(f"SELECT DATE '{day}' AS d, CAST(raise_error('no') AS INT) AS n")
+
+
+@pytest.mark.parametrize("write", ["replace_interval", "replace_days"])
+def test_a_failed_write_leaves_all_other_days(spark, write):
+    store = _store(spark)
+    january = date(2015, 1, 1), date(2015, 1, 31)
+    rows = [(f"2015-01-{d:02d}", d) for d in range(1, 32)]
+    getattr(store, write)(MODEL, days(spark, *rows), "d", *january)
+    with pytest.raises(Exception, match="no"):
+        getattr(store, write)(MODEL, failing(spark, "2015-01-10"), "d", date(2015, 1, 10), date(2015, 1, 12))
+    spark.catalog.refreshTable(store.published(MODEL))
+    left = set(held(store))
+    assert {r for r in rows if not 10 <= r[1] <= 12} <= left
+    if write == "replace_days":
+        assert left == set(rows)
+
+
+def test_columns_are_matched_by_name(spark):
+    store = _store(spark)
+    day = date(2015, 1, 1), date(2015, 1, 1)
+    row = spark.sql("SELECT DATE '2015-01-01' AS d, 1 AS x, 2 AS y")
+    for write in (store.replace_interval, store.replace_days):
+        model = f"mart.{write.__name__}"
+        write(model, row, "d", *day)
+        write(model, row.select("y", "d", "x"), "d", *day)
+        assert store.read(model).select("x", "y").collect() == [(1, 2)]
+        for wrong in (row.drop("y"), row.withColumn("z", F.lit(1)), row.withColumn("y", F.lit("2"))):
+            with pytest.raises(ValueError, match="columns differ"):
+                write(model, wrong, "d", *day)
+
+
+def test_environments_do_not_share_data(spark):
+    first = _store(spark)
+    second = _beside(first, "b")
+    day = date(2015, 1, 1), date(2015, 1, 1)
+    first.replace_interval(MODEL, days(spark, ("2015-01-01", 1), ("2015-01-02", 7)), "d", day[0], date(2015, 1, 2))
+    second.replace_interval(MODEL, days(spark, ("2015-01-01", 5)), "d", *day)
+    assert held(first) == [("2015-01-01", 1), ("2015-01-02", 7)] and held(second) == [("2015-01-01", 5)]
+    third = _beside(first, "c")
+    third.fork(first, [MODEL])
+    assert held(third) == held(first)
+    third.replace_interval(MODEL, days(spark, ("2015-01-01", 999)), "d", *day)
+    assert held(third) == [("2015-01-01", 999), ("2015-01-02", 7)]
+    assert held(first) == [("2015-01-01", 1), ("2015-01-02", 7)]
+
+    def upsert(store, key, name):
+        store.upsert("staging.t", spark.createDataFrame([(key, name)], "id INT, name STRING"), ["id"])
+        return sorted(tuple(r) for r in store.read("staging.t").collect())
+
+    assert upsert(first, 1, "a") == [(1, "a")]
+    assert upsert(second, 2, "b") == [(2, "b")]
+    assert upsert(first, 3, "c") == [(1, "a"), (3, "c")]
+
+
+def test_production_must_be_named(spark):
+    assert Store(spark, "/nowhere").view(MODEL).startswith("mart__dev_")
+    assert Store(spark, "/nowhere", "prod").view(MODEL) == MODEL
+
+
+def test_views_switch_together(spark):
+    store = _store(spark)
+    store.refresh("mart.a", days(spark, ("2015-01-01", 1)))
+    with pytest.raises(ZeroDivisionError), store.one_switch():
+        store.refresh("mart.a", days(spark, ("2015-01-01", 2)))
+        assert store.read("mart.a").first().n == 2
+        1 / 0
+    assert store.read("mart.a").first().n == 1
+    with store.one_switch():
+        store.refresh("mart.a", days(spark, ("2015-01-01", 3)))
+        assert spark.table(store.view("mart.a")).first().n == 1
+    assert store.read("mart.a").first().n == 3
+
+
+def test_published_dates_are_pruned(spark, capsys):
+    store = _store(spark)
+    rows = days(spark, ("2015-01-01", 1), ("2015-01-02", 2))
+    store.replace_interval(MODEL, rows, "d", date(2015, 1, 1), date(2015, 1, 2))
+    store.read(MODEL).where("d = DATE '2015-01-02'").explain()
+    plan = capsys.readouterr().out
+    assert "PartitionFilters: [isnotnull(d" in plan and "2015-01-02" in plan.split("PartitionFilters")[1]
 
 
 def test_a_hot_day_is_written_by_several_tasks(spark):
@@ -68,16 +152,17 @@ def test_a_hot_day_is_written_by_several_tasks(spark):
     assert by_day["2015-01-01"] > 2 and store.read(MODEL).count() == 400000
 
 
-def test_refresh_keeps_published_versions_apart(spark):
+def test_old_versions_go_unless_a_view_reads_them(spark):
     first = _store(spark)
-    second = Store(spark, first.location, first.env + "_b", first.namespace)
+    second = _beside(first, "b")
     first.refresh(MODEL, days(spark, ("2015-01-01", 1)))
-    second.refresh(MODEL, days(spark, ("2015-01-02", 2)))
-    assert held(first) == [("2015-01-01", 1)] and held(second) == [("2015-01-02", 2)]
-    first.refresh(MODEL, days(spark, ("2015-01-03", 3)))
-    assert len(first.versions(MODEL)) == 3
-    first.drop_old_versions(MODEL, keep=2)
-    assert len(first.versions(MODEL)) == 2 and held(second) == [("2015-01-02", 2)]
+    second.fork(first, [MODEL])
+    for n in (2, 3, 4):
+        first.refresh(MODEL, days(spark, ("2015-01-01", n)))
+    assert len(first.versions(MODEL)) == 4
+    first.drop_old_versions(MODEL, keep=1)
+    assert len(first.versions(MODEL)) == 2
+    assert held(first) == [("2015-01-01", 4)] and held(second) == [("2015-01-01", 1)]
 
 
 def test_output_shape_is_checked_before_a_write(spark):
