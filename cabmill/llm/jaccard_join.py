@@ -12,9 +12,11 @@ with its transpose holds the overlap of every pair, and it is built column by co
    are not formed.
 4. Star rounds compare each row with one pivot per column and join those that link exactly.
    What is left to multiply are pairs of rows in different components.
-5. A long column is cut into blocks of rows, and each pair of blocks is a cell of its own, so no
-   task holds a column. Partial overlaps are added up within a task, then over all tasks; pairs
-   below the size-derived bound go, and the rest are counted exactly on their full sets.
+5. Short columns give partial overlaps, added up within a task, then over all tasks. A long column
+   is cut into blocks of rows, and each pair of blocks is a cell of its own, so no task holds a
+   column; a cell multiplies its rows over all their prefix columns at once, so only pairs whose
+   whole count reaches the bound leave it, each from the first long column it shares.
+6. Pairs below the size-derived bound go, and the rest are counted exactly on their full sets.
 """
 
 from __future__ import annotations
@@ -34,8 +36,9 @@ _CHUNK = 2_000_000
 #: Most frequent shingles put last. The bound keeps the broadcast below 10 MB at any input size;
 #: those beyond it keep their place in the order of hashes, which costs time but loses no link.
 FREQUENT = 500_000
-#: Entries of a column in one block; a cell multiplies two blocks.
-_BLOCK = 1024
+#: Entries from which on a column is long; rows of a long column in one block; columns of a cell
+#: that are multiplied at a time. Results do not depend on them.
+_LONG, _BLOCK, _SLICE = 64, 512, 4096
 #: Candidate rows whose ids may be broadcast (8 bytes each); beyond, Spark picks the join.
 _BROADCAST_ROWS = 1_000_000
 _LAST = 1 << 62  # keys of frequent shingles start here; hashes are below
@@ -142,68 +145,131 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, out_already = rows.slice(len(key) - 1).combine_chunks().to_batches()[0], last_kept
 
 
+def _least(percent: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Overlap that sets of these sizes need to link."""
+    return -(-percent * (a + b) // (100 + percent))
+
+
+def _runs(batches: Iterator[pa.RecordBatch], by: list[str], whole: bool) -> Iterator[pa.Table]:
+    """Rows sorted by some columns, cut only between their values; one value at a time if whole."""
+    held: list[pa.RecordBatch] = []
+
+    def cuts(rows: pa.RecordBatch) -> list[int]:
+        change = np.zeros(max(0, rows.num_rows - 1), bool)
+        for name in by:
+            change |= np.diff(rows.column(name).to_numpy()) != 0
+        return (np.flatnonzero(change) + 1).tolist()
+
+    def same(a: pa.RecordBatch, b: pa.RecordBatch) -> bool:
+        return all(a.column(c)[a.num_rows - 1] == b.column(c)[0] for c in by)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if held and not same(held[-1], batch):
+            yield pa.Table.from_batches(held)
+            held = []
+        edges = cuts(batch)
+        if not edges:
+            held.append(batch)
+            continue
+        for a, b in zip([0, *edges[:-1]], edges, strict=True) if whole else [(0, edges[-1])]:
+            yield pa.Table.from_batches([*held, batch.slice(a, b - a)])
+            held = []
+        held = [batch.slice(edges[-1])]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _product(percent: int):
-    """Partial overlaps of the pairs in each cell; rows come sorted by (key, cell)."""
-
-    def pairs(rows: dict[str, np.ndarray]) -> np.ndarray:
-        """Pairs of entries of one cell that may still reach the threshold."""
-        out = []
-        side = rows["side"]
-        left, right = np.flatnonzero(side <= 0), np.flatnonzero(side >= 0)
-        n, reach, comp, node = rows["n"], rows["reach"], rows["comp"], rows["node"]
-        for at in range(0, len(left), 256):
-            a = left[at : at + 256, None]
-            b = right[None, :]
-            least = -(-percent * (n[a] + n[b]) // (100 + percent))
-            good = (node[a] < node[b]) | ((side[a] < 0) & (node[a] != node[b]))
-            good &= (comp[a] != comp[b]) & (np.minimum(reach[a], reach[b]) >= least)
-            i, j = np.nonzero(good)
-            x, y = node[left[at + i]], node[right[j]]
-            out.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
-        return np.concatenate(out) if out else np.empty((0, 2), np.int64)
-
-    def summed(found: list[np.ndarray]) -> pa.RecordBatch:
-        both, counts = np.unique(np.concatenate(found), axis=0, return_counts=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(counts.astype(np.int64))],
-            ["x", "y", "overlap"],
-        )
+    """Partial overlaps of the pairs of short columns; rows come sorted by key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, found, n_found = None, [], 0
-        names = ["key", "cell", "side", "node", "comp", "n", "reach"]
-
-        def cells(rows):
-            nonlocal found, n_found
-            new = np.flatnonzero(
-                (np.diff(rows["key"]) != 0) | (np.diff(rows["cell"]) != 0)
-            ) + 1
-            edges = [0, *new, len(rows["key"])]
+        found, size = [], 0
+
+        def summed():
+            both, counts = np.unique(np.concatenate(found), axis=0, return_counts=True)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(counts.astype(np.int64))],
+                ["x", "y", "overlap"],
+            )
+
+        for rows in _runs(batches, ["key"], whole=False):
+            key, node, comp, n, reach = (
+                rows.column(c).to_numpy() for c in ("key", "node", "comp", "n", "reach")
+            )
+            edges = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
             for a, b in zip(edges[:-1], edges[1:], strict=True):
-                if b - a > 1:
-                    got = pairs({k: v[a:b] for k, v in rows.items()})
-                    if len(got):
-                        found.append(got)
-                        n_found += len(got)
-                if n_found > 1_000_000:
-                    yield summed(found)
-                    found, n_found = [], 0
+                i, j = np.triu_indices(b - a, 1)
+                i, j = i + a, j + a
+                good = (comp[i] != comp[j]) & (
+                    np.minimum(reach[i], reach[j]) >= _least(percent, n[i], n[j])
+                )
+                x, y = node[i[good]], node[j[good]]
+                if len(x):
+                    found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
+                    size += len(x)
+                if size > 1_000_000:
+                    yield summed()
+                    found, size = [], 0
+        if found:
+            yield summed()
 
-        for batch in batches:
-            if not batch.num_rows:
+    return run
+
+
+def _block_product(percent: int):
+    """Pairs of a cell of a long column whose overlap in all prefix columns reaches the bound, if
+    this is the first long column they share; rows come sorted by (key, cell)."""
+
+    def counted(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+        """Shared columns of every left and right row: a product of incidence matrices."""
+        names = np.unique(np.concatenate(left + right))
+        out = np.zeros((len(left), len(right)), np.float32)
+        sides = []
+        for rows in (left, right):
+            at = np.searchsorted(names, np.concatenate(rows))
+            sides.append((np.repeat(np.arange(len(rows)), [len(r) for r in rows]), at))
+        for a in range(0, len(names), _SLICE):
+            parts = []
+            for (row, at), rows in zip(sides, (left, right), strict=True):
+                part = np.zeros((len(rows), min(_SLICE, len(names) - a)), np.float32)
+                inside = (at >= a) & (at < a + _SLICE)
+                part[row[inside], at[inside] - a] = 1
+                parts.append(part)
+            out += parts[0] @ parts[1].T
+        return out.astype(np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in _runs(batches, ["key", "cell"], whole=True):
+            side = cell.column("side").to_numpy()
+            i, j = np.flatnonzero(side <= 0), np.flatnonzero(side >= 0)
+            node, comp, n, reach, p = (
+                cell.column(c).to_numpy() for c in ("node", "comp", "n", "reach", "p")
+            )
+            a, b = i[:, None], j[None, :]
+            least = _least(percent, n[a], n[b])
+            good = (comp[a] != comp[b]) & (np.minimum(reach[a], reach[b]) >= least)
+            good &= (node[a] < node[b]) | (side[a] < 0)
+            rows, others = good.any(1), good.any(0)
+            if not rows.any():
                 continue
-            rows = {k: batch.column(k).to_numpy() for k in names}
-            if held is not None:
-                rows = {k: np.concatenate([held[k], rows[k]]) for k in names}
-            tail = np.flatnonzero((rows["key"] != rows["key"][-1]) | (rows["cell"] != rows["cell"][-1]))
-            cut = int(tail[-1]) + 1 if len(tail) else 0
-            held = {k: v[cut:] for k, v in rows.items()}
-            if cut:
-                yield from cells({k: v[:cut] for k, v in rows.items()})
-        if held is not None:
-            yield from cells(held)
-        if found:
-            yield summed(found)
+            i, j, good, least = i[rows], j[others], good[rows][:, others], least[rows][:, others]
+            columns, longs = (
+                [np.asarray(x) for x in cell.column(c).to_pylist()] for c in ("columns", "longs")
+            )
+            overlap = counted([columns[k] for k in i], [columns[k] for k in j])
+            # All overlap in the prefixes is counted; the rest lies behind the end of one prefix.
+            good &= overlap + np.maximum((n - p)[i][:, None], (n - p)[j][None, :]) >= least
+            key, pairs = cell.column("key")[0].as_py(), []
+            for k, m in zip(*np.nonzero(good), strict=True):
+                x, y = int(i[k]), int(j[m])
+                if np.intersect1d(longs[x], longs[y], assume_unique=True)[0] == key:
+                    pairs.append((min(node[x], node[y]), max(node[x], node[y])))
+            if pairs:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, pa.int64()) for c in zip(*pairs, strict=True)], ["x", "y"]
+                )
 
     return run
 
@@ -334,34 +400,50 @@ def _stars(work: Work, entries: DataFrame, comps: DataFrame | None, percent: int
 def _candidates(work: Work, entries: DataFrame, nodes: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     """Pairs of rows in different components whose overlap may reach the threshold."""
     rows = work.write(_open(work, entries, comps))
-    long = rows.groupBy("key").count().where(F.col("count") > _BLOCK)
-    cut = rows.join(long, "key", "left").withColumn(
-        "blocks", F.ceil(F.coalesce("count", F.lit(1)) / _BLOCK).cast("int")
-    ).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # Cell (i, j), i <= j: rows of block i on the left, of block j on the right; 0: both.
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    cells = cut.withColumn("other", other).select(
-        "key",
-        (F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")).cast("long").alias("cell"),
-        F.signum(F.col("block") - F.col("other")).cast("int").alias("side"),
-        "node", "comp", "n", "reach",
-    )
+    long = rows.groupBy("key").count().where(F.col("count") > _LONG)
+    marked = work.write(rows.join(long, "key", "left"))
     products = (
-        cells.repartition("key", "cell").sortWithinPartitions("key", "cell")
+        marked.where("count IS NULL").select("key", "node", "comp", "n", "reach")
+        .repartition("key").sortWithinPartitions("key")
         .mapInArrow(_product(percent), "x long, y long, overlap long")
     )
     sizes = nodes.select("node", "n")
-    return (
+    ceil = lambda c: F.ceil(percent * F.col(c) / 100)
+    short = (
         products.groupBy("x", "y").agg(F.sum("overlap").alias("c"))
         .join(sizes.select(F.col("node").alias("x"), F.col("n").alias("nx")), "x")
         .join(sizes.select(F.col("node").alias("y"), F.col("n").alias("ny")), "y")
-        # All overlap in the prefixes is in c; the rest lies behind the end of one prefix.
         .where(
-            F.col("c") + F.greatest(F.ceil(percent * F.col("nx") / 100), F.ceil(percent * F.col("ny") / 100)) - 1
+            F.col("c") + F.greatest(ceil("nx"), ceil("ny")) - 1
             >= F.ceil(percent * (F.col("nx") + F.col("ny")) / (100 + percent))
         )
         .select("x", "y")
     )
+    # Rows of long columns with all their columns: a node has no more than its prefix.
+    whole = marked.groupBy("node").agg(
+        F.sort_array(F.collect_list("key")).alias("columns"),
+        F.sort_array(F.collect_list(F.when(F.col("count") > _LONG, F.col("key")))).alias("longs"),
+    ).where(F.size("longs") > 0)
+    cut = marked.where("count IS NOT NULL").withColumn(
+        "blocks", F.ceil(F.col("count") / _BLOCK).cast("int")
+    ).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    # Cell (i, j), i <= j: rows of block i on the left, of block j on the right; 0: both.
+    cells = (
+        cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            "key",
+            (F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")).cast("long").alias("cell"),
+            F.signum(F.col("block") - F.col("other")).cast("int").alias("side"),
+            "node", "comp", "n", "reach", (F.col("n") - ceil("n") + 1).cast("long").alias("p"),
+        )
+        .join(work.write(whole), "node")
+    )
+    blocks = (
+        cells.select("key", "cell", "side", "node", "comp", "n", "reach", "p", "columns", "longs")
+        .repartition("key", "cell").sortWithinPartitions("key", "cell")
+        .mapInArrow(_block_product(percent), "x long, y long")
+    )
+    return short.union(blocks).distinct()
 
 
 def _verified(work: Work, docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int, size: int) -> DataFrame:

@@ -57,10 +57,12 @@ def corpus():
     return [(i * 7 % 1009, t) for i, t in enumerate(rows)]
 
 
-@pytest.mark.parametrize("frequent, block", [(500_000, 1024), (4, 3)])
-def test_matches_brute_force(spark, monkeypatch, frequent, block):
+@pytest.mark.parametrize("frequent, long, block", [(500_000, 64, 512), (4, 2, 3)])
+def test_matches_brute_force(spark, monkeypatch, frequent, long, block):
     monkeypatch.setattr(J, "FREQUENT", frequent)
+    monkeypatch.setattr(J, "_LONG", long)
     monkeypatch.setattr(J, "_BLOCK", block)
+    monkeypatch.setattr(J, "_SLICE", 7 if long == 2 else 4096)
     rows = corpus()
     rows += [rows[5], (None, rows[9][1]), (None, "quite another text than all others here")]
     docs = spark.createDataFrame(
