@@ -44,6 +44,19 @@ _BROADCAST_ROWS = 1_000_000
 _LAST = 1 << 62  # keys of frequent shingles start here; hashes are below
 
 
+def _lists(rows: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, rows)])
+    return pa.ListArray.from_arrays(
+        pa.array(ends, pa.int32()), pa.array(np.concatenate(rows) if rows else np.empty(0, np.int64))
+    )
+
+
+def _sliced(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _profiles(size: int):
     """Per document its set's size and fingerprint; per shingle that repeats among the distinct
     sets of a chunk, how often it does (doc_row null)."""
@@ -61,7 +74,7 @@ def _profiles(size: int):
                 ["doc_id", "n", "df", "fp"],
             )
 
-        for batch in batches:
+        for batch in _sliced(batches):
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             sizes, prints = [], []
             for s in shingle_sets(texts, size):
@@ -91,7 +104,7 @@ def _prefixes(size: int, percent: int, frequent):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, rank = frequent.value
-        for batch in batches:
+        for batch in _sliced(batches):
             out: list[tuple] = []
             for s in shingle_sets(batch.column(0).to_pylist(), size):
                 n = len(s)
@@ -104,10 +117,10 @@ def _prefixes(size: int, percent: int, frequent):
                     order = np.where(keys[at] == s, _LAST + rank[at], s)
                     order.sort()
                 p = n - -(-percent * n // 100) + 1
-                out.append((fingerprint(s), n, order[:p].tolist()))
+                out.append((fingerprint(s), n, order[:p]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.int64()),
-                 pa.array([x[2] for x in out], pa.list_(pa.int64()))],
+                 _lists([x[2] for x in out])],
                 ["fp", "n", "prefix"],
             )
 
@@ -116,11 +129,11 @@ def _prefixes(size: int, percent: int, frequent):
 
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _sliced(batches):
             sets = list(shingle_sets(batch.column(0).to_pylist(), size))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([fingerprint(s) for s in sets], pa.binary()),
-                 pa.array([s.tolist() for s in sets], pa.list_(pa.int64()))],
+                 _lists(sets)],
                 ["fp", "shingles"],
             )
 
