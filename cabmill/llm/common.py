@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +72,21 @@ def crc_remainder(doc_id: str, n: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % n
 
 
+def _packed_columns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([c.to_numpy().astype("<i8").tobytes()], pa.binary()) for c in batch.columns],
+            batch.schema.names,
+        )
+
+
+def collected(frame: DataFrame) -> list[np.ndarray]:
+    """Columns of whole numbers of a frame of bounded size, packed on the way to the driver."""
+    schema = ", ".join(f"`{c}` binary" for c in frame.columns)
+    rows = frame.mapInArrow(_packed_columns, schema).collect()
+    return [np.frombuffer(b"".join(r[i] for r in rows), "<i8") for i in range(len(frame.columns))]
+
+
 def components(work: Work, links: DataFrame) -> DataFrame:
     """(node, comp) for every node that has a link; comp is the smallest node it reaches.
 

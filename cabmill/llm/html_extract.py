@@ -25,7 +25,7 @@ from cabmill.llm.html_blocks import Block, blocks
 SAMPLE, MADE = 300, 1500
 #: Sizes of the hashed path, the hashed own element, the hashed words, and of each LSTM.
 PATH, LEAF, WORDS, HIDDEN = 96, 32, 32, 24
-_DENSE = 8
+_DENSE = 11
 INPUT = PATH + LEAF + WORDS + _DENSE
 _KEPT = 200_000
 
@@ -71,6 +71,17 @@ class Vectors:
             self._paths[path] = found
         return found
 
+    @staticmethod
+    def _marks(path: tuple[str, ...]) -> tuple[bool, bool, bool]:
+        """Whether a name, and a tag, on the path marks what is set aside; whether it is inside
+        a landmark of the article."""
+        elements = [e.split(" ") for e in path]
+        return (
+            any(not OUTSIDE.isdisjoint(names) for _, *names in elements),
+            any(tag in OUTSIDE_TAGS for tag, *_ in elements),
+            any(tag in ("article", "main") for tag, *_ in elements),
+        )
+
     def _word_counts(self, words: list[str]) -> np.ndarray:
         known = self._words
         try:
@@ -94,7 +105,7 @@ class Vectors:
             out[i, -_DENSE:] = (
                 np.log1p(n) / 5, np.log1p(len(words)) / 4, b.linked / n, b.text[-1] in ".!?…\"»”",
                 min(1.0, sum(map(b.text.count, ".,;")) * 10 / n), (i + 1) / len(found),
-                len(b.path) / 10, 1.0,
+                len(b.path) / 10, 1.0, *self._marks(b.path),
             )
         return out
 
@@ -313,7 +324,7 @@ class Maker:
                 text = self._sentence() if self._chance(0.1) else text
                 out.append((Block((*p, "p"), text, 0), 1.0))
         for _ in range(int(self.rng.integers(1, 12))):
-            if self._chance(0.06):
+            if self._chance(0.12):
                 out += [(b, 0.0) for b in self._part(p, self._one((self.SHORT, self.ASIDE)))]
             tag = self._one(("p",) * 12 + ("h2", "h3", "blockquote", "pre", "ul/li", "ol/li", "blockquote/p", "table/tr/td", "figure/figcaption", "p intro", "p/b", "p/em", "div"))
             text = self._one(self.long) if self._chance(0.75) else self._sentence()

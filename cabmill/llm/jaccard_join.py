@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabmill.llm.common import Work, chosen, components, read
+from cabmill.llm.common import Work, chosen, collected, components, read
 from cabmill.llm.shingles import fingerprint, shingle_sets
 
 #: Shingles counted together when frequent ones are looked for.
@@ -300,8 +300,7 @@ def _most_frequent(spark: SparkSession, profiles: DataFrame) -> tuple[np.ndarray
         if total > FREQUENT:
             level = 2 ** (row["p"] + 1)
             break
-    top = counts.where(F.col("df") >= level).toPandas()
-    keys, df = top["n"].to_numpy(np.int64), top["df"].to_numpy(np.int64)
+    keys, df = collected(counts.where(F.col("df") >= level).select("n", "df"))
     rank = np.empty(len(keys), np.int64)
     rank[np.lexsort((keys, df))] = np.arange(len(keys))
     order = np.argsort(keys)

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabmill.llm.common import Work, chosen, crc_remainder, read
+from cabmill.llm.common import Work, chosen, collected, crc_remainder, read
 from cabmill.llm.shingles import word_hashes
 
 #: Words of the table: those with the highest counts, at least LEAST. 16 MB at most.
@@ -313,9 +313,9 @@ def _vocabulary(work: Work, counts: DataFrame) -> Vocabulary:
     if least is None:
         hashes = n = endings = np.empty(0, np.int64)
     else:
-        top = counts.where(F.col("n") >= least).toPandas()
-        order = np.argsort(top["w"].to_numpy(np.int64))
-        hashes, n, endings = (top[c].to_numpy(np.int64)[order] for c in ("w", "n", "e"))
+        top = collected(counts.where(F.col("n") >= least).select("w", "n", "e"))
+        order = np.argsort(top[0])
+        hashes, n, endings = (column[order] for column in top)
     return Vocabulary(
         hashes, n, endings, tokens, words, tokens - int(n.sum()), words - len(n), (n1 + 1) / (n1 + 2 * n2 + 2)
     )
