@@ -9,7 +9,7 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
-# Source contract. All columns are nullable: raw files do contain missing values.
+# The source contract. All columns are nullable: raw files do contain missing values.
 RAW_TRIP = StructType(
     [
         StructField("vendorid", LongType()),
