@@ -72,6 +72,19 @@ def crc_remainder(doc_id: str, n: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % n
 
 
+def smallest_hashes(frame: DataFrame, column: str, seed: str, k: int) -> DataFrame:
+    """At most k rows: those with the smallest hashes of a column, ties by the column.
+
+    Rows that can't be among them by chance are left out first, so that tasks send about 2 k rows
+    in all, however many tasks there are.
+    """
+    n, top = frame.count(), 1 << 40
+    place = F.pmod(F.xxhash64(column, F.lit(seed)), F.lit(top))
+    if n > 4 * k:
+        frame = frame.where(place < int(top * 2 * k / n))
+    return frame.orderBy(place, column).limit(k)
+
+
 def _packed_columns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         yield pa.RecordBatch.from_arrays(

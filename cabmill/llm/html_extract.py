@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabmill.llm.common import chosen, read
+from cabmill.llm.common import chosen, read, smallest_hashes
 from cabmill.llm.html_blocks import Block, blocks
 
 #: Pages sampled for fitting (those with the smallest hashes of their ids) and pages made of them.
@@ -351,12 +351,11 @@ class Maker:
 
 
 def fit(pages: DataFrame, sample: int = SAMPLE, made: int = MADE) -> Labeller | None:
-    """A labeller fitted on at most ``sample`` of the pages and ``made`` others built from their
-    texts; None if no page has a block."""
-    rows = (
-        chosen(pages, page_id="long", html="string").where("html IS NOT NULL AND length(html) < 200000")
-        .orderBy(F.xxhash64("page_id", F.lit("sample")), "page_id").limit(sample).collect()
-    )
+    """A labeller fitted on at most ``sample`` of the pages of fewer than 200 000 characters, and
+    ``made`` others built from their texts; None if no page has a block."""
+    readable = chosen(pages, page_id="long", html="string").where("length(html) < 200000")
+    ids = smallest_hashes(readable.select("page_id"), "page_id", "sample", sample).distinct()
+    rows = readable.join(F.broadcast(ids), "page_id", "left_semi").limit(sample).collect()
     vectors, given, long, short = Vectors(), [], [], []
     for r in rows:
         found = blocks(r["html"])

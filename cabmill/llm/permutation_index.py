@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabmill.llm.cells import best, search, valid_vectors
-from cabmill.llm.common import Work, read
+from cabmill.llm.common import Work, read, smallest_hashes
 
 #: Pivots (a bounded sample, the rows with the smallest hashes), how many of them represent a
 #: vector, and the share of a block's rows that is ranked again. More of any of them finds more.
@@ -76,7 +76,7 @@ def _searcher(pivots: np.ndarray, k: int, nearest: int, share: float):
 
 def _pivots(vectors: DataFrame, count: int) -> np.ndarray:
     """Distinct vectors scaled to length one: those whose ids have the smallest hashes."""
-    rows = vectors.orderBy(F.xxhash64("vec_id", F.lit("pivot")), "vec_id").limit(4 * count).collect()
+    rows = smallest_hashes(vectors, "vec_id", "pivot", 4 * count).collect()
     distinct = list(dict.fromkeys(tuple(r["v"]) for r in rows))[:count]
     units = [np.array(p) / np.linalg.norm(p) for p in distinct]
     if len({len(u) for u in units}) > 1:

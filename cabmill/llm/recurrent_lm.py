@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabmill.llm.common import Work, chosen, collected, crc_remainder, read
+from cabmill.llm.common import Work, chosen, collected, crc_remainder, read, smallest_hashes
 from cabmill.llm.shingles import word_hashes
 
 #: Words of the table: those with the highest counts, at least LEAST. 16 MB at most.
@@ -344,7 +344,7 @@ def score_documents(documents: DataFrame) -> DataFrame:
         known = spark.sparkContext.broadcast(vocabulary)
         totals, model = vocabulary.totals(), None
         if vocabulary.tokens:
-            ids = train.select("doc_id").distinct().orderBy(F.xxhash64("doc_id", F.lit("lm")), "doc_id").limit(SAMPLE_DOCS)
+            ids = smallest_hashes(train.select("doc_id"), "doc_id", "lm", SAMPLE_DOCS).distinct()
             sample = train.join(F.broadcast(work.write(ids)), "doc_id", "left_semi").limit(2 * SAMPLE_DOCS)
             sequences, size = [], 0
             for r in sample.select("text").mapInArrow(_sequences(known), "classes array<short>").toLocalIterator():

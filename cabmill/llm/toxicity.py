@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabmill.llm.common import Work, chosen, crc_remainder, read
+from cabmill.llm.common import Work, chosen, crc_remainder, read, smallest_hashes
 
 #: Most labelled rows of each class that are learned from (those with the smallest hashes), and
 #: most entries of each lexicon.
@@ -299,11 +299,10 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model:
     nothing = Model(Features({}, {}), None, np.empty(0), np.empty(0), base)
     if len(classes) < 2:
         return nothing
-    mixed = F.xxhash64("doc_id", F.lit("toxicity"))
     sample = None
     for t, n in classes.items():
         part = known.where(F.col("toxic") == t).withColumn("weight", F.lit(max(1.0, n / SAMPLE)))
-        part = part.orderBy(mixed, "doc_id").limit(SAMPLE) if n > SAMPLE else part
+        part = smallest_hashes(part, "doc_id", "toxicity", SAMPLE) if n > SAMPLE else part
         sample = part if sample is None else sample.union(part)
     with Work(spark, "toxicity") as work:
         # At most 2 * SAMPLE ids: small enough to send to every task.
