@@ -30,7 +30,7 @@ from cabmill.llm.word_bpe import word_ids
 TIERS = (256, 512, 1024, 2048)
 END_ID = 1
 #: Documents that wait for a place at a time, and windows of a tier that are dealt together.
-POOL, DEAL = 4096, 512
+POOL, DEAL = 2048, 512
 #: Tokens of a step group.
 STEP_TOKENS = 131_072
 
@@ -186,6 +186,7 @@ def _packed(path: str, tiers: tuple[int, ...], step_tokens: int, end_id: int):
         packer.pack(last=True)
         if found := list(packer.flush(last=True)):
             yield rows(found)
+        pa.default_memory_pool().release_unused()
 
     return run
 

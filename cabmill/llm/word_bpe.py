@@ -12,7 +12,7 @@ from array import array
 
 #: Distinct words, and distinct letter runs, that a worker remembers; beyond, it starts anew.
 #: Results do not depend on either.
-KEPT_WORDS, KEPT_RUNS = 400_000, 1_000_000
+KEPT_WORDS, KEPT_RUNS = 200_000, 500_000
 # Letters, then marks: the tokenizer itself encodes the two apart.
 _PLAIN = re.compile(r"([^\W\d_]+)([.,;:!?\-]*)\Z")
 
