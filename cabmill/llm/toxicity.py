@@ -27,7 +27,7 @@ THRESHOLD = 0.7
 #: Letters at the beginning of a word that may be toxic whatever follows.
 STEM = 5
 #: Distinct words a worker remembers; results do not depend on it.
-_KEPT_WORDS = 400_000
+_KEPT_WORDS = 200_000
 
 # Second-person words of four languages; signs that stand for letters.
 SECOND_PERSON = frozenset(
