@@ -265,7 +265,7 @@ class Store:
         tables = self.spark.sql(f"SHOW TABLES IN {self.physical} LIKE '{prefix}*'").collect()
         return sorted(f"{self.physical}.{t.tableName}" for t in tables)
 
-    def drop_old_versions(self, model: str, keep: int = 2) -> None:
+    def drop_old_versions(self, *models: str, keep: int = 2) -> None:
         """Drop all but the newest versions and those that a view of any environment reads."""
         read = {
             self._source(f"{schema}.{v.viewName}")
@@ -273,9 +273,10 @@ class Store:
             for v in self.spark.sql(f"SHOW VIEWS IN {schema}").collect()
             if not v.isTemporary
         }
-        for table in self.versions(model)[:-keep]:
-            if table not in read:
-                self.spark.sql(f"DROP TABLE {table}")
+        for model in models:
+            for table in self.versions(model)[:-keep]:
+                if table not in read:
+                    self.spark.sql(f"DROP TABLE {table}")
 
 
 def check_same_columns(held: DataFrame, batch: DataFrame) -> None:
