@@ -3,7 +3,9 @@
 Every word belongs to one class: frequent words to one each, the rest of a table of known words to
 one per word ending, all words beyond the table to one of their own. A GRU in numpy, fitted by
 back-propagation cut at windows, predicts the next class from the classes before; its state is
-carried from window to window to the end of a document. Within a class a word has its share of the
+carried from window to window to the end of a document. It is fitted in rounds on every training
+document: each task learns from its own documents of the round, and the tasks' parameters meet as
+a mean by tokens. Within a class a word has its share of the
 class's tokens in the training corpus; in the last class absolute discounting leaves a share to
 the one event of a word never seen.
 
@@ -24,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabmill.llm.common import Work, chosen, collected, crc_remainder, read, smallest_hashes
+from cabmill.llm.common import Work, chosen, collected, crc_remainder, read
 from cabmill.llm.shingles import word_hashes
 
 #: Words of the table: those with the highest counts, at least LEAST. 16 MB at most.
@@ -33,8 +35,11 @@ TABLE, LEAST = 1_000_000, 3
 OWN, ENDINGS = 128, 48
 #: Size of the state and of a class's vector; steps of a window; documents read side by side.
 HIDDEN, EMBED, WINDOW, LANES = 32, 24, 32, 512
-#: Training documents (those with the smallest hashes) and tokens that the network is fitted on.
-SAMPLE_DOCS, SAMPLE_TOKENS = 1500, 600_000
+#: Rounds of one pass over the training documents; a round's tokens per task (at least, where the
+#: corpus has them); corpora below SMALL tokens are gone over as a whole REPEATS times instead.
+ROUNDS, TASK_TOKENS, SMALL, REPEATS = 8, 200_000, 1_200_000, 2
+#: Tokens of whole documents that a task lays out in lanes at a time, and its lanes.
+BATCH_TOKENS, FIT_LANES, RATE = 2_000_000, 48, 0.01
 _CHUNK = 4_000_000  # words counted at a time in a task
 END = np.int64(-1)  # in place of a word's hash: the end of a document
 
@@ -108,21 +113,6 @@ class Vocabulary:
         return np.log10((count + 0.5) / (self.tokens + 0.5 * (self.words + 1)))
 
 
-def _sequences(vocabulary):
-    """(classes) of each training document of the sample."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = vocabulary.value
-        for batch in batches:
-            out = []
-            for hashes, endings in word_hashes(_texts(batch.column(0))):
-                cls, _ = known.look_up(np.append(hashes, END), np.append(endings, 0))
-                out.append(cls.astype(np.int16))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int16()))], ["classes"])
-
-    return run
-
-
 def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -163,25 +153,26 @@ class Gru:
         logits -= logits.max(-1, keepdims=True)
         return logits - np.log(np.exp(logits).sum(-1, keepdims=True))
 
-    def window(self, before: np.ndarray, target: np.ndarray, h: np.ndarray):
-        """Loss, gradients and last state of one window (steps x lanes)."""
+    def window(self, before: np.ndarray, target: np.ndarray, h: np.ndarray, inside: np.ndarray | None = None):
+        """Loss, gradients and last state of one window (steps x lanes); ``inside`` marks tokens."""
         steps, lanes = before.shape
-        table, saved, states = self.inputs(), [], np.empty((steps, lanes, HIDDEN))
+        table, saved, states = self.inputs(), [], np.empty((steps, lanes, HIDDEN), h.dtype)
+        weight = np.full(target.shape, 1 / target.size, h.dtype) if inside is None else inside.astype(h.dtype) / inside.sum()
         for t in range(steps):
             h, kept = self.step(table[before[t]], h)
             saved.append(kept)
             states[t] = h
         logp = self.log_classes(states)
         i, j = np.indices(target.shape)
-        loss = -logp[i, j, target].mean()
+        loss = -(logp[i, j, target] * weight).sum()
         d = np.exp(logp)
         d[i, j, target] -= 1
-        d /= target.size
+        d *= weight[:, :, None]
         flat = d.reshape(-1, d.shape[-1])
         g_wo = np.concatenate([states.reshape(-1, HIDDEN).T @ flat, flat.sum(0)[None]])
         d_states = d @ self.wo[:-1].T
-        g_wh, d_given = np.zeros_like(self.wh), np.empty((steps, lanes, 3 * HIDDEN))
-        dh = np.zeros((lanes, HIDDEN))
+        g_wh, d_given = np.zeros_like(self.wh), np.empty((steps, lanes, 3 * HIDDEN), h.dtype)
+        dh = np.zeros((lanes, HIDDEN), h.dtype)
         for t in range(steps - 1, -1, -1):
             old, s, r, z, n = saved[t]
             dh = dh + d_states[t]
@@ -193,42 +184,106 @@ class Gru:
             g_wh += old.T @ ds
             dh = dh * z + ds @ self.wh.T
         flat = d_given.reshape(-1, 3 * HIDDEN)
-        per_class = np.zeros((len(self.embed), 3 * HIDDEN))
-        np.add.at(per_class, before.ravel(), flat)
+        per_class = np.zeros((len(self.embed), 3 * HIDDEN), h.dtype)
+        order = np.argsort(before.ravel(), kind="stable")
+        seen, first = np.unique(before.ravel()[order], return_index=True)
+        per_class[seen] = np.add.reduceat(flat[order], first)
         g_wx = np.concatenate([self.embed.T @ per_class, flat.sum(0)[None]])
         return loss, (per_class @ self.wx[:-1].T, g_wx, g_wh, g_wo), h
 
 
-def fit_gru(documents: list[np.ndarray], classes: int, epochs: int = 2, lanes: int = 48, rate: float = 0.01) -> Gru:
-    """Adam over windows; documents follow each other in every lane, and the state goes on from
-    one window to the next (a start mark is what precedes a document)."""
-    rng = np.random.default_rng(12)
-    frequencies = np.bincount(np.concatenate(documents), minlength=classes) + 0.5
-    model = Gru.new(classes, frequencies / frequencies.sum())
-    params = [model.embed, model.wx, model.wh, model.wo]
-    m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    size = sum(map(len, documents))
-    length = max(1, size // lanes)
-    total, step = max(1, epochs * (length // WINDOW + 1)), 0
-    for _ in range(epochs):
-        order = rng.permutation(len(documents))
-        target = np.concatenate([documents[i] for i in order]).astype(np.int64)
-        before = np.concatenate([np.append(classes, documents[i][:-1]) for i in order]).astype(np.int64)
-        used = lanes if size >= lanes else 1
-        length = size // used
-        target, before = (a[: length * used].reshape(used, length).T for a in (target, before))
-        h = np.zeros((used, HIDDEN))
+class Fitting:
+    """Adam over the windows of some documents, from given parameters."""
+
+    def __init__(self, flat: np.ndarray, classes: int, rate: float):
+        self.flat = flat.astype(np.float32)
+        self.model, self.classes, self.rate = unpacked(self.flat, classes), classes, rate
+        self.m, self.v = np.zeros_like(self.flat), np.zeros_like(self.flat)
+        self.steps, self.tokens = 0, 0
+        self._rng = np.random.default_rng(12)
+
+    def learn(self, documents: list[np.ndarray]) -> None:
+        """From every token: documents follow each other in every lane, and the state goes on from
+        one window to the next (a start mark is what precedes a document)."""
+        documents = [documents[i] for i in self._rng.permutation(len(documents))]
+        target = np.concatenate(documents).astype(np.intp)
+        before = np.concatenate([[self.classes], target[:-1]])
+        before[np.cumsum([len(d) for d in documents])[:-1]] = self.classes
+        size = len(target)
+        lanes = FIT_LANES if size >= FIT_LANES else 1
+        length = -(-size // lanes)
+        # Only the last lanes are filled up, with tokens that weigh nothing.
+        lay = lambda a, fill: np.append(a, np.full(lanes * length - size, fill, a.dtype)).reshape(lanes, length).T
+        target, before, inside = lay(target, 0), lay(before, self.classes), lay(np.ones(size, bool), False)
+        h = np.zeros((lanes, HIDDEN), np.float32)
         for at in range(0, length, WINDOW):
-            _, grads, h = model.window(before[at : at + WINDOW], target[at : at + WINDOW], h)
-            step += 1
-            for p, g, a, b in zip(params, grads, m, v, strict=True):
-                g = g * min(1.0, 1.0 / (np.sqrt((g**2).sum()) + 1e-9))
-                a += 0.1 * (g - a)
-                b += 0.001 * (g**2 - b)
-                p -= rate * (1 - 0.9 * step / (total + 1)) * (a / (1 - 0.9**step)) / (
-                    np.sqrt(b / (1 - 0.999**step)) + 1e-8
-                )
-    return model
+            cut = slice(at, at + WINDOW)
+            _, grads, h = self.model.window(before[cut], target[cut], h, inside[cut])
+            grad = np.concatenate([(g * min(1.0, 1.0 / (np.sqrt((g**2).sum()) + 1e-9))).ravel() for g in grads])
+            self.steps += 1
+            self.m += 0.1 * (grad - self.m)
+            self.v += 0.001 * (grad**2 - self.v)
+            self.flat -= self.rate * (self.m / (1 - 0.9**self.steps)) / (np.sqrt(self.v / (1 - 0.999**self.steps)) + 1e-8)
+        self.tokens += size
+
+
+def packed(model: Gru) -> np.ndarray:
+    return np.concatenate([p.ravel() for p in (model.embed, model.wx, model.wh, model.wo)])
+
+
+def unpacked(flat: np.ndarray, classes: int) -> Gru:
+    """The network whose parameters are views of ``flat``."""
+    shapes = [(classes + 1, EMBED), (EMBED + 1, 3 * HIDDEN), (HIDDEN, 3 * HIDDEN), (HIDDEN + 1, classes)]
+    ends = np.cumsum([a * b for a, b in shapes])
+    return Gru(*(p.reshape(shape) for p, shape in zip(np.split(flat, ends[:-1]), shapes, strict=True)))
+
+
+def _learned(flat, classes: int, rate: float):
+    """A task's parameters after its documents, times its tokens; place -1 has the tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fitting, held, size = Fitting(flat.value, classes, rate), [], 0
+        for batch in batches:
+            for text in batch.column(0):
+                held.append(np.frombuffer(text.as_buffer(), np.uint8))
+                size += len(held[-1])
+                if size >= BATCH_TOKENS:
+                    fitting.learn(held)
+                    held, size = [], 0
+        if held:
+            fitting.learn(held)
+        if fitting.tokens:
+            out = np.append(fitting.flat.astype(np.float64), 1.0) * fitting.tokens
+            place = np.append(np.arange(len(fitting.flat)), -1).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(out)], ["place", "x"])
+
+    return run
+
+
+def fit_gru(sequences: DataFrame, tokens: int, totals: np.ndarray) -> Gru:
+    """Learns from the classes (a byte each) of all training documents, uid and classes.
+
+    A round covers the documents whose uid falls to it; its tasks start from the mean of the
+    round before, by tokens. Nothing but parameters, of a fixed size, leaves a task.
+    """
+    classes, context = len(totals), sequences.sparkSession.sparkContext
+    flat = packed(Gru.new(classes, (totals + 0.5) / (totals + 0.5).sum()))
+    whole = tokens <= SMALL
+    rounds = REPEATS if whole else ROUNDS
+    tasks = max(1, tokens // ((1 if whole else rounds) * TASK_TOKENS))
+    for i in range(rounds):
+        some = sequences if whole else sequences.where(F.pmod(F.xxhash64("uid"), F.lit(rounds)) == i)
+        given = context.broadcast(flat)
+        learned = some.select("classes").coalesce(1 if whole else tasks).mapInArrow(
+            _learned(given, classes, RATE * (1 - 0.9 * i / rounds)), "place int, x double"
+        )
+        sums = np.zeros(len(flat) + 1)
+        for place, x in learned.groupBy("place").agg(F.sum("x")).collect():
+            sums[place] = x  # -1 is the last
+        if sums[-1]:
+            flat = sums[:-1] / sums[-1]
+        given.destroy()
+    return unpacked(flat, classes)
 
 
 def class_scores(model: Gru, documents: list[np.ndarray]) -> np.ndarray:
@@ -261,11 +316,12 @@ def class_scores(model: Gru, documents: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _scored(vocabulary, model, totals):
-    """Per document its sums over the words of the table, and its rare words with their counts."""
+def _encoded(vocabulary, totals):
+    """Per document its classes, a byte each, its sums over the words of the table, and its rare
+    words with their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, gru, of_class = vocabulary.value, model.value, totals.value
+        known, of_class = vocabulary.value, totals.value
         uid = TaskContext.get().partitionId() << 40
         log_total = np.log10(np.maximum(of_class, 1))
         for batch in batches:
@@ -274,7 +330,7 @@ def _scored(vocabulary, model, totals):
                 sequences, rows = [], []
                 for hashes, endings in word_hashes(_texts(part.column(2))):
                     cls, count = known.look_up(np.append(hashes, END), np.append(endings, 0))
-                    sequences.append(cls)
+                    sequences.append(cls.astype(np.uint8).tobytes())
                     table = count > 0
                     rare, times = np.unique(np.append(hashes, END)[~table], return_counts=True)
                     within = np.log10(count[table]) - log_total[cls[table]]
@@ -283,19 +339,31 @@ def _scored(vocabulary, model, totals):
                         float(within.sum()), rare.tolist(), times.tolist(),
                     ))
                     uid += 1
-                likelihood = class_scores(gru, sequences) / math.log(10) if gru else np.zeros(len(rows))
                 columns = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(columns[0], pa.int64()), part.column(0), part.column(1),
                      pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.float64()),
-                     pa.array(np.array(columns[4]) + likelihood),
-                     pa.array(columns[5], pa.list_(pa.int64())), pa.array(columns[6], pa.list_(pa.int64()))],
-                    ["uid", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare", "times"],
+                     pa.array(columns[4], pa.float64()),
+                     pa.array(columns[5], pa.list_(pa.int64())), pa.array(columns[6], pa.list_(pa.int64())),
+                     pa.array(sequences, pa.binary())],
+                    ["uid", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare", "times", "classes"],
                 )
 
     return run
 
 
+def _likelihoods(model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4 * LANES):
+                part = batch.slice(at, 4 * LANES)
+                sequences = [np.frombuffer(c.as_buffer(), np.uint8) for c in part.column(1)]
+                score = class_scores(model.value, sequences) / math.log(10)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(score)], ["uid", "score"])
+
+    return run
+
+
 def _vocabulary(work: Work, counts: DataFrame) -> Vocabulary:
     power = F.pow(F.lit(2.0), F.floor(F.log2("n"))).cast("long")
     level = F.when(F.col("n") < 1000, F.col("n")).otherwise(power)
@@ -342,27 +410,24 @@ def score_documents(documents: DataFrame) -> DataFrame:
         )
         vocabulary = _vocabulary(work, counts)
         known = spark.sparkContext.broadcast(vocabulary)
-        totals, model = vocabulary.totals(), None
-        if vocabulary.tokens:
-            ids = smallest_hashes(train.select("doc_id"), "doc_id", "lm", SAMPLE_DOCS).distinct()
-            sample = train.join(F.broadcast(work.write(ids)), "doc_id", "left_semi").limit(2 * SAMPLE_DOCS)
-            sequences, size = [], 0
-            for r in sample.select("text").mapInArrow(_sequences(known), "classes array<short>").toLocalIterator():
-                part = np.array(r["classes"][: SAMPLE_TOKENS - size], np.int64)
-                if not len(part):
-                    break
-                sequences.append(part)
-                size += len(part)
-            if sequences:
-                model = fit_gru(sequences, vocabulary.classes)
+        totals = vocabulary.totals()
         scored = work.write(
             docs.mapInArrow(
-                _scored(known, spark.sparkContext.broadcast(model), spark.sparkContext.broadcast(totals)),
+                _encoded(known, spark.sparkContext.broadcast(totals)),
                 "uid long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, "
-                "score double, rare array<long>, times array<long>",
+                "score double, rare array<long>, times array<long>, classes binary",
             ),
             keep=True,
         )
+        likely = None
+        if vocabulary.tokens:
+            model = fit_gru(scored.where(~F.col("held_out")).select("uid", "classes"), vocabulary.tokens, totals)
+            likely = work.write(
+                scored.select("uid", "classes").mapInArrow(
+                    _likelihoods(spark.sparkContext.broadcast(model)), "uid long, score double"
+                ),
+                keep=True,
+            )
     # The words beyond the table: their counts come by a join, and leave as sums.
     v = vocabulary
     unseen = v.discount * v.rare_words / v.rare_tokens if v.rare_tokens else 1.0
@@ -380,10 +445,12 @@ def score_documents(documents: DataFrame) -> DataFrame:
         "uid", (F.col("times") * base).alias("base"), (F.col("times") * within).alias("score"),
         F.when(F.col("n").isNull(), 0).otherwise(F.col("times")).alias("n_known"),
     )
-    trained = F.lit(bool(v.tokens and model is not None))
+    trained = F.lit(likely is not None)
     rows = scored.select("uid", "doc_id", "held_out", "n_tokens", "n_known", "base", "score").unionByName(
         sums, allowMissingColumns=True
     )
+    if likely is not None:
+        rows = rows.unionByName(likely, allowMissingColumns=True)
     return (
         rows.groupBy("uid").agg(
             *(F.max(c).alias(c) for c in ("doc_id", "held_out", "n_tokens")),

@@ -147,6 +147,27 @@ def test_state_is_carried_across_windows():
         assert math.isclose(got, total, rel_tol=1e-4)
 
 
+def test_network_learns_from_all_documents(spark):
+    """One very long text that comes first is not the whole training set."""
+    rows = [(2, "a b " * 350_000), *((i, "c d e f g " * 100) for i in range(10, 1510))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert zlib.crc32(b"2") % 5 != 1
+    held = [r for r in recurrent_lm.score_documents(frame).collect() if r.held_out]
+    assert sum(r.score for r in held) / sum(r.n_tokens for r in held) > -0.2
+
+
+def test_task_learns_every_token():
+    rng = np.random.default_rng(6)
+    model = recurrent_lm.Gru.new(7, np.full(7, 1 / 7))
+    fitting = recurrent_lm.Fitting(recurrent_lm.packed(model), 7, 0.01)
+    seen, window = [], fitting.model.window
+    fitting.model.window = lambda b, t, h, inside: (seen.extend(zip(b[inside], t[inside], strict=True)), window(b, t, h, inside))[1]
+    docs = [rng.integers(0, 7, n) for n in (1, 700, 33, 5, 1000)]
+    fitting.learn(docs)
+    pairs = [p for d in docs for p in zip(np.append(7, d[:-1]), d, strict=True)]
+    assert Counter(seen) == Counter(pairs) and fitting.tokens == len(pairs)
+
+
 # Pages
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="x">
