@@ -158,6 +158,10 @@ def _literal(value) -> str:
     return f"{value}L" if isinstance(value, int) else f"double('{value!r}')"
 
 
+def _same(a, b) -> bool:
+    return a == b or (a != a and b != b)  # NaN is one value, as in Spark
+
+
 class _Bracket:
     """Where one quartile of one column lies: between low and high, with the counts of values
     below low and inside."""
@@ -175,7 +179,7 @@ class _Bracket:
 
     @property
     def found(self) -> bool:
-        return self.low is not None and self.low == self.high
+        return self.low is not None and _same(self.low, self.high)
 
     def points(self) -> str:
         share = (self.rank - self.below) / max(1, self.inside)
@@ -277,11 +281,42 @@ def _narrow(table: DataFrame, brackets: list[_Bracket]) -> None:
         _rank(table, [b for b in open_ if b.inside <= _FEW])
         if wide:
             points = table.agg(*(F.expr(f"{b.points()} AS c{i}") for i, b in enumerate(wide))).first()
+            stuck = []
             for i, b in enumerate(wide):
+                if all(map(_same, points[f"c{i}"], (b.low, b.high))):
+                    stuck.append(b)
                 b.low, b.high = points[f"c{i}"]
+            _halve(table, stuck)
         open_ = [b for b in wide if not b.found]
 
 
+def _halve(table: DataFrame, brackets: list[_Bracket]) -> None:
+    """Narrow brackets whose ends hold so many tied values that their quantiles are the ends.
+
+    One pass counts the ties at both ends: a rank among them is found, else the ends move in to
+    the next values, so that each call leaves fewer distinct values."""
+    if not brackets:
+        return
+    counts = table.agg(*(
+        F.expr(f"{e} AS c{i}_{n}")
+        for i, b in enumerate(brackets)
+        for n, e in (
+            ("low", f"count_if({b.value} = {_literal(b.low)})"),
+            ("high", f"count_if({b.value} = {_literal(b.high)})"),
+            ("next", f"min(if({b.within} AND {b.value} > {_literal(b.low)}, {b.value}, NULL))"),
+            ("last", f"max(if({b.within} AND {b.value} < {_literal(b.high)}, {b.value}, NULL))"),
+        )
+    )).first()
+    for i, b in enumerate(brackets):
+        low, high = counts[f"c{i}_low"], counts[f"c{i}_high"]
+        if b.rank <= b.below + low:
+            b.high = b.low
+        elif b.rank > b.below + b.inside - high:
+            b.low = b.high
+        else:
+            b.low, b.high = counts[f"c{i}_next"], counts[f"c{i}_last"]
+
+
 def _rank(table: DataFrame, brackets: list[_Bracket]) -> None:
     """Find the values of narrow brackets among their few rows."""
     for kind, type_ in (("whole", int), ("real", float)):

@@ -91,3 +91,25 @@ def test_approximate_profile_is_close(spark):
     table = spark.range(100000).selectExpr("CAST(id AS DOUBLE) AS x", "'a' AS s")
     row = explore.profile(table, exact=False).where("column_name = 'x'").first()
     assert abs(row.q25 - 25000) < 50 and abs(row.q75 - 75000) < 50 and row.max == 99999.0
+
+
+def test_quartiles_on_the_border_of_tied_values(spark, monkeypatch):
+    monkeypatch.setattr(explore, "_FEW", 100)
+    passes, aggregate = [], explore._Bracket.points
+
+    def counted(bracket):
+        passes.append(bracket.name)
+        assert len(passes) < 60, "brackets are not narrowed"
+        return aggregate(bracket)
+
+    monkeypatch.setattr(explore._Bracket, "points", counted)
+    columns = {
+        "tied": "CAST(id % 8 AS INT)", "real": "CAST(id % 4 AS DOUBLE)",
+        "between": "CASE WHEN id % 1000 < 499 THEN 1 WHEN id % 1000 = 499 THEN 2 + id DIV 1000 ELSE 900000 END",
+    }
+    table = spark.range(200_000).selectExpr(*(f"{e} AS `{c}`" for c, e in columns.items()))
+    rows = table.collect()
+    got = {r.column_name: r for r in explore.profile(table).collect()}
+    for name in columns:
+        for quartile, share in explore.QUARTILES.items():
+            assert got[name][quartile] == float(_discrete([r[name] for r in rows], share)), (name, quartile)
