@@ -19,6 +19,8 @@ SILENT = frozenset(
     "script style template noscript svg math iframe object canvas audio video textarea select "
     "datalist title head".split()
 )
+#: Of these, the ones whose content holds no tags: it ends with the element's own end tag.
+RAW = frozenset("script style noscript iframe textarea title".split())
 #: A start tag of the key ends an open element of the values.
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
@@ -34,6 +36,7 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.S,
 )
+_END_OF = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for tag in RAW}
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PIECE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
@@ -60,6 +63,7 @@ def blocks(page: str) -> list[Block]:
     stack: list[tuple[str, str]] = []
     pieces: list[tuple[str, bool]] = []
     silent, links, at = "", 0, 0
+    unended: set[str] = set()  # raw elements without an end tag in what follows
 
     def close() -> None:
         if pieces:
@@ -74,7 +78,7 @@ def blocks(page: str) -> list[Block]:
         links -= sum(t == "a" for t, _ in stack[to:])
         del stack[to:]
 
-    for m in _TOKEN.finditer(page):
+    while m := _TOKEN.search(page, at):
         if m.start() > at and not silent:
             pieces.append((page[at : m.start()], links > 0))
         at = m.end()
@@ -87,8 +91,17 @@ def blocks(page: str) -> list[Block]:
             # A head that is left open ends with the body.
             if (ending and tag == silent) or (silent == "head" and not ending and tag == "body"):
                 silent = ""
-            if silent or ending:
+            if ending:
                 continue
+        if tag in RAW - unended and not ending and not m[3].endswith("/"):
+            if end := _END_OF[tag].search(page, at):
+                if not silent:
+                    close()
+                at = end.end()
+                continue
+            unended.add(tag)
+        if silent:
+            continue
         if tag in SILENT:
             if not ending and not m[3].endswith("/"):
                 close()

@@ -187,6 +187,17 @@ def test_blocks():
     assert [b.text for b in blocks("a<![CDATA[<b>]]>c<div>" * 2)] == ["a<b>c", "a<b>c"]
 
 
+@pytest.mark.parametrize("raw", [
+    "<script>for(var i=0;i<n;i++){f(i)}</script>", "<script>var s='<!-- x';</script >", "<STYLE>a>b{}/*<p*/</style>",
+    "<textarea><a title='</textarea>", "<noscript><img alt='it's></noscript>", "<iframe><!-- </iframe>",
+    "<head><title>a <!-- b</title><script>if(a<b)c('</p>')</script></head>",
+])
+def test_raw_text_ends_with_its_own_tag(raw):
+    page = f"{raw}<article><p>One.</p>{raw}<p>Two <script>i<n</script>words.</p></article>{raw}"
+    assert [b.text for b in blocks(page)] == ["One.", "Two", "words."]
+    assert [b.text for b in blocks("<head><title>no end<body><p>One.</p>")] == ["One."]
+
+
 def test_lstm_gradients(monkeypatch):
     rng = np.random.default_rng(5)
     model = html_extract.Labeller.new()
