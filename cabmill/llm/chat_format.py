@@ -16,6 +16,11 @@ from pyspark.sql import functions as F
 from cabmill.llm.common import chosen, read
 
 TURNS = "array<struct<role:string,text:string>>"
+#: Fixed values: `try_parse_json` gives null for a string above 20 million characters and a record
+#: above 128 MB; records from this length on are never taken for broken JSON.
+PARSER_CHARS = 20_000_000
+#: A role up to this length stands in the record itself; a longer one is a reference.
+ROLE_CHARS, REFERENCE = 64, "\x01"
 
 
 @dataclass(frozen=True)
@@ -92,9 +97,15 @@ def canonical_turns(records: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS
     """Adds fingerprint, layout and turns to records with a JSON column ``record``.
 
     A record that is no JSON, or of no known shape, keeps its row with a null layout and null
-    turns, so the unknown fingerprints can be counted and given a mapping.
+    turns, so the unknown fingerprints can be counted and given a mapping. A record that may be
+    beyond the parser's limits raises an error.
     """
-    parsed = records.withColumn("_v", F.try_parse_json("record"))
+    value = F.try_parse_json("record")
+    parsed = records.withColumn("_v", F.when(F.length("record") < PARSER_CHARS, value).otherwise(
+        F.coalesce(value, F.when(F.col("record").isNotNull(), F.raise_error(
+            F.concat(F.lit("a record is no JSON or beyond the parser's limits; its characters: "), F.length("record"))
+        ).cast("variant")))
+    ))
     printed = parsed.withColumn("fingerprint", F.xxhash64(shape_of(F.col("_v"))))
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     for m in reversed(mappings):
@@ -145,22 +156,31 @@ class Template:
 
 def format_chats(records: DataFrame, template: Template | None = None) -> DataFrame:
     """Adds layout, turns, segments (text, loss) and formatted, the segments' texts in a row."""
-    t = template or Template()
-    turned = canonical_turns(records).withColumn("segments", t.segments(F.col("turns")))
+    return formatted_turns(canonical_turns(records), template or Template())
+
+
+def formatted_turns(turned: DataFrame, t: Template) -> DataFrame:
+    turned = turned.withColumn("segments", t.segments(F.col("turns")))
     return turned.withColumn("formatted", F.array_join(F.transform("segments", lambda s: s["text"]), ""))
 
 
 def records_of(rows: DataFrame) -> DataFrame:
-    """(conv_id, record) of rows (conv_id, turn, role, text), ordered by turn, then role and text.
+    """(conv_id, record, said) of rows (conv_id, turn, role, text), ordered by turn, then role and
+    text. ``said`` has the roles and texts; in the record, places in it stand for texts and long
+    roles, so none of them meets the limits of the JSON parser.
 
     Short conversations take the layout of their kind, all others that of messages."""
     turns = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
-    grouped = rows.groupBy("conv_id").agg(turns.alias("t"))
-    roles = F.transform("t", lambda x: x["role"])
+    grouped = rows.groupBy("conv_id").agg(turns.alias("said"))
+    roles = F.transform("said", lambda x: x["role"])
     is_pair = roles == F.array(F.lit("user"), F.lit("assistant"))
     is_task = roles == F.array(F.lit("system"), F.lit("user"), F.lit("assistant"))
-    text = lambda i: F.col("t")[i]["text"]
-    messages = F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("content")))
+    text = lambda i: F.lit(str(i))
+    long = lambda role: (F.length(role) > ROLE_CHARS) | role.startswith(REFERENCE)
+    messages = F.transform("said", lambda x, i: F.struct(
+        F.when(long(x["role"]), F.concat(F.lit(REFERENCE), i.cast("string"))).otherwise(x["role"]).alias("role"),
+        i.cast("string").alias("content"),
+    ))
     return grouped.select(
         "conv_id",
         F.when(is_pair, F.to_json(F.struct(text(0).alias("prompt"), text(1).alias("completion"))))
@@ -169,9 +189,19 @@ def records_of(rows: DataFrame) -> DataFrame:
             F.to_json(F.struct(text(0).alias("system"), text(1).alias("instruction"), text(2).alias("output"))),
         )
         .otherwise(F.to_json(F.struct(messages.alias("messages")))).alias("record"),
+        "said",
     )
 
 
+def resolved(turns: Column, said: Column) -> Column:
+    """Turns with the roles and texts that their references stand for."""
+    at = lambda reference: F.get(said, reference.cast("int"))
+    return F.transform(turns, lambda t: F.struct(
+        F.when(t["role"].startswith(REFERENCE), at(F.substring(t["role"], 2, 10))["role"]).otherwise(t["role"]).alias("role"),
+        at(t["text"])["text"].alias("text"),
+    ))
+
+
 def conversation_digests(rows: DataFrame) -> DataFrame:
     """Per conversation the digests of what its formatted text and loss mask read back as.
 
@@ -183,7 +213,10 @@ def conversation_digests(rows: DataFrame) -> DataFrame:
     t = Template()
     rows = chosen(rows, conv_id="long", turn="long", role="string", text="string")
     rows = rows.withColumns({c: F.coalesce(c, F.lit("")) for c in ("role", "text")})
-    out = format_chats(records_of(rows), t).select("conv_id", "formatted", "segments", t.parse(F.col("formatted")).alias("turns"))
+    turned = canonical_turns(records_of(rows))
+    unread = F.raise_error(F.concat(F.lit("conversation can't be read: "), F.coalesce(F.col("conv_id").cast("string"), F.lit("null"))))
+    turned = turned.withColumn("turns", F.coalesce(resolved(F.col("turns"), F.col("said")), unread.cast(TURNS)))
+    out = formatted_turns(turned, t).select("conv_id", "formatted", "segments", t.parse(F.col("formatted")).alias("turns"))
     told = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
     loss = t.unescape(F.array_join(F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: s["text"]), ""))
     return out.select(

@@ -1,6 +1,7 @@
 import hashlib
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from cabmill.llm import chat_format as C
@@ -64,3 +65,23 @@ def test_no_python_in_the_plan(spark, capsys):
     frame = spark.createDataFrame([(1, 0, "user", "x")], "conv_id long, turn long, role string, text string")
     C.conversation_digests(frame).explain()
     assert "Python" not in capsys.readouterr().out
+
+
+def test_texts_beyond_the_parsers_limits(spark):
+    size = C.PARSER_CHARS + 1_000_000
+    rows = spark.createDataFrame(
+        [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (2, 0, "tool", "c"), (3, 0, "\x01", "d"), (3, 1, "r" * 100, "e")],
+        "conv_id long, turn long, role string, text string",
+    ).withColumn("text", F.when(F.col("conv_id") < 3, F.expr(f"repeat(text, {size})")).otherwise(F.col("text")))
+    got = {r.conv_id: r for r in C.conversation_digests(rows).collect()}
+    assert got[1].turns_sha256 == digest("user\n" + "a" * size + "\nassistant\n" + "b" * size + "\n")
+    assert (got[1].loss_chars, got[1].loss_sha256) == (size, digest("b" * size))
+    assert got[2].turns_sha256 == digest("tool\n" + "c" * size + "\n") and got[2].n_turns == 1
+    assert got[3].turns_sha256 == digest("\x01\nd\n" + "r" * 100 + "\ne\n")
+
+
+def test_a_record_beyond_the_limits_is_an_error(spark):
+    text = F.expr(f"repeat('a', {C.PARSER_CHARS + 1_000_000})")
+    record = spark.range(1).select(F.to_json(F.struct(text.alias("prompt"), F.lit("b").alias("completion"))).alias("record"))
+    with pytest.raises(Exception, match="parser's limits"):
+        C.canonical_turns(record).select(F.size("turns")).collect()
