@@ -3,7 +3,9 @@
 A vector is represented by its nearest pivots in order. Every row is posted in the inverted files
 of its pivots with the pivot's place. A query reads the files of its own pivots; the shared
 pivots' places give the footrule distance of the two permutations (a pivot that is missing counts
-as one place behind the last). The rows nearest by footrule are ranked again by exact cosine.
+as one place behind the last). The rows nearest by footrule are ranked again by exact cosine, and
+besides their share all rows whose permutation is almost the query's: footrule says little about
+the order of near copies.
 """
 
 from __future__ import annotations
@@ -15,9 +17,14 @@ from pyspark.sql import functions as F
 from cabmill.llm.cells import best, search, valid_vectors
 from cabmill.llm.common import Work, read, smallest_hashes
 
-#: Pivots (a bounded sample, the rows with the smallest hashes), how many of them represent a
+#: Pivots (of a bounded sample, the rows with the smallest hashes), how many of them represent a
 #: vector, and the share of a block's rows that is ranked again. More of any of them finds more.
-PIVOTS, NEAREST, SHARE = 256, 48, 0.15
+PIVOTS, NEAREST, SHARE = 256, 48, 0.25
+#: A row is almost the query when its nearness is this part of the highest one possible.
+ALIKE = 0.7
+#: Sample rows for each pivot, and the cosines that pivots stay below, so that a cluster of near
+#: copies does not take its share of them: the next one counts if the one before leaves fewer than half.
+SAMPLED, APART = 8, (0.7, 0.8, 0.9, 0.97)
 
 
 class PermutationIndex:
@@ -63,8 +70,10 @@ def _searcher(pivots: np.ndarray, k: int, nearest: int, share: float):
         out = []
         for i, q in enumerate(queries):
             # Of rows with equal distances those with smaller ids come first.
-            key = index.nearness(permutations[i]) * n - np.arange(n)
-            near = np.argpartition(-key, ranked - 1)[:ranked] if ranked < n else np.arange(n)
+            nearness = index.nearness(permutations[i])
+            key = nearness * n - np.arange(n)
+            some = ranked + int((nearness >= ALIKE * index.nearest * (index.nearest + 1) / 2).sum())
+            near = np.argpartition(-key, some - 1)[:some] if some < n else np.arange(n)
             near = np.sort(near[ids[near] != query_ids[i]])
             score = (rows[near] @ q) / (lengths[near] * query_lengths[i])
             for j in best(score, ids[near], k):
@@ -74,12 +83,33 @@ def _searcher(pivots: np.ndarray, k: int, nearest: int, share: float):
     return run
 
 
+def _apart(units: np.ndarray, count: int) -> list[int]:
+    """Places of units no two of which are closer than need be, the first ones first."""
+    cosine, out = units @ units.T, []
+    for limit in (*APART, np.inf):
+        out, free = [], np.ones(len(units), bool)
+        while free.any() and len(out) < count:
+            out.append(int(free.argmax()))
+            free &= cosine[out[-1]] < limit
+            free[out[-1]] = False
+        if len(out) >= min(count, len(units)) / 2:
+            break
+    return out
+
+
 def _pivots(vectors: DataFrame, count: int) -> np.ndarray:
-    """Distinct vectors scaled to length one: those whose ids have the smallest hashes."""
-    rows = smallest_hashes(vectors, "vec_id", "pivot", 4 * count).collect()
-    distinct = list(dict.fromkeys(tuple(r["v"]) for r in rows))[:count]
-    units = [np.array(p) / np.linalg.norm(p) for p in distinct]
-    if len({len(u) for u in units}) > 1:
+    """Distinct vectors scaled to length one: of those whose ids have the smallest hashes, ones
+    that lie apart. Vectors of different lengths share the count by their numbers."""
+    rows = smallest_hashes(vectors, "vec_id", "pivot", SAMPLED * count).collect()
+    distinct = list(dict.fromkeys(tuple(r["v"]) for r in rows))
+    of_length: dict[int, list[np.ndarray]] = {}
+    for p in distinct:
+        of_length.setdefault(len(p), []).append(np.array(p) / np.linalg.norm(p))
+    units = []
+    for some in of_length.values():
+        own = max(1, round(count * len(some) / len(distinct)))
+        units += [some[i] for i in _apart(np.array(some), own)]
+    if len(of_length) > 1:
         out = np.empty(len(units), object)
         out[:] = units
         return out

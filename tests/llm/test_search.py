@@ -81,3 +81,23 @@ def test_permutation_index_finds_the_nearest(spark):
         hits, total = hits + len(want & {r.vec_id for r in rows}), total + 5
     assert hits / total >= 0.9
     assert permutation_index.permutation_search(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("noise", [0.02, 0.3])
+def test_near_copies_hide_no_neighbours(noise):
+    """A third of the rows are near copies of one: queries inside and outside find theirs."""
+    rng = np.random.default_rng(7)
+    v = rng.normal(size=(2048, 64))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    near = rng.permutation(2048) < 683
+    v[near] = v[near][0] + rng.normal(size=(683, 64)) * noise / 8
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    sample = v[rng.permutation(2048)]
+    apart = getattr(permutation_index, "_apart", lambda units, count: range(count))
+    pivots = sample[list(apart(sample, permutation_index.PIVOTS))]
+    ids = np.arange(2048)
+    run = permutation_index._searcher(pivots, 5, permutation_index.NEAREST, permutation_index.SHARE)
+    for some in (np.flatnonzero(near)[:60], np.flatnonzero(~near)[:60]):
+        found = {(q, i) for q, i, _ in run(ids, v, some, v[some])}
+        want = {(q, i) for q in some for i, _ in nearest(v @ v[q], ids, q, 5)}
+        assert len(found & want) / len(want) >= 0.9
