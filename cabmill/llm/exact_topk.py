@@ -1,11 +1,11 @@
 """Exact top-k search by inner product without random access.
 
 A block of rows is one list per component, sorted by value. For a query the lists are read from
-the end that its component favours, to a depth that doubles; what has been read gives each row a
+the end that its component favours, to a growing depth; what has been read gives each row a
 lower and an upper bound of its score, the list's ends standing in for what has not. Rows whose
 upper bound is below the k-th lower bound can't qualify, and neither can a row that no list has
-shown once the sum of the frontiers is below it. Reading ends when few rows are left, or with the
-lists; the final scores of the rows that are left are then completed.
+shown once the sum of the frontiers is below it. Reading goes on for the rows that are left; at the
+lists' ends both bounds of a row are its score.
 """
 
 from __future__ import annotations
@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from cabmill.llm.cells import best, search, valid_vectors
 from cabmill.llm.common import Work, read
 
-#: Depths as shares of a list; after the last, the lists are read to their ends.
-DEPTHS = (0.25, 0.5)
+#: Depths as shares of a list; the last one is its end.
+DEPTHS = (0.25, 0.5, 0.75, 0.875, 0.9375, 1.0)
 
 
 class SortedLists:
@@ -31,16 +31,16 @@ class SortedLists:
         self.place = np.empty_like(order)
         np.put_along_axis(self.place, order, np.arange(len(rows))[:, None], 0)
 
-    def bounds(self, queries: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """Lower and upper bound of every row's score for every query, lists read to a depth."""
-        n = len(self.rows)
+    def bounds(self, queries: np.ndarray, depth: int, live=slice(None)) -> tuple[np.ndarray, np.ndarray]:
+        """Lower and upper bound of the live rows' scores for every query, lists read to a depth."""
+        n, rows, place = len(self.rows), self.rows[live], self.place[live]
         up, down = np.maximum(queries, 0.0), np.minimum(queries, 0.0)
         low = high = 0.0
         for part, seen, frontier, end in (
-            (up, self.place >= n - depth, self.values[n - depth], self.values[0]),
-            (down, self.place < depth, self.values[depth - 1], self.values[-1]),
+            (up, place >= n - depth, self.values[n - depth], self.values[0]),
+            (down, place < depth, self.values[depth - 1], self.values[-1]),
         ):
-            known = part @ np.where(seen, self.rows, 0.0).T
+            known = part @ np.where(seen, rows, 0.0).T
             unseen = (~seen).astype(float).T
             high = high + known + (part * frontier) @ unseen
             low = low + known + (part * end) @ unseen
@@ -51,23 +51,23 @@ def top_by_bounds(
     ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int
 ) -> list[tuple[int, int, int]]:
     lists, n = SortedLists(rows), len(rows)
-    alive = np.repeat(ids[None, :] != query_ids[:, None], 1, axis=0)
-    reading = np.arange(len(queries))
+    alive = ids[None, :] != query_ids[:, None]
+    live, score = np.arange(n), np.empty((len(queries), n))
     for share in DEPTHS:
-        depth = int(n * share)
-        if depth < 1 or n <= k + 1 or not len(reading):
-            break
-        low, high = lists.bounds(queries[reading], depth)
-        low[~alive[reading]] = -np.inf
-        kth = np.partition(low, n - k, axis=1)[:, n - k]
-        alive[reading] &= high >= kth[:, None]
-        reading = reading[alive[reading].sum(1) > max(4 * k, n // 16)]
+        depth = max(1, int(n * share))
+        low, high = lists.bounds(queries, depth, live)
+        score = np.where(alive, low, -np.inf)
+        if len(live) > k:
+            kth = np.partition(score, len(live) - k, axis=1)[:, len(live) - k]
+            alive &= high >= kth[:, None]
+            left = alive.any(0)
+            live, alive, score = live[left], alive[:, left], score[:, left]
     out = []
-    for i, q in enumerate(queries):
-        left = np.flatnonzero(alive[i])
-        score = rows[left] @ q
-        for j in best(score, ids[left], k):
-            out.append((int(query_ids[i]), int(ids[left[j]]), int(score[j])))
+    for i in range(len(queries)):
+        own = live[alive[i]]
+        exact = score[i, alive[i]]
+        for j in best(exact, ids[own], k):
+            out.append((int(query_ids[i]), int(ids[own[j]]), int(exact[j])))
     return out
 
 

@@ -46,6 +46,27 @@ def test_bounds_hold():
     assert (low == score).all() and (high == score).all()
 
 
+def test_scores_come_from_the_lists():
+    rng = np.random.default_rng(8)
+    rows, ids = rng.integers(-200, 200, (300, 64)).astype(float), np.arange(300)
+    rows[:40] *= 8
+    own, lists = np.arange(0, 300, 50), exact_topk.SortedLists
+    depths = []
+
+    class Read(lists):
+        def bounds(self, queries, depth, *live):
+            depths.append((depth, *map(len, live)))
+            return super().bounds(queries, depth, *live)
+
+    exact_topk.SortedLists = Read
+    try:
+        got = exact_topk.top_by_bounds(ids, rows, own, rows[own], 5)
+    finally:
+        exact_topk.SortedLists = lists
+    assert got == [(q, i, int(s)) for q in own for i, s in nearest(rows @ rows[q], ids, q, 5)]
+    assert depths[-1][0] == 300 and depths[-1][1] < 300
+
+
 def test_few_rows(spark):
     frame = spark.createDataFrame([(0, [1.0, 2.0]), (7, [0.5, 0.5])], "vec_id long, embedding array<double>")
     assert [tuple(r) for r in exact_topk.exact_topk(frame).collect()] == [(0, 1, 7, 256 * 128 + 512 * 128)]
