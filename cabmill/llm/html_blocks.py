@@ -52,7 +52,7 @@ def _element(tag: str, attributes: str) -> str:
     for m in _NAMES.finditer(attributes):
         value = html.unescape(m[2] or m[3] or m[4] or "")
         names += [p.lower() for p in _PIECE.findall(value)]
-    return " ".join([tag, *names[:12]])
+    return " ".join([tag, *dict.fromkeys(names)])
 
 
 def blocks(page: str) -> list[Block]:

@@ -198,6 +198,12 @@ def test_raw_text_ends_with_its_own_tag(raw):
     assert [b.text for b in blocks("<head><title>no end<body><p>One.</p>")] == ["One."]
 
 
+def test_every_name_counts():
+    page = "<div class='mt-8 pt-6 border-t border-gray-200 flex flex-col gap-4 w-full max-w-3xl mt-8' id=comments><p>x</p></div>"
+    names = blocks(page)[0].path[0].split()
+    assert names[0] == "div" and names[-1] == "comments" and len(names) == len(set(names))
+
+
 def test_lstm_gradients(monkeypatch):
     rng = np.random.default_rng(5)
     model = html_extract.Labeller.new()
