@@ -13,7 +13,7 @@ from cabmill.llm.common import Work, read
 
 #: Ids that may be broadcast (8 bytes each); beyond, Spark picks the join.
 BROADCAST_ROWS = 1_000_000
-_TEXT = "_cabmill_scored_text"
+_TEXT, _ROW = "_cabmill_scored_text", "_cabmill_row"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,23 +28,29 @@ def _small(ids: DataFrame) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id.
+    """Of each group of near copies the row with the smallest id, and of rows that repeat it one.
 
-    Rows that repeat an id and a text stay once; rows without an id can't be told apart and stay.
+    Rows are told apart by a written key, so an id may have several texts. Rows without an id are
+    no copies of rows with one; of theirs in a group one stays. Texts without words have no copies,
+    but rows that repeat an id and such a text stay once.
     """
     with Work(spark, "near-copies") as work:
-        groups = work.write(jaccard_join.jaccard_components(docs).where("doc_id IS NOT NULL"), keep=True)
-        gone = work.write(groups.where("component_id < doc_id").select("doc_id").distinct(), keep=True)
-        again = work.write(
-            groups.groupBy("doc_id").count().where("count > 1").select("doc_id"), keep=True
+        keyed = work.write(docs.withColumn(_ROW, F.monotonically_increasing_id()), keep=True)
+        groups = jaccard_join.jaccard_components(keyed.select(F.col(_ROW).alias("doc_id"), "text")).select(
+            F.col("doc_id").alias(_ROW), F.col("component_id").alias("group")
         )
-    left = docs.join(_small(gone), "doc_id", "left_anti").select(*docs.columns)
-    if again.isEmpty():
-        return left
-    again = _small(again)
-    return left.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(
-        left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
-    )
+        blank = F.coalesce(~F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(True)) & F.col("doc_id").isNotNull()
+        told = keyed.select(
+            _ROW, F.col("doc_id").alias("id"), blank.alias("blank"),
+            F.when(blank, F.sha2("text", 256)).alias("text"),
+        )
+        rows = work.write(groups.join(told, _ROW).select(
+            _ROW, "id", F.when(~F.col("blank"), F.col("group")).alias("group"),
+            F.col("id").isNull().alias("nameless"), F.when(F.col("blank"), F.col("id")).alias("blank_id"), "text",
+        ))
+        first = rows.groupBy("group", "nameless", "blank_id", "text").agg(F.min(F.struct("id", _ROW))[_ROW].alias(_ROW))
+        gone = work.write(rows.select(_ROW).join(first, _ROW, "left_anti"), keep=True)
+    return keyed.join(_small(gone), _ROW, "left_anti").select(*docs.columns)
 
 
 def blank_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,6 +49,19 @@ def test_near_copies_with_repeated_and_missing_ids(spark):
     assert got == Counter({(1, t): 1, (None, t): 1, (3, ""): 1, (4, None): 1, (5, "x"): 1})
 
 
+def test_near_copies_are_decided_by_row(spark):
+    words = [f"w{i}" for i in range(40)]
+    t, near, other = " ".join(words), " ".join([*words[:-1], "x"]), "a quite different text of more than five words"
+    rows = [(1, t), (2, near), (2, other), (3, other + " one"), (3, other + " two"), (5, "z " + t), (5, "y " + t),
+            (None, t), (None, near), (None, other), (None, ""), (None, ""), (6, " "), (6, " "), (6, "")]
+    docs = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, n int")
+    got = Counter((r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect())
+    named = [r for r in got.elements() if r[0] is not None]
+    assert sorted(named) == sorted([(1, t), (2, other), (6, " "), (6, "")])
+    nameless = Counter(text for i, text in got.elements() if i is None)
+    assert nameless[""] == 2 and nameless[other] == 1 and nameless[t] + nameless[near] == 1
+
+
 def test_run_packs_what_is_left(spark, sf_dir):
     got = corpus_pipeline.run(spark, sf_dir).collect()
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
