@@ -1,6 +1,7 @@
 """Registered queries of this package and the DuckDB SQL that restates them where SQL can."""
 
 from cabmill.llm import exact_topk
+from cabmill.llm.byte_bpe import op12_byte_bpe
 from cabmill.llm.chat_format import op5_chat_format
 from cabmill.llm.exact_topk import op7_exact_topk
 from cabmill.llm.html_extract import op1_html_extract
@@ -23,6 +24,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_secret_scan": op9_secret_scan,
     "op10_permutation_index": op10_permutation_index,
+    "op12_byte_bpe": op12_byte_bpe,
 }
 
 ORACLE = {"op7_exact_topk": exact_topk.ORACLE}
