@@ -19,7 +19,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from cabmill.sources.shared import written
+from cabmill.sources.shared import Scratch, written
 
 
 def count_rows(table: DataFrame) -> DataFrame:
@@ -99,9 +99,13 @@ def _exclusive_sums(
 QUARTILES = {"q25": 0.25, "q50": 0.50, "q75": 0.75}
 _POINTS = ["min", *QUARTILES, "max"]
 _EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
-# A quartile's bracket is narrowed until it holds so few rows; the share it is narrowed to on
-# either side is twice the error that `percentile_approx` may make.
-_FEW, _ACCURACY, _MARGIN = 100_000, 1000, 0.002
+# Size of a quantile sketch, and the share of the values around a quartile that its bracket takes
+# on either side: three times the error that a sketch of this size exceeds once in a hundred times.
+_SKETCH, _MARGIN = 2000, 0.0045
+# Without a second scan the sketch itself answers, so it is larger.
+_FINE_SKETCH = 16_000
+# Tasks whose partial results meet first, so that no task merges those of all.
+_TASKS_TOGETHER = 64
 _PROFILE = (
     "column_name string, count long, null_count long, mean double, std double, "
     + "".join(f"{p} double, " for p in _POINTS)
@@ -116,24 +120,26 @@ def profile(table: DataFrame, exact: bool = True) -> DataFrame:
     Numbers fill `mean` .. `max`; dates and timestamps the `*_ts` columns (no deviation; an
     instant as its UTC time); text, flags and binaries (in hexadecimal) `min_text` and `max_text`,
     and `mean` of a flag is the share of true. Any other type is counted. Quartiles are discrete:
-    the smallest value that at least the given share of the values does not exceed.
-
-    Values are never shuffled: one pass gives the simple statistics and brackets of the
-    quartiles, and each further pass counts what lies below a bracket and narrows it, until
-    the few distinct values left in it can be ranked. `exact=False` takes the quartiles from
-    `percentile_approx`, in one pass in all.
+    the smallest value that at least the given share of the values does not exceed; NaN is the
+    largest number.
+
+    The table is scanned twice, whatever its values. The first scan gives the simple statistics
+    and a quantile sketch per column, hence a narrow bracket around each quartile. The second
+    counts, map-side, every distinct value inside a bracket and how many values lie between the
+    brackets; equal values are one row, so ties cost nothing. The quartiles are found among these
+    counts, which are sorted over all tasks. `exact=False` takes them from a larger sketch, in
+    one scan.
     """
     columns = [_Profiled(i, f.name, _family(f.dataType)) for i, f in enumerate(table.schema)]
-    aggregates = [F.count(F.lit(1)).alias("rows")]
-    for c in columns:
-        aggregates += [F.expr(f"{e} AS c{c.position}_{n}") for n, e in c.simple(exact).items()]
-    first = table.agg(*aggregates).first()
-    for c in columns:
-        c.take(first, exact)
-    if exact:
-        _narrow(table, [q for c in columns for q in c.brackets])
-    rows = [c.row(first["rows"]) for c in columns]
-    return table.sparkSession.createDataFrame(rows, _PROFILE)
+    with Scratch(table.sparkSession, "profile") as scratch:
+        rows, sketches = _first_scan(scratch, table, columns, _SKETCH if exact else _FINE_SKETCH)
+        margin = _MARGIN if exact else 0.0
+        _bracketed(sketches, columns, margin)
+        while exact and (missed := _second_scan(scratch, table, columns)):
+            # A sketch was off by more than three times its error: wider brackets, one scan more.
+            margin *= 4
+            _bracketed(sketches, missed, margin)
+    return table.sparkSession.createDataFrame([c.row(rows) for c in columns], _PROFILE)
 
 
 def _family(data_type) -> str:
@@ -158,44 +164,14 @@ def _literal(value) -> str:
     return f"{value}L" if isinstance(value, int) else f"double('{value!r}')"
 
 
-def _same(a, b) -> bool:
-    return a == b or (a != a and b != b)  # NaN is one value, as in Spark
-
-
-class _Bracket:
-    """Where one quartile of one column lies: between low and high, with the counts of values
-    below low and inside."""
-
-    def __init__(self, value: str, name: str, rank: int, count: int):
-        self.value, self.name, self.rank = value, name, rank
-        self.low = self.high = None
-        self.below, self.inside = 0, count
-
-    @property
-    def within(self) -> str:
-        if self.low is None:
-            return "true"
-        return f"{self.value} BETWEEN {_literal(self.low)} AND {_literal(self.high)}"
-
-    @property
-    def found(self) -> bool:
-        return self.low is not None and _same(self.low, self.high)
-
-    def points(self) -> str:
-        share = (self.rank - self.below) / max(1, self.inside)
-        low, high = max(0.0, share - _MARGIN), min(1.0, share + _MARGIN)
-        return (
-            f"percentile_approx(if({self.within}, {self.value}, NULL),"
-            f" array({low!r}D, {high!r}D), {_ACCURACY})"
-        )
-
-
 class _Profiled:
-    """One column: its aggregates, and what they gave."""
+    """One column: its aggregates, what they gave, and the brackets of its quartiles."""
 
     def __init__(self, position: int, name: str, family: str):
         self.position, self.name, self.family = position, name, family
-        self.brackets: list[_Bracket] = []
+        self.wanted: dict[str, int] = {}  # quartile: rank, until it is found
+        self.found: dict[str, int | float] = {}
+        self.brackets: list[tuple] = []  # disjoint (low, high), ascending
 
     @property
     def value(self) -> str | None:
@@ -218,45 +194,87 @@ class _Profiled:
             self.family
         )
 
-    def simple(self, exact: bool) -> dict[str, str]:
-        out = {"count": f"count({_quoted(self.name)})"}
+    @property
+    def sketch(self) -> str:
+        return "double" if self.family == "real" else "bigint"
+
+    def partial(self, k: int) -> dict[str, tuple[str, str]]:
+        """Aggregate over rows, and the aggregate that merges its results."""
+        column, v = _quoted(self.name), self.value
+        out = {"count": (f"count({column})", "coalesce(sum({}), 0)")}
         if self.text:
-            out |= {"min": f"min({self.text})", "max": f"max({self.text})"}
+            out |= {p: (f"{p}({self.text})", f"{p}({{}})") for p in ("min", "max")}
         if self.family == "flag":
-            out["mean"] = f"avg(CAST({_quoted(self.name)} AS INT))"
-        if v := self.value:
-            out |= {"mean": f"avg({v})", "std": f"stddev_samp({v})", "min": f"min({v})", "max": f"max({v})"}
-            if self.family != "real":
-                out["whole"] = f"CAST(sum(CAST({v} AS DECIMAL(20, 0))) div {out['count']} AS BIGINT)"
-            for name, share in QUARTILES.items():
-                low, high = (max(0.0, share - _MARGIN), min(1.0, share + _MARGIN)) if exact else (share, share)
-                accuracy = _ACCURACY if exact else 10_000
-                out[name] = f"percentile_approx({v}, array({low!r}D, {high!r}D), {accuracy})"
+            out["sum"] = (f"sum(CAST({column} AS INT))", "sum({})")
+        if v:
+            out |= {p: (f"{p}({v})", f"{p}({{}})") for p in ("min", "max")}
+            # Count, sum and squared deviations of a part; parts are merged by these.
+            moments = f"struct(count({v}) AS n, sum(CAST({v} AS DOUBLE)) AS s, var_pop({v}) * count({v}) AS m2)"
+            out["moments"] = (moments, "collect_list({})")
+            out["sketch"] = (f"kll_sketch_agg_{self.sketch}({v}, {k})", f"kll_merge_agg_{self.sketch}({{}})")
+            if self.family == "real":
+                out["nans"] = (f"count_if(isnan({v}))", "sum({})")
+            else:
+                out["whole"] = (f"sum(CAST({v} AS DECIMAL(38, 0)))", "sum({})")
         return out
 
-    def take(self, row, exact: bool) -> None:
-        self.got = {n: row[f"c{self.position}_{n}"] for n in self.simple(exact)}
-        if self.value and self.got["count"] and exact:
+    def take(self, row) -> None:
+        self.got = {n: row[f"c{self.position}_{n}"] for n in self.partial(1) if n != "sketch"}
+        count, nans = self.got["count"], self.got.get("nans") or 0
+        self.numbers = count - nans
+        if self.value and count:
             for name, share in QUARTILES.items():
-                count = self.got["count"]
-                bracket = _Bracket(self.value, name, math.ceil(share * count), count)
-                bracket.low, bracket.high = self.got[name]
-                self.brackets.append(bracket)
+                rank = math.ceil(share * count)
+                if rank <= self.numbers:
+                    self.wanted[name] = rank
+                else:
+                    self.found[name] = math.nan
+
+    def shares(self, margin: float) -> list[float]:
+        middle = (rank / self.numbers for rank in self.wanted.values())
+        return [min(1.0, max(0.0, m + d)) for m in middle for d in (-margin, margin)]
+
+    def bracket(self, points: list) -> None:
+        self.brackets = []
+        for low, high in sorted(zip(points[::2], points[1::2], strict=True)):
+            if self.brackets and low <= self.brackets[-1][1]:
+                low, before = self.brackets.pop()
+                high = max(high, before)
+            self.brackets.append((low, high))
+
+    def zone(self) -> str:
+        """Number of the bracket that holds the value, as 2 n + 1, or of the gap before bracket n,
+        as 2 n; NULL beyond the last bracket, for NULL and for NaN."""
+        v = self.value
+        whens = "".join(
+            f" WHEN {v} < {_literal(low)} THEN {2 * n} WHEN {v} <= {_literal(high)} THEN {2 * n + 1}"
+            for n, (low, high) in enumerate(self.brackets)
+        )
+        return f"CASE{whens} END"
+
+    def cell(self) -> str:
+        """What the second scan counts of a row: column, zone, and the value inside a bracket."""
+        zone, v = self.zone(), self.value
+        inside = f"if(pmod({zone}, 2) = 1, {v}, NULL)"
+        whole, real = (inside, "CAST(NULL AS DOUBLE)") if self.sketch == "bigint" else ("CAST(NULL AS BIGINT)", inside)
+        return f"struct({self.position} AS c, {zone} AS z, {whole} AS w, {real} AS r)"
 
     def row(self, rows: int) -> tuple:
         got, points = self.got, dict.fromkeys(_POINTS)
+        mean = std = None
         if self.value:
-            points |= {"min": got["min"], "max": got["max"]}
-            points |= {q: got[q] and got[q][0] for q in QUARTILES}
-            points |= {b.name: b.low for b in self.brackets}
+            points |= {"min": got["min"], "max": got["max"]} | self.found
+            mean, std = _mean_and_deviation([m for m in got["moments"] if m.n])
+        elif self.family == "flag" and got["count"]:
+            mean = got["sum"] / got["count"]
         moment = self.family in ("time", "instant")
         at = lambda micros: None if micros is None else _SINCE + timedelta(microseconds=micros)
         number = lambda x: None if moment or x is None else float(x)
+        middle = _truncated(int(got["whole"]), got["count"]) if moment and got["count"] else None
         return (
-            self.name, got["count"], rows - got["count"], number(got.get("mean")), number(got.get("std")),
+            self.name, got["count"], rows - got["count"], number(mean), number(std),
             *(number(points[p]) for p in _POINTS),
-            at(got["whole"]) if moment else None,
-            *(at(points[p]) if moment else None for p in _POINTS),
+            at(middle), *(at(points[p]) if moment else None for p in _POINTS),
             got.get("min") if self.text else None, got.get("max") if self.text else None,
         )
 
@@ -264,71 +282,92 @@ class _Profiled:
 _SINCE = datetime(1970, 1, 1)
 
 
-def _narrow(table: DataFrame, brackets: list[_Bracket]) -> None:
-    """Bring every bracket down to the one value that holds its rank."""
-    open_ = [b for b in brackets if not b.found]
-    while open_:
-        counts = table.agg(*(
-            F.expr(f"count_if({e}) AS c{i}_{n}")
-            for i, b in enumerate(open_)
-            for n, e in (("below", f"{b.value} < {_literal(b.low)}"), ("inside", b.within))
-        )).first()
-        for i, b in enumerate(open_):
-            b.below, b.inside = counts[f"c{i}_below"], counts[f"c{i}_inside"]
-            if not b.below < b.rank <= b.below + b.inside:
-                raise RuntimeError(f"percentile_approx missed its error bound for {b.value}")
-        wide = [b for b in open_ if b.inside > _FEW]
-        _rank(table, [b for b in open_ if b.inside <= _FEW])
-        if wide:
-            points = table.agg(*(F.expr(f"{b.points()} AS c{i}") for i, b in enumerate(wide))).first()
-            stuck = []
-            for i, b in enumerate(wide):
-                if all(map(_same, points[f"c{i}"], (b.low, b.high))):
-                    stuck.append(b)
-                b.low, b.high = points[f"c{i}"]
-            _halve(table, stuck)
-        open_ = [b for b in wide if not b.found]
-
-
-def _halve(table: DataFrame, brackets: list[_Bracket]) -> None:
-    """Narrow brackets whose ends hold so many tied values that their quantiles are the ends.
-
-    One pass counts the ties at both ends: a rank among them is found, else the ends move in to
-    the next values, so that each call leaves fewer distinct values."""
-    if not brackets:
+def _truncated(total: int, count: int) -> int:
+    """The quotient without its fraction, as SQL divides whole numbers."""
+    return total // count if total >= 0 else -(-total // count)
+
+
+def _mean_and_deviation(moments: list) -> tuple[float | None, float | None]:
+    """Of the union of some parts, from their counts, sums and squared deviations."""
+    n = sum(m.n for m in moments)
+    if not n:
+        return None, None
+    sums = [m.s for m in moments]
+    mean = (math.fsum(sums) if all(map(math.isfinite, sums)) else sum(sums)) / n
+    squares = [m.m2 + m.n * (m.s / m.n - mean) ** 2 for m in moments]
+    return mean, math.sqrt(sum(squares) / (n - 1)) if n > 1 else None
+
+
+def _first_scan(
+    scratch: Scratch, table: DataFrame, columns: list[_Profiled], k: int
+) -> tuple[int, DataFrame]:
+    """Simple statistics of all columns; gives the number of rows and a row of sketches."""
+    each = [(f"c{c.position}_{n}", *e) for c in columns for n, e in c.partial(k).items()]
+    group = F.floor(F.spark_partition_id() / _TASKS_TOGETHER).alias("part")
+    parts = table.groupBy(group).agg(
+        F.expr("count(1) AS rows"), *(F.expr(f"{e} AS {name}") for name, e, _ in each)
+    )
+    parts = scratch.written(parts)
+    merged = [F.expr(f"{merge.format(name)} AS {name}") for name, _, merge in each]
+    whole = scratch.written(parts.agg(F.expr("coalesce(sum(rows), 0) AS rows"), *merged))
+    sketches = [name for name, *_ in each if name.endswith("_sketch")]
+    row = whole.drop(*sketches).first()
+    for c in columns:
+        c.take(row)
+    return row["rows"], whole.select(*sketches)
+
+
+def _bracketed(sketches: DataFrame, columns: list[_Profiled], margin: float) -> None:
+    """Brackets of the quartiles still wanted, from the sketches; without a margin, the answers."""
+    some = [c for c in columns if c.wanted]
+    if not some:
         return
-    counts = table.agg(*(
-        F.expr(f"{e} AS c{i}_{n}")
-        for i, b in enumerate(brackets)
-        for n, e in (
-            ("low", f"count_if({b.value} = {_literal(b.low)})"),
-            ("high", f"count_if({b.value} = {_literal(b.high)})"),
-            ("next", f"min(if({b.within} AND {b.value} > {_literal(b.low)}, {b.value}, NULL))"),
-            ("last", f"max(if({b.within} AND {b.value} < {_literal(b.high)}, {b.value}, NULL))"),
-        )
+    row = sketches.selectExpr(*(
+        f"kll_sketch_get_quantile_{c.sketch}(c{c.position}_sketch,"
+        f" array({', '.join(f'{s!r}D' for s in c.shares(margin))})) AS c{c.position}"
+        for c in some
     )).first()
-    for i, b in enumerate(brackets):
-        low, high = counts[f"c{i}_low"], counts[f"c{i}_high"]
-        if b.rank <= b.below + low:
-            b.high = b.low
-        elif b.rank > b.below + b.inside - high:
-            b.low = b.high
+    for c in some:
+        points = row[f"c{c.position}"]
+        if margin:
+            c.bracket(points)
         else:
-            b.low, b.high = counts[f"c{i}_next"], counts[f"c{i}_last"]
-
-
-def _rank(table: DataFrame, brackets: list[_Bracket]) -> None:
-    """Find the values of narrow brackets among their few rows."""
-    for kind, type_ in (("whole", int), ("real", float)):
-        some = [b for b in brackets if isinstance(b.low, type_)]
-        if not some:
-            continue
-        cases = ", ".join(f"if({b.within}, struct({i} AS i, {b.value} AS v), NULL)" for i, b in enumerate(some))
-        inside = table.selectExpr(f"explode(filter(array({cases}), x -> x IS NOT NULL)) AS x")
-        below = F.create_map(*(F.lit(x) for i, b in enumerate(some) for x in (i, b.below)))
-        rank = F.create_map(*(F.lit(x) for i, b in enumerate(some) for x in (i, b.rank)))
-        upto = F.sum("n").over(Window.partitionBy("i").orderBy("v")) + below[F.col("i")]
-        values = inside.groupBy("x.i", "x.v").agg(F.count(F.lit(1)).alias("n")).withColumn("upto", upto)
-        at = values.where((F.col("upto") >= rank[F.col("i")])).groupBy("i").agg(F.min("v").alias("v"))
-        for r in at.collect():
-            some[r.i].low = some[r.i].high = r.v
+            c.found |= dict(zip(c.wanted, points[::2], strict=True))
+
+
+def _second_scan(scratch: Scratch, table: DataFrame, columns: list[_Profiled]) -> list[_Profiled]:
+    """Find the quartiles that are wanted; gives the columns with one outside of its bracket."""
+    some = {c.position: c for c in columns if c.wanted}
+    if not some:
+        return []
+    cells = table.selectExpr(f"explode(array({', '.join(c.cell() for c in some.values())})) AS x")
+    counts = cells.select("x.*").where("z IS NOT NULL").groupBy("c", "z", "w", "r").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    counts = scratch.written(
+        counts.orderBy("c", "z", "w", "r").withColumn("_id", F.monotonically_increasing_id())
+    )
+    part = F.shiftright("_id", _LOCAL_BITS)
+    # One row per partition, and one more for each zone that begins inside of one.
+    sizes = counts.groupBy("c", "z", part.alias("part")).agg(F.sum("n").alias("n")).orderBy("c", "z", "part")
+    upto: dict[int, list] = {}
+    for r in sizes.collect():
+        own = upto.setdefault(r.c, [])
+        own.append((r.z, r.part, r.n, own[-1][3] + own[-1][2] if own else 0))
+    targets = []
+    for position, c in some.items():
+        for name, rank in c.wanted.items():
+            at = next((x for x in upto.get(position, []) if x[3] < rank <= x[3] + x[2]), None)
+            if at and at[0] % 2:
+                targets.append((position, name, at[0], at[1], rank - at[3]))
+    if targets:
+        wanted = table.sparkSession.createDataFrame(targets, "c int, name string, z int, part long, left long")
+        # Only partitions of the sorted counts that hold a target are read.
+        held = F.col("_id").bitwiseAND(F.lit(-1 << _LOCAL_BITS)).isin([p << _LOCAL_BITS for *_, p, _ in targets])
+        within = Window.partitionBy("c", "z", "part").orderBy("_id")
+        running = counts.where(held).withColumn("part", part).withColumn("upto", F.sum("n").over(within))
+        hits = running.join(wanted, ["c", "z", "part"]).where("upto >= left AND upto - n < left")
+        for r in hits.collect():
+            some[r.c].found[r.name] = r.r if r.w is None else r.w
+            del some[r.c].wanted[r.name]
+    return [c for c in some.values() if c.wanted]

@@ -86,8 +86,11 @@ def key_values(combinations: DataFrame) -> DataFrame:
 def star_key_audit(combinations: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Per foreign key: trips whose key is NULL, and trips whose key its dimension lacks.
 
-    `combinations` holds the five keys of the fact table and, in `trips`, how often they occur.
+    `combinations` holds the five keys of the fact table and, in `trips`, how often they occur;
+    a frame without these columns, such as the fact table itself, is refused.
     """
+    if missing := {*STAR_KEYS, "trips"} - set(combinations.columns):
+        raise ValueError(f"key combinations lack the columns {sorted(missing)}")
     known = reduce(
         DataFrame.unionByName,
         (

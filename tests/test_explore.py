@@ -93,23 +93,58 @@ def test_approximate_profile_is_close(spark):
     assert abs(row.q25 - 25000) < 50 and abs(row.q75 - 75000) < 50 and row.max == 99999.0
 
 
-def test_quartiles_on_the_border_of_tied_values(spark, monkeypatch):
-    monkeypatch.setattr(explore, "_FEW", 100)
-    passes, aggregate = [], explore._Bracket.points
+def counting(spark, table):
+    """The table, read through a step that counts the rows it passes on."""
+    passed = spark.sparkContext.accumulator(0)
 
-    def counted(bracket):
-        passes.append(bracket.name)
-        assert len(passes) < 60, "brackets are not narrowed"
-        return aggregate(bracket)
+    def run(batches):
+        for batch in batches:
+            passed.add(batch.num_rows)
+            yield batch
 
-    monkeypatch.setattr(explore._Bracket, "points", counted)
+    return table.mapInArrow(run, table.schema), passed
+
+
+def test_quartiles_on_the_border_of_tied_values_take_two_scans(spark):
     columns = {
         "tied": "CAST(id % 8 AS INT)", "real": "CAST(id % 4 AS DOUBLE)",
         "between": "CASE WHEN id % 1000 < 499 THEN 1 WHEN id % 1000 = 499 THEN 2 + id DIV 1000 ELSE 900000 END",
+        "constant": "5L", "own": "id * 7919 % 200003", "fine": "sqrt(id)", "day": "DATE '2015-01-01' + CAST(id % 9 AS INT)",
+        "none": "CAST(NULL AS INT)", "few": "if(id < 3, id, NULL)",
     }
-    table = spark.range(200_000).selectExpr(*(f"{e} AS `{c}`" for c, e in columns.items()))
+    table = spark.range(0, 200_000, 1, 9).selectExpr(*(f"{e} AS `{c}`" for c, e in columns.items()))
+    rows = table.collect()
+    counted, passed = counting(spark, table)
+    got = {r.column_name: r for r in explore.profile(counted).collect()}
+    assert passed.value == 2 * 200_000
+    for name in set(columns) - {"day", "none"}:
+        for quartile, share in explore.QUARTILES.items():
+            values = [r[name] for r in rows if r[name] is not None]
+            assert got[name][quartile] == float(_discrete(values, share)), (name, quartile)
+    for quartile, share in explore.QUARTILES.items():
+        assert got["day"][f"{quartile}_ts"].date() == _discrete([r.day for r in rows], share)
+    assert got["none"].q50 is None and got["none"].null_count == 200_000
+
+
+def test_a_missed_bracket_is_widened(spark, monkeypatch):
+    monkeypatch.setattr(explore, "_SKETCH", 8)
+    monkeypatch.setattr(explore, "_MARGIN", 1e-6)
+    monkeypatch.setattr(explore, "_TASKS_TOGETHER", 2)
+    table = spark.range(0, 30_000, 1, 11).selectExpr("id * 7919 % 30011 AS a", "-id / 3 AS b")
     rows = table.collect()
     got = {r.column_name: r for r in explore.profile(table).collect()}
-    for name in columns:
+    for name in "ab":
         for quartile, share in explore.QUARTILES.items():
-            assert got[name][quartile] == float(_discrete([r[name] for r in rows], share)), (name, quartile)
+            assert got[name][quartile] == float(_discrete([r[name] for r in rows], share))
+
+
+def test_profile_of_odd_numbers(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(nan, 1.0), (inf, None), (-inf, None), (0.0, None), (-0.0, None), (nan, None), (nan, None), (nan, None)]
+    got = {r.column_name: r for r in explore.profile(spark.createDataFrame(rows, "a DOUBLE, b DOUBLE")).collect()}
+    a, b = got["a"], got["b"]
+    assert (a.min, a.q25, a.q50) == (-inf, 0.0, inf) and a.q75 != a.q75 and a.max != a.max and a.mean != a.mean
+    assert (b.min, b.q25, b.q50, b.q75, b.max, b.mean, b.std) == (1.0, 1.0, 1.0, 1.0, 1.0, 1.0, None)
+    empty = explore.profile(spark.createDataFrame([], "a DOUBLE, s STRING")).collect()
+    assert [(r["count"], r.mean, r.q50, r.min_text) for r in empty] == [(0, None, None, None)] * 2
+    assert explore.profile(spark.createDataFrame([("x",)], "s STRING")).first().max_text == "x"

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -31,7 +32,8 @@ def test_star_key_audit(spark):
         "dim_payment_type": dimensions.dim_payment_type(known),
         "dim_rate_code": dimensions.dim_rate_code(known),
     }
-    audit = quality.star_key_audit(trips.fact_trip(enriched), dims).collect()
+    keys = trips.fact_trip(enriched).groupBy(*quality.STAR_KEYS).agg(F.count("*").alias("trips"))
+    audit = quality.star_key_audit(keys, dims).collect()
     got = {r.key: (r.trips, r.null_keys, r.orphan_keys) for r in audit}
     assert got == {
         "date_key": (4, 0, 0),
@@ -40,6 +42,10 @@ def test_star_key_audit(spark):
         "payment_type_key": (4, 0, 0),
         "rate_code_key": (4, 0, 1),
     }
+    with pytest.raises(ValueError, match="trips"):
+        quality.star_key_audit(trips.fact_trip(enriched), dims)
+    empty = {r.key: tuple(r)[1:] for r in quality.star_key_audit(keys.limit(0), dims).collect()}
+    assert empty == {}
 
 
 def test_trip_key_duplicates(spark):
