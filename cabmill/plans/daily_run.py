@@ -93,7 +93,7 @@ def run(
         for model, (build, dims) in MARTS.items():
             mart = build(cells, *(store.read(d) for d in dims))
             store.replace_days(model, mart, "trip_date", start, end)
-    store.drop_old_versions(STAR_KEYS, *DIMENSIONS, *MARTS)
+    store.drop_old_versions(*stored, STAR_KEYS, *DIMENSIONS, *MARTS)
 
 
 def main() -> None:

@@ -186,6 +186,33 @@ def env_isolation(spark, sf_dir):
     return reduce(DataFrame.unionByName, rows)
 
 
+def mart_before_rerun(spark, sf_dir):
+    """A mart, and the trips of a large table, as they were before an interval was run again, and
+    as they are now: two states that can be read side by side."""
+    store, enriched = _store(spark), _enriched(spark, sf_dir)
+    mart, rows = "mart.vendor_days", "mart.trip_days"
+    per_day = lambda trips_: trips_.groupBy("pickup_date", "vendorid").agg(F.count("*").alias("trips"))
+    narrow = enriched.select("pickup_date", "vendorid", "payment_type")
+    span = _first_and_last_day(enriched, "pickup_date")
+    store.replace_days(mart, per_day(narrow), "pickup_date", *span)
+    store.replace_interval(rows, narrow, "pickup_date", *span)
+    for model in (mart, rows):
+        store.keep(model, "before_rerun")
+    again = narrow.where("payment_type = 1")
+    store.replace_days(mart, per_day(again), "pickup_date", *RERUN)
+    store.replace_interval(rows, again, "pickup_date", *RERUN)
+    store.drop_old_versions(mart, rows, keep=1)
+    states = {"before": "before_rerun", "now": None}
+    return _labelled("state", {
+        state: store.read(mart, at).join(
+            per_day(store.read(rows, at)).withColumnRenamed("trips", "stored_trips")
+            .withColumnRenamed("vendorid", "v").withColumnRenamed("pickup_date", "d"),
+            F.col("pickup_date").eqNullSafe(F.col("d")) & F.col("vendorid").eqNullSafe(F.col("v")), "full",
+        ).select("pickup_date", "vendorid", "trips", "stored_trips")
+        for state, at in states.items()
+    })
+
+
 def full_refresh(spark, sf_dir):
     """Build the date dimension from the early trips, then rebuild it from all trips."""
     store, enriched = _store(spark), _enriched(spark, sf_dir)
@@ -468,6 +495,7 @@ QUERIES = {
     "time_range_replace": time_range_replace,
     "time_range_replace_day": time_range_replace_day,
     "env_isolation": env_isolation,
+    "mart_before_rerun": mart_before_rerun,
     "full_refresh": full_refresh,
     "upsert_by_key": upsert_by_key,
     "publish_env": publish_env,

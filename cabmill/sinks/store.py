@@ -1,39 +1,44 @@
-"""Materialised models: physical tables, published per environment as views.
+"""Materialised models: versions of physical tables, published per environment as views.
 
 A physical table lives in `<namespace>_physical` and belongs to one environment; readers use the
 view `<schema>__<env>.<model>` (`<schema>.<model>` in production). Four kinds of write:
 
-* `replace_interval`  recompute the days [start, end] of a large table, partitioned by day;
+* `replace_interval`  recompute the days [start, end] of a large table, stored by day;
 * `replace_days`      the same for a small table, as a new version of the whole;
 * `refresh`           rebuild the whole table as a new version;
-* `upsert`            merge a batch by key into a new version.
-
-A new version never touches the files of the one before, and the view switches to it when it is
-complete, so a write that fails half-way leaves the published rows as they were. An interval
-replace overwrites day partitions one by one; it never rewrites a day outside the interval, and
-a failed one is repaired by running it again.
+* `upsert`            merge a batch by key into a table stored by hash buckets of the key.
+
+Every write makes a new version and leaves the files of all others alone; the view switches to it
+when it is complete. A write that fails, or is killed half-way, leaves readers with the version
+they had, whole. Versions of a large table share folders: each day (or bucket) of a write is a
+folder that never changes, and a version is a list of the folders that belong to it, kept as a
+small table and as the partitions of a catalog table. So a new version writes only the days of
+its interval, or the buckets that its batch touches, and an older one can still be read by name.
 """
 
 import getpass
 import re
-import threading
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType
+from pyspark.sql.types import DateType, StructType
 
 from cabmill.operators.quality import check_output_shape
-from cabmill.sources.shared import Scratch
+from cabmill.sources.shared import Scratch, child_folders, claim, remove
 
 PRODUCTION = "prod"
-_HIDDEN_DAY = "part_day"
+_HIDDEN_DAY, _HIDDEN_BUCKET = "part_day", "part_bucket"
 _SOURCE = "cabmill.table"  # property of a view: the physical table it reads
-_SETTINGS = threading.Lock()
+_KEYED = "cabmill.buckets"  # property of a bucketed version: number of buckets, columns of the key
+#: Buckets of a table that is written by key. An upsert rewrites those that its batch touches.
+BUCKETS = 64
+# Partitions named in one statement.
+_AT_ONCE = 500
 
 
 def default_environment() -> str:
@@ -41,18 +46,6 @@ def default_environment() -> str:
     return "dev_" + re.sub(r"\W", "_", getpass.getuser())
 
 
-@contextmanager
-def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
-    """A session setting that a write reads; writes of one process take turns."""
-    with _SETTINGS:
-        before = spark.conf.get(name)
-        spark.conf.set(name, value)
-        try:
-            yield
-        finally:
-            spark.conf.set(name, before)
-
-
 @dataclass
 class Store:
     spark: SparkSession
@@ -72,10 +65,12 @@ class Store:
         return self
 
     def drop(self) -> None:
-        """Remove the views of this environment, and every physical table of the store."""
+        """Remove the views of all environments, every physical table and every folder."""
         for schema in self._schemas():
             self.spark.sql(f"DROP DATABASE IF EXISTS {schema} CASCADE")
         self.spark.sql(f"DROP DATABASE IF EXISTS {self.physical} CASCADE")
+        for folder in ("data", "lists", "claims"):
+            remove(self.spark, f"{self.location}/{folder}")
 
     # -- names and views -------------------------------------------------------------------
 
@@ -85,31 +80,50 @@ class Store:
         return f"{schema}{suffix}.{name}"
 
     def _table(self, model: str) -> str:
-        return f"{self.physical}.{self.env}__{model.replace('.', '__')}"
+        return f"{self.physical}.{self.env}__{model.replace('.', '__')}".lower()
 
     def _schemas(self) -> list[str]:
-        """Databases that hold views of this store, of any environment."""
-        found = []
-        for row in self.spark.sql("SHOW DATABASES").collect():
-            where = self.spark.sql(f"DESCRIBE DATABASE {row.namespace}").where(
-                "info_name = 'Location'"
-            ).first()
-            if where and f"{self.location}/views/" in where.info_value + "/":
-                found.append(row.namespace)
-        return found
-
-    def read(self, model: str) -> DataFrame:
+        """Databases that hold views of this store, of any environment: each has a folder."""
+        return child_folders(self.spark, f"{self.location}/views")
+
+    def read(self, model: str, at: str | None = None) -> DataFrame:
+        """The rows that this environment's readers see; `at` names a kept state, or a version."""
+        if at is not None:
+            if at in self.versions(model):
+                return self._rows(at)
+            return self.spark.table(self._kept_view(model, at))
         if self._pending and model in self._pending:
             table, columns = self._pending[model]
             return self.spark.table(table).select(*columns)
         return self.spark.table(self.view(model))
 
+    def _rows(self, table: str) -> DataFrame:
+        """A version without its hidden column; other columns in the order of the table."""
+        return self.spark.table(table).drop(_HIDDEN_DAY, _HIDDEN_BUCKET)
+
+    def _kept_view(self, model: str, label: str) -> str:
+        return f"{self.view(model)}__at_{label}"
+
+    def keep(self, model: str, label: str) -> None:
+        """Give the state that readers see now a name. It stays readable, `read(model, label)`,
+        whatever is written later, until it is forgotten."""
+        table = self.published(model)
+        if table is None:
+            raise ValueError(f"{model} is not published")
+        columns = self.read(model).columns
+        self._create_view(self._kept_view(model, label), table, columns)
+
+    def forget(self, model: str, label: str) -> None:
+        self.spark.sql(f"DROP VIEW IF EXISTS {self._kept_view(model, label)}")
+
     def publish(self, model: str, table: str, columns: Sequence[str]) -> None:
         """Let this environment's view of the model read a physical table."""
         if self._pending is not None:
             self._pending[model] = table, list(columns)
             return
-        view = self.view(model)
+        self._create_view(self.view(model), table, columns)
+
+    def _create_view(self, view: str, table: str, columns: Sequence[str]) -> None:
         # A schema of views only; it lies beside the physical tables, so every driver sees it.
         schema = view.split(".")[0]
         self.spark.sql(
@@ -142,57 +156,115 @@ class Store:
         return self._source(self.view(model))
 
     def _source(self, view: str) -> str | None:
-        rows = self.spark.sql(f"SHOW TBLPROPERTIES {view}").where(f"key = '{_SOURCE}'").collect()
-        return rows[0].value if rows else None
+        return self._property(view, _SOURCE)
 
     def fork(self, source: "Store", models: Sequence[str]) -> None:
-        """Start from another environment's rows: views only, copied when first written to."""
+        """Start from another environment's rows: views only. Later writes share the folders of
+        days and buckets that they leave alone, which no environment ever changes."""
         for model in models:
             self.publish(model, source.published(model), source.read(model).columns)
 
+    # -- versions that are lists of folders ------------------------------------------------
+
+    def _new_version(self, model: str) -> str:
+        """The next version's table name. Its number is claimed by a file that only one of
+        several writers can create; the random tail keeps a retry clear of other files."""
+        versions = self.versions(model)
+        number = int(versions[-1].rsplit("__v", 1)[1].split("_")[0]) + 1 if versions else 1
+        name = self._table(model).split(".")[1]
+        while not claim(self.spark, f"{self.location}/claims/{name}__v{number:06d}"):
+            number += 1
+        return f"{self._table(model)}__v{number:06d}_{uuid.uuid4().hex[:8]}"
+
+    def _list_path(self, table: str) -> str:
+        return f"{self.location}/lists/{table.split('.')[1]}"
+
+    def parts(self, table: str) -> dict[str, str] | None:
+        """Folders of a version by day or bucket; None for a version that is one table."""
+        if table.split(".")[1] not in child_folders(self.spark, f"{self.location}/lists"):
+            return None
+        rows = self.spark.read.schema("part string, folder string").parquet(self._list_path(table))
+        return {r.part: r.folder for r in rows.collect()}
+
+    def _write_parts(self, table: str, rows: DataFrame, part: str) -> dict[str, str]:
+        """Write rows in one folder per value of `part`, none of which any version knows yet."""
+        folder = f"{self.location}/data/{table.split('.')[1]}"
+        try:
+            rows.write.partitionBy(part).parquet(folder)
+        except BaseException:
+            remove(self.spark, folder)
+            raise
+        found = child_folders(self.spark, folder)
+        return {name.split("=", 1)[1]: f"{folder}/{name}" for name in found if "=" in name}
+
+    def _create_version(
+        self, table: str, schema: StructType, part: str, parts: dict[str, str], properties: dict[str, str]
+    ) -> None:
+        """The list of a version, and the catalog table that reads its folders. The table owns
+        none of them: dropping it removes no file."""
+        entries = self.spark.createDataFrame(sorted(parts.items()), "part string, folder string")
+        entries.coalesce(1).write.parquet(self._list_path(table))
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+        listed = "".join(f", '{k}' = '{v}'" for k, v in properties.items())
+        self.spark.sql(
+            f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({part})"
+            f" LOCATION '{self.location}/none' TBLPROPERTIES ('cabmill.part' = '{part}'{listed})"
+        )
+        literal = "DATE '{}'" if isinstance(schema[part].dataType, DateType) else "{}"
+        named = [f"PARTITION ({part} = {literal.format(p)}) LOCATION '{f}'" for p, f in parts.items()]
+        for at in range(0, len(named), _AT_ONCE):
+            self.spark.sql(f"ALTER TABLE {table} ADD {' '.join(named[at : at + _AT_ONCE])}")
+
     # -- replace an interval ---------------------------------------------------------------
 
     def replace_interval(
         self, model: str, batch: DataFrame, time_column: str, start: date, end: date,
         clustered: bool = False,
-    ) -> None:
-        """Make the table hold exactly `batch` for the days start..end; leave other days.
-
-        The table is partitioned by `time_column` if that is a date, so that a filter on it
-        prunes the published view; else by a hidden day (`interval` prunes by it). `clustered`
-        says that the batch already comes in files of few partitions (a narrow step over such a
-        table), which spares the shuffle that otherwise gathers each partition into few files.
-        That shuffle is a rebalance: a partition that holds a large part of all rows is split
-        over tasks.
+    ) -> str:
+        """A new version that holds exactly `batch` for the days start..end, and the folders of
+        the published one for all other days, which are neither read nor written.
+
+        The table is stored by `time_column` if that is a date, so that a filter on it prunes
+        the published view; else by a hidden day (`interval` prunes by it). `clustered` says that
+        the batch already comes in files of few days (a narrow step over such a table), which
+        spares the shuffle that otherwise gathers each day into few files. That shuffle is a
+        rebalance: a day that holds a large part of all rows is split over tasks.
         """
         check_output_shape(batch.columns)
         rows, part = self._with_day(batch, time_column)
-        rows = rows.where(f"{part} BETWEEN DATE '{start}' AND DATE '{end}'")
-        table = self._table(model)
-        if not self.spark.catalog.tableExists(table):
-            self._create(table, rows, part)
-            if self.published(model):  # another environment's rows, until now
-                copy, _ = self._with_day(self.read(model), time_column)
-                self._insert(table, copy.hint("rebalance", part))
-        held = self._partitions(table, part, start, end)
+        inside = f"{part} BETWEEN DATE '{start}' AND DATE '{end}'"
+        rows = rows.where(inside)
+        kept: dict[str, str] = {}
+        if published := self.published(model):
+            held = self.read(model)
+            check_same_columns(held, batch)
+            if self._part_column(published) == part:
+                kept = {d: f for d, f in self.parts(published).items() if not str(start) <= d <= str(end)}
+            else:  # written as one table until now: its other days move into folders
+                older, _ = self._with_day(held, time_column)
+                rows = rows.unionByName(older.where(f"NOT ({inside})"))
         if not clustered:
             rows = rows.hint("rebalance", part)
-        seen = Observation()
-        self._insert(table, rows.observe(seen, F.collect_set(part).alias("parts")))
-        # Dynamic overwrite leaves partitions that got no rows; those hold stale days now.
-        stale = held - {str(p) for p in seen.get["parts"]}
-        if stale:
-            drops = ", ".join(f"PARTITION ({part} = DATE '{p}')" for p in sorted(stale))
-            self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {drops}")
+        table = self._new_version(model)
+        parts = kept | self._write_parts(table, rows, part)
+        self._create_version(table, rows.schema, part, parts, {})
         self.publish(model, table, batch.columns)
+        return table
 
     def interval(self, model: str, time_column: str, start: date, end: date) -> DataFrame:
         """Rows of the days start..end, read with partition pruning."""
-        rows = self.spark.table(self._table(model))
+        rows = self.spark.table(self.published(model))
         part = time_column if isinstance(rows.schema[time_column].dataType, DateType) else _HIDDEN_DAY
         rows = rows.where(f"{part} BETWEEN DATE '{start}' AND DATE '{end}'")
         return rows.drop(_HIDDEN_DAY)
 
+    def _property(self, table: str, name: str) -> str | None:
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {table}").where(f"key = '{name}'").collect()
+        return rows[0].value if rows else None
+
+    def _part_column(self, table: str) -> str | None:
+        return self._property(table, "cabmill.part")
+
     def replace_days(
         self, model: str, batch: DataFrame, time_column: str, start: date, end: date
     ) -> None:
@@ -212,52 +284,55 @@ class Store:
             return batch, time_column
         return batch.withColumn(_HIDDEN_DAY, F.col(time_column).cast("date")), _HIDDEN_DAY
 
-    def _create(self, table: str, rows: DataFrame, part: str) -> None:
-        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
-        self.spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({part})")
-
-    def _insert(self, table: str, rows: DataFrame) -> None:
-        held = self.spark.table(table)
-        check_same_columns(held, rows)
-        with _setting(self.spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-            rows.select(*held.columns).write.mode("overwrite").insertInto(table)
-
-    def _partitions(self, table: str, part: str, first: date, last: date) -> set[str]:
-        """Partition values in first..last; at most one per day of the interval."""
-        found = self.spark.sql(f"SHOW PARTITIONS {table}").selectExpr(
-            f"substring(partition, {len(part) + 2}) AS value"
-        )
-        return {r.value for r in found.where(f"value BETWEEN '{first}' AND '{last}'").collect()}
-
     # -- full refresh and upsert -----------------------------------------------------------
 
     def refresh(self, model: str, frame: DataFrame) -> str:
         """Write a new version of the whole table and switch the view to it."""
         check_output_shape(frame.columns)
-        versions = self.versions(model)
-        number = int(versions[-1].rsplit("__v", 1)[1].split("_")[0]) + 1 if versions else 1
-        # The random tail keeps a retry, or a write at the same time, clear of other files.
-        table = f"{self._table(model)}__v{number:06d}_{uuid.uuid4().hex[:8]}"
+        table = self._new_version(model)
         frame.write.format("parquet").saveAsTable(table)
         self.publish(model, table, frame.columns)
         return table
 
     def upsert(
-        self, model: str, batch: DataFrame, key: Sequence[str], order_by: Sequence[str] = ()
-    ) -> str:
+        self, model: str, batch: DataFrame, key: Sequence[str], order_by: Sequence[str] = (),
+        buckets: int = BUCKETS,
+    ) -> str:
         """Insert the batch, replacing rows with the same key; NULL keys match each other.
 
-        If the batch repeats a key, its largest row by `order_by` (then by all columns) wins.
-        The merge starts from the version this environment has published.
+        If the batch repeats a key, its largest row by `order_by` (then by all columns) wins. The
+        table is stored by buckets of the key's hash. Only the buckets that the batch touches are
+        read, merged and written; the new version carries all others over. `buckets` counts for a
+        table that has none yet, or other keys, and is therefore written as a whole.
         """
+        check_output_shape(batch.columns)
+        published, keyed = self.published(model), ",".join(key)
+        stored = self._property(published, _KEYED) if published else None
+        if stored and stored.split(":", 1)[1] == keyed:
+            buckets = int(stored.split(":", 1)[0])
+        else:
+            stored = None
         with Scratch(self.spark, "upsert") as scratch:
             # Computed once, though the merge reads it twice; if small, it is broadcast.
-            latest = scratch.written(last_per_key(batch, key, order_by))
-            if not self.published(model):
-                return self.refresh(model, latest)
-            current = self.read(model)
-            check_same_columns(current, latest)
-            return self.refresh(model, merge_by_key(current, latest, key))
+            latest = scratch.written(last_per_key(batch, key, order_by).withColumn(_HIDDEN_BUCKET, _bucket(key, buckets)))
+            kept: dict[str, str] = {}
+            rows = latest
+            if published:
+                check_same_columns(self.read(model), batch)
+                if stored:
+                    touched = {str(r[0]) for r in latest.select(_HIDDEN_BUCKET).distinct().collect()}
+                    kept = {b: f for b, f in self.parts(published).items() if b not in touched}
+                    current = self.spark.table(published)
+                    # As constants, so that only the folders of these buckets are listed and read.
+                    current = current.where(F.col(_HIDDEN_BUCKET).isin([int(b) for b in touched]))
+                else:
+                    current = self.read(model).withColumn(_HIDDEN_BUCKET, _bucket(key, buckets))
+                rows = merge_by_key(current.select(*latest.columns), latest, key)
+            table = self._new_version(model)
+            parts = kept | self._write_parts(table, rows.hint("rebalance", _HIDDEN_BUCKET), _HIDDEN_BUCKET)
+        self._create_version(table, rows.schema, _HIDDEN_BUCKET, parts, {_KEYED: f"{buckets}:{keyed}"})
+        self.publish(model, table, batch.columns)
+        return table
 
     def versions(self, model: str) -> list[str]:
         """This environment's written versions, oldest first."""
@@ -266,17 +341,33 @@ class Store:
         return sorted(f"{self.physical}.{t.tableName}" for t in tables)
 
     def drop_old_versions(self, *models: str, keep: int = 2) -> None:
-        """Drop all but the newest versions and those that a view of any environment reads."""
+        """Drop all but the newest versions and those that a view of any environment reads, and
+        the folders that only dropped versions list. A writer at work starts from a published
+        version, so its folders are never among these."""
         read = {
             self._source(f"{schema}.{v.viewName}")
             for schema in self._schemas()
             for v in self.spark.sql(f"SHOW VIEWS IN {schema}").collect()
             if not v.isTemporary
         }
-        for model in models:
-            for table in self.versions(model)[:-keep]:
-                if table not in read:
-                    self.spark.sql(f"DROP TABLE {table}")
+        if self._pending:
+            read |= {table for table, _ in self._pending.values()}
+        gone = {t for m in models for t in self.versions(m)[:-keep] if t not in read}
+        loose: set[str] = set()
+        for table in gone:
+            loose |= set((self.parts(table) or {}).values())
+            self.spark.sql(f"DROP TABLE {table}")
+            remove(self.spark, self._list_path(table))
+        if loose:
+            lists = child_folders(self.spark, f"{self.location}/lists")
+            for name in lists:
+                loose -= set(self.parts(f"{self.physical}.{name}").values())
+        for folder in loose:
+            remove(self.spark, folder)
+
+
+def _bucket(key: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
 
 
 def check_same_columns(held: DataFrame, batch: DataFrame) -> None:

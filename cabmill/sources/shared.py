@@ -21,6 +21,21 @@ def remove(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, in order; none if it does not exist."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    return sorted(f.getPath().getName() for f in files.listStatus(folder) if f.isDirectory())
+
+
+def claim(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; false if it is there already. Of several writers one succeeds."""
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return file.getFileSystem(spark._jsc.hadoopConfiguration()).createNewFile(file)
+
+
 # What results that are still lazy read, by application: their tables must outlive the call
 # that made them, and go when the caller says so.
 _RESULTS: dict[str, list[Callable[[], None]]] = {}

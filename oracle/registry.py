@@ -171,6 +171,11 @@ UNION ALL SELECT 'second', 'last', vendorid,
  if(vendorid = 1, max(pickup_date) FILTER (WHERE pickup_date <= DATE '1997-12-31'), max(pickup_date)), NULL
 FROM enriched GROUP BY vendorid"""
 
+_BEFORE_RERUN = """
+SELECT 'before' AS state, pickup_date, vendorid, count(*) AS trips, count(*) AS stored_trips FROM enriched GROUP BY ALL
+UNION ALL SELECT 'now', pickup_date, vendorid, count(*), count(*) FROM enriched
+WHERE pickup_date NOT BETWEEN DATE '1998-03-10' AND DATE '1999-02-20' OR payment_type = 1 GROUP BY ALL"""
+
 ORACLE = {
     "base_trip": chain(RAW, base(), select="SELECT * FROM base"),
     "base_trip_interval": chain(
@@ -188,6 +193,7 @@ ORACLE = {
     "time_range_replace": _REPLACED,
     "time_range_replace_day": _REPLACED,
     "env_isolation": through_enriched(select=_ISOLATION),
+    "mart_before_rerun": through_enriched(select=_BEFORE_RERUN),
     "full_refresh": through_enriched(DIMENSIONS["dim_date"], select="SELECT * FROM dim_date"),
     "upsert_by_key": """
 SELECT user_id AS id, arg_max(event_type, (early, ts, event_type)) AS name,

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from cabmill.registry import _beside, _store
 from cabmill.sinks.store import Store, last_per_key
+from cabmill.sources.shared import child_folders
 
 MODEL = "mart.days"
 
@@ -59,11 +60,76 @@ def test_a_failed_write_leaves_all_other_days(spark, write):
     getattr(store, write)(MODEL, days(spark, *rows), "d", *january)
     with pytest.raises(Exception, match="no"):
         getattr(store, write)(MODEL, failing(spark, "2015-01-10"), "d", date(2015, 1, 10), date(2015, 1, 12))
-    spark.catalog.refreshTable(store.published(MODEL))
-    left = set(held(store))
-    assert {r for r in rows if not 10 <= r[1] <= 12} <= left
-    if write == "replace_days":
-        assert left == set(rows)
+    assert set(held(store)) == set(rows)
+
+
+def test_a_write_killed_half_way_leaves_the_old_interval_whole(spark, monkeypatch):
+    store = _store(spark)
+    january = date(2015, 1, 1), date(2015, 1, 31)
+    rows = [(f"2015-01-{d:02d}", d) for d in range(1, 32)]
+    store.replace_interval(MODEL, days(spark, *rows), "d", *january)
+    first = store.published(MODEL)
+    folders = set(child_folders(spark, f"{store.location}/data"))
+    # One task has written its day when the other fails.
+    half = days(spark, ("2015-01-10", 99)).coalesce(1).unionByName(failing(spark, "2015-01-11"))
+    with pytest.raises(Exception, match="no"):
+        store.replace_interval(MODEL, half, "d", date(2015, 1, 10), date(2015, 1, 12), clustered=True)
+    assert held(store) == rows and set(child_folders(spark, f"{store.location}/data")) == folders
+    # Killed when all is written, but not published.
+    with monkeypatch.context() as m, pytest.raises(KeyboardInterrupt):
+        m.setattr(Store, "publish", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt()))
+        store.replace_interval(MODEL, days(spark, ("2015-01-10", 99)), "d", date(2015, 1, 10), date(2015, 1, 12))
+    assert held(store) == rows and store.published(MODEL) == first
+    # A reader that began before a replace goes on with what it saw.
+    seen = spark.table(store.view(MODEL))
+    store.replace_interval(MODEL, days(spark, ("2015-01-10", 99)), "d", date(2015, 1, 10), date(2015, 1, 12))
+    assert sorted(r.n for r in seen.collect()) == list(range(1, 32))
+    assert sorted(r.n for r in store.read(MODEL).collect()) == [*range(1, 10), *range(13, 32), 99]
+
+
+def test_only_the_days_of_the_interval_are_written(spark):
+    store = _store(spark)
+    january = date(2015, 1, 1), date(2015, 1, 31)
+    store.replace_interval(MODEL, days(spark, *((f"2015-01-{d:02d}", d) for d in range(1, 32))), "d", *january)
+    before = store.parts(store.published(MODEL))
+    store.replace_interval(MODEL, days(spark, ("2015-01-10", 99)), "d", date(2015, 1, 10), date(2015, 1, 12))
+    after = store.parts(store.published(MODEL))
+    assert {d for d in before if after.get(d) != before[d]} == {"2015-01-10", "2015-01-11", "2015-01-12"}
+    assert len(after) == 29 and after["2015-01-10"] != before["2015-01-10"]
+
+
+def test_states_can_be_kept_and_read_by_name(spark):
+    store = _store(spark)
+    one = date(2015, 1, 1), date(2015, 1, 1)
+    writes = {
+        "mart.a": lambda n: store.refresh("mart.a", days(spark, ("2015-01-01", n))),
+        "mart.b": lambda n: store.replace_interval("mart.b", days(spark, ("2015-01-01", n)), "d", *one),
+        "mart.c": lambda n: store.upsert("mart.c", days(spark, ("2015-01-01", n)), ["d"]),
+    }
+    for model, write in writes.items():
+        names = [write(1)]
+        store.keep(model, "before")
+        names += [write(n) for n in (2, 3, 4)]
+        assert store.versions(model) == names
+        store.drop_old_versions(model, keep=1)
+        assert store.versions(model) == [names[0], names[3]]
+        assert [r.n for r in store.read(model).collect()] == [4]
+        for at in ("before", names[0]):
+            assert [r.n for r in store.read(model, at).collect()] == [1]
+        store.forget(model, "before")
+        store.drop_old_versions(model, keep=1)
+        assert store.versions(model) == names[3:] and [r.n for r in store.read(model).collect()] == [4]
+    assert {f.split("__v")[0] for f in child_folders(spark, f"{store.location}/data")} == {
+        f"{store.env}__mart__b", f"{store.env}__mart__c"
+    }
+    with pytest.raises(ValueError, match="not published"):
+        store.keep("mart.none", "x")
+
+
+def test_two_writers_take_two_numbers(spark):
+    store = _store(spark)
+    names = [store._new_version(MODEL) for _ in range(3)]
+    assert [n.rsplit("__v", 1)[1][:6] for n in names] == ["000001", "000002", "000003"]
 
 
 def test_columns_are_matched_by_name(spark):
@@ -198,6 +264,35 @@ def test_upsert(spark):
     assert row.name == "hello" and row.created_at > t3
 
 
+def test_an_upsert_writes_the_touched_buckets_only(spark):
+    store, model = _store(spark), "staging.people"
+    people = spark.range(2000).selectExpr("if(id = 7, NULL, id) AS id", "CAST(id AS STRING) AS name")
+    store.upsert(model, people, ["id"], buckets=16)
+    before = store.parts(store.published(model))
+    assert len(before) == 16
+    change = spark.sql("SELECT 42L AS id, 'new' AS name")
+    store.upsert(model, change, ["id"])  # the table keeps its number of buckets
+    after = store.parts(store.published(model))
+    assert after.keys() == before.keys() and sum(after[b] != before[b] for b in after) == 1
+    assert len(child_folders(spark, after[next(b for b in after if after[b] != before[b])].rsplit("/", 1)[0])) == 1
+    rows = {r.id: r.name for r in store.read(model).collect()}
+    assert len(rows) == 2000 and rows[42] == "new" and rows[41] == "41" and rows[None] == "7"
+    # The merge reads the touched bucket alone.
+    store.upsert(model, spark.sql("SELECT CAST(NULL AS BIGINT) AS id, 'none' AS name"), ["id"])
+    assert store.read(model).where("id IS NULL").collect() == [(None, "none")]
+    # Another key: the whole table is dealt anew.
+    store.upsert(model, spark.sql("SELECT 1L AS id, 'new' AS name"), ["name"], buckets=4)
+    assert len(store.parts(store.published(model))) == 4
+    assert sorted(r.id for r in store.read(model).where("name IN ('new', '41')").collect()) == [1, 41]
+    empty = spark.sql("SELECT 1L AS id, 'new' AS name").limit(0)
+    store.upsert(model, empty, ["name"])
+    assert store.read(model).count() == 2000
+    # A table of another kind becomes bucketed with its first upsert.
+    store.refresh("staging.b", people)
+    store.upsert("staging.b", change, ["id"], buckets=8)
+    assert store.read("staging.b").count() == 2000 and len(store.parts(store.published("staging.b"))) == 8
+
+
 def test_last_per_key_with_a_hot_key(spark):
     rows = spark.range(30000).select(
         F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
