@@ -155,3 +155,27 @@ def mean(name: str, alias: str) -> str:
 
 def percent(part: str, whole: str, alias: str) -> str:
     return f"CAST({part} AS DOUBLE) * 100 / CAST({whole} AS DOUBLE) AS {alias}"
+
+
+# -- distinct counts that add up ---------------------------------------------------------------
+
+
+def distinct_cells(rows: DataFrame, keys: Iterable[str], columns: Iterable[str]) -> DataFrame:
+    """Which values occur per combination of keys: (keys, column_name, bucket, bitmap).
+
+    A bitmap marks the whole numbers of one bucket of 32768. Bitmaps of equal buckets are merged
+    by OR, so distinct counts over any union of cells come from the cells alone. NULL is no value.
+    """
+    keys, columns = list(keys), list(columns)
+    pairs = ", ".join(f"'{c}', CAST({c} AS BIGINT)" for c in columns)
+    values = rows.selectExpr(*keys, f"stack({len(columns)}, {pairs}) AS (column_name, value)")
+    return values.where("value IS NOT NULL").groupBy(
+        *keys, "column_name", F.bitmap_bucket_number("value").alias("bucket")
+    ).agg(F.bitmap_construct_agg(F.bitmap_bit_position("value")).alias("bitmap"))
+
+
+def distinct_counts(cells: DataFrame, keys: Iterable[str]) -> DataFrame:
+    """(keys, column_name, distinct_values): distinct values over coarser keys of such cells."""
+    keys = list(keys)
+    merged = cells.groupBy(*keys, "column_name", "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+    return merged.groupBy(*keys, "column_name").agg(F.sum(F.bitmap_count("bitmap")).alias("distinct_values"))

@@ -3,6 +3,7 @@
 import math
 from collections.abc import Sequence
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -98,14 +99,15 @@ def _exclusive_sums(
 
 QUARTILES = {"q25": 0.25, "q50": 0.50, "q75": 0.75}
 _POINTS = ["min", *QUARTILES, "max"]
-_EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 # Size of a quantile sketch, and the share of the values around a quartile that its bracket takes
 # on either side: three times the error that a sketch of this size exceeds once in a hundred times.
 _SKETCH, _MARGIN = 2000, 0.0045
 # Without a second scan the sketch itself answers, so it is larger.
 _FINE_SKETCH = 16_000
-# Tasks whose partial results meet first, so that no task merges those of all.
-_TASKS_TOGETHER = 64
+# Tasks whose partial results meet first, so that no task merges those of all; rows of a chunk.
+_TASKS_TOGETHER, _CHUNK = 64, 1 << 18
+# Bits of a count within a chunk.
+_PACKED = 20
 _PROFILE = (
     "column_name string, count long, null_count long, mean double, std double, "
     + "".join(f"{p} double, " for p in _POINTS)
@@ -125,10 +127,10 @@ def profile(table: DataFrame, exact: bool = True) -> DataFrame:
 
     The table is scanned twice, whatever its values. The first scan gives the simple statistics
     and a quantile sketch per column, hence a narrow bracket around each quartile. The second
-    counts, map-side, every distinct value inside a bracket and how many values lie between the
-    brackets; equal values are one row, so ties cost nothing. The quartiles are found among these
-    counts, which are sorted over all tasks. `exact=False` takes them from a larger sketch, in
-    one scan.
+    counts what lies before, between and at the ends of the brackets, and keeps the values strictly
+    inside, about one in a hundred; however many rows share a value, it is then at an end or rare.
+    The quartiles are ends, or are found among the kept values, which are sorted over all tasks.
+    `exact=False` takes them from a larger sketch, in one scan.
     """
     columns = [_Profiled(i, f.name, _family(f.dataType)) for i, f in enumerate(table.schema)]
     with Scratch(table.sparkSession, "profile") as scratch:
@@ -178,9 +180,12 @@ class _Profiled:
         """Numbers and times (as microseconds) as BIGINT or DOUBLE."""
         column = _quoted(self.name)
         if self.family == "time":
-            since = f"CAST({column} AS TIMESTAMP_NTZ) - {_EPOCH}"
-            seconds = f"CAST(CAST({since} AS INTERVAL SECOND) AS DECIMAL(18, 6))"
-            return f"CAST({seconds} * 1000000 AS BIGINT)"
+            # Days, and within the day an interval a million times as long, in whole seconds:
+            # no decimals, and no session time zone.
+            ts = f"CAST({column} AS TIMESTAMP_NTZ)"
+            of_day = f"({ts} - CAST(CAST({ts} AS DATE) AS TIMESTAMP_NTZ)) * 1000000"
+            micros = f"CAST(CAST({of_day} AS INTERVAL SECOND) AS BIGINT)"
+            return f"unix_date(CAST({ts} AS DATE)) * 86400000000L + {micros}"
         return {
             "whole": f"CAST({column} AS BIGINT)",
             "real": f"CAST({column} AS DOUBLE)",
@@ -189,7 +194,7 @@ class _Profiled:
 
     @property
     def text(self) -> str | None:
-        column = _quoted(self.name)
+        column = f"v{self.position}"
         return {"text": column, "flag": f"CAST({column} AS STRING)", "bytes": f"hex({column})"}.get(
             self.family
         )
@@ -200,7 +205,8 @@ class _Profiled:
 
     def partial(self, k: int) -> dict[str, tuple[str, str]]:
         """Aggregate over rows, and the aggregate that merges its results."""
-        column, v = _quoted(self.name), self.value
+        column = f"v{self.position}"
+        v = self.value and column
         out = {"count": (f"count({column})", "coalesce(sum({}), 0)")}
         if self.text:
             out |= {p: (f"{p}({self.text})", f"{p}({{}})") for p in ("min", "max")}
@@ -214,7 +220,7 @@ class _Profiled:
             out["sketch"] = (f"kll_sketch_agg_{self.sketch}({v}, {k})", f"kll_merge_agg_{self.sketch}({{}})")
             if self.family == "real":
                 out["nans"] = (f"count_if(isnan({v}))", "sum({})")
-            else:
+            elif self.family != "whole":
                 out["whole"] = (f"sum(CAST({v} AS DECIMAL(38, 0)))", "sum({})")
         return out
 
@@ -242,22 +248,58 @@ class _Profiled:
                 high = max(high, before)
             self.brackets.append((low, high))
 
+    @property
     def zone(self) -> str:
-        """Number of the bracket that holds the value, as 2 n + 1, or of the gap before bracket n,
-        as 2 n; NULL beyond the last bracket, for NULL and for NaN."""
-        v = self.value
+        """Where a value lies: of bracket n, 4 n before it, 4 n + 1 at its low end, 4 n + 2 inside,
+        4 n + 3 at its high end; NULL beyond the last bracket, for NULL and for NaN."""
+        v = f"v{self.position}"
         whens = "".join(
-            f" WHEN {v} < {_literal(low)} THEN {2 * n} WHEN {v} <= {_literal(high)} THEN {2 * n + 1}"
+            f" WHEN {v} < {_literal(low)} THEN {4 * n} WHEN {v} = {_literal(low)} THEN {4 * n + 1}"
+            f" WHEN {v} < {_literal(high)} THEN {4 * n + 2} WHEN {v} = {_literal(high)} THEN {4 * n + 3}"
             for n, (low, high) in enumerate(self.brackets)
         )
-        return f"CASE{whens} END"
+        return f"CASE{whens} END AS z{self.position}"
 
-    def cell(self) -> str:
-        """What the second scan counts of a row: column, zone, and the value inside a bracket."""
-        zone, v = self.zone(), self.value
-        inside = f"if(pmod({zone}, 2) = 1, {v}, NULL)"
-        whole, real = (inside, "CAST(NULL AS DOUBLE)") if self.sketch == "bigint" else ("CAST(NULL AS BIGINT)", inside)
-        return f"struct({self.position} AS c, {zone} AS z, {whole} AS w, {real} AS r)"
+    @property
+    def zones(self) -> range:
+        return range(4 * len(self.brackets))
+
+    def counts(self) -> list[str]:
+        """Per chunk of rows: the sizes of the zones, three to a number, as fewer aggregates cost
+        less, and the values inside of brackets."""
+        z, out = f"z{self.position}", []
+        for n in self.zones[::3]:
+            whens = " ".join(f"WHEN {n + i} THEN {1 << i * _PACKED}L" for i in range(3))
+            out.append(f"sum(CASE {z} {whens} ELSE 0L END) AS n{self.position}_{n}")
+        inside = f"if(pmod({z}, 4) = 2, v{self.position}, NULL)"
+        return [*out, f"collect_list({inside}) AS i{self.position}"]
+
+    def sizes(self) -> list[str]:
+        """The sizes of the zones over all chunks."""
+        size = "shiftright(n{0}_{1}, {2}) & {3}L".format
+        return [
+            f"coalesce(sum({size(self.position, k // 3 * 3, k % 3 * _PACKED, (1 << _PACKED) - 1)}), 0)"
+            f" AS n{self.position}_{k}"
+            for k in self.zones
+        ]
+
+    def settle(self, sizes: list[int]) -> list[tuple[str, int]]:
+        """Take the quartiles that lie at the end of a bracket; gives for those inside of one
+        their place among all values inside of brackets."""
+        places = []
+        for name, rank in list(self.wanted.items()):
+            before = inside = 0
+            for k, size in enumerate(sizes):
+                if rank <= before + size:
+                    if k % 4 == 2:
+                        places.append((name, inside + rank - before))
+                    elif k % 4:
+                        self.found[name] = self.brackets[k // 4][k % 4 // 2]
+                        del self.wanted[name]
+                    break
+                before += size
+                inside += size if k % 4 == 2 else 0
+        return places
 
     def row(self, rows: int) -> tuple:
         got, points = self.got, dict.fromkeys(_POINTS)
@@ -298,13 +340,18 @@ def _mean_and_deviation(moments: list) -> tuple[float | None, float | None]:
     return mean, math.sqrt(sum(squares) / (n - 1)) if n > 1 else None
 
 
+def _values(table: DataFrame, columns: list[_Profiled]) -> DataFrame:
+    """The columns under their numbers, numbers and times as BIGINT or DOUBLE, computed once."""
+    return table.selectExpr(*(f"{c.value or _quoted(c.name)} AS v{c.position}" for c in columns))
+
+
 def _first_scan(
     scratch: Scratch, table: DataFrame, columns: list[_Profiled], k: int
 ) -> tuple[int, DataFrame]:
     """Simple statistics of all columns; gives the number of rows and a row of sketches."""
     each = [(f"c{c.position}_{n}", *e) for c in columns for n, e in c.partial(k).items()]
     group = F.floor(F.spark_partition_id() / _TASKS_TOGETHER).alias("part")
-    parts = table.groupBy(group).agg(
+    parts = _values(table, columns).groupBy(group).agg(
         F.expr("count(1) AS rows"), *(F.expr(f"{e} AS {name}") for name, e, _ in each)
     )
     parts = scratch.written(parts)
@@ -336,38 +383,63 @@ def _bracketed(sketches: DataFrame, columns: list[_Profiled], margin: float) ->
 
 
 def _second_scan(scratch: Scratch, table: DataFrame, columns: list[_Profiled]) -> list[_Profiled]:
-    """Find the quartiles that are wanted; gives the columns with one outside of its bracket."""
+    """Find the quartiles that are wanted; gives the columns with one outside of its bracket.
+
+    Rows are counted in chunks, so that what a chunk collects is bounded: a value strictly inside
+    of a bracket takes part of the bracket's share of all ranks, ties or not.
+    """
     some = {c.position: c for c in columns if c.wanted}
     if not some:
         return []
-    cells = table.selectExpr(f"explode(array({', '.join(c.cell() for c in some.values())})) AS x")
-    counts = cells.select("x.*").where("z IS NOT NULL").groupBy("c", "z", "w", "r").agg(
-        F.count(F.lit(1)).alias("n")
+    chunk = F.floor(F.monotonically_increasing_id() / _CHUNK).alias("chunk")
+    zoned = _values(table, list(some.values())).selectExpr("*", *(c.zone for c in some.values()))
+    chunks = scratch.written(
+        zoned.groupBy(chunk).agg(*(F.expr(e) for c in some.values() for e in c.counts()))
     )
-    counts = scratch.written(
-        counts.orderBy("c", "z", "w", "r").withColumn("_id", F.monotonically_increasing_id())
+    sizes = chunks.agg(*(F.expr(e) for c in some.values() for e in c.sizes())).first()
+    places = [
+        (p, *place) for p, c in some.items() for place in c.settle([sizes[f"n{p}_{k}"] for k in c.zones])
+    ]
+    if places:
+        for position, name, value in _ranked(scratch, chunks, some, places):
+            some[position].found[name] = value
+            del some[position].wanted[name]
+    return [c for c in some.values() if c.wanted]
+
+
+def _ranked(
+    scratch: Scratch, chunks: DataFrame, columns: dict[int, _Profiled], places: list[tuple[int, str, int]]
+) -> list[tuple[int, str, int | float]]:
+    """The values at some places among the collected ones of a column, which are counted and sorted
+    over all tasks; only the partitions that hold a place are looked at."""
+    kinds = {"w": "bigint", "r": "double"}
+    lists = []
+    for name, kind in kinds.items():
+        own = [p for p, c in columns.items() if c.sketch == kind]
+        if own:
+            stacked = f"stack({len(own)}, {', '.join(f'{p}, i{p}' for p in own)}) AS (c, xs)"
+            lists.append(chunks.selectExpr(stacked).selectExpr("c", f"explode(xs) AS {name}"))
+    values = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), lists)
+    by = ["c", *(n for n in kinds if n in values.columns)]
+    ordered = scratch.written(
+        values.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).orderBy(*by)
+        .withColumn("_id", F.monotonically_increasing_id())
     )
     part = F.shiftright("_id", _LOCAL_BITS)
-    # One row per partition, and one more for each zone that begins inside of one.
-    sizes = counts.groupBy("c", "z", part.alias("part")).agg(F.sum("n").alias("n")).orderBy("c", "z", "part")
+    # One row per partition, and one more for each column that begins inside of one.
+    sizes = ordered.groupBy("c", part.alias("part")).agg(F.sum("n").alias("n")).orderBy("c", "part")
     upto: dict[int, list] = {}
     for r in sizes.collect():
         own = upto.setdefault(r.c, [])
-        own.append((r.z, r.part, r.n, own[-1][3] + own[-1][2] if own else 0))
+        own.append((r.part, r.n, sum(own[-1][1:]) if own else 0))
     targets = []
-    for position, c in some.items():
-        for name, rank in c.wanted.items():
-            at = next((x for x in upto.get(position, []) if x[3] < rank <= x[3] + x[2]), None)
-            if at and at[0] % 2:
-                targets.append((position, name, at[0], at[1], rank - at[3]))
-    if targets:
-        wanted = table.sparkSession.createDataFrame(targets, "c int, name string, z int, part long, left long")
-        # Only partitions of the sorted counts that hold a target are read.
-        held = F.col("_id").bitwiseAND(F.lit(-1 << _LOCAL_BITS)).isin([p << _LOCAL_BITS for *_, p, _ in targets])
-        within = Window.partitionBy("c", "z", "part").orderBy("_id")
-        running = counts.where(held).withColumn("part", part).withColumn("upto", F.sum("n").over(within))
-        hits = running.join(wanted, ["c", "z", "part"]).where("upto >= left AND upto - n < left")
-        for r in hits.collect():
-            some[r.c].found[r.name] = r.r if r.w is None else r.w
-            del some[r.c].wanted[r.name]
-    return [c for c in some.values() if c.wanted]
+    for position, name, place in places:
+        at, _, before = next(x for x in upto[position] if place <= x[1] + x[2])
+        targets.append((position, name, at, place - before))
+    wanted = chunks.sparkSession.createDataFrame(targets, "c int, name string, part long, place long")
+    within = Window.partitionBy("c", "part").orderBy("_id")
+    held = ordered.withColumn("part", part).where(F.col("part").isin([t[2] for t in targets]))
+    running = held.withColumn("upto", F.sum("n").over(within))
+    hits = running.join(wanted, ["c", "part"]).where("upto >= place AND upto - n < place")
+    value = lambda r: r.w if "w" in by and r.w is not None else r.r
+    return [(r.c, r.name, value(r)) for r in hits.collect()]

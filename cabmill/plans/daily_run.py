@@ -108,7 +108,9 @@ def main() -> None:
         "--store", nargs="+", default=ROW_MODELS, choices=ROW_MODELS, help="row-level tables to keep"
     )
     args = parser.parse_args()
-    spark = SparkSession.builder.appName("cabmill").enableHiveSupport().getOrCreate()
+    # Generated methods beyond 8000 bytes are never compiled by the JVM; Spark then uses smaller ones.
+    builder = SparkSession.builder.appName("cabmill").config("spark.sql.codegen.hugeMethodLimit", "8000")
+    spark = builder.enableHiveSupport().getOrCreate()
     raw = [scan(spark, path, args.format) for path in args.raw]
     store = Store(spark, args.location, args.env).create()
     run(store, raw, args.start, args.end, stored=args.store)

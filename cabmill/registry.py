@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cabmill.functions import measures
 from cabmill.operators import dimensions, explore, marts, quality, trips
 from cabmill.plans import daily_run
 from cabmill.schemas import RAW_COLUMNS, RAW_TRIP
@@ -213,6 +214,23 @@ def mart_before_rerun(spark, sf_dir):
     })
 
 
+def distinct_by_span(spark, sf_dir):
+    """Vendors, payment types and rate codes seen per month, per year and in all, from stored
+    bitmaps of each day; an interval is run again in between, and its days alone are stored anew."""
+    store, model = _store(spark), "mart.day_codes"
+    codes = ["vendorid", "payment_type", "ratecodeid"]
+    enriched = _enriched(spark, sf_dir).select("pickup_date", *codes)
+    cells = measures.distinct_cells(enriched, ["pickup_date"], codes)
+    store.replace_days(model, cells, "pickup_date", *_first_and_last_day(cells, "pickup_date"))
+    again = measures.distinct_cells(enriched.where("payment_type = 1"), ["pickup_date"], codes)
+    store.replace_days(model, again, "pickup_date", *RERUN)
+    spans = {"month": "trunc(pickup_date, 'MM')", "year": "trunc(pickup_date, 'YEAR')", "all": "CAST(NULL AS DATE)"}
+    return _labelled("span", {
+        span: measures.distinct_counts(store.read(model).withColumn("since", F.expr(start)), ["since"])
+        for span, start in spans.items()
+    })
+
+
 def full_refresh(spark, sf_dir):
     """Build the date dimension from the early trips, then rebuild it from all trips."""
     store, enriched = _store(spark), _enriched(spark, sf_dir)
@@ -467,7 +485,7 @@ def source_parity(spark, sf_dir):
         for name, rows in backends.items()
     }
     # Surplus rows of the first backend count for it, missing ones for the second.
-    difference = quality.table_difference(*backends.values())
+    difference = quality.table_difference_by_cell(*backends.values(), trips.PICKUP)
     differing = {
         name: difference.agg(F.count_if(F.col("surplus") * sign > 0).alias("differing_rows"))
         for name, sign in zip(backends, (1, -1), strict=True)
@@ -496,6 +514,7 @@ QUERIES = {
     "time_range_replace_day": time_range_replace_day,
     "env_isolation": env_isolation,
     "mart_before_rerun": mart_before_rerun,
+    "distinct_by_span": distinct_by_span,
     "full_refresh": full_refresh,
     "upsert_by_key": upsert_by_key,
     "publish_env": publish_env,

@@ -30,6 +30,16 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in files.listStatus(folder) if f.isDirectory())
 
 
+def replace_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder to where another one may lie."""
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(new.getParent())
+    files.delete(new, True)
+    if not files.rename(old, new):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def claim(spark: SparkSession, path: str) -> bool:
     """Create an empty file; false if it is there already. Of several writers one succeeds."""
     file = spark._jvm.org.apache.hadoop.fs.Path(path)

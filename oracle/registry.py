@@ -176,6 +176,18 @@ SELECT 'before' AS state, pickup_date, vendorid, count(*) AS trips, count(*) AS
 UNION ALL SELECT 'now', pickup_date, vendorid, count(*), count(*) FROM enriched
 WHERE pickup_date NOT BETWEEN DATE '1998-03-10' AND DATE '1999-02-20' OR payment_type = 1 GROUP BY ALL"""
 
+_KEPT_AFTER_RERUN = "(pickup_date NOT BETWEEN DATE '1998-03-10' AND DATE '1999-02-20' OR payment_type = 1)"
+_SPANS = _union(
+    f"SELECT '{span}' AS span, {since} AS since, '{code}' AS column_name,"
+    f" CAST(count(DISTINCT {code}) AS BIGINT) AS distinct_values FROM enriched"
+    f" WHERE {_KEPT_AFTER_RERUN} AND {code} IS NOT NULL GROUP BY ALL"
+    for span, since in (
+        ("month", "CAST(date_trunc('month', pickup_date) AS DATE)"),
+        ("year", "CAST(date_trunc('year', pickup_date) AS DATE)"), ("all", "CAST(NULL AS DATE)"),
+    )
+    for code in ("vendorid", "payment_type", "ratecodeid")
+)
+
 ORACLE = {
     "base_trip": chain(RAW, base(), select="SELECT * FROM base"),
     "base_trip_interval": chain(
@@ -193,6 +205,7 @@ ORACLE = {
     "time_range_replace": _REPLACED,
     "time_range_replace_day": _REPLACED,
     "env_isolation": through_enriched(select=_ISOLATION),
+    "distinct_by_span": through_enriched(select=_SPANS),
     "mart_before_rerun": through_enriched(select=_BEFORE_RERUN),
     "full_refresh": through_enriched(DIMENSIONS["dim_date"], select="SELECT * FROM dim_date"),
     "upsert_by_key": """

@@ -72,6 +72,40 @@ def test_a_wrong_header_fails_its_file_only(spark, tmp_path, capsys):
     assert csv_ingest.main(args) == 0
 
 
+def test_a_header_in_the_middle_is_a_bad_line(spark, tmp_path):
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    good = LINE.format(surcharge="0.3")
+    put(source, "late.csv", HEADER, good, header=good)  # the header is its second line
+    put(source, "twice.csv", good, HEADER, good)
+    put(source, "quoted.csv", good, header=",".join(f'" {c} "' for c in HEADER.split(",")))
+    report = csv_ingest.ingest_csv(spark, str(source), target)
+    got = {r.source_file: (r.row_count, r.corrupt_rows, r.status) for r in report.collect()}
+    assert got == {
+        "late.csv": (0, 0, "wrong header"), "twice.csv": (3, 1, "bad lines"),
+        "quoted.csv": (1, 0, "success"),
+    }
+    assert [(r.source_file, r.line) for r in csv_ingest.rejected_lines(spark, target).collect()] == [("twice.csv", HEADER)]
+    # A file that comes again without its header leaves the rows of the load before.
+    put(source, "quoted.csv", good, good, header=good)
+    csv_ingest.ingest_csv(spark, str(source), target)
+    assert csv_ingest.accepted_rows(spark, target).count() == 2 + 1
+
+
+def test_the_files_are_read_once(spark, tmp_path, monkeypatch):
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    for n in range(3):
+        put(source, f"{n}.csv", *[LINE.format(surcharge="0.3")] * 50)
+    reads, read = [], csv_ingest.read_lines
+    monkeypatch.setattr(csv_ingest, "read_lines", lambda *args: reads.append(args) or read(*args))
+    report = csv_ingest.ingest_csv(spark, str(source), target)
+    for n in range(3):  # the report needs their names and sizes alone
+        (source / f"{n}.csv").write_text("x" * 10)
+    assert {(r.row_count, r.corrupt_rows, r.status) for r in report.collect()} == {(50, 0, "success")}
+    assert len(reads) == 1 and not [f for f in (tmp_path / "out").iterdir() if f.name.startswith("_loading")]
+
+
 def test_scan_table_checks_the_contract(spark, tmp_path):
     from tests.test_expressions import trip_rows
 

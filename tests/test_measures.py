@@ -2,7 +2,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from cabmill.functions.measures import mean, partials, roll_up, total
+from cabmill.functions.measures import distinct_cells, distinct_counts, mean, partials, roll_up, total
 
 
 def tips(spark, *values):
@@ -33,3 +33,17 @@ def test_durations_are_exact_to_the_microsecond(spark):
     fact = spark.range(3).select(F.lit(1).alias("k"), (F.lit(0.000001) / 60).alias("trip_duration_minutes"))
     row = partials(fact, ["k"], ["duration"], []).selectExpr(total("duration", "t"), "sum_duration").first()
     assert row.sum_duration == 3 and math.isclose(row.t, 3e-6 / 60)
+
+
+def test_distinct_counts_add_up(spark):
+    values = [(d, v) for d in range(6) for v in (None, 1, 1, d, -d, 40_000 * d, 2**40 + d % 2)]
+    rows = spark.createDataFrame(values, "d INT, v BIGINT")
+    cells = distinct_cells(rows, ["d"], ["v"])
+    for size in (1, 2, 3, 6):
+        got = distinct_counts(cells.selectExpr("d DIV {} AS g".format(size), "column_name", "bucket", "bitmap"), ["g"])
+        want = {}
+        for d, v in values:
+            if v is not None:
+                want.setdefault(d // size, set()).add(v)
+        assert {r.g: r.distinct_values for r in got.collect()} == {g: len(s) for g, s in want.items()}
+    assert distinct_counts(distinct_cells(rows.limit(0), ["d"], ["v"]), ["d"]).count() == 0
