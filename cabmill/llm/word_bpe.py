@@ -10,50 +10,107 @@ import os
 import re
 from array import array
 
-#: Distinct words, and distinct letter runs, that a worker remembers; beyond, it starts anew.
-#: Results do not depend on either.
-KEPT_WORDS, KEPT_RUNS = 200_000, 500_000
+#: Distinct words, and distinct letter runs, of a generation that a worker remembers; two
+#: generations are kept. Results do not depend on either.
+KEPT_WORDS, KEPT_RUNS = 100_000, 200_000
 # Letters, then marks: the tokenizer itself encodes the two apart.
 _PLAIN = re.compile(r"([^\W\d_]+)([.,;:!?\-]*)\Z")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level tokenizers write for each byte, by the public rule: printable
+    Latin-1 characters stand for themselves, the other bytes for characters from 256 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class WordIds:
     """ids(text) as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import regex
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._model = self._tokenizer.model
+        self._letters = regex.compile(r"\p{L}+")
+        self._written = str.maketrans(_byte_letters())
         self._ids: dict[bytes, bytes] = {}
-        self._runs: dict[str, bytes] = {"": b""}
+        self._old_ids: dict[bytes, bytes] = {}
+        self._runs: dict[str, bytes] = {}
+        self._old_runs: dict[str, bytes] = {}
+        # The merges alone give a run of letters the same ids as the whole tokenizer; if a
+        # vocabulary were of another kind, every run would pass through all of it.
+        probes = ["the", "antidisestablishment", "été", "ñandú", "ждал", "qzxv"]
+        self._direct = all(self._merged(x) == self._whole([x])[0] for x in probes)
 
-    def _encode(self, runs: list[str]) -> None:
+    def _whole(self, runs: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(runs, add_special_tokens=False)
-        for r, e in zip(runs, found, strict=True):
-            self._runs[r] = array("I", e.ids).tobytes()
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _merged(self, run: str) -> bytes:
+        """The ids of a normalised run of letters."""
+        if not run.isascii():
+            run = run.encode().decode("latin-1").translate(self._written)
+        return array("I", [t.id for t in self._model.tokenize(run)]).tobytes()
+
+    def _encode(self, runs: list[str]) -> None:
+        """Remember the ids of some runs."""
+        known, rest = self._runs, []
+        if not self._direct:
+            rest = runs
+        else:
+            other = []
+            for r in runs:
+                if r.isascii() and r.isalpha():
+                    known[r] = self._merged(r.lower())
+                else:
+                    other.append(r)
+            normal = self._tokenizer.normalizer.normalize_str(" ".join(other)).split(" ")
+            if len(normal) != len(other):
+                normal = [""] * len(other)
+            for r, n in zip(other, normal, strict=True):
+                if self._letters.fullmatch(n):
+                    known[r] = self._merged(n)
+                else:
+                    rest.append(r)
+        known.update(zip(rest, self._whole(rest), strict=True))
+
+    def _learn_runs(self, runs: set[str]) -> None:
+        if len(self._runs) + len(runs) > KEPT_RUNS:
+            self._old_runs, self._runs = self._runs, {}
+        old, unknown = self._old_runs, []
+        for r in runs.difference(self._runs):
+            known = old.get(r)
+            if known is None:
+                unknown.append(r)
+            else:
+                self._runs[r] = known
+        self._encode(unknown)
 
     def learn(self, texts: list[bytes]) -> None:
-        """Encode the words of some texts that are not known yet."""
+        """Let the newer generation hold all words of some texts."""
         words = set()
         for t in texts:
             words.update(t.split())
         if len(self._ids) + len(words) > KEPT_WORDS:
-            self._ids.clear()
-        parts = {}
+            self._old_ids, self._ids = self._ids, {}
+        old, parts = self._old_ids, {}
         for w in words.difference(self._ids):
+            known = old.get(w)
+            if known is not None:
+                self._ids[w] = known
+                continue
             # Only A-Z are lower-cased here; the tokenizer does the rest.
             text = w.lower().decode()
             m = _PLAIN.match(text)
             parts[w] = m.groups() if m else (w.decode(), "")
-        runs = {p for both in parts.values() for p in both}
-        new = [r for r in runs if r not in self._runs]
-        if len(self._runs) + len(new) > KEPT_RUNS:
-            self._runs, new = {"": b""}, [r for r in runs if r]
-        self._encode(new)
+        self._learn_runs({p for both in parts.values() for p in both if p})
         known = self._runs
         for w, (letters, marks) in parts.items():
-            self._ids[w] = known[letters] + known[marks]
+            self._ids[w] = known[letters] + known[marks] if marks else known[letters]
 
     def ids(self, text: bytes) -> bytes:
         return b"".join(map(self._ids.__getitem__, text.split()))
