@@ -66,7 +66,7 @@ def _matches(rule: Rule) -> Column:
     each = F.transform(
         F.arrays_zip(F.slice(gaps, 1, F.size(found)).alias("g"), found.alias("m"), values.alias("v")),
         lambda x: F.struct(
-            F.lit(rule.name).alias("rule"), F.length(x["g"]).cast("long").alias("gap"),
+            F.lit(rule.key).alias("rule"), F.length(x["g"]).cast("long").alias("gap"),
             F.length(x["m"]).cast("long").alias("length"),
             (F.length(x["v"]) >= rule.least).alias("kept"),
         ),
@@ -96,10 +96,11 @@ def _scan(blobs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
 def blob_findings(
     work: Work, versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES
 ) -> DataFrame:
-    """(blob, spans) of the ledger after it has seen the texts of ``versions``; spans (rule, start,
+    """(blob, spans) of the texts of ``versions``, after the ledger has seen them; spans (rule, start,
     end) by start, then by the order of ``rules``.
 
-    ``ledger`` is a folder, empty or missing at first; a run that fails before its findings are
+    The ledger holds each span with the version of its rule, so findings of a rule's older versions
+    never show, whether a newer one matches more, less or the same. ``ledger`` is a folder, empty or missing at first; a run that fails before its findings are
     committed leaves it as it was and may be repeated.
     """
     spark = versions.sparkSession
@@ -122,22 +123,25 @@ def blob_findings(
     )
     _scan(blobs, rules).write.mode("append").parquet(ledger)
 
-    place = lambda name: reduce(
-        lambda rest, x: F.when(name == x[1].name, x[0]).otherwise(rest), enumerate(rules), F.lit(len(rules))
+    # Findings of these versions of the rules, each once, though several runs may have scanned the
+    # same blob at the same time; only blobs of this run are looked up.
+    wanted = work.write(addressed.select("blob").distinct())
+    found = (
+        _ledger(spark, ledger).join(wanted, "blob", "left_semi")
+        .select("blob", F.explode("spans").alias("s"))
+        .where(F.col("s.rule").isin([r.key for r in rules])).select("blob", "s.*").distinct()
     )
-    current = [r.name for r in rules]
-    spans = F.flatten(
-        F.collect_list(F.filter("spans", lambda s: s["rule"].isin(current)))
+    place = reduce(
+        lambda rest, x: F.when(F.col("rule") == x[1].key, x[0]).otherwise(rest), enumerate(rules), F.lit(len(rules))
     )
-    ranked = F.array_sort(
-        F.transform(
-            spans, lambda s: F.struct(s["start"].alias("start"), place(s["rule"]).alias("k"), s["rule"].alias("rule"), s["end"].alias("end"))
-        )
+    ranked = F.array_sort(F.collect_list(F.struct("start", place.alias("k"), "end")))
+    names = F.array(*(F.lit(r.name) for r in rules))
+    spans = F.transform(
+        ranked, lambda s: F.struct(F.element_at(names, s["k"] + 1).alias("rule"), s["start"].alias("start"), s["end"].alias("end"))
     )
+    listed = found.groupBy("blob").agg(spans.alias("spans"))
     return work.write(
-        _ledger(spark, ledger).groupBy("blob").agg(
-            F.transform(ranked, lambda s: F.struct(s["rule"].alias("rule"), s["start"].alias("start"), s["end"].alias("end"))).alias("spans")
-        ),
+        wanted.join(listed, "blob", "left").select("blob", F.coalesce("spans", F.array().cast(_SPANS)).alias("spans")),
         keep=True,
     )
 

@@ -57,6 +57,30 @@ def test_ledger_scans_only_unseen_blobs_and_rules(spark):
     assert {(r.path, r.version) for r in again if r.spans} == {("a", 1), ("b", 1), ("c", 1)}
 
 
+def test_a_new_version_of_a_rule_replaces_its_findings(spark):
+    rows = [("a", "token=abcdefghijkl 0123456789abcdef"), ("b", "token=abcdefghijklmnopqrst"), ("c", "clean"), ("d", None)]
+    docs = spark.createDataFrame(rows, "path string, text string")
+    stricter = (S.Rule("assign", 2, S.ASSIGN.pattern, 2, 20), *S.BASE[1:])
+    equal = (S.Rule("assign", 3, S.ASSIGN.pattern, 2, 12), *S.BASE[1:])
+    ledger = shared_dir(spark, "ledger")
+
+    def told(rules, frame=docs):
+        with Work(spark, "test") as work:
+            found = S.scan_versions(work, frame, ledger, rules).collect()
+        return {r.path: [(s.rule, s.start, s.end) for s in r.spans] for r in found}
+
+    base = {"a": [("assign", 0, 18), ("hex", 19, 35)], "b": [("assign", 0, 26)], "c": [], "d": []}
+    assert told(S.BASE) == base
+    assert told(stricter) == {"a": [("hex", 19, 35)], "b": [("assign", 0, 26)], "c": [], "d": []}
+    assert told(equal) == base == told(S.BASE)  # and the older version is still listed
+    # A run again, or two at once that both scanned: the ledger holds their findings twice.
+    spark.read.parquet(ledger).write.mode("append").parquet(ledger + "-twice")
+    spark.read.parquet(ledger).write.mode("append").parquet(ledger + "-twice")
+    ledger += "-twice"
+    assert told(equal) == base
+    assert told(S.BASE, docs.where("path = 'a'")) == {"a": base["a"]}
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(t,) for t in TEXTS if t], "text string")
     with Work(spark, "test") as work:
