@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabmill.llm.cells import best, search, valid_vectors
-from cabmill.llm.common import Work, read
+from cabmill.llm.common import Work, read, ship
+from cabmill.llm.integer_scores import EXACT, inner, integers, lengths, usable
 
 #: Depths as shares of a list; the last one is its end.
 DEPTHS = (0.25, 0.5, 0.75, 0.875, 0.9375, 1.0)
@@ -71,16 +72,39 @@ def top_by_bounds(
     return out
 
 
+def top_scores(
+    ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int
+) -> list[tuple[int, int, int]]:
+    """The k best of each query, and more where rows or queries are too long for doubles to hold
+    their scores exactly: such pairs are scored one by one, in whole numbers."""
+    row_lengths, query_lengths = lengths(rows), lengths(queries)
+    short, plain = row_lengths < EXACT**0.5, query_lengths < EXACT**0.5
+    out: list[tuple[int, int, int]] = []
+    if short.any() and plain.any():
+        out = top_by_bounds(ids[short], rows[short], query_ids[plain], queries[plain], k)
+    for i in range(len(queries)):
+        some = np.flatnonzero((~short if plain[i] else np.ones(len(ids), bool)) & (ids != query_ids[i]))
+        if len(some):
+            score = inner(rows[some], row_lengths[some], queries[i], float(query_lengths[i]))
+            at = some[np.lexsort((ids[some], ~score))[:k]]
+            scored = dict(zip(some.tolist(), score.tolist(), strict=True))
+            out += [(int(query_ids[i]), int(ids[j]), scored[j]) for j in at.tolist()]
+    return out
+
+
 def exact_topk(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     """The k rows with the highest integer inner product for each query, ties to the smaller id.
 
-    Components become floor(256 x). Queries are the rows whose vec_id is divisible by ``every``,
+    Components become floor(256 x); a score beyond 64 bits counts as the nearest long. Queries are the rows whose vec_id is divisible by ``every``,
     candidates all rows but the query's own (fewer than k give fewer). Null, empty and non-finite
     vectors and null ids take no part, an id counts once (its smallest vector), vectors meet only
     those of their own length; an empty table gives no rows; further columns are ignored.
     """
-    valid = valid_vectors(vectors).withColumn("v", F.transform("v", lambda x: F.floor(x * 256).cast("double")))
-    searcher = lambda ids, rows, query_ids, queries: top_by_bounds(ids, rows, query_ids, queries, k)
+    ship(vectors.sparkSession)
+    valid = valid_vectors(vectors).where(usable("v"))
+    searcher = lambda ids, rows, query_ids, queries: top_scores(
+        ids, integers(rows), query_ids, integers(queries), k
+    )
     with Work(vectors.sparkSession, "topk") as work:
         return search(work, valid, F.col("vec_id") % every == 0, searcher, k, "long")
 

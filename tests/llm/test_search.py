@@ -67,6 +67,21 @@ def test_scores_come_from_the_lists():
     assert depths[-1][0] == 300 and depths[-1][1] < 300
 
 
+def test_huge_components(spark):
+    rng = np.random.default_rng(6)
+    size = rng.choice([0.0, 5.0, 7.0, 25.0, 30.0], 300)
+    v = rng.normal(size=(300, 4)) * 10.0 ** size[:, None]
+    rows = [(i, v[i].tolist()) for i in range(300)] + [(1000, [1e308] * 4)]
+    z = [[int(x) for x in np.floor(256 * r)] for r in v]
+    clamp = lambda x: min(max(x, -(1 << 63)), (1 << 63) - 1)
+    want = set()
+    for q in range(0, 300, 50):
+        scored = sorted((-clamp(sum(map(int.__mul__, z[q], z[i]))), i) for i in range(300) if i != q)
+        want |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:5])}
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert {tuple(r) for r in exact_topk.exact_topk(frame).collect()} == want
+
+
 def test_few_rows(spark):
     frame = spark.createDataFrame([(0, [1.0, 2.0]), (7, [0.5, 0.5])], "vec_id long, embedding array<double>")
     assert [tuple(r) for r in exact_topk.exact_topk(frame).collect()] == [(0, 1, 7, 256 * 128 + 512 * 128)]
@@ -114,8 +129,7 @@ def test_near_copies_hide_no_neighbours(noise):
     v[near] = v[near][0] + rng.normal(size=(683, 64)) * noise / 8
     v /= np.linalg.norm(v, axis=1)[:, None]
     sample = v[rng.permutation(2048)]
-    apart = getattr(permutation_index, "_apart", lambda units, count: range(count))
-    pivots = sample[list(apart(sample, permutation_index.PIVOTS))]
+    pivots = sample[permutation_index._apart(sample, permutation_index.PIVOTS)]
     ids = np.arange(2048)
     run = permutation_index._searcher(pivots, 5, permutation_index.NEAREST, permutation_index.SHARE)
     for some in (np.flatnonzero(near)[:60], np.flatnonzero(~near)[:60]):
