@@ -81,7 +81,10 @@ def smallest_hashes(frame: DataFrame, column: str, seed: str, k: int) -> DataFra
     n, top = frame.count(), 1 << 40
     place = F.pmod(F.xxhash64(column, F.lit(seed)), F.lit(top))
     if n > 4 * k:
-        frame = frame.where(place < int(top * 2 * k / n))
+        few = frame.where(place < int(top * 2 * k / n))
+        # Where many rows share few values, none or too few may lie below by chance.
+        if few.limit(k).count() == k:
+            frame = few
     return frame.orderBy(place, column).limit(k)
 
 

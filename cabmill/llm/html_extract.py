@@ -12,17 +12,22 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabmill.llm.common import chosen, read, smallest_hashes
+from cabmill.llm.common import chosen, read, ship, smallest_hashes
 from cabmill.llm.html_blocks import Block, blocks
 
-#: Pages sampled for fitting (those with the smallest hashes of their ids) and pages made of them.
+#: Pages sampled for fitting (those whose texts have the smallest hashes) and pages made of them.
 SAMPLE, MADE = 300, 1500
+#: Blocks of a sampled page that are learned from, and characters of each.
+LEARNED, LEARNED_CHARS = 400, 4000
+#: Blocks of a page that are read together; a longer page is read in such windows.
+WINDOW = 4096
 #: Sizes of the hashed path, the hashed own element, the hashed words, and of each LSTM.
 PATH, LEAF, WORDS, HIDDEN = 96, 32, 32, 24
 _DENSE = 11
@@ -95,8 +100,9 @@ class Vectors:
             at = [known[w] for w in words]
         return np.bincount(at, minlength=WORDS) / len(words)
 
-    def page(self, found: list[Block]) -> np.ndarray:
-        out = np.zeros((len(found), INPUT))
+    def page(self, found: list[Block], first: int = 0, blocks_of_page: int | None = None) -> np.ndarray:
+        """Vectors of blocks, the first of which has so many others of its page before it."""
+        out, whole = np.zeros((len(found), INPUT)), blocks_of_page or len(found)
         for i, b in enumerate(found):
             words = b.text.split(" ")
             n = len(b.text)
@@ -104,7 +110,7 @@ class Vectors:
             out[i, PATH + LEAF : -_DENSE] = self._word_counts(words)
             out[i, -_DENSE:] = (
                 np.log1p(n) / 5, np.log1p(len(words)) / 4, b.linked / n, b.text[-1] in ".!?…\"»”",
-                min(1.0, sum(map(b.text.count, ".,;")) * 10 / n), (i + 1) / len(found),
+                min(1.0, sum(map(b.text.count, ".,;")) * 10 / n), (first + i + 1) / whole,
                 len(b.path) / 10, 1.0, *self._marks(b.path),
             )
         return out
@@ -129,10 +135,11 @@ class Labeller:
             x[-1, HIDDEN : 2 * HIDDEN] = 1.0  # the forget gates start open
         return Labeller(w, rng.normal(0, 0.1, 2 * HIDDEN + 1))
 
-    def _read(self, w: np.ndarray, x: np.ndarray, mask: np.ndarray, keep: bool = False):
-        """States of one direction. x: time x pages x INPUT; a masked step leaves the state."""
+    def _read(self, w: np.ndarray, x: np.ndarray, mask: np.ndarray, keep: bool = False, carried=None):
+        """States of one direction. x: time x pages x INPUT; a masked step leaves the state.
+        ``carried`` is the pair of states after what was read before; it is brought up to date."""
         steps, pages, _ = x.shape
-        h, c = np.zeros((pages, HIDDEN)), np.zeros((pages, HIDDEN))
+        h, c = carried or (np.zeros((pages, HIDDEN)), np.zeros((pages, HIDDEN)))
         states, saved = np.empty((steps, pages, HIDDEN)), []
         given = x @ w[:INPUT] + w[-1]
         for t in range(steps):
@@ -147,8 +154,23 @@ class Labeller:
             c = np.where(m, new_c, c)
             h = np.where(m, o * tanh_c, h)
             states[t] = h
+        if carried is not None:
+            carried[:] = h, c
         return states, saved
 
+    def logits_of_long(self, vectors: Vectors, found: list[Block], window: int) -> np.ndarray:
+        """The same for one page, read in windows with both states carried from one to the next."""
+        out, n = np.full(len(found), self.out[-1]), len(found)
+        edges = [(a, min(a + window, n)) for a in range(0, n, window)]
+        parts = (self.out[:HIDDEN], self.out[HIDDEN:-1])
+        for w, part, order, step in zip(self.w, parts, (edges, edges[::-1]), (1, -1), strict=True):
+            carried = [np.zeros((1, HIDDEN)), np.zeros((1, HIDDEN))]
+            for a, b in order:
+                x = vectors.page(found[a:b], a, n)[::step, None]
+                states, _ = self._read(w, x, np.ones((b - a, 1), bool), carried=carried)
+                out[a:b] += (states[:, 0] @ part)[::step]
+        return out
+
     def logits(self, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
         ahead, _ = self._read(self.w[0], x, mask)
         back, _ = self._read(self.w[1], x[::-1], mask[::-1])
@@ -350,22 +372,63 @@ class Maker:
         return [b for b, _ in rows], np.array([y for _, y in rows])
 
 
+def _learned_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each page the blocks that are learned from, with their labels; at most LEARNED of them
+    and so many characters each: those around the first block of its article."""
+    for batch in batches:
+        for h, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            found = blocks(html)
+            labels = landmark_labels(found)
+            article = int(labels.argmax()) if labels is not None else 0
+            first = max(0, min(article - LEARNED // 2, len(found) - LEARNED))
+            part = found[first : first + LEARNED]
+            if part:
+                told = [None] * len(part) if labels is None else labels[first : first + LEARNED].tolist()
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([h] * len(part)), pa.array(range(len(part)), pa.int64()),
+                        pa.array([list(b.path) for b in part], pa.list_(pa.string())),
+                        pa.array([b.text[:LEARNED_CHARS] for b in part], pa.string()),
+                        pa.array([b.linked for b in part], pa.int64()), pa.array(told, pa.float64()),
+                    ],
+                    ["h", "i", "path", "text", "linked", "label"],
+                )
+
+
+_LEARNED_SCHEMA = "h long, i long, path array<string>, text string, linked long, label double"
+
+
+def _with_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        some = [bool(blocks(html)) for html in batch.column(1).to_pylist()]
+        yield batch.filter(pa.array(some, pa.bool_()))
+
+
 def fit(pages: DataFrame, sample: int = SAMPLE, made: int = MADE) -> Labeller | None:
-    """A labeller fitted on at most ``sample`` of the pages of fewer than 200 000 characters, and
-    ``made`` others built from their texts; None if no page has a block."""
-    readable = chosen(pages, page_id="long", html="string").where("length(html) < 200000")
-    ids = smallest_hashes(readable.select("page_id"), "page_id", "sample", sample).distinct()
-    rows = readable.join(F.broadcast(ids), "page_id", "left_semi").limit(sample).collect()
+    """A labeller fitted on at most ``sample`` distinct pages (those whose texts have the smallest
+    hashes, whatever their ids and lengths) and ``made`` others built from their texts; None if no
+    page has a block."""
+    ship(pages.sparkSession)
+    rows = chosen(pages, html="string").where("html <> ''").select(F.xxhash64("html").alias("h"), "html")
+
+    def learned(rows: DataFrame) -> list:
+        hashes = smallest_hashes(rows.select("h").distinct(), "h", "sample", sample)
+        picked = rows.join(F.broadcast(hashes), "h", "left_semi").groupBy("h").agg(F.first("html").alias("html"))
+        return picked.mapInArrow(_learned_part, _LEARNED_SCHEMA).orderBy("h", "i").collect()
+
+    found = learned(rows)
+    if not found:  # all of the sample is empty; some other page may not be
+        found = learned(rows.mapInArrow(_with_blocks, "h long, html string"))
+    if not found:
+        return None
     vectors, given, long, short = Vectors(), [], [], []
-    for r in rows:
-        found = blocks(r["html"])
-        labels = landmark_labels(found)
-        if labels is not None:
-            given.append((vectors.page(found), labels))
-        for b in found:
+    for _, page in groupby(found, key=lambda r: r.h):
+        page = list(page)
+        part = [Block(tuple(r.path), r.text, min(r.linked, len(r.text))) for r in page]
+        if page[0].label is not None:
+            given.append((vectors.page(part), np.array([r.label for r in page])))
+        for b in part:
             (long if len(b.text) > 80 else short).append(b.text)
-    if not long and not short:
-        return None
     maker = Maker(long, short)
     others = [(vectors.page(b), y) for b, y in (maker.page() for _ in range(made))]
     return fit_labeller(given + others)
@@ -376,6 +439,10 @@ def _extracted(model):
         found = [blocks(p or "") for p in pages]
         out = [""] * len(pages)
         order = sorted((i for i in range(len(pages)) if found[i]), key=lambda i: len(found[i]))
+        while order and len(found[order[-1]]) > WINDOW:
+            i = order.pop()
+            kept = labeller.logits_of_long(vectors, found[i], WINDOW) > 0
+            out[i] = " ".join(b.text for b, k in zip(found[i], kept, strict=True) if k)
         at = 0
         while at < len(order):
             # Pages of like length together; the padded batch stays below a few MB.

@@ -250,6 +250,45 @@ def test_pages_of_other_layouts(spark, sf_dir):
     assert html_extract.extract_pages(frame.limit(0), None).count() == 0
 
 
+def article_page(i, paragraphs=3, words=30):
+    body = "".join(f"<p>{' '.join(f'w{i}x{j}y{k}' for k in range(words))}.</p>" for j in range(paragraphs))
+    return f"<html><body><nav><a href='/'>Home</a></nav><article><h1>T{i}</h1>{body}</article><footer>f</footer></body></html>"
+
+
+@pytest.mark.parametrize("kind", ["long", "null ids", "few ids", "one long among empty"])
+def test_every_table_with_a_block_gives_texts(spark, kind):
+    pages = {
+        "long": lambda: [(i, article_page(i, 700, 40)) for i in range(4)],
+        "null ids": lambda: [(None, article_page(i)) for i in range(30)],
+        "few ids": lambda: [(i % 3, article_page(i % 3)) for i in range(900)],
+        "one long among empty": lambda: [(i, f"<p></p><!--{i}-->") for i in range(700)] + [(9, article_page(1))],
+    }[kind]()
+    if kind == "long":
+        assert min(len(h) for _, h in pages) > 200_000
+    frame = spark.createDataFrame([(i, "u", h) for i, h in pages], "page_id long, url string, html string")
+    labeller = html_extract.fit(frame, made=40)
+    assert labeller is not None
+    got = html_extract.extract_pages(frame, labeller).collect()
+    assert len(got) == len(pages) and sum(r.n_chars > 0 for r in got) == sum("<article>" in h for _, h in pages)
+
+
+def test_windows_carry_both_states():
+    rng = np.random.default_rng(3)
+    model, vectors = html_extract.Labeller.new(), html_extract.Vectors()
+    found = blocks("".join(f"<div class='c{rng.integers(9)}'>{'word ' * int(rng.integers(1, 20))}</div>" for _ in range(57)))
+    whole = model.logits(*html_extract._padded([vectors.page(found)]))[:, 0]
+    for window in (1, 7, 56, 57, 100):
+        assert np.allclose(model.logits_of_long(vectors, found, window), whole)
+
+
+def test_a_page_of_very_many_blocks(spark):
+    paragraph = "<p>Stone bridges cross the river here, and the town grew around them.</p>"
+    page = f"<html><body><nav><a href='/'>Home</a></nav><article>{paragraph * 60_000}</article></body></html>"
+    frame = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+    text = html_extract.extract_pages(frame, html_extract.fit(frame, made=60)).first().text
+    assert text.count("Stone bridges") == 60_000
+
+
 def test_given_pages(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     got = {r.page_id: r.text for r in html_extract.op1_html_extract(spark, sf_dir).collect()}
