@@ -176,9 +176,8 @@ def _packed(path: str, tiers: tuple[int, ...], step_tokens: int, end_id: int):
             ids = batch.column(0).to_pylist()
             for at in range(0, len(ids), 256):
                 texts = [t or b"" for t in batch.column(1).slice(at, 256).to_pylist()]
-                encoder.learn(texts)
-                for doc_id, text in zip(ids[at : at + 256], texts, strict=True):
-                    packer.add(doc_id, encoder.ids(text) + end)
+                for doc_id, encoded in zip(ids[at : at + 256], encoder.all_ids(texts), strict=True):
+                    packer.add(doc_id, encoded + end)
                 if packer.waiting >= POOL:
                     packer.pack(last=False)
                 if found := list(packer.flush(last=False)):

@@ -7,14 +7,15 @@ of its words in a row. A worker keeps the ids of the words it has met.
 from __future__ import annotations
 
 import os
-import re
 from array import array
+from collections.abc import Iterator
+from unicodedata import is_normalized
 
 #: Distinct words, and distinct letter runs, of a generation that a worker remembers; two
 #: generations are kept. Results do not depend on either.
 KEPT_WORDS, KEPT_RUNS = 100_000, 200_000
-# Letters, then marks: the tokenizer itself encodes the two apart.
-_PLAIN = re.compile(r"([^\W\d_]+)([.,;:!?\-]*)\Z")
+# What may follow the letters of a plain word: the tokenizer itself encodes the two apart.
+_MARKS = ".,;:!?-"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -62,17 +63,13 @@ class WordIds:
         if not self._direct:
             rest = runs
         else:
-            other = []
             for r in runs:
-                if r.isascii() and r.isalpha():
-                    known[r] = self._merged(r.lower())
-                else:
-                    other.append(r)
-            normal = self._tokenizer.normalizer.normalize_str(" ".join(other)).split(" ")
-            if len(normal) != len(other):
-                normal = [""] * len(other)
-            for r, n in zip(other, normal, strict=True):
-                if self._letters.fullmatch(n):
+                # The tokenizer lower-cases letter by letter; of all letters only a final sigma
+                # differs from that in str.lower. What is not composed goes the whole way.
+                n = r.lower()
+                if n.isalpha() and (
+                    r.isascii() or ("Σ" not in r and is_normalized("NFC", r) and self._letters.fullmatch(n))
+                ):
                     known[r] = self._merged(n)
                 else:
                     rest.append(r)
@@ -83,37 +80,44 @@ class WordIds:
             self._old_runs, self._runs = self._runs, {}
         old, unknown = self._old_runs, []
         for r in runs.difference(self._runs):
-            known = old.get(r)
-            if known is None:
-                unknown.append(r)
+            if r in old:
+                self._runs[r] = old[r]
             else:
-                self._runs[r] = known
+                unknown.append(r)
         self._encode(unknown)
 
-    def learn(self, texts: list[bytes]) -> None:
-        """Let the newer generation hold all words of some texts."""
-        words = set()
-        for t in texts:
-            words.update(t.split())
+    def learn(self, words: set[bytes]) -> None:
+        """Let the newer generation hold all of some words."""
         if len(self._ids) + len(words) > KEPT_WORDS:
             self._old_ids, self._ids = self._ids, {}
-        old, parts = self._old_ids, {}
-        for w in words.difference(self._ids):
-            known = old.get(w)
-            if known is not None:
-                self._ids[w] = known
+        known, old = self._ids, self._old_ids
+        # Three lists of texts, as tuples of them would keep the garbage collector busy.
+        new, heads, tails = [], [], []
+        for w in words.difference(known):
+            if w in old:
+                known[w] = old[w]
                 continue
             # Only A-Z are lower-cased here; the tokenizer does the rest.
             text = w.lower().decode()
-            m = _PLAIN.match(text)
-            parts[w] = m.groups() if m else (w.decode(), "")
-        self._learn_runs({p for both in parts.values() for p in both if p})
-        known = self._runs
-        for w, (letters, marks) in parts.items():
-            self._ids[w] = known[letters] + known[marks] if marks else known[letters]
-
-    def ids(self, text: bytes) -> bytes:
-        return b"".join(map(self._ids.__getitem__, text.split()))
+            letters = text.rstrip(_MARKS)
+            new.append(w)
+            if letters.isalpha():
+                heads.append(letters)
+                tails.append(text[len(letters) :])
+            else:
+                heads.append(w.decode())
+                tails.append("")
+        self._learn_runs({*heads, *tails})
+        runs = self._runs.__getitem__
+        known.update(zip(new, map(bytes.__add__, map(runs, heads), map(runs, tails)), strict=True))
+
+    def all_ids(self, texts: list[bytes]) -> Iterator[bytes]:
+        """The ids of each text; their unknown words are encoded together."""
+        words = [t.split() for t in texts]
+        self.learn(set().union(*words))
+        known = self._ids.__getitem__
+        for own in words:
+            yield b"".join(map(known, own))
 
 
 _KNOWN: dict[str, WordIds] = {}

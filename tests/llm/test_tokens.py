@@ -7,7 +7,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from cabmill.llm import packing, piece_encode
+from cabmill.llm import packing, piece_encode, word_bpe
 from cabmill.llm.word_bpe import WordIds
 
 WORDS = ["the", "a", " ", "  ", "\n", "\t", "▁", "é", "é", "ﬁ", "梦", "\x00", "<s>", "</s>", "<|endoftext|>",
@@ -30,13 +30,25 @@ def piece_path():
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def test_word_ids_equal_the_library(word_path):
+def test_word_ids_equal_the_library(word_path, monkeypatch):
     own = WordIds(word_path)
-    sample = texts(600)
-    own.learn([t.encode() for t in sample])
-    for t in sample:
+    assert own._direct
+    odd = ["ΟΔΟΣ", "Σ", "σας", "e\u0301te\u0301", "ǅ", "x²", "ª", "ﬀ", "ẞtraße", "İstanbul", "ЖДАЛ!", "ñandú.,;", "a\u200db", "한국어", "ÀÉ--", "don't", "ſ"]
+    sample = texts(600) + odd + [a + b for a in odd for b in odd]
+    for t, packed in zip(sample, own.all_ids([t.encode() for t in sample]), strict=True):
         want = own._tokenizer.encode(t, add_special_tokens=False).ids
-        assert np.frombuffer(own.ids(t.encode()), "<u4").tolist() == want, t
+        assert np.frombuffer(packed, "<u4").tolist() == want, t
+    # The same while generations change.
+    monkeypatch.setattr(word_bpe, "KEPT_WORDS", 50)
+    monkeypatch.setattr(word_bpe, "KEPT_RUNS", 30)
+    for t in sample[:200]:
+        packed, = own.all_ids([t.encode()])
+        assert np.frombuffer(packed, "<u4").tolist() == own._tokenizer.encode(t, add_special_tokens=False).ids
+    # And for every letter of its own, however it is lower-cased or composed.
+    letters = [chr(c) for c in range(0x110000) if chr(c).isalpha() and not 0x3400 < c < 0x9FFF and not 0xAC00 < c < 0xD7A0 and c < 0x20000]
+    found = own._tokenizer.encode_batch_fast([f"a{c}b" for c in letters], add_special_tokens=False)
+    for c, e, packed in zip(letters, found, own.all_ids([f"a{c}b".encode() for c in letters]), strict=True):
+        assert np.frombuffer(packed, "<u4").tolist() == e.ids, hex(ord(c))
 
 
 def test_packing_covers_every_id_once(spark, word_path):
