@@ -115,3 +115,20 @@ def trip_key(pickup: str, vendor: str, latitude: str, longitude: str) -> str:
 def padded_name(day: str, pattern: str) -> str:
     """Full month or weekday name, blank-padded to nine characters."""
     return f"rpad(date_format({day}, '{pattern}'), 9, ' ')"
+
+
+def on_curve(columns: dict[str, tuple[float, float]], bits: int = 10) -> str:
+    """Place of a row on a Z-curve over some columns: each is cut into 2^bits equal steps between
+    its limits (values beyond them count as the nearest step, NULL and NaN as the first), and the
+    steps' bits are interleaved. Rows close on the curve are close in every column."""
+    steps = (1 << bits) - 1
+    places = []
+    for low, high in columns.values():
+        places.append((low, steps / (high - low)))
+    terms = []
+    for i, (column, (low, factor)) in enumerate(zip(columns, places, strict=True)):
+        step = f"CAST(greatest(0D, least({steps}D, coalesce(nanvl(({column} - {low!r}D) * {factor!r}D, 0D), 0D))) AS BIGINT)"
+        terms += [
+            f"shiftleft(shiftright({step}, {b}) & 1L, {b * len(columns) + i})" for b in range(bits)
+        ]
+    return f"({' | '.join(terms)})"

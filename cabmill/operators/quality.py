@@ -64,17 +64,37 @@ def contract_report(frame: DataFrame, declared: StructType) -> DataFrame:
     )
 
 
+def shape_problems(columns: Sequence[str]) -> list[str]:
+    """Per column what keeps a table from holding it: 'duplicate', 'unnamed', or '' for nothing."""
+    counts = Counter(c.lower() for c in columns)
+    named = lambda c: c.replace("_", "").isalnum() and not c[0].isdigit()
+    return ["duplicate" if counts[c.lower()] > 1 else "" if named(c) else "unnamed" for c in columns]
+
+
 def check_output_shape(columns: Sequence[str]) -> None:
     """Refuse projections that a table cannot hold: duplicate, unnamed or starred columns."""
-    counts = Counter(c.lower() for c in columns)
-    duplicates = sorted(c for c, n in counts.items() if n > 1)
+    found = list(zip(shape_problems(columns), columns, strict=True))
+    duplicates = sorted({c.lower() for problem, c in found if problem == "duplicate"})
     if duplicates:
         raise ValueError(f"duplicate output columns: {duplicates}")
-    unnamed = [c for c in columns if not c.replace("_", "").isalnum() or c[0].isdigit()]
+    unnamed = [c for problem, c in found if problem == "unnamed"]
     if unnamed:
         raise ValueError(f"unnamed or unexpanded output columns: {unnamed}")
 
 
+def shape_report(frame: DataFrame) -> DataFrame:
+    """One row per output column: (position, column_name, problem, row_count), with the rows that a
+    table of the projection would hold."""
+    text = lambda value: "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    lines = ", ".join(
+        f"{i}, {text(name)}, '{problem}', _rows"
+        for i, (name, problem) in enumerate(zip(frame.columns, shape_problems(frame.columns), strict=True), 1)
+    )
+    return frame.agg(F.count(F.lit(1)).alias("_rows")).selectExpr(
+        f"stack({len(frame.columns)}, {lines}) AS (position, column_name, problem, row_count)"
+    )
+
+
 def key_values(combinations: DataFrame) -> DataFrame:
     """Every foreign-key value with its row count, (key, value, trips), from the key
     combinations of the fact table and their trips."""

@@ -13,6 +13,8 @@ from cabmill.functions import expressions as X
 
 PICKUP = "tpep_pickup_datetime"
 DROPOFF = "tpep_dropoff_datetime"
+#: Layout of the trips of a day: close on the curve is close on the map.
+PICKUP_CURVE = X.on_curve({"pickup_latitude": S.LATITUDE_BOX, "pickup_longitude": S.LONGITUDE_BOX})
 
 
 def base_trip(

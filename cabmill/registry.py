@@ -336,6 +336,31 @@ def schema_contract(spark, sf_dir):
     return quality.contract_report(drifted, RAW_TRIP)
 
 
+def output_shapes(spark, sf_dir):
+    """Column problems of every given table, and of three projections over them: a star over a
+    join, an expression without a name, and the trips."""
+    given = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in _GIVEN_TABLES}
+    orders, documents = given["orders"], given["documents"]
+    frames = given | {
+        "star_over_join": documents.join(given["labels"], documents.doc_id == given["labels"].doc_id),
+        "expression": orders.selectExpr("o_orderkey + 1", "o_orderkey AS `1st`", "o_orderkey AS order_key"),
+        "trips": raw_trips(spark, sf_dir),
+    }
+    return _labelled("table_name", {name: quality.shape_report(frame) for name, frame in frames.items()})
+
+
+def box_trips(spark, sf_dir):
+    """Trips per day inside a box, from a table whose days are laid out along a curve over the
+    pickup place: the box reads the files and row groups that meet it."""
+    store, base = _store(spark), _base(spark, sf_dir)
+    history = _first_and_last_day(base, trips.PICKUP)
+    store.replace_interval(daily_run.BASE, base, trips.PICKUP, *history, curve=trips.PICKUP_CURVE)
+    in_box = store.read(daily_run.BASE).where(
+        "pickup_latitude BETWEEN 40.60D AND 40.75D AND pickup_longitude BETWEEN -74.20D AND -74.00D"
+    )
+    return explore.rows_per_day(in_box, trips.PICKUP)
+
+
 def fk_audit(spark, sf_dir):
     """All trips against dimensions that were last built at EARLY_END.
 
@@ -526,6 +551,8 @@ QUERIES = {
     "published_base": published_base,
     "two_windows": two_windows,
     "schema_contract": schema_contract,
+    "output_shapes": output_shapes,
+    "box_trips": box_trips,
     "fk_audit": fk_audit,
     "trip_key_duplicates": trip_key_duplicates,
     "count_trips": count_trips,

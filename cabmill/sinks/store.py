@@ -32,7 +32,7 @@ from cabmill.operators.quality import check_output_shape
 from cabmill.sources.shared import Scratch, child_folders, claim, remove
 
 PRODUCTION = "prod"
-_HIDDEN_DAY, _HIDDEN_BUCKET = "part_day", "part_bucket"
+_HIDDEN_DAY, _HIDDEN_BUCKET, _PLACE = "part_day", "part_bucket", "part_place"
 _SOURCE = "cabmill.table"  # property of a view: the physical table it reads
 _KEYED = "cabmill.buckets"  # property of a bucketed version: number of buckets, columns of the key
 #: Buckets of a table that is written by key. An upsert rewrites those that its batch touches.
@@ -219,7 +219,7 @@ class Store:
 
     def replace_interval(
         self, model: str, batch: DataFrame, time_column: str, start: date, end: date,
-        clustered: bool = False,
+        clustered: bool = False, curve: str | None = None,
     ) -> str:
         """A new version that holds exactly `batch` for the days start..end, and the folders of
         the published one for all other days, which are neither read nor written.
@@ -228,7 +228,10 @@ class Store:
         the published view; else by a hidden day (`interval` prunes by it). `clustered` says that
         the batch already comes in files of few days (a narrow step over such a table), which
         spares the shuffle that otherwise gathers each day into few files. That shuffle is a
-        rebalance: a day that holds a large part of all rows is split over tasks.
+        rebalance: a day that holds a large part of all rows is split over tasks. With `curve`, an
+        expression that numbers rows (`expressions.on_curve`), the rows of a day are ranged over
+        tasks and sorted by it instead, so that a filter on the columns of the curve skips files
+        and row groups by their least and greatest values.
         """
         check_output_shape(batch.columns)
         rows, part = self._with_day(batch, time_column)
@@ -243,11 +246,16 @@ class Store:
             else:  # written as one table until now: its other days move into folders
                 older, _ = self._with_day(held, time_column)
                 rows = rows.unionByName(older.where(f"NOT ({inside})"))
-        if not clustered:
+        schema = rows.schema
+        if curve:
+            place = F.expr(curve).alias(_PLACE)
+            rows = rows.select("*", place).repartitionByRange(part, _PLACE)
+            rows = rows.sortWithinPartitions(part, _PLACE).drop(_PLACE)
+        elif not clustered:
             rows = rows.hint("rebalance", part)
         table = self._new_version(model)
         parts = kept | self._write_parts(table, rows, part)
-        self._create_version(table, rows.schema, part, parts, {})
+        self._create_version(table, schema, part, parts, {})
         self.publish(model, table, batch.columns)
         return table
 

@@ -188,6 +188,28 @@ _SPANS = _union(
     for code in ("vendorid", "payment_type", "ratecodeid")
 )
 
+def _shapes():
+    lines = [
+        f"SELECT '{t}' AS table_name, CAST(c.ordinal_position AS INTEGER) AS position, c.column_name,"
+        f" '' AS problem, (SELECT count(*) FROM {t}) AS row_count"
+        f" FROM information_schema.columns c WHERE c.table_name = '{t}'"
+        for t in _TABLES
+    ]
+    joined = "(SELECT count(*) FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"
+    made = [
+        *(("star_over_join", c, "duplicate" if c == "doc_id" else "", joined)
+          for c in ("doc_id", "text", "lang", "source", "n_chars", "doc_id", "quality", "toxic")),
+        *(("expression", c, problem, "(SELECT count(*) FROM orders)")
+          for c, problem in (("(o_orderkey + 1)", "unnamed"), ("1st", "unnamed"), ("order_key", ""))),
+        *(("trips", c, "", "(SELECT count(*) FROM lineitem)") for c in _COLUMNS),
+    ]
+    place: dict[str, int] = {}
+    for name, column, problem, rows in made:
+        place[name] = place.get(name, 0) + 1
+        lines.append(f"SELECT '{name}', {place[name]}, '{column}', '{problem}', {rows}")
+    return _union(lines)
+
+
 ORACLE = {
     "base_trip": chain(RAW, base(), select="SELECT * FROM base"),
     "base_trip_interval": chain(
@@ -234,6 +256,14 @@ FROM (SELECT *, ts < TIMESTAMP '2024-01-16 00:00:00' AS early FROM events) e GRO
         RAW, base("1997-01-01", "1999-12-31"), select=f"SELECT * FROM base WHERE {_RERUN}"
     ),
     "schema_contract": chain(RAW, select=_contract()),
+    "output_shapes": _shapes(),
+    "box_trips": chain(
+        RAW,
+        base(),
+        select="SELECT CAST(date_trunc('day', tpep_pickup_datetime) AS TIMESTAMP) AS day,"
+        " count(*) AS row_count FROM base WHERE pickup_latitude BETWEEN 40.60 AND 40.75"
+        " AND pickup_longitude BETWEEN -74.20 AND -74.00 GROUP BY 1",
+    ),
     "fk_audit": through_enriched(select=_audit()),
     "trip_key_duplicates": through_enriched(
         FACT,

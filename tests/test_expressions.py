@@ -195,3 +195,12 @@ def test_labels_and_padded_names(spark):
     assert (day.month_name, day.day_name) == ("January  ", "Friday   ")
     assert (day.week_of_year, day.year, day.day_of_year, day.quarter) == (53, 2016, 1, 1)
     assert dimensions.dim_payment_type(enriched).count() == 0
+
+
+def test_on_curve(spark):
+    rows = [(x, y) for x in (-1.0, 0.0, 1.0, 2.5, 4.0, 9.0, None, float("nan")) for y in (0.0, 1.0, 2.0, 3.0, 4.0)]
+    table = spark.createDataFrame(rows, "x DOUBLE, y DOUBLE")
+    place = X.on_curve({"x": (0.0, 3.0), "y": (0.0, 3.0)}, bits=2)
+    for r in table.selectExpr("*", f"{place} AS place").collect():
+        steps = [0 if v is None or v != v else int(max(0, min(3, v))) for v in (r.x, r.y)]
+        assert r.place == sum((s >> b & 1) << (2 * b + i) for i, s in enumerate(steps) for b in range(2))

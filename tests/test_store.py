@@ -218,6 +218,45 @@ def test_a_hot_day_is_written_by_several_tasks(spark):
     assert by_day["2015-01-01"] > 2 and store.read(MODEL).count() == 400000
 
 
+def test_a_box_reads_fewer_row_groups_of_a_curve(spark):
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    import pyarrow.parquet as pq
+
+    from cabmill.functions.expressions import on_curve
+
+    store = _store(spark)
+    rows = spark.range(0, 60_000, 1, 4).selectExpr(
+        "DATE '2015-01-01' AS d", "id", "rand(1) * 10 AS x", "if(id % 1000 = 0, NULL, rand(2) * 10) AS y"
+    )
+    curve = on_curve({"x": (0.0, 10.0), "y": (0.0, 10.0)})
+    day = date(2015, 1, 1), date(2015, 1, 1)
+    box, groups = "x BETWEEN 2 AND 3 AND y BETWEEN 6 AND 7", {}
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    try:
+        conf.set("parquet.block.size", str(16 * 1024))
+        conf.set("parquet.page.size", str(4 * 1024))
+        for model, expression in (("mart.plain", None), ("mart.curve", curve)):
+            store.replace_interval(model, rows, "d", *day, curve=expression)
+            read = total = 0
+            for folder in store.parts(store.published(model)).values():
+                for file in Path(urlparse(folder).path).glob("*.parquet"):
+                    meta = pq.ParquetFile(file).metadata
+                    for g in range(meta.num_row_groups):
+                        columns = {meta.row_group(g).column(c).path_in_schema: meta.row_group(g).column(c).statistics for c in range(3)}
+                        total += 1
+                        read += columns["x"].min <= 3 and columns["x"].max >= 2 and columns["y"].min <= 7 and columns["y"].max >= 6
+            groups[model] = read / total
+    finally:
+        conf.unset("parquet.block.size")
+        conf.unset("parquet.page.size")
+    assert groups["mart.plain"] == 1.0 and groups["mart.curve"] < 0.4, groups
+    want = rows.where(box).count()
+    assert store.read("mart.curve").where(box).count() == store.read("mart.plain").where(box).count() == want
+    assert store.read("mart.curve").columns == ["d", "id", "x", "y"] and store.read("mart.curve").count() == 60_000
+
+
 def test_old_versions_go_unless_a_view_reads_them(spark):
     first = _store(spark)
     second = _beside(first, "b")
