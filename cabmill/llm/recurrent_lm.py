@@ -1,13 +1,14 @@
 """Gated recurrent language model with a class-factored softmax, for whole documents.
 
-Every word belongs to one class: frequent words to one each, the rest of a table of known words to
-one per word ending, all words beyond the table to one of their own. A GRU in numpy, fitted by
-back-propagation cut at windows, predicts the next class from the classes before; its state is
-carried from window to window to the end of a document. It is fitted in rounds on every training
-document: each task learns from its own documents of the round, and the tasks' parameters meet as
-a mean by tokens. Within a class a word has its share of the
-class's tokens in the training corpus; in the last class absolute discounting leaves a share to
-the one event of a word never seen.
+Every word is one of the outcomes of the network: frequent words are one each, the rest of a table
+of known words one per word ending, all words beyond the table one of their own. The outcomes are
+dealt to classes, the most frequent first. A GRU in numpy, fitted by back-propagation cut at
+windows, reads the outcomes before; from its state one softmax gives the next class and another the
+outcome within that class. The state is carried from window to window to the end of a document. It
+is fitted in rounds on every training document: each task learns from its own documents of the
+round, and the tasks' parameters meet as a mean by tokens. Words that share an outcome have their
+shares of its tokens in the training corpus; beyond the table absolute discounting leaves a share
+to the one event of a word never seen.
 
 Counts cover the whole corpus. Words travel as 64-bit hashes: tasks count theirs, sums meet by
 hash. The table of frequent words has a fixed size and is sent to all tasks; counts of the other
@@ -31,15 +32,15 @@ from cabmill.llm.shingles import word_hashes
 
 #: Words of the table: those with the highest counts, at least LEAST. 16 MB at most.
 TABLE, LEAST = 1_000_000, 3
-#: Words with a class of their own, and classes of word endings.
+#: Words that are an outcome of their own, and outcomes for word endings.
 OWN, ENDINGS = 128, 48
-#: Size of the state and of a class's vector; steps of a window; documents read side by side.
-HIDDEN, EMBED, WINDOW, LANES = 32, 24, 32, 512
-#: Rounds of one pass over the training documents; a round's tokens per task (at least, where the
-#: corpus has them); corpora below SMALL tokens are gone over as a whole REPEATS times instead.
-ROUNDS, TASK_TOKENS, SMALL, REPEATS = 8, 200_000, 1_200_000, 2
+#: Size of the state and of an outcome's vector; steps of a window; documents read side by side.
+HIDDEN, EMBED, WINDOW, LANES = 32, 24, 16, 512
+#: Rounds of one pass over the training documents, and a round's tokens per task (at least, where
+#: the corpus has them).
+ROUNDS, TASK_TOKENS = 8, 200_000
 #: Tokens of whole documents that a task lays out in lanes at a time, and its lanes.
-BATCH_TOKENS, FIT_LANES, RATE = 2_000_000, 48, 0.01
+BATCH_TOKENS, FIT_LANES, RATE = 2_000_000, 128, 0.015
 _CHUNK = 4_000_000  # words counted at a time in a task
 END = np.int64(-1)  # in place of a word's hash: the end of a document
 
@@ -117,28 +118,50 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def _log_softmax(logits: np.ndarray) -> np.ndarray:
+    logits = logits - logits.max(-1, keepdims=True)
+    return logits - np.log(np.exp(logits).sum(-1, keepdims=True))
+
+
+def members(outcomes: int) -> int:
+    """Outcomes of a class: as many as there are classes, about."""
+    return math.ceil(math.sqrt(outcomes))
+
+
 @dataclass
 class Gru:
-    """Gated recurrent unit over classes. Parameters: class vectors, input and state weights (for
-    reset, update, candidate), output weights; biases are the last rows."""
+    """Gated recurrent unit over outcomes. Parameters: outcome vectors, input and state weights
+    (for reset, update, candidate), weights of the classes and, by class, of its outcomes; biases
+    are the last rows."""
 
     embed: np.ndarray
     wx: np.ndarray
     wh: np.ndarray
-    wo: np.ndarray
+    wc: np.ndarray
+    wm: np.ndarray
 
     @staticmethod
-    def new(classes: int, frequencies: np.ndarray, seed: int = 11) -> Gru:
-        rng = np.random.default_rng(seed)
-        wo = rng.normal(0, 0.1, (HIDDEN + 1, classes))
-        wo[-1] = np.log(frequencies)
+    def new(outcomes: int, frequencies: np.ndarray, seed: int = 11) -> Gru:
+        rng, size = np.random.default_rng(seed), members(outcomes)
+        classes = -(-outcomes // size)
+        dealt = np.zeros(classes * size)
+        dealt[:outcomes] = frequencies
+        dealt = dealt.reshape(classes, size)
+        wc = rng.normal(0, 0.1, (HIDDEN + 1, classes))
+        wc[-1] = np.log(dealt.sum(1))
+        wm = rng.normal(0, 0.1, (classes, HIDDEN + 1, size))
+        wm[:, -1] = np.log(np.where(dealt > 0, dealt, 1) / dealt.sum(1, keepdims=True))
         return Gru(
-            rng.normal(0, 0.3, (classes + 1, EMBED)), rng.normal(0, 0.2, (EMBED + 1, 3 * HIDDEN)),
-            rng.normal(0, 0.2, (HIDDEN, 3 * HIDDEN)), wo,
+            rng.normal(0, 0.3, (outcomes + 1, EMBED)), rng.normal(0, 0.2, (EMBED + 1, 3 * HIDDEN)),
+            rng.normal(0, 0.2, (HIDDEN, 3 * HIDDEN)), wc, wm,
         )
 
+    @property
+    def parameters(self) -> tuple[np.ndarray, ...]:
+        return self.embed, self.wx, self.wh, self.wc, self.wm
+
     def inputs(self) -> np.ndarray:
-        """What each class, as the token before, adds to the gates; the last row is the start."""
+        """What each outcome, as the token before, adds to the gates; the last row is the start."""
         return self.embed @ self.wx[:-1] + self.wx[-1]
 
     def step(self, given: np.ndarray, h: np.ndarray):
@@ -148,10 +171,48 @@ class Gru:
         n = np.tanh(given[:, 2 * HIDDEN :] + r * s[:, 2 * HIDDEN :])
         return (1 - z) * n + z * h, (h, s, r, z, n)
 
-    def log_classes(self, states: np.ndarray) -> np.ndarray:
-        logits = states @ self.wo[:-1] + self.wo[-1]
-        logits -= logits.max(-1, keepdims=True)
-        return logits - np.log(np.exp(logits).sum(-1, keepdims=True))
+    def _class_members(self, k: int) -> np.ndarray:
+        """Weights of the outcomes of a class; the last class may have fewer."""
+        size = self.wm.shape[2]
+        return self.wm[k][:, : min(size, len(self.embed) - 1 - k * size)]
+
+    def log_outcomes(self, states: np.ndarray) -> np.ndarray:
+        """Log-probabilities of all outcomes: that of the class plus that within the class."""
+        of_class = _log_softmax(states @ self.wc[:-1] + self.wc[-1])
+        parts = []
+        for k in range(self.wc.shape[1]):
+            w = self._class_members(k)
+            parts.append(of_class[..., k, None] + _log_softmax(states @ w[:-1] + w[-1]))
+        return np.concatenate(parts, -1)
+
+    def output(self, states: np.ndarray, target: np.ndarray, weight: np.ndarray | None = None):
+        """Log-probability of each state's target: only the members of the target's class are
+        looked at. With weights, also the gradients of the weighted loss by states, wc and wm."""
+        size = self.wm.shape[2]
+        classes, place = np.divmod(target, size)
+        rows = np.arange(len(target))
+        of_class = _log_softmax(states @ self.wc[:-1] + self.wc[-1])
+        logp = of_class[rows, classes]
+        if weight is not None:
+            d = np.exp(of_class)
+            d[rows, classes] -= 1
+            d *= weight[:, None]
+            g_wc = np.concatenate([states.T @ d, d.sum(0)[None]])
+            d_states, g_wm = d @ self.wc[:-1].T, np.zeros_like(self.wm)
+        order = np.argsort(classes, kind="stable")
+        cuts = np.searchsorted(classes[order], np.arange(self.wc.shape[1] + 1))
+        for k in np.flatnonzero(np.diff(cuts)).tolist():
+            own, w = order[cuts[k] : cuts[k + 1]], self._class_members(k)
+            x, at = states[own], place[own]
+            inside = _log_softmax(x @ w[:-1] + w[-1])
+            logp[own] += inside[rows[: len(own)], at]
+            if weight is not None:
+                d = np.exp(inside)
+                d[rows[: len(own)], at] -= 1
+                d *= weight[own, None]
+                g_wm[k, :-1, : w.shape[1]], g_wm[k, -1, : w.shape[1]] = x.T @ d, d.sum(0)
+                d_states[own] += d @ w[:-1].T
+        return (logp, d_states, g_wc, g_wm) if weight is not None else logp
 
     def window(self, before: np.ndarray, target: np.ndarray, h: np.ndarray, inside: np.ndarray | None = None):
         """Loss, gradients and last state of one window (steps x lanes); ``inside`` marks tokens."""
@@ -162,15 +223,10 @@ class Gru:
             h, kept = self.step(table[before[t]], h)
             saved.append(kept)
             states[t] = h
-        logp = self.log_classes(states)
-        i, j = np.indices(target.shape)
-        loss = -(logp[i, j, target] * weight).sum()
-        d = np.exp(logp)
-        d[i, j, target] -= 1
-        d *= weight[:, :, None]
-        flat = d.reshape(-1, d.shape[-1])
-        g_wo = np.concatenate([states.reshape(-1, HIDDEN).T @ flat, flat.sum(0)[None]])
-        d_states = d @ self.wo[:-1].T
+        flat, weights = states.reshape(-1, HIDDEN), weight.ravel()
+        logp, d_states, g_wc, g_wm = self.output(flat, target.ravel(), weights)
+        loss = -(logp * weights).sum()
+        d_states = d_states.reshape(states.shape)
         g_wh, d_given = np.zeros_like(self.wh), np.empty((steps, lanes, 3 * HIDDEN), h.dtype)
         dh = np.zeros((lanes, HIDDEN), h.dtype)
         for t in range(steps - 1, -1, -1):
@@ -189,7 +245,7 @@ class Gru:
         seen, first = np.unique(before.ravel()[order], return_index=True)
         per_class[seen] = np.add.reduceat(flat[order], first)
         g_wx = np.concatenate([self.embed.T @ per_class, flat.sum(0)[None]])
-        return loss, (per_class @ self.wx[:-1].T, g_wx, g_wh, g_wo), h
+        return loss, (per_class @ self.wx[:-1].T, g_wx, g_wh, g_wc, g_wm), h
 
 
 class Fitting:
@@ -228,13 +284,18 @@ class Fitting:
 
 
 def packed(model: Gru) -> np.ndarray:
-    return np.concatenate([p.ravel() for p in (model.embed, model.wx, model.wh, model.wo)])
+    return np.concatenate([p.ravel() for p in model.parameters])
 
 
-def unpacked(flat: np.ndarray, classes: int) -> Gru:
+def unpacked(flat: np.ndarray, outcomes: int) -> Gru:
     """The network whose parameters are views of ``flat``."""
-    shapes = [(classes + 1, EMBED), (EMBED + 1, 3 * HIDDEN), (HIDDEN, 3 * HIDDEN), (HIDDEN + 1, classes)]
-    ends = np.cumsum([a * b for a, b in shapes])
+    size = members(outcomes)
+    classes = -(-outcomes // size)
+    shapes = [
+        (outcomes + 1, EMBED), (EMBED + 1, 3 * HIDDEN), (HIDDEN, 3 * HIDDEN), (HIDDEN + 1, classes),
+        (classes, HIDDEN + 1, size),
+    ]
+    ends = np.cumsum([math.prod(shape) for shape in shapes])
     return Gru(*(p.reshape(shape) for p, shape in zip(np.split(flat, ends[:-1]), shapes, strict=True)))
 
 
@@ -268,14 +329,12 @@ def fit_gru(sequences: DataFrame, tokens: int, totals: np.ndarray) -> Gru:
     """
     classes, context = len(totals), sequences.sparkSession.sparkContext
     flat = packed(Gru.new(classes, (totals + 0.5) / (totals + 0.5).sum()))
-    whole = tokens <= SMALL
-    rounds = REPEATS if whole else ROUNDS
-    tasks = max(1, tokens // ((1 if whole else rounds) * TASK_TOKENS))
-    for i in range(rounds):
-        some = sequences if whole else sequences.where(F.pmod(F.xxhash64("uid"), F.lit(rounds)) == i)
+    tasks = max(1, tokens // (ROUNDS * TASK_TOKENS))
+    for i in range(ROUNDS):
+        some = sequences.where(F.pmod(F.xxhash64("uid"), F.lit(ROUNDS)) == i)
         given = context.broadcast(flat)
-        learned = some.select("classes").coalesce(1 if whole else tasks).mapInArrow(
-            _learned(given, classes, RATE * (1 - 0.9 * i / rounds)), "place int, x double"
+        learned = some.select("classes").coalesce(tasks).mapInArrow(
+            _learned(given, classes, RATE * (1 - 0.9 * i / ROUNDS)), "place int, x double"
         )
         sums = np.zeros(len(flat) + 1)
         for place, x in learned.groupBy("place").agg(F.sum("x")).collect():
@@ -290,7 +349,7 @@ def class_scores(model: Gru, documents: list[np.ndarray]) -> np.ndarray:
     """Natural-log likelihood of each document's classes, its state carried to its end."""
     out = np.zeros(len(documents))
     table, classes = model.inputs().astype(np.float32), len(model.embed) - 1
-    small = Gru(*(p.astype(np.float32) for p in (model.embed, model.wx, model.wh, model.wo)))
+    small = Gru(*(p.astype(np.float32) for p in model.parameters))
     order = np.argsort([-len(d) for d in documents], kind="stable")
     for first in range(0, len(order), LANES):
         some = order[first : first + LANES]
@@ -310,7 +369,7 @@ def class_scores(model: Gru, documents: list[np.ndarray]) -> np.ndarray:
             for t in range(steps):
                 h, _ = small.step(table[before[t]], h)
                 states[t] = h
-            logp = np.take_along_axis(small.log_classes(states), target[:, :, None], 2)[:, :, 0]
+            logp = small.output(states.reshape(-1, HIDDEN), target.ravel()).reshape(steps, live)
             out[some[:live]] += np.where(inside, logp, 0).sum(0, dtype=np.float64)
             last = target[-1]
     return out

@@ -123,7 +123,7 @@ def test_gru_gradients():
     before, target = rng.integers(0, 8, (5, 3)), rng.integers(0, 7, (5, 3))
     h = rng.normal(size=(3, recurrent_lm.HIDDEN))
     _, grads, _ = model.window(before, target, h)
-    for p, g in zip((model.embed, model.wx, model.wh, model.wo), grads, strict=True):
+    for p, g in zip(model.parameters, grads, strict=True):
         at = np.unravel_index(np.abs(g).argmax(), g.shape)
         p[at] += 1e-5
         up = model.window(before, target, h)[0]
@@ -142,11 +142,68 @@ def test_state_is_carried_across_windows():
         h, last, total = np.zeros((1, recurrent_lm.HIDDEN)), 9, 0.0
         for c in doc:
             h, _ = model.step(table[[last]], h)
-            total += model.log_classes(h)[0, c]
+            total += model.log_outcomes(h)[0, c]
             last = c
         assert math.isclose(got, total, rel_tol=1e-4)
 
 
+@pytest.mark.parametrize("outcomes", [1, 2, 7, 9, 177])
+def test_two_softmaxes_make_one_distribution(outcomes):
+    rng = np.random.default_rng(outcomes)
+    model = recurrent_lm.Gru.new(outcomes, rng.random(outcomes) + 0.1)
+    states = rng.normal(size=(outcomes * 3, recurrent_lm.HIDDEN))
+    whole = model.log_outcomes(states)
+    assert whole.shape == (len(states), outcomes) and np.allclose(np.exp(whole).sum(1), 1)
+    target = np.arange(len(states)) % outcomes
+    assert np.allclose(model.output(states, target), whole[np.arange(len(states)), target])
+    again = recurrent_lm.unpacked(recurrent_lm.packed(model), outcomes)
+    assert np.allclose(again.log_outcomes(states), whole)
+
+
+def test_a_documents_score_by_hand(spark, monkeypatch):
+    """One held-out document's score, from counts and a plain forward pass of the fitted network."""
+    kept = {}
+    fit, vocabulary = recurrent_lm.fit_gru, recurrent_lm._vocabulary
+    monkeypatch.setattr(recurrent_lm, "fit_gru", lambda *a: kept.setdefault("model", fit(*a)))
+    monkeypatch.setattr(recurrent_lm, "_vocabulary", lambda *a: kept.setdefault("words", vocabulary(*a)))
+    rows = [(i, f"the cat {'sat' if i % 3 else 'ran'} on x{i} v{i % 150}ed mats{i % 7}ing") for i in range(700)]
+    held = next(i for i, _ in rows if zlib.crc32(str(i).encode()) % 5 == 1)
+    rows[held] = (held, "The cat sat on neverseen x3 mats2ing ran " + " ".join(f"v{i}ed" for i in range(0, 150, 9)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = next(r.score for r in recurrent_lm.score_documents(frame).collect() if r.doc_id == held)
+    model, words = kept["model"], kept["words"]
+    train = Counter(w for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1 for w in [*t.lower().split(), None])
+    (hashes, endings), = recurrent_lm.word_hashes([rows[held][1].encode()])
+    cls, _ = words.look_up(np.append(hashes, recurrent_lm.END), np.append(endings, 0))
+    every = {w: recurrent_lm.word_hashes([w.encode()]) for w in train if w}
+    of = {None: words.look_up(np.array([recurrent_lm.END]), np.array([0]))[0][0]}
+    of |= {w: words.look_up(*next(iter(x)))[0][0] for w, x in every.items()}
+    last = recurrent_lm.OWN + recurrent_lm.ENDINGS
+    sums = Counter()
+    for w, n in train.items():
+        sums[of[w]] += n
+    rare = [w for w in train if of[w] == last]
+    total, h, before = 0.0, np.zeros((1, recurrent_lm.HIDDEN)), len(model.embed) - 1
+    for word, c in zip([*rows[held][1].lower().split(), None], cls.tolist(), strict=True):
+        x = model.embed[before] @ model.wx[:-1] + model.wx[-1]
+        s, H = h[0] @ model.wh, recurrent_lm.HIDDEN
+        r, z = (1 / (1 + np.exp(-(x[k * H : (k + 1) * H] + s[k * H : (k + 1) * H]))) for k in range(2))
+        n = np.tanh(x[2 * H :] + r * s[2 * H :])
+        h, before = ((1 - z) * n + z * h[0])[None], c
+        size = model.wm.shape[2]
+        first = h[0] @ model.wc[:-1] + model.wc[-1]
+        second = (h[0] @ model.wm[c // size, :-1] + model.wm[c // size, -1])[: len(model.embed) - 1 - c // size * size]
+        p = np.exp(first[c // size]) / np.exp(first).sum() * np.exp(second[c % size]) / np.exp(second).sum()
+        if c != last:
+            share = train[word] / sums[c]
+        elif word in train:
+            share = (train[word] - words.discount) / sums[last]
+        else:
+            share = words.discount * len(rare) / sums[last]
+        total += math.log10(p) + math.log10(share)
+    assert math.isclose(got, total, rel_tol=1e-4)
+
+
 def test_network_learns_from_all_documents(spark):
     """One very long text that comes first is not the whole training set."""
     rows = [(2, "a b " * 350_000), *((i, "c d e f g " * 100) for i in range(10, 1510))]
