@@ -17,7 +17,12 @@ _TEXT, _ROW = "_cabmill_scored_text", "_cabmill_row"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model, fitted on these and their labels, does not reject."""
+    """Documents that the toxicity model, fitted on these and their labels, does not reject.
+
+    A null text is scored as an empty one; rows are judged one by one, so repeated rows, and rows
+    without an id, stay or go by their own text. Without labels of both classes all stay. Other
+    columns pass unchanged, whatever their names.
+    """
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
     scored = toxicity.score_texts(docs.withColumn(_TEXT, F.col("text")), model, _TEXT)
     return scored.where("predicted = 0").select(*docs.columns)
@@ -54,7 +59,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def blank_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with a mark in place of every secret, and n_chars of the new text."""
+    """All documents, with a mark in place of every secret, and n_chars of the new text.
+
+    A null text stays null, and n_chars changes only with the text. Rows are told apart by their
+    texts alone, so ids may be null or repeated. Other columns pass unchanged.
+    """
     with Work(spark, "blank") as work:
         found = secret_scan.blob_findings(work, docs.select("text"), work.path(keep=True))
     spans = found.where(F.size("spans") > 0).select(
