@@ -17,6 +17,7 @@ words are joined to the documents' rare words, and nothing but sums returns to a
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -34,8 +35,10 @@ from cabmill.llm.shingles import word_hashes
 TABLE, LEAST = 1_000_000, 3
 #: Words that are an outcome of their own, and outcomes for word endings.
 OWN, ENDINGS = 128, 48
-#: Size of the state and of an outcome's vector; steps of a window; documents read side by side.
-HIDDEN, EMBED, WINDOW, LANES = 32, 24, 16, 512
+#: Size of the state and of an outcome's vector; steps of a window.
+HIDDEN, EMBED, WINDOW = 32, 24, 16
+#: Steps of a window while scoring, and most lanes of documents read side by side.
+SCORE_WINDOW, LANES = 64, 512
 #: Rounds of one pass over the training documents, and a round's tokens per task (at least, where
 #: the corpus has them).
 ROUNDS, TASK_TOKENS = 8, 200_000
@@ -114,13 +117,36 @@ class Vocabulary:
         return np.log10((count + 0.5) / (self.tokens + 0.5 * (self.words + 1)))
 
 
-def _sigmoid(x):
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+def _log_softmax(logits: np.ndarray, axis: int = -1) -> np.ndarray:
+    logits = logits - logits.max(axis, keepdims=True)
+    return logits - np.log(np.exp(logits).sum(axis, keepdims=True))
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits = logits - logits.max(-1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(-1, keepdims=True))
+def _advanced(given: np.ndarray, h: np.ndarray, wh: np.ndarray):
+    """The states after a step, a column for each lane, and what their gradients need."""
+    s = wh.T @ h
+    gates = s[: 2 * HIDDEN] + given[: 2 * HIDDEN]
+    gates *= 0.5  # the logistic function is (1 + tanh(x / 2)) / 2
+    np.tanh(gates, out=gates)
+    gates *= 0.5
+    gates += 0.5
+    r, z = gates[:HIDDEN], gates[HIDDEN:]
+    n = r * s[2 * HIDDEN :]
+    n += given[2 * HIDDEN :]
+    np.tanh(n, out=n)
+    new = h - n
+    new *= z
+    new += n
+    return new, (s[2 * HIDDEN :], r, z, n)
+
+
+def _by_value(numbers: np.ndarray, below: int) -> np.ndarray:
+    """A stable order of small whole numbers."""
+    return np.argsort(numbers.astype(np.min_scalar_type(below)), kind="stable")
+
+
+def _columns(x: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return np.take(x, places, axis=1, mode="clip")  # all lie inside; the check costs more than the copy
 
 
 def members(outcomes: int) -> int:
@@ -165,11 +191,21 @@ class Gru:
         return self.embed @ self.wx[:-1] + self.wx[-1]
 
     def step(self, given: np.ndarray, h: np.ndarray):
-        s = h @ self.wh
-        rz = _sigmoid(given[:, : 2 * HIDDEN] + s[:, : 2 * HIDDEN])
-        r, z = rz[:, :HIDDEN], rz[:, HIDDEN:]
-        n = np.tanh(given[:, 2 * HIDDEN :] + r * s[:, 2 * HIDDEN :])
-        return (1 - z) * n + z * h, (h, s, r, z, n)
+        """One step of lanes that are rows."""
+        h, kept = _advanced(given.T, h.T, self.wh)
+        return h.T, kept
+
+    def run(self, before: np.ndarray, h: np.ndarray, alive: np.ndarray | None = None):
+        """States (size x steps x lanes) of a window, the last one, and what each step keeps for
+        the gradients. ``alive`` is 0 where a lane's state begins anew."""
+        steps, lanes = before.shape
+        given = _columns(np.ascontiguousarray(self.inputs().T), before)
+        states, saved = np.empty((HIDDEN, steps, lanes), h.dtype), []
+        for t in range(steps):
+            h, kept = _advanced(given[:, t], h if alive is None else h * alive[t], self.wh)
+            states[:, t] = h
+            saved.append(kept)
+        return states, h, saved
 
     def _class_members(self, k: int) -> np.ndarray:
         """Weights of the outcomes of a class; the last class may have fewer."""
@@ -188,64 +224,74 @@ class Gru:
     def output(self, states: np.ndarray, target: np.ndarray, weight: np.ndarray | None = None):
         """Log-probability of each state's target: only the members of the target's class are
         looked at. With weights, also the gradients of the weighted loss by states, wc and wm."""
-        size = self.wm.shape[2]
+        x, size = states.T, self.wm.shape[2]
         classes, place = np.divmod(target, size)
         rows = np.arange(len(target))
-        of_class = _log_softmax(states @ self.wc[:-1] + self.wc[-1])
-        logp = of_class[rows, classes]
+        of_class = _log_softmax(self.wc[:-1].T @ x + self.wc[-1][:, None], 0)
+        logp = of_class[classes, rows]
+        order = _by_value(classes, self.wc.shape[1])
+        cuts = np.append(0, np.cumsum(np.bincount(classes, minlength=self.wc.shape[1])))
+        sorted_x, sorted_place, within = _columns(x, order), place[order], np.empty_like(logp)
         if weight is not None:
             d = np.exp(of_class)
-            d[rows, classes] -= 1
-            d *= weight[:, None]
-            g_wc = np.concatenate([states.T @ d, d.sum(0)[None]])
-            d_states, g_wm = d @ self.wc[:-1].T, np.zeros_like(self.wm)
-        order = np.argsort(classes, kind="stable")
-        cuts = np.searchsorted(classes[order], np.arange(self.wc.shape[1] + 1))
+            d[classes, rows] -= 1
+            d *= weight
+            g_wc = np.concatenate([x @ d.T, d.sum(1)[None]])
+            d_x, g_wm = self.wc[:-1] @ d, np.zeros_like(self.wm)
+            sorted_weight, d_within = weight[order], np.empty_like(sorted_x)
         for k in np.flatnonzero(np.diff(cuts)).tolist():
-            own, w = order[cuts[k] : cuts[k + 1]], self._class_members(k)
-            x, at = states[own], place[own]
-            inside = _log_softmax(x @ w[:-1] + w[-1])
-            logp[own] += inside[rows[: len(own)], at]
+            own, w = slice(cuts[k], cuts[k + 1]), self._class_members(k)
+            at = sorted_place[own], rows[: cuts[k + 1] - cuts[k]]
+            inside = _log_softmax(w[:-1].T @ sorted_x[:, own] + w[-1][:, None], 0)
+            within[own] = inside[at]
             if weight is not None:
                 d = np.exp(inside)
-                d[rows[: len(own)], at] -= 1
-                d *= weight[own, None]
-                g_wm[k, :-1, : w.shape[1]], g_wm[k, -1, : w.shape[1]] = x.T @ d, d.sum(0)
-                d_states[own] += d @ w[:-1].T
-        return (logp, d_states, g_wc, g_wm) if weight is not None else logp
+                d[at] -= 1
+                d *= sorted_weight[own]
+                g_wm[k, :-1, : w.shape[1]], g_wm[k, -1, : w.shape[1]] = sorted_x[:, own] @ d.T, d.sum(1)
+                d_within[:, own] = w[:-1] @ d
+        logp[order] += within
+        if weight is None:
+            return logp
+        back = np.empty_like(order)
+        back[order] = rows
+        d_x += _columns(d_within, back)
+        return logp, d_x.T, g_wc, g_wm
 
     def window(self, before: np.ndarray, target: np.ndarray, h: np.ndarray, inside: np.ndarray | None = None):
         """Loss, gradients and last state of one window (steps x lanes); ``inside`` marks tokens."""
         steps, lanes = before.shape
-        table, saved, states = self.inputs(), [], np.empty((steps, lanes, HIDDEN), h.dtype)
         weight = np.full(target.shape, 1 / target.size, h.dtype) if inside is None else inside.astype(h.dtype) / inside.sum()
-        for t in range(steps):
-            h, kept = self.step(table[before[t]], h)
-            saved.append(kept)
-            states[t] = h
-        flat, weights = states.reshape(-1, HIDDEN), weight.ravel()
-        logp, d_states, g_wc, g_wm = self.output(flat, target.ravel(), weights)
+        states, last, saved = self.run(before, h.T)
+        weights = weight.ravel()
+        logp, d_states, g_wc, g_wm = self.output(states.reshape(HIDDEN, -1).T, target.ravel(), weights)
         loss = -(logp * weights).sum()
-        d_states = d_states.reshape(states.shape)
-        g_wh, d_given = np.zeros_like(self.wh), np.empty((steps, lanes, 3 * HIDDEN), h.dtype)
-        dh = np.zeros((lanes, HIDDEN), h.dtype)
+        d_states = d_states.T.reshape(states.shape)
+        old = np.concatenate([h.T[:, None], states[:, :-1]], 1)
+        s, r, z, n = (np.stack(x, 1) for x in zip(*saved, strict=True))
+        # What a change of the new state does to the three sums of a step, but for its own factor.
+        of_n = (1 - z) * (1 - n * n)
+        of_z, of_r = (old - n) * z * (1 - z), s * r * (1 - r)
+        d_sums, d_n = np.empty((3 * HIDDEN, steps, lanes), h.dtype), np.empty_like(states)
+        dh = np.zeros((HIDDEN, lanes), h.dtype)
         for t in range(steps - 1, -1, -1):
-            old, s, r, z, n = saved[t]
-            dh = dh + d_states[t]
-            dn = dh * (1 - z) * (1 - n**2)
-            dz = dh * (old - n) * z * (1 - z)
-            dr = dn * s[:, 2 * HIDDEN :] * r * (1 - r)
-            d_given[t] = np.concatenate([dr, dz, dn], 1)
-            ds = np.concatenate([dr, dz, dn * r], 1)
-            g_wh += old.T @ ds
-            dh = dh * z + ds @ self.wh.T
-        flat = d_given.reshape(-1, 3 * HIDDEN)
+            dh += d_states[:, t]
+            d, dn = d_sums[:, t], np.multiply(dh, of_n[:, t], out=d_n[:, t])
+            np.multiply(dn, of_r[:, t], out=d[:HIDDEN])
+            np.multiply(dh, of_z[:, t], out=d[HIDDEN : 2 * HIDDEN])
+            np.multiply(dn, r[:, t], out=d[2 * HIDDEN :])
+            dh *= z[:, t]
+            dh += self.wh @ d
+        flat = d_sums.reshape(3 * HIDDEN, -1)
+        g_wh = old.reshape(HIDDEN, -1) @ flat.T
+        d_sums[2 * HIDDEN :] = d_n  # the reset gate touches only what comes from the state
         per_class = np.zeros((len(self.embed), 3 * HIDDEN), h.dtype)
-        order = np.argsort(before.ravel(), kind="stable")
-        seen, first = np.unique(before.ravel()[order], return_index=True)
-        per_class[seen] = np.add.reduceat(flat[order], first)
-        g_wx = np.concatenate([self.embed.T @ per_class, flat.sum(0)[None]])
-        return loss, (per_class @ self.wx[:-1].T, g_wx, g_wh, g_wc, g_wm), h
+        times = np.bincount(before.ravel(), minlength=len(self.embed))
+        seen = np.flatnonzero(times)
+        by_outcome = _columns(flat, _by_value(before.ravel(), len(self.embed)))
+        per_class[seen] = np.add.reduceat(by_outcome, (np.cumsum(times) - times)[seen], axis=1).T
+        g_wx = np.concatenate([self.embed.T @ per_class, flat.sum(1)[None]])
+        return loss, (per_class @ self.wx[:-1].T, g_wx, g_wh, g_wc, g_wm), last.T
 
 
 class Fitting:
@@ -346,32 +392,36 @@ def fit_gru(sequences: DataFrame, tokens: int, totals: np.ndarray) -> Gru:
 
 
 def class_scores(model: Gru, documents: list[np.ndarray]) -> np.ndarray:
-    """Natural-log likelihood of each document's classes, its state carried to its end."""
-    out = np.zeros(len(documents))
-    table, classes = model.inputs().astype(np.float32), len(model.embed) - 1
+    """Natural-log likelihood of each document's classes, its state carried to its end.
+
+    Documents follow each other in lanes of about equal length, the longest first; the state
+    begins anew with each.
+    """
+    out, classes = np.zeros(len(documents)), len(model.embed) - 1
+    sizes = np.array([len(d) for d in documents], np.int64)
+    if not sizes.any():
+        return out
+    lanes = int(np.clip(sizes.sum() // sizes.max(), 1, LANES))
+    free, place = [(0, lane) for lane in range(lanes)], []
+    for i in np.argsort(-sizes, kind="stable").tolist():
+        at, lane = free[0]
+        heapq.heapreplace(free, (at + int(sizes[i]), lane))
+        place.append((i, lane, at, at + int(sizes[i])))
+    length = max(end for end, _ in free)
+    target, before = np.zeros((lanes, length), np.uint8), np.full((lanes, length), classes, np.uint8)
+    for i, lane, at, end in place:
+        target[lane, at:end] = documents[i]
+        before[lane, at + 1 : end] = documents[i][:-1]
+    target, before, logp = target.T, before.T, np.empty((lanes, length), np.float32)
     small = Gru(*(p.astype(np.float32) for p in model.parameters))
-    order = np.argsort([-len(d) for d in documents], kind="stable")
-    for first in range(0, len(order), LANES):
-        some = order[first : first + LANES]
-        lengths = np.array([len(documents[i]) for i in some])
-        h = np.zeros((len(some), HIDDEN), np.float32)
-        last = np.full(len(some), classes)
-        for at in range(0, int(lengths[0]), WINDOW):
-            live = int((lengths > at).sum())
-            steps = min(WINDOW, int(lengths[0]) - at)
-            target = np.zeros((steps, live), np.int64)
-            inside = np.zeros((steps, live), bool)
-            for j in range(live):
-                part = documents[some[j]][at : at + steps]
-                target[: len(part), j], inside[: len(part), j] = part, True
-            h, states = h[:live], np.empty((steps, live, HIDDEN), np.float32)
-            before = np.concatenate([last[None, :live], target[:-1]])
-            for t in range(steps):
-                h, _ = small.step(table[before[t]], h)
-                states[t] = h
-            logp = small.output(states.reshape(-1, HIDDEN), target.ravel()).reshape(steps, live)
-            out[some[:live]] += np.where(inside, logp, 0).sum(0, dtype=np.float64)
-            last = target[-1]
+    h = np.zeros((HIDDEN, lanes), np.float32)
+    for at in range(0, length, SCORE_WINDOW):
+        cut = slice(at, at + SCORE_WINDOW)
+        states, h, _ = small.run(before[cut], h, (before[cut] != classes).astype(np.float32))
+        of_target = small.output(states.reshape(HIDDEN, -1).T, target[cut].ravel())
+        logp[:, cut] = of_target.reshape(-1, lanes).T
+    for i, lane, at, end in place:
+        out[i] = logp[lane, at:end].sum(dtype=np.float64)
     return out
 
 
@@ -412,13 +462,23 @@ def _encoded(vocabulary, totals):
 
 
 def _likelihoods(model):
+    def scored(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        sequences = [np.frombuffer(c.as_buffer(), np.uint8) for batch in held for c in batch.column(1)]
+        score = class_scores(model.value, sequences) / math.log(10)
+        uid = pa.concat_arrays([batch.column(0) for batch in held])
+        return pa.RecordBatch.from_arrays([uid, pa.array(score)], ["uid", "score"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 4 * LANES):
-                part = batch.slice(at, 4 * LANES)
-                sequences = [np.frombuffer(c.as_buffer(), np.uint8) for c in part.column(1)]
-                score = class_scores(model.value, sequences) / math.log(10)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(score)], ["uid", "score"])
+            for at in range(0, batch.num_rows, LANES):
+                held.append(batch.slice(at, LANES))
+                size += sum(len(c.as_buffer()) for c in held[-1].column(1))
+                if size >= BATCH_TOKENS:
+                    yield scored(held)
+                    held, size = [], 0
+        if held:
+            yield scored(held)
 
     return run
 
