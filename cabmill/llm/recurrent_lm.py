@@ -45,6 +45,7 @@ ROUNDS, TASK_TOKENS = 8, 200_000
 #: Tokens of whole documents that a task lays out in lanes at a time, and its lanes.
 BATCH_TOKENS, FIT_LANES, RATE = 2_000_000, 128, 0.015
 _CHUNK = 4_000_000  # words counted at a time in a task
+_TOGETHER = 250_000  # tokens looked up at a time
 END = np.int64(-1)  # in place of a word's hash: the end of a document
 
 
@@ -87,12 +88,16 @@ class Vocabulary:
     rare_words: int
     discount: float
     own: np.ndarray = field(init=False)  # places in the table, most frequent first
+    slots: np.ndarray = field(init=False)  # place of the most frequent word with these last bits
 
     def __post_init__(self):
         order = np.lexsort((self.hashes, -self.counts))
         self.own = order[:OWN]
         self._own_class = np.full(len(self.hashes), -1, np.int32)
         self._own_class[self.own] = np.arange(len(self.own))
+        self.slots = np.zeros(1 << (2 * len(self.hashes)).bit_length(), np.int32)
+        # From the rarest on, so that the most frequent word is the last to take its slot.
+        self.slots[self.hashes[order[::-1]] & (len(self.slots) - 1)] = order[::-1]
 
     def totals(self) -> np.ndarray:
         """Training tokens of each class."""
@@ -107,8 +112,11 @@ class Vocabulary:
         """Class and count of every word; the count of one beyond the table is -1."""
         if not len(self.hashes):
             return np.full(len(hashes), OWN + ENDINGS), np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        at = self.slots[hashes & (len(self.slots) - 1)]
         known = self.hashes[at] == hashes
+        others = np.flatnonzero(~known)
+        at[others] = np.minimum(np.searchsorted(self.hashes, hashes[others]), len(self.hashes) - 1)
+        known[others] = self.hashes[at[others]] == hashes[others]
         own = self._own_class[at]
         cls = np.where(own >= 0, own, OWN + endings % ENDINGS)
         return np.where(known, cls, OWN + ENDINGS), np.where(known, self.counts[at], -1)
@@ -117,9 +125,19 @@ class Vocabulary:
         return np.log10((count + 0.5) / (self.tokens + 0.5 * (self.words + 1)))
 
 
-def _log_softmax(logits: np.ndarray, axis: int = -1) -> np.ndarray:
-    logits = logits - logits.max(axis, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(axis, keepdims=True))
+def _log_softmax(logits: np.ndarray) -> np.ndarray:
+    logits = logits - logits.max(-1, keepdims=True)
+    return logits - np.log(np.exp(logits).sum(-1, keepdims=True))
+
+
+def _softmax_at(logits: np.ndarray, at: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Log-probability of one row of each column, and the probabilities of all, in place."""
+    logits -= logits.max(0)
+    chosen_logits = logits[at]
+    np.exp(logits, out=logits)
+    total = logits.sum(0)
+    logits /= total
+    return chosen_logits - np.log(total), logits
 
 
 def _advanced(given: np.ndarray, h: np.ndarray, wh: np.ndarray):
@@ -227,13 +245,11 @@ class Gru:
         x, size = states.T, self.wm.shape[2]
         classes, place = np.divmod(target, size)
         rows = np.arange(len(target))
-        of_class = _log_softmax(self.wc[:-1].T @ x + self.wc[-1][:, None], 0)
-        logp = of_class[classes, rows]
+        logp, d = _softmax_at(self.wc[:-1].T @ x + self.wc[-1][:, None], (classes, rows))
         order = _by_value(classes, self.wc.shape[1])
         cuts = np.append(0, np.cumsum(np.bincount(classes, minlength=self.wc.shape[1])))
         sorted_x, sorted_place, within = _columns(x, order), place[order], np.empty_like(logp)
         if weight is not None:
-            d = np.exp(of_class)
             d[classes, rows] -= 1
             d *= weight
             g_wc = np.concatenate([x @ d.T, d.sum(1)[None]])
@@ -242,10 +258,8 @@ class Gru:
         for k in np.flatnonzero(np.diff(cuts)).tolist():
             own, w = slice(cuts[k], cuts[k + 1]), self._class_members(k)
             at = sorted_place[own], rows[: cuts[k + 1] - cuts[k]]
-            inside = _log_softmax(w[:-1].T @ sorted_x[:, own] + w[-1][:, None], 0)
-            within[own] = inside[at]
+            within[own], d = _softmax_at(w[:-1].T @ sorted_x[:, own] + w[-1][:, None], at)
             if weight is not None:
-                d = np.exp(inside)
                 d[at] -= 1
                 d *= sorted_weight[own]
                 g_wm[k, :-1, : w.shape[1]], g_wm[k, -1, : w.shape[1]] = sorted_x[:, own] @ d.T, d.sum(1)
@@ -431,32 +445,46 @@ def _encoded(vocabulary, totals):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, of_class = vocabulary.value, totals.value
-        uid = TaskContext.get().partitionId() << 40
         log_total = np.log10(np.maximum(of_class, 1))
+        uid = TaskContext.get().partitionId() << 40
+
+        def rows(ids: pa.RecordBatch, words: list[np.ndarray], endings: list[np.ndarray]) -> pa.RecordBatch:
+            sizes = np.array([len(w) for w in words[::2]], np.int64) + 1  # the end too
+            starts = np.cumsum(sizes) - sizes
+            words = np.concatenate(words)
+            cls, count = known.look_up(words, np.concatenate(endings))
+            table = count > 0
+            total = lambda of: np.add.reduceat(np.where(table, of, 0), starts)
+            # Rare words: once per document, by document and hash.
+            doc, rare = np.repeat(np.arange(len(sizes)), sizes)[~table], words[~table]
+            order = np.lexsort((rare, doc))
+            doc, rare = doc[order], rare[order]
+            first = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (rare[1:] != rare[:-1]))[: len(doc)])
+            times = np.diff(np.append(first, len(doc)))
+            cuts = pa.array(np.searchsorted(doc[first], np.arange(len(sizes) + 1)).astype(np.int32))
+            classes = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), len(sizes),
+                [None, pa.py_buffer(np.append(0, np.cumsum(sizes))), pa.py_buffer(cls.astype(np.uint8))],
+            )
+            return pa.RecordBatch.from_arrays(
+                [pa.array(uid + np.arange(len(sizes))), ids.column(0), ids.column(1), pa.array(sizes),
+                 pa.array(total(1)), pa.array(total(known.base(np.maximum(count, 0)))),
+                 pa.array(total(np.log10(np.maximum(count, 1)) - log_total[cls])),
+                 pa.ListArray.from_arrays(cuts, pa.array(rare[first])),
+                 pa.ListArray.from_arrays(cuts, pa.array(times)), classes.cast(pa.binary())],
+                ["uid", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare", "times", "classes"],
+            )
+
         for batch in batches:
-            for at in range(0, batch.num_rows, 4 * LANES):
-                part = batch.slice(at, 4 * LANES)
-                sequences, rows = [], []
-                for hashes, endings in word_hashes(_texts(part.column(2))):
-                    cls, count = known.look_up(np.append(hashes, END), np.append(endings, 0))
-                    sequences.append(cls.astype(np.uint8).tobytes())
-                    table = count > 0
-                    rare, times = np.unique(np.append(hashes, END)[~table], return_counts=True)
-                    within = np.log10(count[table]) - log_total[cls[table]]
-                    rows.append((
-                        uid, len(cls), int(table.sum()), float(known.base(count[table]).sum()),
-                        float(within.sum()), rare.tolist(), times.tolist(),
-                    ))
-                    uid += 1
-                columns = list(zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[0], pa.int64()), part.column(0), part.column(1),
-                     pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.float64()),
-                     pa.array(columns[4], pa.float64()),
-                     pa.array(columns[5], pa.list_(pa.int64())), pa.array(columns[6], pa.list_(pa.int64())),
-                     pa.array(sequences, pa.binary())],
-                    ["uid", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare", "times", "classes"],
-                )
+            at, words, endings, size = 0, [], [], 0
+            for i, (hashes, ending) in enumerate(word_hashes(_texts(batch.column(2))), 1):
+                words += [hashes, [END]]
+                endings += [ending, [0]]
+                size += len(hashes) + 1
+                if size >= _TOGETHER or i == batch.num_rows:
+                    yield rows(batch.slice(at, i - at), words, endings)
+                    uid += i - at
+                    at, words, endings, size = i, [], [], 0
 
     return run
 

@@ -354,3 +354,18 @@ def test_given_pages(spark, sf_dir):
         article = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
         wrong += " ".join(b.text for b in blocks(article)) != got[r.page_id]
     assert wrong <= 0.02 * len(got)
+
+
+def test_words_are_found_by_slot_or_by_search():
+    rng = np.random.default_rng(8)
+    # Most words share their last bits, so that only one of them has the slot.
+    hashes = np.unique(np.concatenate([rng.integers(0, 1 << 40, 60) << 20, rng.integers(0, 1 << 60, 60), [-1]]))
+    counts, endings = rng.integers(3, 99, len(hashes)), rng.integers(0, 900, len(hashes))
+    v = recurrent_lm.Vocabulary(hashes, counts, endings, 9_999, 500, 99, 40, 0.5)
+    asked = rng.permutation(np.concatenate([hashes, hashes, rng.integers(0, 1 << 60, 50), [5, 1 << 20]]))
+    of = dict(zip(hashes.tolist(), counts.tolist(), strict=True))
+    cls, got = v.look_up(asked, np.zeros(len(asked), np.int64))
+    assert got.tolist() == [of.get(w, -1) for w in asked.tolist()]
+    last = recurrent_lm.OWN + recurrent_lm.ENDINGS
+    assert [c == last for c in cls.tolist()] == [w not in of for w in asked.tolist()]
+    assert recurrent_lm.class_scores(recurrent_lm.Gru.new(7, np.full(7, 1 / 7)), []).tolist() == []
