@@ -204,3 +204,16 @@ def test_on_curve(spark):
     for r in table.selectExpr("*", f"{place} AS place").collect():
         steps = [0 if v is None or v != v else int(max(0, min(3, v))) for v in (r.x, r.y)]
         assert r.place == sum((s >> b & 1) << (2 * b + i) for i, s in enumerate(steps) for b in range(2))
+
+
+def test_derived_trips_become_compilable_methods(spark, sf_dir, capsys):
+    """The JVM never compiles a method of over 8000 bytes, which the filter's copies of the derived
+    columns made of it."""
+    import re
+
+    from cabmill.registry import QUERIES
+
+    for name in ("cleaned_trip", "enriched_trip", "fact_trip"):
+        QUERIES[name](spark, sf_dir).explain("codegen")
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+        assert sizes and max(sizes) <= 8000, (name, sizes)
