@@ -13,7 +13,7 @@ from unicodedata import is_normalized
 
 #: Distinct words, and distinct letter runs, of a generation that a worker remembers; two
 #: generations are kept. Results do not depend on either.
-KEPT_WORDS, KEPT_RUNS = 100_000, 200_000
+KEPT_WORDS, KEPT_RUNS = 300_000, 300_000
 # What may follow the letters of a plain word: the tokenizer itself encodes the two apart.
 _MARKS = ".,;:!?-"
 

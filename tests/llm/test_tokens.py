@@ -51,6 +51,18 @@ def test_word_ids_equal_the_library(word_path, monkeypatch):
         assert np.frombuffer(packed, "<u4").tolist() == e.ids, hex(ord(c))
 
 
+def test_words_of_a_large_vocabulary_are_encoded_once(word_path, monkeypatch):
+    own, encoded = WordIds(word_path), []
+    encode = own._encode
+    monkeypatch.setattr(own, "_encode", lambda runs: (encoded.append(len(runs)), encode(runs)))
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = ["".join(letters[i // 26**k % 26] for k in range(4)) for i in range(250_000)]
+    batches = [{w.encode() for w in words[at : at + 10_000]} for at in range(0, len(words), 10_000)]
+    for batch in batches * 2:
+        own.learn(batch)
+    assert sum(encoded) == len(words) + 1  # and the empty rest of a word
+
+
 def test_packing_covers_every_id_once(spark, word_path):
     rows = [(i, t, "x") for i, t in enumerate(texts(120))] + [(None, "no id", "x"), (1000, None, "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, start string").repartition(3)
