@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -61,6 +61,23 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+_KEPT: dict[tuple, object] = {}
+
+
+def kept(key: tuple, make: Callable[[], object]) -> object:
+    """What a Python worker keeps between its tasks: one value at a time. It goes when a task asks for
+    another key, or when one that keeps nothing calls ``let_go``: workers outlive stages and jobs, and
+    each executor has several of them."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def let_go() -> None:
+    _KEPT.clear()
+
+
 def chosen(frame: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, each cast; further columns of the input, whatever their names,
     never meet the names an operator uses inside."""

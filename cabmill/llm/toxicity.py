@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabmill.llm.common import Work, chosen, crc_remainder, read, smallest_hashes
+from cabmill.llm.common import Work, chosen, crc_remainder, let_go, read, smallest_hashes
 
 #: Most labelled rows of each class that are learned from (those with the smallest hashes), and
 #: most entries of each lexicon.
@@ -28,6 +28,7 @@ THRESHOLD = 0.7
 STEM = 5
 #: Distinct words a worker remembers; results do not depend on it.
 _KEPT_WORDS = 200_000
+_ROWS = 256  # texts scored at a time
 
 # Second-person words of four languages; signs that stand for letters.
 SECOND_PERSON = frozenset(
@@ -225,6 +226,7 @@ class Model:
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(kind, word, toxic, n, docs): occurrences of words and stems by class, at most 5 a text."""
+    let_go()
     for batch in batches:
         found: dict[tuple[str, str, int], list[int]] = {}
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -332,28 +334,32 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model:
     return Model(features, trees, at, mean, base)
 
 
-def _scored(model):
+def _scored(model, at: int, keep: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         m = model.value
         for batch in batches:
-            texts, scores = batch.column(batch.num_columns - 1), []
-            for at in range(0, batch.num_rows, 256):
-                scores.append(m.score(texts.slice(at, 256).to_pylist()))
-            score = np.concatenate(scores) if scores else np.empty(0)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))],
-                [*batch.schema.names[:-1], "score", "predicted"],
-            )
+            # Results leave in small batches, so that a task holds its texts once.
+            for start in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(start, _ROWS)
+                score = m.score(part.column(at).to_pylist())
+                names = [n for i, n in enumerate(part.schema.names) if keep or i != at]
+                columns = [c for i, c in enumerate(part.columns) if keep or i != at]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))],
+                    [*names, "score", "predicted"],
+                )
+        pa.default_memory_pool().release_unused()
 
     return run
 
 
-def score_texts(frame: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The frame's other columns with score and predicted; ``text`` is read, and goes."""
-    kept = [c for c in frame.columns if c != text]
+def score_texts(frame: DataFrame, model: Model, text: str = "text", keep: bool = False) -> DataFrame:
+    """The frame's other columns with score and predicted; ``text`` is read, and goes unless kept."""
     sent = frame.sparkSession.sparkContext.broadcast(model)  # two lexicons and some trees
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in frame.schema if f.name in kept)
-    return frame.select(*kept, text).mapInArrow(_scored(sent), f"{fields}score double, predicted int")
+    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in frame.schema if keep or f.name != text)
+    run = _scored(sent, frame.columns.index(text), keep)
+    return frame.mapInArrow(run, f"{fields}score double, predicted int")
 
 
 def toxicity_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:

@@ -11,6 +11,8 @@ from array import array
 from collections.abc import Iterator
 from unicodedata import is_normalized
 
+from cabmill.llm.common import kept
+
 #: Distinct words, and distinct letter runs, of a generation that a worker remembers; two
 #: generations are kept. Results do not depend on either.
 KEPT_WORDS, KEPT_RUNS = 300_000, 300_000
@@ -120,11 +122,6 @@ class WordIds:
             yield b"".join(map(known, own))
 
 
-_KNOWN: dict[str, WordIds] = {}
-
-
 def word_ids(path: str) -> WordIds:
     """The worker's encoder for a vocabulary file; kept between tasks."""
-    if path not in _KNOWN:
-        _KNOWN[path] = WordIds(path)
-    return _KNOWN[path]
+    return kept(("word_bpe", path), lambda: WordIds(path))

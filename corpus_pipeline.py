@@ -13,7 +13,7 @@ from cabmill.llm.common import Work, read
 
 #: Ids that may be broadcast (8 bytes each); beyond, Spark picks the join.
 BROADCAST_ROWS = 1_000_000
-_TEXT, _ROW = "_cabmill_scored_text", "_cabmill_row"
+_ROW = "_cabmill_row"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +24,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     columns pass unchanged, whatever their names.
     """
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
-    scored = toxicity.score_texts(docs.withColumn(_TEXT, F.col("text")), model, _TEXT)
+    scored = toxicity.score_texts(docs, model, keep=True)
     return scored.where("predicted = 0").select(*docs.columns)
 
 

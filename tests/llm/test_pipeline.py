@@ -1,12 +1,15 @@
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from cabmill.llm import toxicity
+from cabmill.llm import common, toxicity
 from tests.llm.test_jaccard_join import brute_force
 from tests.llm.test_secret_scan import base_spans
 
@@ -78,3 +81,22 @@ def test_run_packs_what_is_left(spark, sf_dir):
             assert p.start == at and p.ids_crc32 == zlib.crc32(ids[at : at + p.length].tobytes())
             at += p.length
         assert at == len(ids)
+
+
+def test_toxicity_stage_holds_a_text_once(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    plan = corpus_pipeline.drop_toxic(spark, docs, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    sent = next(line for line in plan.splitlines() if "MapInArrow" in line)
+    assert sent.count("text#") == 2  # one in, one out
+
+    words = common.kept(("word_bpe", "x"), lambda: {"a": b"a"})
+    assert common.kept(("word_bpe", "x"), dict) is words
+    rows = docs.select("doc_id", "text").toPandas()
+    batch = pa.RecordBatch.from_pandas(pd.concat([rows] * 3, ignore_index=True), preserve_index=False)
+    out = list(toxicity._scored(SimpleNamespace(value=model), 1, True)(iter([batch, batch.slice(0, 0)])))
+    assert not common._KEPT
+    assert max(b.num_rows for b in out) <= 256 < batch.num_rows
+    whole = pa.Table.from_batches(out)
+    assert whole.select(["doc_id", "text"]).equals(pa.Table.from_batches([batch]))
+    assert np.array_equal(whole["score"].to_numpy(), model.score(batch.column(1).to_pylist()))
