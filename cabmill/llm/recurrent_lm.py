@@ -140,22 +140,29 @@ def _softmax_at(logits: np.ndarray, at: tuple[np.ndarray, np.ndarray]) -> tuple[
     return chosen_logits - np.log(total), logits
 
 
-def _advanced(given: np.ndarray, h: np.ndarray, wh: np.ndarray):
-    """The states after a step, a column for each lane, and what their gradients need."""
-    s = wh.T @ h
-    gates = s[: 2 * HIDDEN] + given[: 2 * HIDDEN]
-    gates *= 0.5  # the logistic function is (1 + tanh(x / 2)) / 2
+def _by_gate(weights: np.ndarray) -> np.ndarray:
+    """A matrix each for the sums of the reset gate, the update gate and the candidate; those of the
+    gates are halved, as the logistic function is (1 + tanh(x / 2)) / 2."""
+    parts = weights.reshape(len(weights), 3, HIDDEN).swapaxes(0, 1).copy()
+    parts[:2] *= 0.5
+    return parts
+
+
+def _advanced(given: np.ndarray, h: np.ndarray, wh: np.ndarray, sums: np.ndarray, n: np.ndarray, new: np.ndarray):
+    """One step of lanes that are rows, ``given`` and ``wh`` by gate. ``new`` takes the states after
+    it, ``sums`` the gates and what the candidate ``n`` takes from the state."""
+    np.matmul(h, wh, out=sums)
+    gates = sums[:2]
+    gates += given[:2]
     np.tanh(gates, out=gates)
     gates *= 0.5
     gates += 0.5
-    r, z = gates[:HIDDEN], gates[HIDDEN:]
-    n = r * s[2 * HIDDEN :]
-    n += given[2 * HIDDEN :]
+    np.multiply(sums[0], sums[2], out=n)
+    n += given[2]
     np.tanh(n, out=n)
-    new = h - n
-    new *= z
+    np.subtract(h, n, out=new)
+    new *= sums[1]
     new += n
-    return new, (s[2 * HIDDEN :], r, z, n)
 
 
 def _by_value(numbers: np.ndarray, below: int) -> np.ndarray:
@@ -163,8 +170,8 @@ def _by_value(numbers: np.ndarray, below: int) -> np.ndarray:
     return np.argsort(numbers.astype(np.min_scalar_type(below)), kind="stable")
 
 
-def _columns(x: np.ndarray, places: np.ndarray) -> np.ndarray:
-    return np.take(x, places, axis=1, mode="clip")  # all lie inside; the check costs more than the copy
+def _rows(x: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return np.take(x, places, axis=-2, mode="clip")  # all lie inside; the check costs more than the copy
 
 
 def members(outcomes: int) -> int:
@@ -210,20 +217,23 @@ class Gru:
 
     def step(self, given: np.ndarray, h: np.ndarray):
         """One step of lanes that are rows."""
-        h, kept = _advanced(given.T, h.T, self.wh)
-        return h.T, kept
+        sums, n, new = np.empty((3, *h.shape), h.dtype), np.empty_like(h), np.empty_like(h)
+        _advanced(_by_gate(given), h, _by_gate(self.wh), sums, n, new)
+        return new, (sums, n)
 
-    def run(self, before: np.ndarray, h: np.ndarray, alive: np.ndarray | None = None):
-        """States (size x steps x lanes) of a window, the last one, and what each step keeps for
-        the gradients. ``alive`` is 0 where a lane's state begins anew."""
+    def run(self, before: np.ndarray, h: np.ndarray, alive: np.ndarray | None = None, keep: bool = False):
+        """States (steps x lanes x size) of a window; with ``keep`` also the sums and candidates of
+        every step, for the gradients. ``alive`` is 0 where a lane's state begins anew."""
         steps, lanes = before.shape
-        given = _columns(np.ascontiguousarray(self.inputs().T), before)
-        states, saved = np.empty((HIDDEN, steps, lanes), h.dtype), []
+        given, wh = _rows(_by_gate(self.inputs()), before), _by_gate(self.wh)
+        states, kept = np.empty((steps, lanes, HIDDEN), h.dtype), steps if keep else 1
+        sums, n = np.empty((3, kept, lanes, HIDDEN), h.dtype), np.empty((kept, lanes, HIDDEN), h.dtype)
         for t in range(steps):
-            h, kept = _advanced(given[:, t], h if alive is None else h * alive[t], self.wh)
-            states[:, t] = h
-            saved.append(kept)
-        return states, h, saved
+            at = t if keep else 0
+            h = h if alive is None else h * alive[t, :, None]
+            _advanced(given[:, t], h, wh, sums[:, at], n[at], states[t])
+            h = states[t]
+        return states, sums, n
 
     def _class_members(self, k: int) -> np.ndarray:
         """Weights of the outcomes of a class; the last class may have fewer."""
@@ -242,70 +252,69 @@ class Gru:
     def output(self, states: np.ndarray, target: np.ndarray, weight: np.ndarray | None = None):
         """Log-probability of each state's target: only the members of the target's class are
         looked at. With weights, also the gradients of the weighted loss by states, wc and wm."""
-        x, size = states.T, self.wm.shape[2]
+        size = self.wm.shape[2]
         classes, place = np.divmod(target, size)
         rows = np.arange(len(target))
-        logp, d = _softmax_at(self.wc[:-1].T @ x + self.wc[-1][:, None], (classes, rows))
+        logp, d = _softmax_at(self.wc[:-1].T @ states.T + self.wc[-1][:, None], (classes, rows))
         order = _by_value(classes, self.wc.shape[1])
         cuts = np.append(0, np.cumsum(np.bincount(classes, minlength=self.wc.shape[1])))
-        sorted_x, sorted_place, within = _columns(x, order), place[order], np.empty_like(logp)
+        sorted_x, sorted_place, within = _rows(states, order), place[order], np.empty_like(logp)
         if weight is not None:
             d[classes, rows] -= 1
             d *= weight
-            g_wc = np.concatenate([x @ d.T, d.sum(1)[None]])
-            d_x, g_wm = self.wc[:-1] @ d, np.zeros_like(self.wm)
+            g_wc = np.concatenate([states.T @ d.T, d.sum(1)[None]])
+            d_x, g_wm = d.T @ self.wc[:-1].T, np.zeros_like(self.wm)
             sorted_weight, d_within = weight[order], np.empty_like(sorted_x)
         for k in np.flatnonzero(np.diff(cuts)).tolist():
             own, w = slice(cuts[k], cuts[k + 1]), self._class_members(k)
             at = sorted_place[own], rows[: cuts[k + 1] - cuts[k]]
-            within[own], d = _softmax_at(w[:-1].T @ sorted_x[:, own] + w[-1][:, None], at)
+            within[own], d = _softmax_at(w[:-1].T @ sorted_x[own].T + w[-1][:, None], at)
             if weight is not None:
                 d[at] -= 1
                 d *= sorted_weight[own]
-                g_wm[k, :-1, : w.shape[1]], g_wm[k, -1, : w.shape[1]] = sorted_x[:, own] @ d.T, d.sum(1)
-                d_within[:, own] = w[:-1] @ d
+                g_wm[k, :-1, : w.shape[1]], g_wm[k, -1, : w.shape[1]] = sorted_x[own].T @ d.T, d.sum(1)
+                d_within[own] = d.T @ w[:-1].T
         logp[order] += within
         if weight is None:
             return logp
         back = np.empty_like(order)
         back[order] = rows
-        d_x += _columns(d_within, back)
-        return logp, d_x.T, g_wc, g_wm
+        d_x += _rows(d_within, back)
+        return logp, d_x, g_wc, g_wm
 
     def window(self, before: np.ndarray, target: np.ndarray, h: np.ndarray, inside: np.ndarray | None = None):
         """Loss, gradients and last state of one window (steps x lanes); ``inside`` marks tokens."""
         steps, lanes = before.shape
         weight = np.full(target.shape, 1 / target.size, h.dtype) if inside is None else inside.astype(h.dtype) / inside.sum()
-        states, last, saved = self.run(before, h.T)
+        states, (r, z, s), n = self.run(before, h, keep=True)
         weights = weight.ravel()
-        logp, d_states, g_wc, g_wm = self.output(states.reshape(HIDDEN, -1).T, target.ravel(), weights)
+        logp, d_states, g_wc, g_wm = self.output(states.reshape(-1, HIDDEN), target.ravel(), weights)
         loss = -(logp * weights).sum()
-        d_states = d_states.T.reshape(states.shape)
-        old = np.concatenate([h.T[:, None], states[:, :-1]], 1)
-        s, r, z, n = (np.stack(x, 1) for x in zip(*saved, strict=True))
+        d_states = d_states.reshape(states.shape)
+        old = np.concatenate([h[None], states[:-1]])
         # What a change of the new state does to the three sums of a step, but for its own factor.
         of_n = (1 - z) * (1 - n * n)
         of_z, of_r = (old - n) * z * (1 - z), s * r * (1 - r)
-        d_sums, d_n = np.empty((3 * HIDDEN, steps, lanes), h.dtype), np.empty_like(states)
-        dh = np.zeros((HIDDEN, lanes), h.dtype)
+        d_sums, d_n = np.empty((steps, lanes, 3 * HIDDEN), h.dtype), np.empty_like(states)
+        dh, wh = np.zeros((lanes, HIDDEN), h.dtype), self.wh.T.copy()
         for t in range(steps - 1, -1, -1):
-            dh += d_states[:, t]
-            d, dn = d_sums[:, t], np.multiply(dh, of_n[:, t], out=d_n[:, t])
-            np.multiply(dn, of_r[:, t], out=d[:HIDDEN])
-            np.multiply(dh, of_z[:, t], out=d[HIDDEN : 2 * HIDDEN])
-            np.multiply(dn, r[:, t], out=d[2 * HIDDEN :])
-            dh *= z[:, t]
-            dh += self.wh @ d
-        flat = d_sums.reshape(3 * HIDDEN, -1)
-        g_wh = old.reshape(HIDDEN, -1) @ flat.T
-        d_sums[2 * HIDDEN :] = d_n  # the reset gate touches only what comes from the state
+            dh += d_states[t]
+            d, dn = d_sums[t], np.multiply(dh, of_n[t], out=d_n[t])
+            np.multiply(dn, of_r[t], out=d[:, :HIDDEN])
+            np.multiply(dh, of_z[t], out=d[:, HIDDEN : 2 * HIDDEN])
+            np.multiply(dn, r[t], out=d[:, 2 * HIDDEN :])
+            dh *= z[t]
+            dh += d @ wh
+        flat = d_sums.reshape(-1, 3 * HIDDEN)
+        g_wh = old.reshape(-1, HIDDEN).T @ flat
+        d_sums[..., 2 * HIDDEN :] = d_n  # the reset gate touches only what comes from the state
         per_class = np.zeros((len(self.embed), 3 * HIDDEN), h.dtype)
         times = np.bincount(before.ravel(), minlength=len(self.embed))
         seen = np.flatnonzero(times)
-        by_outcome = _columns(flat, _by_value(before.ravel(), len(self.embed)))
-        per_class[seen] = np.add.reduceat(by_outcome, (np.cumsum(times) - times)[seen], axis=1).T
-        g_wx = np.concatenate([self.embed.T @ per_class, flat.sum(1)[None]])
-        return loss, (per_class @ self.wx[:-1].T, g_wx, g_wh, g_wc, g_wm), last.T
+        by_outcome = _rows(flat, _by_value(before.ravel(), len(self.embed)))
+        per_class[seen] = np.add.reduceat(by_outcome, (np.cumsum(times) - times)[seen], axis=0)
+        g_wx = np.concatenate([self.embed.T @ per_class, per_class.sum(0)[None]])
+        return loss, (per_class @ self.wx[:-1].T, g_wx, g_wh, g_wc, g_wm), states[-1]
 
 
 class Fitting:
@@ -428,11 +437,12 @@ def class_scores(model: Gru, documents: list[np.ndarray]) -> np.ndarray:
         before[lane, at + 1 : end] = documents[i][:-1]
     target, before, logp = target.T, before.T, np.empty((lanes, length), np.float32)
     small = Gru(*(p.astype(np.float32) for p in model.parameters))
-    h = np.zeros((HIDDEN, lanes), np.float32)
+    h = np.zeros((lanes, HIDDEN), np.float32)
     for at in range(0, length, SCORE_WINDOW):
         cut = slice(at, at + SCORE_WINDOW)
-        states, h, _ = small.run(before[cut], h, (before[cut] != classes).astype(np.float32))
-        of_target = small.output(states.reshape(HIDDEN, -1).T, target[cut].ravel())
+        states, _, _ = small.run(before[cut], h, (before[cut] != classes).astype(np.float32))
+        h = states[-1]
+        of_target = small.output(states.reshape(-1, HIDDEN), target[cut].ravel())
         logp[:, cut] = of_target.reshape(-1, lanes).T
     for i, lane, at, end in place:
         out[i] = logp[lane, at:end].sum(dtype=np.float64)

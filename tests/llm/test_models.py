@@ -369,3 +369,16 @@ def test_words_are_found_by_slot_or_by_search():
     last = recurrent_lm.OWN + recurrent_lm.ENDINGS
     assert [c == last for c in cls.tolist()] == [w not in of for w in asked.tolist()]
     assert recurrent_lm.class_scores(recurrent_lm.Gru.new(7, np.full(7, 1 / 7)), []).tolist() == []
+
+
+def test_scoring_keeps_no_step_for_gradients():
+    rng = np.random.default_rng(4)
+    model = recurrent_lm.Gru.new(7, np.full(7, 1 / 7))
+    before, h = rng.integers(0, 8, (5, 3)), rng.normal(size=(3, recurrent_lm.HIDDEN))
+    states, sums, n = model.run(before, h)
+    assert states.shape == (5, 3, recurrent_lm.HIDDEN) and sums.shape[1] == len(n) == 1
+    kept, sums, n = model.run(before, h, keep=True)
+    assert np.array_equal(states, kept) and sums.shape[1] == len(n) == 5
+    for t in range(5):
+        h, _ = model.step(model.inputs()[before[t]], h)
+        assert np.allclose(h, states[t])
