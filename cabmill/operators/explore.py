@@ -20,7 +20,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from cabmill.sources.shared import Scratch, written
+from cabmill.sources.shared import Scratch, short_methods, written
 
 
 def count_rows(table: DataFrame) -> DataFrame:
@@ -108,6 +108,8 @@ _FINE_SKETCH = 16_000
 _TASKS_TOGETHER, _CHUNK = 64, 1 << 18
 # Bits of a count within a chunk.
 _PACKED = 20
+# Bits of a digit of a time, whose digits are added apart: a sum of 2^41 of them is a BIGINT.
+_DIGIT = 22
 _PROFILE = (
     "column_name string, count long, null_count long, mean double, std double, "
     + "".join(f"{p} double, " for p in _POINTS)
@@ -127,13 +129,13 @@ def profile(table: DataFrame, exact: bool = True) -> DataFrame:
 
     The table is scanned twice, whatever its values. The first scan gives the simple statistics
     and a quantile sketch per column, hence a narrow bracket around each quartile. The second
-    counts what lies before, between and at the ends of the brackets, and keeps the values strictly
+    adds the squared deviations from the means, counts what lies before, between and at the ends of the brackets, and keeps the values strictly
     inside, about one in a hundred; however many rows share a value, it is then at an end or rare.
     The quartiles are ends, or are found among the kept values, which are sorted over all tasks.
     `exact=False` takes them from a larger sketch, in one scan.
     """
-    columns = [_Profiled(i, f.name, _family(f.dataType)) for i, f in enumerate(table.schema)]
-    with Scratch(table.sparkSession, "profile") as scratch:
+    columns = [_Profiled(i, f.name, _family(f.dataType), exact) for i, f in enumerate(table.schema)]
+    with short_methods(table.sparkSession), Scratch(table.sparkSession, "profile") as scratch:
         rows, sketches = _first_scan(scratch, table, columns, _SKETCH if exact else _FINE_SKETCH)
         margin = _MARGIN if exact else 0.0
         _bracketed(sketches, columns, margin)
@@ -169,8 +171,10 @@ def _literal(value) -> str:
 class _Profiled:
     """One column: its aggregates, what they gave, and the brackets of its quartiles."""
 
-    def __init__(self, position: int, name: str, family: str):
-        self.position, self.name, self.family = position, name, family
+    def __init__(self, position: int, name: str, family: str, exact: bool):
+        self.position, self.name, self.family, self.exact = position, name, family, exact
+        self.mean: float | None = None
+        self.squares: float | None = None  # sum of the squared deviations from it
         self.wanted: dict[str, int] = {}  # quartile: rank, until it is found
         self.found: dict[str, int | float] = {}
         self.brackets: list[tuple] = []  # disjoint (low, high), ascending
@@ -214,20 +218,28 @@ class _Profiled:
             out["sum"] = (f"sum(CAST({column} AS INT))", "sum({})")
         if v:
             out |= {p: (f"{p}({v})", f"{p}({{}})") for p in ("min", "max")}
-            # Count, sum and squared deviations of a part; parts are merged by these.
-            moments = f"struct(count({v}) AS n, sum(CAST({v} AS DOUBLE)) AS s, var_pop({v}) * count({v}) AS m2)"
-            out["moments"] = (moments, "collect_list({})")
+            if self.family in ("real", "whole"):
+                # Count and sum of a part, and its squared deviations if no second scan adds them.
+                m2 = "CAST(NULL AS DOUBLE)" if self.exact else f"var_pop({v}) * count({v})"
+                moments = f"struct(count({v}) AS n, sum(CAST({v} AS DOUBLE)) AS s, {m2} AS m2)"
+                out["moments"] = (moments, "collect_list({})")
             out["sketch"] = (f"kll_sketch_agg_{self.sketch}({v}, {k})", f"kll_merge_agg_{self.sketch}({{}})")
             if self.family == "real":
                 out["nans"] = (f"count_if(isnan({v}))", "sum({})")
             elif self.family != "whole":
-                out["whole"] = (f"sum(CAST({v} AS DECIMAL(38, 0)))", "sum({})")
+                low = f"{(1 << _DIGIT) - 1}L"
+                digits = f"{v} & {low}", f"shiftright({v}, {_DIGIT}) & {low}", f"shiftright({v}, {2 * _DIGIT})"
+                out |= {f"digit{i}": (f"sum({d})", "sum({})") for i, d in enumerate(digits)}
         return out
 
     def take(self, row) -> None:
         self.got = {n: row[f"c{self.position}_{n}"] for n in self.partial(1) if n != "sketch"}
         count, nans = self.got["count"], self.got.get("nans") or 0
         self.numbers = count - nans
+        if moments := [m for m in self.got.get("moments") or () if m.n]:
+            self.mean = _mean(moments)
+            if not self.exact:
+                self.squares = sum(m.m2 + m.n * (m.s / m.n - self.mean) ** 2 for m in moments)
         if self.value and count:
             for name, share in QUARTILES.items():
                 rank = math.ceil(share * count)
@@ -266,11 +278,14 @@ class _Profiled:
 
     def counts(self) -> list[str]:
         """Per chunk of rows: the sizes of the zones, three to a number, as fewer aggregates cost
-        less, and the values inside of brackets."""
+        less, the values inside of brackets, and the squared deviations."""
         z, out = f"z{self.position}", []
         for n in self.zones[::3]:
             whens = " ".join(f"WHEN {n + i} THEN {1 << i * _PACKED}L" for i in range(3))
             out.append(f"sum(CASE {z} {whens} ELSE 0L END) AS n{self.position}_{n}")
+        if self.squares is None and self.mean is not None:
+            off = f"(v{self.position} - {_literal(self.mean)})"
+            out.append(f"sum({off} * {off}) AS s{self.position}")
         inside = f"if(pmod({z}, 4) = 2, v{self.position}, NULL)"
         return [*out, f"collect_list({inside}) AS i{self.position}"]
 
@@ -301,18 +316,29 @@ class _Profiled:
                 inside += size if k % 4 == 2 else 0
         return places
 
+    def deviation(self) -> float:
+        if not math.isfinite(self.mean):
+            return math.nan
+        if self.got["min"] == self.got["max"]:
+            return 0.0
+        return math.sqrt(self.squares / (self.got["count"] - 1))
+
     def row(self, rows: int) -> tuple:
         got, points = self.got, dict.fromkeys(_POINTS)
-        mean = std = None
+        mean, std = self.mean, None
         if self.value:
             points |= {"min": got["min"], "max": got["max"]} | self.found
-            mean, std = _mean_and_deviation([m for m in got["moments"] if m.n])
+            if mean is not None and got["count"] > 1:
+                std = self.deviation()
         elif self.family == "flag" and got["count"]:
             mean = got["sum"] / got["count"]
         moment = self.family in ("time", "instant")
         at = lambda micros: None if micros is None else _SINCE + timedelta(microseconds=micros)
         number = lambda x: None if moment or x is None else float(x)
-        middle = _truncated(int(got["whole"]), got["count"]) if moment and got["count"] else None
+        middle = None
+        if moment and got["count"]:
+            total = sum(got[f"digit{i}"] << i * _DIGIT for i in range(3))
+            middle = _truncated(total, got["count"])
         return (
             self.name, got["count"], rows - got["count"], number(mean), number(std),
             *(number(points[p]) for p in _POINTS),
@@ -329,15 +355,10 @@ def _truncated(total: int, count: int) -> int:
     return total // count if total >= 0 else -(-total // count)
 
 
-def _mean_and_deviation(moments: list) -> tuple[float | None, float | None]:
-    """Of the union of some parts, from their counts, sums and squared deviations."""
-    n = sum(m.n for m in moments)
-    if not n:
-        return None, None
+def _mean(moments: list) -> float:
+    """Of the union of some parts, from their counts and sums."""
     sums = [m.s for m in moments]
-    mean = (math.fsum(sums) if all(map(math.isfinite, sums)) else sum(sums)) / n
-    squares = [m.m2 + m.n * (m.s / m.n - mean) ** 2 for m in moments]
-    return mean, math.sqrt(sum(squares) / (n - 1)) if n > 1 else None
+    return (math.fsum(sums) if all(map(math.isfinite, sums)) else sum(sums)) / sum(m.n for m in moments)
 
 
 def _values(table: DataFrame, columns: list[_Profiled]) -> DataFrame:
@@ -396,7 +417,11 @@ def _second_scan(scratch: Scratch, table: DataFrame, columns: list[_Profiled]) -
     chunks = scratch.written(
         zoned.groupBy(chunk).agg(*(F.expr(e) for c in some.values() for e in c.counts()))
     )
-    sizes = chunks.agg(*(F.expr(e) for c in some.values() for e in c.sizes())).first()
+    squares = [n for n in chunks.columns if n.startswith("s")]
+    sums = [F.sum(n).alias(n) for n in squares]
+    sizes = chunks.agg(*(F.expr(e) for c in some.values() for e in c.sizes()), *sums).first()
+    for n in squares:
+        some[int(n[1:])].squares = sizes[n]
     places = [
         (p, *place) for p, c in some.items() for place in c.settle([sizes[f"n{p}_{k}"] for k in c.zones])
     ]

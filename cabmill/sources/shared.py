@@ -1,11 +1,25 @@
 """Written intermediate tables in the folder that all executors share."""
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+
+
+@contextmanager
+def short_methods(spark: SparkSession) -> Iterator[None]:
+    """Inside the block, a stage whose generated method is longer than the JVM ever compiles (8000
+    bytes) runs in smaller ones. Stages of many aggregates need it; it changes no result."""
+    before = spark.conf.get(_METHOD_LIMIT)
+    spark.conf.set(_METHOD_LIMIT, str(min(8000, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(_METHOD_LIMIT, before)
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:

@@ -148,3 +148,25 @@ def test_profile_of_odd_numbers(spark):
     empty = explore.profile(spark.createDataFrame([], "a DOUBLE, s STRING")).collect()
     assert [(r["count"], r.mean, r.q50, r.min_text) for r in empty] == [(0, None, None, None)] * 2
     assert explore.profile(spark.createDataFrame([("x",)], "s STRING")).first().max_text == "x"
+
+
+def test_profile_scans_run_in_short_methods_with_plain_sums(spark, monkeypatch):
+    limit, seen, write = "spark.sql.codegen.hugeMethodLimit", [], explore.Scratch.written
+    before = spark.conf.get(limit)
+
+    def spied(scratch, frame, keep=False):
+        plan = frame._jdf.queryExecution().analyzed().toString()
+        seen.append((int(spark.conf.get(limit)), "var_pop" in plan, "decimal" in plan))
+        return write(scratch, frame, keep)
+
+    monkeypatch.setattr(explore.Scratch, "written", spied)
+    moment = "TIMESTAMP_NTZ '1960-02-03 04:05:06.000007' + INTERVAL '1' DAY * id"
+    columns = "CAST(1e6 + id % 3 AS DOUBLE) AS x", "id * 3 AS n", "0.3D AS c", f"{moment} AS t"
+    table = spark.range(0, 9000, 1, 5).selectExpr(*columns)
+    got = {r.column_name: r for r in explore.profile(table).collect()}
+    assert seen and all(size <= 8000 and not costly and not wide for size, costly, wide in seen)
+    assert spark.conf.get(limit) == before
+    assert abs(got["x"].std / statistics.stdev([0.0, 1.0, 2.0] * 3000) - 1) < 1e-12 and got["c"].std == 0.0
+    assert abs(got["n"].std / statistics.stdev(range(0, 27_000, 3)) - 1) < 1e-12
+    first = datetime(1960, 2, 3, 4, 5, 6, 7)
+    assert got["t"].mean_ts == first + timedelta(days=8999) / 2 and got["t"].std is None
