@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cabmill.operators import dimensions, marts, trips
 from cabmill.sinks.store import Store, default_environment
-from cabmill.sources.shared import Scratch
+from cabmill.sources.shared import Scratch, short_methods
 from cabmill.sources.tables import scan
 
 # The published model names.
@@ -77,7 +77,8 @@ def run(
         clustered = True
         return store.interval(model, time_column, start, end)
 
-    with Scratch(store.spark, "daily-run") as scratch, store.one_switch():
+    spark = store.spark
+    with short_methods(spark), Scratch(spark, "daily-run") as scratch, store.one_switch():
         base = trips.base_trip(*raw, start=start, end=end, mode=mode)
         base = step(BASE, base, trips.PICKUP)
         cleaned = step(CLEANED, trips.cleaned_trip(base), trips.PICKUP)
@@ -108,9 +109,7 @@ def main() -> None:
         "--store", nargs="+", default=ROW_MODELS, choices=ROW_MODELS, help="row-level tables to keep"
     )
     args = parser.parse_args()
-    # Generated methods beyond 8000 bytes are never compiled by the JVM; Spark then uses smaller ones.
-    builder = SparkSession.builder.appName("cabmill").config("spark.sql.codegen.hugeMethodLimit", "8000")
-    spark = builder.enableHiveSupport().getOrCreate()
+    spark = SparkSession.builder.appName("cabmill").enableHiveSupport().getOrCreate()
     raw = [scan(spark, path, args.format) for path in args.raw]
     store = Store(spark, args.location, args.env).create()
     run(store, raw, args.start, args.end, stored=args.store)

@@ -59,3 +59,11 @@ def test_two_raw_tables_keep_duplicates(spark):
     D.run(store, [rows, rows], date(2015, 1, 1), date(2015, 1, 1))
     assert daily(store) == [(1, 2, 26.6)]
     assert store.read(D.FACT).agg(F.count_distinct("trip_key")).first()[0] == 1
+
+
+def test_a_run_uses_short_methods(spark, monkeypatch):
+    limit, seen, cells = "spark.sql.codegen.hugeMethodLimit", [], D.marts.trip_cells
+    before = spark.conf.get(limit)
+    monkeypatch.setattr(D.marts, "trip_cells", lambda fact: seen.append(spark.conf.get(limit)) or cells(fact))
+    D.run(_store(spark), [trip_rows(spark, at(1), at(2))], date(2015, 1, 1), date(2015, 1, 31))
+    assert int(seen[0]) <= 8000 and spark.conf.get(limit) == before
