@@ -17,6 +17,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -174,10 +175,10 @@ def _packed(path: str, tiers: tuple[int, ...], step_tokens: int, end_id: int):
         packer = _Packer(tiers, step_tokens, TaskContext.get().partitionId() << 40)
         for batch in batches:
             ids = batch.column(0).to_pylist()
+            encoded = encoder.all_ids(batch.column(1))
             for at in range(0, len(ids), 256):
-                texts = [t or b"" for t in batch.column(1).slice(at, 256).to_pylist()]
-                for doc_id, encoded in zip(ids[at : at + 256], encoder.all_ids(texts), strict=True):
-                    packer.add(doc_id, encoded + end)
+                for doc_id, own in zip(ids[at : at + 256], islice(encoded, 256), strict=True):
+                    packer.add(doc_id, own + end)
                 if packer.waiting >= POOL:
                     packer.pack(last=False)
                 if found := list(packer.flush(last=False)):

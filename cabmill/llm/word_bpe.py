@@ -1,23 +1,33 @@
-"""Token ids of whole texts from a public word BPE, with each distinct word encoded once.
+"""Token ids of whole texts from a public word BPE, with each distinct letter run encoded once.
 
 The tokenizer drops white space and never joins what white space parts, so a text's ids are those
-of its words in a row. A worker keeps the ids of the words it has met.
+of its words in a row. Arrow splits texts and numbers their distinct words; only these are looked
+at one by one, and numpy puts their ids in the texts' order. A worker keeps the ids of the letter
+runs it has met.
 """
 
 from __future__ import annotations
 
 import os
+import string
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from unicodedata import is_normalized
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 from cabmill.llm.common import kept
 
-#: Distinct words, and distinct letter runs, of a generation that a worker remembers; two
-#: generations are kept. Results do not depend on either.
-KEPT_WORDS, KEPT_RUNS = 300_000, 300_000
-# What may follow the letters of a plain word: the tokenizer itself encodes the two apart.
-_MARKS = ".,;:!?-"
+#: Words of texts that are held and numbered together (those of one text at least), and distinct
+#: letter runs that a worker remembers; beyond, those of the last texts stay. Results do not depend
+#: on either.
+KEPT_WORDS, KEPT_RUNS = 2_000_000, 300_000
+_ROWS, _TAKEN = 4096, 200_000  # texts split at a time, words whose ids are put in order at a time
+# What may follow the letters of a plain word: the tokenizer itself encodes the two apart, as no
+# contraction and no special token is of such signs alone.
+_MARKS = string.punctuation
 
 
 def _byte_letters() -> dict[int, str]:
@@ -40,10 +50,7 @@ class WordIds:
         self._model = self._tokenizer.model
         self._letters = regex.compile(r"\p{L}+")
         self._written = str.maketrans(_byte_letters())
-        self._ids: dict[bytes, bytes] = {}
-        self._old_ids: dict[bytes, bytes] = {}
         self._runs: dict[str, bytes] = {}
-        self._old_runs: dict[str, bytes] = {}
         # The merges alone give a run of letters the same ids as the whole tokenizer; if a
         # vocabulary were of another kind, every run would pass through all of it.
         probes = ["the", "antidisestablishment", "été", "ñandú", "ждал", "qzxv"]
@@ -78,9 +85,11 @@ class WordIds:
         known.update(zip(rest, self._whole(rest), strict=True))
 
     def _learn_runs(self, runs: set[str]) -> None:
+        """Let the newest generation hold all of some runs; of the one before only these stay."""
+        old = {}
         if len(self._runs) + len(runs) > KEPT_RUNS:
-            self._old_runs, self._runs = self._runs, {}
-        old, unknown = self._old_runs, []
+            old, self._runs = self._runs, {}
+        unknown = []
         for r in runs.difference(self._runs):
             if r in old:
                 self._runs[r] = old[r]
@@ -88,38 +97,60 @@ class WordIds:
                 unknown.append(r)
         self._encode(unknown)
 
-    def learn(self, words: set[bytes]) -> None:
-        """Let the newer generation hold all of some words."""
-        if len(self._ids) + len(words) > KEPT_WORDS:
-            self._old_ids, self._ids = self._ids, {}
-        known, old = self._ids, self._old_ids
-        # Three lists of texts, as tuples of them would keep the garbage collector busy.
-        new, heads, tails = [], [], []
-        for w in words.difference(known):
-            if w in old:
-                known[w] = old[w]
-                continue
-            # Only A-Z are lower-cased here; the tokenizer does the rest.
-            text = w.lower().decode()
-            letters = text.rstrip(_MARKS)
-            new.append(w)
-            if letters.isalpha():
-                heads.append(letters)
-                tails.append(text[len(letters) :])
-            else:
-                heads.append(w.decode())
-                tails.append("")
-        self._learn_runs({*heads, *tails})
-        runs = self._runs.__getitem__
-        known.update(zip(new, map(bytes.__add__, map(runs, heads), map(runs, tails)), strict=True))
-
-    def all_ids(self, texts: list[bytes]) -> Iterator[bytes]:
-        """The ids of each text; their unknown words are encoded together."""
-        words = [t.split() for t in texts]
-        self.learn(set().union(*words))
-        known = self._ids.__getitem__
-        for own in words:
-            yield b"".join(map(known, own))
+    def learn(self, words: pa.StringArray | Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some words, one after the other, and the number of each one's ids."""
+        if not isinstance(words, pa.Array):
+            words = pa.array(list(words), pa.binary()).cast(pa.string())
+        # Only A-Z are lower-cased here; the tokenizer does the rest.
+        low = pc.ascii_lower(words)
+        letters = pc.ascii_rtrim(low, _MARKS)
+        cut = pc.binary_length(low).to_numpy() - pc.binary_length(letters).to_numpy()
+        letters = letters.dictionary_encode()
+        names = letters.dictionary.to_pylist()
+        plain = np.fromiter(map(str.isalpha, names), bool, len(names))
+        names = [x if p else "" for x, p in zip(names, plain.tolist(), strict=True)]
+        head = letters.indices.to_numpy().astype(np.int64)
+        odd = np.flatnonzero(~plain[head])  # these go through the whole tokenizer as they are
+        marked = np.flatnonzero((cut > 0) & plain[head])
+        ends = [w[-k:] for w, k in zip(low.take(pa.array(marked)).to_pylist(), cut[marked].tolist(), strict=True)]
+        marks = {x: i for i, x in enumerate(dict.fromkeys(["", *ends]), len(names) + len(odd))}
+        head[odd] = np.arange(len(names), len(names) + len(odd))
+        tail = np.full(len(head), marks[""])
+        tail[marked] = [marks[x] for x in ends]
+        names += [*words.take(pa.array(odd)).to_pylist(), *marks]
+        self._learn_runs(set(names))
+        runs = list(map(self._runs.__getitem__, names))
+        flat, size = np.frombuffer(b"".join(runs), "<u4"), np.fromiter(map(len, runs), np.int64, len(runs)) // 4
+        return _gathered(flat, size, np.stack([head, tail], axis=1).ravel()), size[head] + size[tail]
+
+    def all_ids(self, texts: pa.Array | list[bytes]) -> Iterator[bytes]:
+        """The ids of each text (null: none); the distinct words of many texts are encoded together."""
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.binary())
+        for row in range(0, len(texts), _ROWS):
+            split = pc.ascii_split_whitespace(texts.slice(row, _ROWS).cast(pa.string()).fill_null(""))
+            ends, at = split.offsets.to_numpy(), 0
+            while at < len(split):
+                to = max(at + 1, int(np.searchsorted(ends, ends[at] + KEPT_WORDS, "right")) - 1)
+                first = ends[at]
+                words = split.values.slice(first, ends[to] - first).dictionary_encode()
+                flat, size = self.learn(words.dictionary)
+                each = words.indices.to_numpy()
+                while at < to:
+                    end = min(to, max(at + 1, int(np.searchsorted(ends, ends[at] + _TAKEN, "right")) - 1))
+                    own = each[ends[at] - first : ends[end] - first]
+                    ids = _gathered(flat, size, own)
+                    cuts = np.concatenate([[0], np.cumsum(size[own])])[ends[at : end + 1] - ends[at]].tolist()
+                    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                        yield ids[a:b].tobytes()
+                    at = end
+
+
+def _gathered(flat: np.ndarray, size: np.ndarray, each: np.ndarray) -> np.ndarray:
+    """Parts of ``flat``, whose sizes are given in a row, in the order of their numbers."""
+    first, n = (np.cumsum(size) - size)[each], size[each]
+    ends = np.cumsum(n)
+    return flat[np.repeat(first - ends + n, n) + np.arange(n.sum())]
 
 
 def word_ids(path: str) -> WordIds:

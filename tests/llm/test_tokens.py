@@ -1,10 +1,12 @@
 import hashlib
 import random
+import string
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from cabmill.llm import packing, piece_encode, word_bpe
@@ -63,6 +65,29 @@ def test_words_of_a_large_vocabulary_are_encoded_once(word_path, monkeypatch):
     assert sum(encoded) == len(words) + 1  # and the empty rest of a word
 
 
+def test_letters_before_any_marks_are_merged_alone(word_path, monkeypatch):
+    own, whole = WordIds(word_path), []
+    encode = own._whole
+    monkeypatch.setattr(own, "_whole", lambda runs: (whole.extend(runs), encode(runs))[1])
+    marks = [a + b for a in string.punctuation for b in ["", *string.punctuation]] + ["***", "'.", "...'", "__", "|>"]
+    texts = [f"dog{m} DOG{m}\u2003x ñandú{m}" for m in marks] + ["dogs's dog<|endoftext|> <|endoftext|>. '' 's'"]
+    for t, packed in zip(texts, own.all_ids([t.encode() for t in texts]), strict=True):
+        assert np.frombuffer(packed, "<u4").tolist() == own._tokenizer.encode(t, add_special_tokens=False).ids, t
+    assert not [w for w in whole if w.startswith("dog") and w[3:] in marks]
+
+
+def test_ids_do_not_depend_on_what_is_held_together(word_path, monkeypatch):
+    own, sample = WordIds(word_path), [*texts(300), "", " \x0b a\x1cb \x0c"]
+    want = [own._tokenizer.encode(t, add_special_tokens=False).ids for t in sample]
+    column = pa.array([None, *(t.encode() for t in sample)], pa.binary())
+    for rows, taken, words in (7, 1, 3), (50, 100, 1000), (1000, 10, 10**6):
+        monkeypatch.setattr(word_bpe, "_ROWS", rows)
+        monkeypatch.setattr(word_bpe, "_TAKEN", taken)
+        monkeypatch.setattr(word_bpe, "KEPT_WORDS", words)
+        got = [np.frombuffer(x, "<u4").tolist() for x in own.all_ids(column)]
+        assert got == [[], *want]
+
+
 def test_packing_covers_every_id_once(spark, word_path):
     rows = [(i, t, "x") for i, t in enumerate(texts(120))] + [(None, "no id", "x"), (1000, None, "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, start string").repartition(3)
