@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabmill.llm.common import Work, chosen, collected, components, read
+from cabmill.llm.common import Work, chosen, collected, components, let_go, read, small_batches
 from cabmill.llm.shingles import fingerprint, shingle_sets
 
 #: Shingles counted together when frequent ones are looked for.
@@ -62,6 +62,7 @@ def _profiles(size: int):
     sets of a chunk, how often it does (doc_row null)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         held, seen, total = [], set(), 0
 
         def counted():
@@ -95,6 +96,7 @@ def _profiles(size: int):
             )
         if held:
             yield counted()
+        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -323,20 +325,22 @@ def jaccard_components(
     spark = documents.sparkSession
     docs = chosen(documents, doc_id="long", text="string")
     with Work(spark, "jaccard") as work:
-        profiles = work.write(
-            docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(
-                _profiles(size), "doc_id long, n long, df long, fp binary"
-            ),
-            keep=True,
-        )
+        with small_batches(spark):
+            profiles = work.write(
+                docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(
+                    _profiles(size), "doc_id long, n long, df long, fp binary"
+                ),
+                keep=True,
+            )
         sets = profiles.where("fp IS NOT NULL")
         frequent = spark.sparkContext.broadcast(_most_frequent(spark, profiles))
-        rows = work.write(
-            docs.select(F.col("text").cast("binary"))
-            .mapInArrow(_prefixes(size, percent, frequent), "fp binary, n long, prefix array<long>")
-            .groupBy("fp").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-            .withColumn("node", F.monotonically_increasing_id())
-        )
+        with small_batches(spark):
+            rows = work.write(
+                docs.select(F.col("text").cast("binary"))
+                .mapInArrow(_prefixes(size, percent, frequent), "fp binary, n long, prefix array<long>")
+                .groupBy("fp").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+                .withColumn("node", F.monotonically_increasing_id())
+            )
         entries = _entries(work, rows)
         nodes = work.write(
             sets.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("first_id"))
@@ -474,7 +478,8 @@ def _verified(work: Work, docs: DataFrame, nodes: DataFrame, pairs: DataFrame, p
         .mapInArrow(_sets(size), "fp binary, shingles array<long>")
         .groupBy("fp").agg(F.first("shingles").alias("s"))
     )
-    sets = work.write(wanted.select("node", "fp").join(sets, "fp").select("node", "s"))
+    with small_batches(work.spark):
+        sets = work.write(wanted.select("node", "fp").join(sets, "fp").select("node", "s"))
     both = pairs.join(sets.select(F.col("node").alias("x"), F.col("s").alias("sx")), "x").join(
         sets.select(F.col("node").alias("y"), F.col("s").alias("sy")), "y"
     )

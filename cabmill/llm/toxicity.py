@@ -65,6 +65,10 @@ class Features:
     def __setstate__(self, state):
         self.__init__(*state)
 
+    def forget(self) -> None:
+        """Let the words met so far go; a worker keeps the model itself for its later tasks."""
+        self._code = {}
+
     def _add(self, new: set[str]) -> None:
         if len(self._code) + len(new) > _KEPT_WORDS:
             self._code.clear()
@@ -349,6 +353,7 @@ def _scored(model, at: int, keep: bool):
                     [*columns, pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))],
                     [*names, "score", "predicted"],
                 )
+        m.features.forget()
         pa.default_memory_pool().release_unused()
 
     return run

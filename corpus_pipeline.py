@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabmill.llm import jaccard_join, packing, secret_scan, toxicity
-from cabmill.llm.common import Work, read
+from cabmill.llm.common import Work, read, small_batches
 
 #: Ids that may be broadcast (8 bytes each); beyond, Spark picks the join.
 BROADCAST_ROWS = 1_000_000
@@ -84,10 +84,11 @@ def blank_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences."""
+    """The pieces of all documents in sequences; written here, as workers get texts in small batches."""
     import public_tokenizers
 
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    with Work(spark, "pack") as work, small_batches(spark):
+        return work.write(packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json")), keep=True)
 
 
 STAGES = [

@@ -9,7 +9,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from cabmill.llm import common, toxicity
+from cabmill.llm import common, jaccard_join, toxicity
 from tests.llm.test_jaccard_join import brute_force
 from tests.llm.test_secret_scan import base_spans
 
@@ -100,3 +100,41 @@ def test_toxicity_stage_holds_a_text_once(spark, sf_dir):
     whole = pa.Table.from_batches(out)
     assert whole.select(["doc_id", "text"]).equals(pa.Table.from_batches([batch]))
     assert np.array_equal(whole["score"].to_numpy(), model.score(batch.column(1).to_pylist()))
+
+
+def test_texts_reach_workers_in_small_batches(spark, sf_dir, monkeypatch):
+    rows, seen, write = common._BATCH_ROWS, [], common.Work.write
+    before = spark.conf.get(rows)
+    count = lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches)
+    with common.small_batches(spark):
+        sent = spark.range(0, 3000, 1, 1).mapInArrow(count, "n long").collect()
+    assert sorted(r.n for r in sent) == [952, 1024, 1024]
+    spark.conf.set(rows, "100")
+    with common.small_batches(spark):
+        assert spark.conf.get(rows) == "100"
+    spark.conf.set(rows, before)
+
+    def noted(work, frame, keep=False):
+        seen.append(spark.conf.get(rows))
+        return write(work, frame, keep)
+
+    monkeypatch.setattr(common.Work, "write", noted)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(50)
+    corpus_pipeline.pack(spark, docs, sf_dir)
+    assert seen == ["1024"]
+    corpus_pipeline.drop_near_copies(spark, docs, sf_dir)
+    assert seen.count("1024") >= 5  # profiles, prefixes and the sets of both checks too
+    assert spark.conf.get(rows) == before
+
+
+def test_toxicity_tasks_let_words_and_near_copies_let_other_words_go(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["some words", "and others"]})
+    first = [b.to_pylist() for b in toxicity._scored(SimpleNamespace(value=model), 1, True)(iter([batch]))]
+    assert not model.features._code
+    assert [b.to_pylist() for b in toxicity._scored(SimpleNamespace(value=model), 1, True)(iter([batch]))] == first
+    common.kept(("word_bpe", "x"), dict)
+    texts = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).cast(pa.binary())], ["doc_id", "text"])
+    assert len(list(jaccard_join._profiles(5)(iter([texts])))) == 2
+    assert not common._KEPT
